@@ -1,0 +1,7 @@
+"""Streaming.
+
+The surveillance workload is batch over whole report tables: there are no
+event-time windows, watermarks or stateful stream operators to provide.
+Incremental refresh is done by re-running the lazy batch plans over new
+Parquet partitions (see README).
+"""
