@@ -85,47 +85,74 @@ def _prep_parts(x: Column, trans_fn: Callable[[Column], Column], zero_val):
     return bad, zero, t
 
 
-def prepvar(
-    df: DataFrame,
+def prepvar_apply(
     x: Column,
+    stats: PrepvarStats,
     trans_fn: Callable[[Column], Column] = lambda c: c,
     na_val="auto",
     zero_val="zero",
-    stats: PrepvarStats | None = None,
 ) -> Column:
-    """Transform ``x``; fill NA/Inf and optionally zeros with data-driven values.
+    """Transform ``x`` and fill NA/Inf (and optionally zeros) from fitted stats.
 
     * regular values -> ``trans_fn(x)``
     * NA / NaN / Inf -> ``min - 6*sd`` of the transformed regular values
       ("auto") or the constant ``na_val``
     * zeros: kept as regular ("zero"), ``min - 3*sd`` ("auto") or a constant
-
-    Without ``stats`` the min / sd come from ``df`` through scalar subqueries
-    (one global aggregate, no driver round trip); pass fitted ``stats`` to
-    reuse the training values.
     """
     bad, zero, t = _prep_parts(x, trans_fn, zero_val)
-    if stats is None:
-        s = (
-            df.select(t.alias("_t"))
-            .agg(F.struct(F.min("_t").alias("mn"), F.stddev_samp("_t").alias("sd")))
-            .scalar()
-        )
-        mn, sd = s.getField("mn"), s.getField("sd")
-        na_fill = mn - 6 * sd
-        zero_fill = mn - 3 * sd
-    else:
-        na_fill = F.lit(stats.na_fill).cast("double")
-        zero_fill = F.lit(stats.zero_fill).cast("double")
-    na_v = na_fill if na_val == "auto" else F.lit(float(na_val))
+    na_v = F.lit(stats.na_fill).cast("double") if na_val == "auto" else F.lit(float(na_val))
     out = F.when(bad, na_v)
     if zero_val == "auto":
-        out = out.when(zero, zero_fill)
+        out = out.when(zero, F.lit(stats.zero_fill).cast("double"))
     elif zero_val != "zero":
         out = out.when(zero, F.lit(float(zero_val)))
     return out.otherwise(t).cast("double")
 
 
+def prepvar_fit_many(df: DataFrame, specs: dict) -> dict[str, PrepvarStats]:
+    """Fit several ``prepvar`` transforms with ONE aggregate over ``df``.
+
+    ``specs`` maps output name -> (x, trans_fn, zero_val).  The result is 2
+    numbers per variable (the stored transformer, reused at forecast time).
+    """
+    aggs = []
+    for name, (x, trans_fn, zero_val) in specs.items():
+        _, _, t = _prep_parts(x, trans_fn, zero_val)
+        aggs += [F.min(t).alias(f"{name}__mn"), F.stddev_samp(t).alias(f"{name}__sd")]
+    row = df.agg(*aggs).first()
+    out = {}
+    for name in specs:
+        mn, sd = row[f"{name}__mn"], row[f"{name}__sd"]
+        if mn is None or sd is None:
+            out[name] = PrepvarStats(None, None)
+        else:
+            out[name] = PrepvarStats(mn - 6 * sd, mn - 3 * sd)
+    return out
+
+
+def prepvar_columns(df: DataFrame, specs: dict, na_val="auto") -> dict[str, Column]:
+    """Fit on ``df`` and return the transformed columns (one stats job)."""
+    stats = prepvar_fit_many(df, specs)
+    return {
+        name: prepvar_apply(x, stats[name], trans_fn, na_val, zero_val)
+        for name, (x, trans_fn, zero_val) in specs.items()
+    }
+
+
+def prepvar(
+    df: DataFrame,
+    x: Column,
+    trans_fn: Callable[[Column], Column] = lambda c: c,
+    na_val="auto",
+    zero_val="zero",
+    stats: PrepvarStats | None = None,
+) -> Column:
+    """Single-variable ``prepvar``; statistics fitted on ``df`` unless given."""
+    if stats is None:
+        stats = prepvar_fit_many(df, {"v": (x, trans_fn, zero_val)})["v"]
+    return prepvar_apply(x, stats, trans_fn, na_val, zero_val)
+
+
 def fit_prepvar(
     df: DataFrame, x: Column, trans_fn=lambda c: c, zero_val="zero"
 ) -> PrepvarStats:

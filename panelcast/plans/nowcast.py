@@ -17,7 +17,9 @@ from ..functions.exprs import control_flag_columns, safe_div, safe_log10, status
 from ..functions.periods import period_idx, semester_of_period, year_of_period
 from ..operators import covariates as cov
 from ..operators import panel, rollup, scoring
+from ..session import write_stage
 from ..sources import bindings as B
+from .stages import stage
 
 SERIES = K.NOWCAST_SERIES
 KEY = K.NOWCAST_KEY
@@ -39,11 +41,21 @@ def disease_lookup(rolled: DataFrame) -> DataFrame:
 
 
 def init_reports(spark: SparkSession, sf_dir: str, clean_names: bool = True) -> DataFrame:
-    """P1 + P2: rolled-up reports with cleaned disease names."""
-    rolled = rolled_reports(spark, sf_dir)
+    """P1 + P2: rolled-up reports with cleaned disease names (a stage)."""
     if not clean_names:
-        return rolled
-    return rollup.recode_names(rolled, disease_lookup(rolled))
+        return rolled_reports(spark, sf_dir)
+
+    def build():
+        rolled = rolled_reports(spark, sf_dir)
+        return rollup.recode_names(rolled, disease_lookup(rolled))
+
+    return stage(spark, sf_dir, "nowcast_reports", build)
+
+
+def panel_lagged(spark: SparkSession, sf_dir: str, lags: int = 3) -> DataFrame:
+    """The lagged dense panel over the cleaned reports (a stage)."""
+    return stage(spark, sf_dir, f"nowcast_lagged{lags}",
+                 lambda: lagged_panel(init_reports(spark, sf_dir), lags=lags))
 
 
 def lagged_panel(
@@ -99,10 +111,15 @@ def with_continent(df: DataFrame, countries: DataFrame) -> DataFrame:
     return df.join(countries.select("country_iso3c", "continent"), on="country_iso3c", how="left")
 
 
+def forecast_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K0 + L8: the persistence forecast table (a stage; B7 nowcast side)."""
+    return stage(spark, sf_dir, "nowcast_forecast",
+                 lambda: scoring.persistence_forecast(baseline_augment(init_reports(spark, sf_dir))))
+
+
 def scored_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L8 + V1 over the full panel, with continent for slicing."""
-    aug = baseline_augment(init_reports(spark, sf_dir))
-    scored = scoring.score_rows(scoring.persistence_forecast(aug), KEY)
+    scored = scoring.score_rows(forecast_baseline(spark, sf_dir), KEY)
     return with_continent(scored, B.countries(spark, sf_dir)).withColumn(
         "model", F.lit("baseline")
     )
@@ -189,7 +206,7 @@ def join_ever(df: DataFrame, ever: dict[str, DataFrame]) -> DataFrame:
 def nowcast_features(spark: SparkSession, sf_dir: str, lags: int = 3) -> DataFrame:
     """K0-K9: the full nowcast feature table."""
     reports = init_reports(spark, sf_dir)
-    lagged = lagged_panel(reports, lags=lags)
+    lagged = panel_lagged(spark, sf_dir, lags)
     countries = B.countries(spark, sf_dir)
     aug = with_continent(lagged, countries)
     aug = control_flags(aug, lags)
@@ -211,7 +228,7 @@ def nowcast_features(spark: SparkSession, sf_dir: str, lags: int = 3) -> DataFra
         aug, reports.withColumn("period", period_idx()), "country_iso3c", "period",
         "first_reporting_semester",
     )
-    aug = final_transforms(aug)
+    aug = final_transforms(write_stage(aug, "nowcast_features_base"))
     bools = [f.name for f in aug.schema.fields if f.dataType.typeName() == "boolean"]
     return aug.withColumns({b: F.col(b).cast("double") for b in bools}).drop(
         "control_measures", "period"
@@ -237,12 +254,15 @@ def final_transforms(df: DataFrame) -> DataFrame:
     """K9: log features through prepvar (statistics from this frame)."""
     gdp_pc = safe_div(F.col("gdp_dollars"), F.col("human_population"))
     vets_pt = (F.col("veterinarian_count") + 1) / (F.col("taxa_population") + 1)
-    cols = {
-        "log_gdp_per_capita": cov.prepvar(df, gdp_pc, safe_log10),
-        "log_veterinarians_per_taxa": cov.prepvar(df, vets_pt, safe_log10),
-        "log_taxa_population": cov.prepvar(df, F.col("taxa_population") + 1, safe_log10),
-        "log_human_population": cov.prepvar(df, F.col("human_population"), safe_log10),
-    }
+    cols = cov.prepvar_columns(
+        df,
+        {
+            "log_gdp_per_capita": (gdp_pc, safe_log10, "zero"),
+            "log_veterinarians_per_taxa": (vets_pt, safe_log10, "zero"),
+            "log_taxa_population": (F.col("taxa_population") + 1, safe_log10, "zero"),
+            "log_human_population": (F.col("human_population"), safe_log10, "zero"),
+        },
+    )
     return df.withColumns(cols).drop(
         "gdp_dollars", "veterinarian_count", "taxa_population", "human_population"
     )

@@ -31,6 +31,8 @@ def get_spark(
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
+    if master and master.startswith("local"):
+        conf["spark.driver.memory"] = "16g"  # local mode: the driver JVM runs the tasks
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
@@ -76,5 +78,20 @@ def materialize(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def write_stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    One computation (unlike an eager RDD checkpoint without persist), a
+    columnar re-read with pushdown, and a lineage cut that survives executor
+    loss.
+    """
+    import uuid
+
+    base = checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{base}/panelcast-stages/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")

@@ -55,7 +55,13 @@ def _key(row):
 def rows_of(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     out = [tuple(norm(r[i]) for i in order) for r in rows]
-    return [cols[i] for i in order], sorted(out, key=lambda r: tuple(repr(x) for x in r))
+
+    def key(r):  # exact columns first, floats last (rounding may differ by one unit)
+        exact = tuple(repr(x) for x in r if not isinstance(x, float))
+        approx = tuple(x for x in r if isinstance(x, float))
+        return exact, approx
+
+    return [cols[i] for i in order], sorted(out, key=key)
 
 
 def close(a, b):
