@@ -189,17 +189,16 @@ def ever_features(lagged: DataFrame, countries: DataFrame) -> dict[str, DataFram
 
 
 def join_ever(df: DataFrame, ever: dict[str, DataFrame]) -> DataFrame:
-    for name, e in ever.items():
-        keys = [c for c in e.columns if not c.startswith("ever_in_")]
-        if "continent" in keys:
-            cond = [F.col("continent").eqNullSafe(e["continent"])] + [
-                df[k] == e[k] for k in keys if k != "continent"
-            ]
-            df = df.join(e, on=cond, how="left").drop(e["continent"]).drop(
-                *[e[k] for k in keys if k != "continent"]
-            )
-        else:
-            df = df.join(e, on=keys, how="left")
+    """Left-join the ever features; a null continent matches a null continent."""
+    for e in ever.values():
+        out_col = [c for c in e.columns if c.startswith("ever_in_")][0]
+        keys = [c for c in e.columns if c != out_col]
+        r = e.select(*[F.col(k).alias(f"_e_{k}") for k in keys], out_col)
+        cond = [
+            df[k].eqNullSafe(r[f"_e_{k}"]) if k == "continent" else df[k] == r[f"_e_{k}"]
+            for k in keys
+        ]
+        df = df.join(r, on=cond, how="left").drop(*[f"_e_{k}" for k in keys])
     return df
 
 

@@ -46,4 +46,4 @@ def _final(df: DataFrame) -> DataFrame:
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from . import queries_network, queries_nowcast, queries_readside  # noqa: F401
+    from . import queries_features, queries_network, queries_nowcast, queries_readside  # noqa: F401
