@@ -46,4 +46,10 @@ def _final(df: DataFrame) -> DataFrame:
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from . import queries_features, queries_network, queries_nowcast, queries_readside  # noqa: F401
+    from . import (  # noqa: F401
+        queries_features,
+        queries_misc,
+        queries_network,
+        queries_nowcast,
+        queries_readside,
+    )
