@@ -49,6 +49,7 @@ def load_all() -> None:
     from . import (  # noqa: F401
         queries_features,
         queries_misc,
+        queries_models,
         queries_network,
         queries_nowcast,
         queries_readside,
