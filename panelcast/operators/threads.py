@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from ..functions.periods import period_idx, semester_months
 from . import panel
 
-MONTH = F.expr("interval 1 month")
+def _month():
+    return F.expr("interval 1 month")
 
 
 def clean_events(events: DataFrame) -> DataFrame:
@@ -76,14 +77,16 @@ def thread_bounds(events: DataFrame, as_of: dt.date) -> DataFrame:
 def thread_cell_flags(bounds: DataFrame, grid_start: dt.date, as_of: dt.date) -> DataFrame:
     """(country, disease, month) -> outbreak_start / outbreak_subsequent_month,
     from each thread's active months clipped to [grid_start, as_of]."""
+    # a thread whose end precedes its start still has its start month
     lo = F.greatest(F.col("outbreak_start_month"), F.lit(grid_start))
-    hi = F.least(F.col("outbreak_end_month"), F.trunc(F.lit(as_of), "month"))
+    hi = F.least(F.greatest(F.col("outbreak_end_month"), F.col("outbreak_start_month")),
+                 F.trunc(F.lit(as_of), "month"))
     act = bounds.where(lo <= hi).select(
         "country_iso3c",
         "disease",
         "outbreak_start_month",
         "outbreak_end_month",
-        F.explode(F.sequence(lo, hi, MONTH)).alias("month"),
+        F.explode(F.sequence(lo, hi, _month())).alias("month"),
     )
     m, s, e = F.col("month"), F.col("outbreak_start_month"), F.col("outbreak_end_month")
     return act.groupBy("country_iso3c", "disease", "month").agg(
@@ -171,7 +174,7 @@ def thread_month_panel(
     diseases = ev.select("disease").distinct()
     grid = (
         diseases.withColumn("country_iso3c", F.explode(F.array(*[F.lit(c) for c in countries])))
-        .withColumn("month", F.explode(F.sequence(F.lit(grid_start), F.trunc(F.lit(as_of), "month"), MONTH)))
+        .withColumn("month", F.explode(F.sequence(F.lit(grid_start), F.trunc(F.lit(as_of), "month"), _month())))
     )
     reported_pairs = ev.select("country_iso3c", "disease").distinct().withColumn("_rep", F.lit(True))
     out = (

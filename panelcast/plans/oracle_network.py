@@ -52,8 +52,9 @@ SELECT DISTINCT e.outbreak_thread_id, e.country_iso3c, e.disease, t.s AS outbrea
 FROM ev e JOIN thr t USING (th)"""),
         ("act", f"""
 SELECT country_iso3c, disease, outbreak_start_month AS s, outbreak_end_month AS e,
-       CAST({months_series(f"greatest(outbreak_start_month, {GRID_START})", f"least(outbreak_end_month, {AS_OF})")} AS DATE) AS month
-FROM bounds WHERE greatest(outbreak_start_month, {GRID_START}) <= least(outbreak_end_month, {AS_OF})"""),
+       CAST({months_series(f"greatest(outbreak_start_month, {GRID_START})", f"least(greatest(outbreak_end_month, outbreak_start_month), {AS_OF})")} AS DATE) AS month
+FROM bounds
+WHERE greatest(outbreak_start_month, {GRID_START}) <= least(greatest(outbreak_end_month, outbreak_start_month), {AS_OF})"""),
         ("cells", """
 SELECT country_iso3c, disease, month, bool_or(month = s) AS st, bool_or(month > s AND month <= e) AS sub
 FROM act GROUP BY country_iso3c, disease, month"""),
