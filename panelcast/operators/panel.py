@@ -42,6 +42,8 @@ def dense_grid(
     """
     if regions is None:
         regions = region_values(facts, region_col)
+    if not regions:
+        regions = [None]  # empty facts: an empty grid (every entity set is empty too)
     seq = (
         F.sequence(F.lit(period_start), F.lit(period_end), step)
         if step is not None
@@ -50,7 +52,8 @@ def dense_grid(
     grid = (
         facts.select(*entity_cols)
         .distinct()
-        .withColumn(region_col, F.explode(F.array(*[F.lit(r) for r in regions])))
+        .withColumn(region_col, F.explode(F.array(
+            *[F.lit(r).cast(facts.schema[region_col].dataType) for r in regions])))
         .withColumn(period_col, F.explode(seq))
     )
     key = entity_cols + [region_col, period_col]

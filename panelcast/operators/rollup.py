@@ -42,9 +42,10 @@ def rollup_reports(
     * control measures: sorted distinct union of the non-null "; " lists
       ("na" counts as null), "none" when empty.
 
-    One shuffle (the groupBy); rows are exploded per control measure before
-    it so the set aggregate is bounded by the measure vocabulary, and cases
-    are only counted on the first exploded row.
+    One shuffle (the groupBy), map-side combined.  Control measures travel
+    as the set of distinct raw "; " lists of the cell (bounded by the distinct
+    list strings, not by row volume), and are split, de-duplicated and sorted
+    after the aggregation, so no exploded rows are shuffled.
     """
     taxa = normalise_taxa("taxa", taxa_suffixes, taxa_merge)
     df = (
@@ -58,21 +59,16 @@ def rollup_reports(
         .where(F.col("taxa").isin(list(taxa_list)) & ~F.col("taxa").isin(list(taxa_drop)))
         .where(F.col("country_iso3c").isNotNull())
     )
-    exploded = df.select(
-        *key,
-        parse_int_text("cases").alias("_cases"),
-        "disease_status",
-        F.posexplode_outer(F.split("control_measures", separator)).alias("_pos", "_measure"),
-    )
-    first = F.coalesce(F.col("_pos"), F.lit(0)) == 0
     st = F.col("disease_status")
-    agg = exploded.groupBy(*key).agg(
-        F.sum(F.when(first, F.col("_cases"))).alias("cases"),
+    agg = df.groupBy(*key).agg(
+        F.sum(parse_int_text("cases")).alias("cases"),
         F.bool_or(st == K.STATUS_PRESENT).alias("_p"),
         F.bool_or(st == K.STATUS_ABSENT).alias("_a"),
         F.bool_or(st == K.STATUS_UNREPORTED).alias("_u"),
-        F.array_sort(F.collect_set(F.nullif(F.col("_measure"), F.lit("")))).alias("_cm"),
+        F.collect_set("control_measures").alias("_lists"),
     )
+    measures = F.array_sort(F.array_distinct(F.filter(
+        F.flatten(F.transform("_lists", lambda x: F.split(x, separator))), lambda m: m != "")))
     return agg.select(
         *key,
         F.col("cases").cast("long").alias("cases"),
@@ -80,8 +76,8 @@ def rollup_reports(
         .when(F.col("_a"), K.STATUS_ABSENT)
         .when(F.col("_u"), K.STATUS_UNREPORTED)
         .alias("disease_status"),
-        F.when(F.size("_cm") == 0, F.lit("none"))
-        .otherwise(F.array_join("_cm", separator))
+        F.when(F.size(measures) == 0, F.lit("none"))
+        .otherwise(F.array_join(measures, separator))
         .alias("control_measures"),
     )
 

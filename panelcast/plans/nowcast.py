@@ -46,7 +46,9 @@ def init_reports(spark: SparkSession, sf_dir: str, clean_names: bool = True) ->
         return rolled_reports(spark, sf_dir)
 
     def build():
-        rolled = rolled_reports(spark, sf_dir)
+        # the roll-up feeds the lookup (and its percentile) and the recode:
+        # written once so it is computed once
+        rolled = write_stage(rolled_reports(spark, sf_dir), "nowcast_rolled")
         return rollup.recode_names(rolled, disease_lookup(rolled))
 
     return stage(spark, sf_dir, "nowcast_reports", build)
