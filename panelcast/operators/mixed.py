@@ -208,3 +208,30 @@ def fit_mixed_logit(
         ll_lap += -0.5 * (u @ Dinv @ u) - 0.5 * float(np.sum(np.log(s2))) - 0.5 * logdet_a
     return MixedLogitFit(group_col, list(predictors), b0, slopes, s2, ll_cond, ll_lap, n_obs, it,
                          converged, history)
+
+
+# ---- persistence (A7) --------------------------------------------------------------------
+def save_fit(fit: MixedLogitFit, spark: SparkSession, path: str) -> None:
+    """Coefficients, variances and fit metadata as Parquet tables (any Hadoop URI)."""
+    fit.coefficients(spark).write.mode("overwrite").parquet(f"{path}/coefficients")
+    fit.variance_table(spark).write.mode("overwrite").parquet(f"{path}/variances")
+    meta = [(fit.group_col, ",".join(fit.predictors), float(fit.loglik_conditional),
+             float(fit.loglik_laplace), float(fit.n_obs), int(fit.iterations), bool(fit.converged))]
+    spark.createDataFrame(meta, "group_col string, predictors string, ll_cond double, ll_lap double, "
+                                "n_obs double, iterations int, converged boolean") \
+        .write.mode("overwrite").parquet(f"{path}/meta")
+
+
+def load_fit(spark: SparkSession, path: str) -> MixedLogitFit:
+    m = spark.read.parquet(f"{path}/meta").first()
+    preds = m["predictors"].split(",") if m["predictors"] else []
+    coefs = spark.read.parquet(f"{path}/coefficients").collect()
+    b0 = [r["coef"] for r in coefs if r["variable"] == "(Intercept)"][0]
+    slopes: dict = {}
+    for r in coefs:
+        if r["variable"] == "(Intercept)":
+            continue
+        slopes.setdefault(r[m["group_col"]], np.zeros(len(preds)))[preds.index(r["variable"])] = r["coef"]
+    var = {r["variable"]: r["variance"] for r in spark.read.parquet(f"{path}/variances").collect()}
+    return MixedLogitFit(m["group_col"], preds, float(b0), slopes, np.array([var[p] for p in preds]),
+                         m["ll_cond"], m["ll_lap"], m["n_obs"], m["iterations"], m["converged"])

@@ -247,3 +247,26 @@ def permutation_importance(
     for p in parts[1:]:
         res = res.unionByName(p)
     return res
+
+
+# ---- persistence (A7) --------------------------------------------------------------------
+def save_tuned(model: TunedModel, path: str) -> None:
+    """Save the fitted pipeline (any Hadoop URI) plus its chosen parameters."""
+    import json
+
+    from pyspark.sql import SparkSession
+
+    model.model.write().overwrite().save(f"{path}/pipeline")
+    spark = SparkSession.getActiveSession()
+    spark.createDataFrame([(json.dumps({k: str(v) for k, v in model.params.items()}),)], "params string") \
+        .write.mode("overwrite").json(f"{path}/params")
+
+
+def load_tuned(path: str) -> TunedModel:
+    import json
+
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.getActiveSession()
+    params = json.loads(spark.read.json(f"{path}/params").first()["params"])
+    return TunedModel(PipelineModel.load(f"{path}/pipeline"), params, [])

@@ -292,3 +292,74 @@ NOWCAST_FEATURE_COLUMNS = (
        "log_taxa_population", "log_human_population"]
 )
 _nowcast_features_sql()
+
+
+# ---- K14 / C15 ---------------------------------------------------------------------------
+RARE_CONDITION_MIN = 1000  # fixed value: conditions seen fewer times are lumped
+
+
+@register(
+    "gam_features",
+    O.with_(O.lag_ctes(3) + [("gcond", """
+SELECT *, disease || '-' || taxa AS cond0, count(*) OVER (PARTITION BY disease || '-' || taxa) AS cond_n
+FROM lagged""")], f"""SELECT {KEY_BIG},
+       CASE WHEN cond_n < {RARE_CONDITION_MIN} THEN 'rare_condition' ELSE cond0 END AS condition,
+       [CAST(cases_lag1 AS BIGINT), CAST(cases_lag2 AS BIGINT), CAST(cases_lag3 AS BIGINT)] AS cases_lagged,
+       [CAST(1 AS BIGINT), 2, 3] AS lags
+FROM gcond"""),
+)
+def gam_features(spark, sf_dir):
+    """K14 + C15: lag vector, lag index and the disease-taxa condition with
+    conditions seen fewer than 1000 times lumped into "rare_condition"."""
+    from ..operators.rollup import lump_rare
+
+    lag = N.panel_lagged(spark, sf_dir, 3).withColumn(
+        "condition", F.concat_ws("-", "disease", "taxa"))
+    lag = lump_rare(lag, "condition", RARE_CONDITION_MIN, "rare_condition")
+    return lag.select(
+        *K.NOWCAST_KEY, "condition",
+        F.array(*[F.col(f"cases_lag{i}") for i in range(1, 4)]).alias("cases_lagged"),
+        F.sequence(F.lit(1).cast("long"), F.lit(3).cast("long")).alias("lags"),
+    )
+
+
+# ---- E4 / E8 / E9 -------------------------------------------------------------------------
+@register(
+    "disease_count_summary",
+    O.with_(O.rollup_ctes() + [("dc", "SELECT disease, count(*) AS n FROM rolled GROUP BY disease")], """
+SELECT CAST(min(n) AS BIGINT) AS n_min, round(quantile_cont(n, 0.25), 4) AS n_q1,
+       round(quantile_cont(n, 0.5), 4) AS n_median, round(avg(n), 4) AS n_mean,
+       round(quantile_cont(n, 0.75), 4) AS n_q3, CAST(max(n) AS BIGINT) AS n_max,
+       round(quantile_cont(n, 0.15), 4) AS rare_threshold, count(*) AS n_diseases
+FROM dc"""),
+)
+def disease_count_summary(spark, sf_dir):
+    """E4 + E8 + E9: five-number summary of cells per disease and the rare threshold."""
+    dc = N.rolled_reports(spark, sf_dir).groupBy("disease").agg(F.count(F.lit(1)).alias("n"))
+    n = F.col("n").cast("double")
+    return dc.agg(
+        F.min("n").alias("n_min"), F.percentile(n, 0.25).alias("n_q1"),
+        F.percentile(n, 0.5).alias("n_median"), F.avg(n).alias("n_mean"),
+        F.percentile(n, 0.75).alias("n_q3"), F.max("n").alias("n_max"),
+        F.percentile(n, 0.15).alias("rare_threshold"), F.count(F.lit(1)).alias("n_diseases"),
+    )
+
+
+HIST_BINS = 10
+
+
+@register(
+    "disease_count_histogram",
+    O.with_(O.rollup_ctes() + [("dc", "SELECT disease, count(*) AS n FROM rolled GROUP BY disease")], f"""
+SELECT CAST(CASE WHEN n >= mx THEN {HIST_BINS} ELSE floor((n - mn) / ((mx - mn) / {HIST_BINS})) + 1 END AS BIGINT) AS bucket,
+       count(*) AS n_diseases
+FROM dc, (SELECT min(n) AS mn, max(n) AS mx FROM dc) b GROUP BY ALL"""),
+)
+def disease_count_histogram(spark, sf_dir):
+    """Histogram of cells per disease (equal-width buckets)."""
+    dc = N.rolled_reports(spark, sf_dir).groupBy("disease").agg(F.count(F.lit(1)).alias("n"))
+    rng = dc.agg(F.struct(F.min("n").alias("mn"), F.max("n").alias("mx"))).scalar()
+    bucket = F.when(F.col("n") >= rng.getField("mx"), F.lit(HIST_BINS)).otherwise(
+        F.width_bucket(F.col("n").cast("double"), rng.getField("mn").cast("double"),
+                       rng.getField("mx").cast("double"), F.lit(HIST_BINS)))
+    return dc.groupBy(bucket.cast("long").alias("bucket")).agg(F.count(F.lit(1)).alias("n_diseases"))
