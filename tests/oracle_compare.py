@@ -114,10 +114,9 @@ if __name__ == "__main__":
     spark = get_spark("local[8]", shuffle_partitions=8)
     from __spark_entry__ import queries
 
-    con = duck(sf)
     for n in names or list(queries()):
         try:
-            r = compare(spark, n, sf, con)
+            r = compare(spark, n, sf, duck(sf))  # fresh connection per query
         except Exception as e:  # report and continue
             r = {"name": n, "ok": False, "msg": f"{type(e).__name__}: {str(e)[:600]}"}
         print(r["name"], r.get("ok"), r.get("rows"), r.get("spark_s"), r.get("msg", "")[:2000], flush=True)
