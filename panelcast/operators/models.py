@@ -110,7 +110,7 @@ def _tune(pipeline_for, est, train, label, evaluator, grid_spec, folds, larger,
 
 def fit_status_model(
     train: DataFrame, key: list[str], folds: int = 3, max_iters=(10,), depths=(3, 5),
-    parallelism: int = 2, seed: int = 42,
+    parallelism: int = 4, seed: int = 42,
 ) -> TunedModel:
     """L2 + L4 + L5 + L6: boosted-tree status classifier, CV-tuned with one-SE."""
     data = fold_column(recipe_columns(train.where(F.col("disease_status").isNotNull())), key, folds)
@@ -137,7 +137,7 @@ def cases_training_rows(df: DataFrame) -> DataFrame:
 
 def fit_cases_model(
     train: DataFrame, key: list[str], folds: int = 3, max_iters=(10,), depths=(3, 5),
-    parallelism: int = 2, seed: int = 42,
+    parallelism: int = 4, seed: int = 42,
 ) -> TunedModel:
     """L3 + L4-L6: boosted-tree regression of log10 cases (0 -> 0.1)."""
     rows = cases_training_rows(train)
@@ -158,20 +158,34 @@ def fit_cases_model(
                  parallelism)
 
 
+_GENERATED = ["features_all", "features", "rawPrediction", "probability", "prediction"]
+
+
+def _drop_generated(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in df.columns if c in _GENERATED or c.endswith(("__idx", "__ohe"))])
+
+
 def hurdle_predict(status: TunedModel, cases: TunedModel, df: DataFrame, key: list[str]) -> DataFrame:
-    """Status class, then cases = bround(10^pred) where the status is 1."""
-    prepared = recipe_columns(df).withColumn("_rowkey", F.struct(*key))
-    s = status.model.transform(prepared).select(
-        "_rowkey", F.col("prediction").cast("int").alias("disease_status_predicted"),
-        vector_to_array("probability")[1].alias("status_probability"))
-    c = cases.model.transform(prepared).select(
-        "_rowkey", F.col("prediction").alias("_log_cases"))
-    out = df.withColumn("_rowkey", F.struct(*key)).join(s, on="_rowkey").join(c, on="_rowkey")
+    """Status class, then cases = bround(10^pred) where the status is 1.
+
+    Both fitted pipelines are applied in sequence to the same rows (the
+    first model's working columns dropped in between), so there is no join.
+    """
+    # columns the recipe transforms or drops are carried as copies and restored
+    kept = [c for c in df.columns if c in LOG_LAGS or c.endswith("_unreported")]
+    prepared = recipe_columns(df.withColumns({f"__keep{i}": F.col(c) for i, c in enumerate(kept)}))
+    s = status.model.transform(prepared).withColumns({
+        "disease_status_predicted": F.col("prediction").cast("int"),
+        "status_probability": vector_to_array("probability")[1],
+    })
+    c = cases.model.transform(_drop_generated(s)).withColumn("_log_cases", F.col("prediction"))
+    c = _drop_generated(c).withColumns({k: F.col(f"__keep{i}") for i, k in enumerate(kept)})
+    out = c.select(*df.columns, "disease_status_predicted", "status_probability", "_log_cases")
     return out.withColumn(
         "cases_predicted",
         F.when(F.col("disease_status_predicted") == 0, F.lit(0.0))
         .otherwise(F.bround(F.pow(F.lit(10.0), F.col("_log_cases")), 0)),
-    ).drop("_rowkey", "_log_cases")
+    ).drop("_log_cases")
 
 
 def feature_importance(model: TunedModel, top: int = 12) -> list[tuple[str, float]]:
@@ -217,14 +231,16 @@ def partial_dependence(
 
 def permutation_importance(
     model: TunedModel, df: DataFrame, variables: list[str], key: list[str], label: str,
-    buckets: int = 64, seed: int = 5,
+    rows_per_bucket: int = 100_000, seed: int = 5,
 ) -> DataFrame:
     """Drop in accuracy when one column is permuted.
 
     The permutation pairs rows inside hash buckets (row number by one hash
-    order joined to row number by another), so no window spans the data.
+    order joined to row number by another); the bucket count grows with the
+    data (about ``rows_per_bucket`` rows each), so no window spans the data.
     """
     base = recipe_columns(df.where(F.col(label).isNotNull()))
+    buckets = max(1, -(-base.count() // rows_per_bucket))
     k = F.xxhash64(*[F.col(c) for c in key], F.lit(seed))
     base = base.withColumn("_b", F.pmod(k, F.lit(buckets))).withColumn("_h1", k).withColumn(
         "_h2", F.xxhash64(*[F.col(c) for c in key], F.lit(seed + 1)))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_REGIONS = 100_000  # size bound for the region dimension of a dense grid
+MAX_REGIONS = 10_000  # size bound for the region dimension of a dense grid (plan literals)
 
 
 def region_values(df: DataFrame, region_col: str, max_regions: int = MAX_REGIONS) -> list:
