@@ -154,10 +154,12 @@ def accuracy_by_slice(
     acc = F.col("n_correct") / F.col("n")
     new_acc = safe_div(F.col("n_new_correct"), F.col("n_new"))
     pct = lambda c: F.concat(F.bround(c * 100, 0).cast("int").cast("string"), F.lit("%"))
+    rank = F.dense_rank().over(Window.partitionBy("slice", model_col).orderBy(F.desc(acc)))
     return agg.select(
         "slice",
         "slice_value",
         model_col,
+        rank.alias("accuracy_rank"),
         F.col("n").cast("long").alias("n"),
         F.col("n_new").cast("long").alias("n_new"),
         acc.cast("double").alias("accuracy"),

@@ -319,7 +319,9 @@ def class_metrics(spark, sf_dir):
 
 
 ACC_SQL = """
-SELECT slice, slice_value, model, n, n_new, round(accuracy, 4) AS accuracy,
+SELECT slice, slice_value, model,
+       dense_rank() OVER (PARTITION BY slice, model ORDER BY accuracy DESC) AS accuracy_rank,
+       n, n_new, round(accuracy, 4) AS accuracy,
        round(new_accuracy, 4) AS new_accuracy,
        CAST(CAST(round_even(accuracy * 100, 0) AS INTEGER) AS VARCHAR) || '%' AS accuracy_pct,
        CAST(CAST(round_even(accuracy * 100, 0) AS INTEGER) AS VARCHAR) || '% / ' ||
@@ -385,3 +387,29 @@ def direction_shares(spark, sf_dir):
     g = s.groupBy("model", F.col("cases_dirchange_actual").alias("direction")).agg(
         F.count(F.lit(1)).alias("n"))
     return g.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy("model")))
+
+
+# ---- H2 + P2 (network family) ------------------------------------------------------------
+@register(
+    "name_lookup_union",
+    O.with_(O.lookup_ctes(), f"""SELECT DISTINCT disease, disease_recode FROM (
+  SELECT disease, disease_recode FROM lookup
+  UNION ALL
+  SELECT disease, CASE WHEN rn = 1 THEN clean ELSE clean || '_' || CAST(rn AS VARCHAR) END FROM (
+    SELECT disease, clean, row_number() OVER (PARTITION BY clean ORDER BY n DESC, disease) AS rn FROM (
+      SELECT disease, {O.clean_sql('disease')} AS clean, n FROM (
+        SELECT o.o_orderpriority || '/' || c.c_mktsegment AS disease, count(*) AS n
+        FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY ALL) a) b) c) u"""),
+)
+def name_lookup_union(spark, sf_dir):
+    """H2 + P2: the nowcast and network name lookups united and de-duplicated
+    (the recode used when the model family is not known)."""
+    from ..sources.tables import read_table
+
+    now = N.disease_lookup(N.rolled_reports(spark, sf_dir)).select("disease", "disease_recode")
+    o = read_table(spark, sf_dir, "orders", "o_custkey", "o_orderpriority")
+    c = read_table(spark, sf_dir, "customer", "c_custkey", "c_mktsegment")
+    net_names = o.join(c, o.o_custkey == c.c_custkey).select(
+        F.concat_ws("/", "o_orderpriority", "c_mktsegment").alias("disease"))
+    net = rollup.clean_name_lookup(net_names, "disease").select("disease", "disease_recode")
+    return now.unionByName(net).distinct()
