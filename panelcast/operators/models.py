@@ -97,14 +97,21 @@ def _one_se(cv_model, grid, larger_is_better: bool, complexity) -> tuple[int, li
 
 
 def _tune(pipeline_for, est, train, label, evaluator, grid_spec, folds, larger, complexity, parallelism):
+    """Fit the label-free feature stages once, cross-validate the estimator on
+    the (materialised) design, pick with one-SE, refit on all training rows."""
+    from ..session import write_stage
+
     grid = grid_spec(ParamGridBuilder(), est).build()
+    features = Pipeline(stages=pipeline_for(est).getStages()[:-1]).fit(train)
+    design = write_stage(features.transform(train).select("features", label, "fold"), "cv_design")
     cv = CrossValidator(
-        estimator=pipeline_for(est), estimatorParamMaps=grid, evaluator=evaluator,
+        estimator=est, estimatorParamMaps=grid, evaluator=evaluator,
         foldCol="fold", parallelism=parallelism, seed=7,
     )
-    cvm = cv.fit(train)
+    cvm = cv.fit(design)
     chosen, table = _one_se(cvm, grid, larger, complexity)
-    final = pipeline_for(est.copy(grid[chosen])).fit(train)  # L6: refit on all training rows
+    final_est = est.copy(grid[chosen]).fit(design)  # L6: refit on all training rows
+    final = PipelineModel(stages=list(features.stages) + [final_est])
     return TunedModel(final, {p.name: v for p, v in grid[chosen].items()}, table)
 
 
