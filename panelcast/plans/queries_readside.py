@@ -83,13 +83,17 @@ VO_SQL = f"""
            outbreak_ongoing, predicted_outbreak_probability,
            {', '.join(f'CAST({v} AS DOUBLE) AS {v}' for v in LINK)} FROM npred_o
   ) UNPIVOT INCLUDE NULLS (x FOR variable IN ({', '.join(LINK)}))),
+vo_g AS (
+  SELECT country_iso3c, disease, month, variable,
+         CASE WHEN count(x) = count(*) THEN sum(x) END AS sum_x
+  FROM vo_long GROUP BY country_iso3c, disease, month, variable),
 vo0 AS (
-  SELECT l.*, c.coef, s.mean, s.sd,
-         CASE WHEN count(l.x) OVER w = count(*) OVER w THEN sum(l.x) OVER w END AS sum_x
+  SELECT l.*, c.coef, s.mean, s.sd, g.sum_x
   FROM vo_long l
+  JOIN vo_g g ON l.country_iso3c = g.country_iso3c AND l.disease = g.disease AND l.month = g.month
+    AND l.variable = g.variable
   LEFT JOIN coefs c ON l.disease = c.disease AND l.variable = c.variable
-  LEFT JOIN scaling s ON l.variable = s.key
-  WINDOW w AS (PARTITION BY l.country_iso3c, l.disease, l.month, l.variable)),
+  LEFT JOIN scaling s ON l.variable = s.key),
 vo1 AS (
   SELECT *, {_sd('(sum_x - mean)', 'sd')} AS sum_x_standardized,
          {_sd('(sum_x - mean)', 'sd')} * coef AS overall_variable_importance FROM vo0),
