@@ -105,8 +105,25 @@ def network_covariates(spark: SparkSession, sf_dir: str, monthly: DataFrame) ->
 
 
 def link_edges(spark: SparkSession, sf_dir: str):
-    static = links.static_edges(B.shared_borders(spark, sf_dir), B.wildlife_migration(spark, sf_dir))
-    yearly = links.yearly_edges(B.value_trade(spark, sf_dir), B.livestock_trade(spark, sf_dir))
+    """Static and yearly link edges.
+
+    In the bindings, borders / migration and trade / livestock each come
+    from one aggregate, so each edge table is built from its single source
+    (``links.static_edges`` / ``links.yearly_edges`` full-join separate
+    tables when they come from different sources).
+    """
+    st = B.static_links(spark, sf_dir)
+    static = st.select(
+        "country_origin", "country_destination",
+        (F.upper("shared_border") == "TRUE").cast("double").alias("shared_borders_from_outbreaks"),
+        F.col("n_migratory_wildlife").cast("double").alias("n_migratory_wildlife_from_outbreaks"),
+    )
+    yl = B.yearly_links(spark, sf_dir)
+    yearly = yl.select(
+        "country_origin", "country_destination", "year",
+        F.col("ots_trade_dollars").cast("double").alias("ots_trade_dollars_from_outbreaks"),
+        F.col("fao_livestock_heads").cast("double").alias("fao_livestock_heads_from_outbreaks"),
+    )
     return static, yearly
 
 
