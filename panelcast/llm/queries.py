@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table_path
-from . import exact_dedup, substring_dedup
+from . import decontamination, exact_dedup, mixing, ngram_join, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -80,3 +80,108 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         removed.alias("n_removed"),
         F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"),
     )
+
+
+@query(
+    "op8_ngram_jaccard_join",
+    f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({LOWER_SQL}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+grams AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 3), ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+  FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS MATERIALIZED (
+  SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= 85 * (x.n + y.n - common)),
+reach(a, b) AS (
+  SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, least(d.doc_id, min(reach.b)) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN reach ON reach.a = d.doc_id GROUP BY d.doc_id
+""",
+)
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(read(spark, sf_dir, "documents"))
+
+
+@query(
+    "op2_mix_sources",
+    f"""
+WITH d AS (SELECT doc_id, source, len({WORDS_SQL})::BIGINT AS size, md5(doc_id::VARCHAR) AS key FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+r AS (
+  SELECT source, source_size, 2 * source_size AS cap,
+    CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 3.0 WHEN 1 THEN 1.0 ELSE 2.0 END::DOUBLE AS w
+  FROM s),
+o AS (
+  SELECT cap / w AS ratio, (sum(source_size) OVER ())::DOUBLE * 1.5::DOUBLE AS share,
+    coalesce(sum(cap) OVER before, 0)::DOUBLE AS used, sum(w) OVER () - coalesce(sum(w) OVER before, 0) AS open_weight
+  FROM r WINDOW before AS (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+l AS (SELECT arg_min((share - used) / open_weight, ratio) AS level FROM o WHERE ratio >= (share - used) / open_weight),
+t AS (
+  SELECT source, source_size, CASE WHEN cap <= w * level THEN cap::DOUBLE ELSE w * level END AS target FROM r, l),
+p AS (
+  SELECT doc_id, size, source_size, target, floor(target)::BIGINT AS budget,
+    coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id, size
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+  (CASE WHEN source_size = 0 THEN 0 ELSE (budget // source_size) * size
+    + greatest(0, least(size, budget % source_size - before)) END)::BIGINT AS taken
+FROM p
+""",
+)
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixing.mix_sources(read(spark, sf_dir, "documents"))
+    return mix.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def _template_sql(table: str, key: str) -> str:
+    """Token rows (key, raw tokens, template tokens) as DuckDB computes them."""
+    units = ", ".join(f"'{u}'" for u in decontamination.UNITS)
+    name, number, unit = (f"chr({c})" for c in (2, 3, 4))
+    return f"""
+  SELECT {key}, list_transform(k, lambda x: ltrim(x, {name})) AS raw,
+    list_transform(typed, lambda x, i: CASE WHEN list_contains([{units}], x) AND typed[i - 1] = {number} THEN {unit} ELSE x END) AS template
+  FROM (
+    SELECT {key}, k, list_transform(k, lambda x: CASE WHEN x[1] = {name} THEN {name}
+      WHEN regexp_full_match(x, '\\p{{N}}+') THEN {number} ELSE x END) AS typed
+    FROM (
+      SELECT {key}, string_split(trim(regexp_replace(lower(regexp_replace(regexp_replace(coalesce(text, ''), '[\\x02-\\x04]', ' ', 'g'),
+        '([\\p{{Ll}},] )(\\p{{Lu}}\\p{{Ll}})', '\\1' || {name} || '\\2', 'g')), '[^\\p{{L}}\\p{{M}}\\p{{N}}\\x02]+', ' ', 'g')), ' ') AS k
+      FROM {table} WHERE {key} IS NOT NULL))"""
+
+
+_LEAK_SQL = f"""
+WITH b AS ({_template_sql("benchmark", "item_id")}),
+d AS ({_template_sql("documents", "doc_id")}),
+bw AS MATERIALIZED (
+  SELECT * FROM (
+    SELECT item_id, j, list_slice(template, j, j + 7) AS tv, list_slice(raw, j, j + 7) AS bv, greatest(len(template) - 7, 1) AS item_windows
+    FROM (SELECT *, unnest(range(1, greatest(len(template) - 7, 1) + 1)) AS j FROM b WHERE template[1] <> ''))
+  WHERE len(list_filter(tv, lambda x: x NOT IN (chr(2), chr(3), chr(4)))) > 0),
+dw AS (
+  SELECT doc_id, i, list_slice(template, i, i + 7) AS tv, list_slice(raw, i, i + 7) AS dv
+  FROM (SELECT *, unnest(range(1, greatest(len(template) - 7, 1) + 1)) AS i FROM d WHERE template[1] <> '')),
+m AS MATERIALIZED (
+  SELECT doc_id, item_id, item_windows, j, i - j AS shift, dv = bv AS same, dv, bv, tv FROM dw JOIN bw USING (tv)),
+slots AS (
+  SELECT DISTINCT doc_id, item_id, shift, tv[k] AS kind, dv[k] AS dv, bv[k] AS bv
+  FROM (SELECT *, unnest(range(1, len(tv) + 1)) AS k FROM m) WHERE tv[k] IN (chr(2), chr(3))),
+torn AS (
+  SELECT doc_id, item_id, shift FROM slots GROUP BY doc_id, item_id, shift, kind, bv HAVING count(*) > 1
+  UNION SELECT doc_id, item_id, shift FROM slots GROUP BY doc_id, item_id, shift, kind, dv HAVING count(*) > 1),
+held AS (
+  SELECT m.doc_id, m.item_id, item_windows, j, bool_or(same) AS same
+  FROM m LEFT JOIN torn t ON m.doc_id = t.doc_id AND m.item_id = t.item_id AND m.shift = t.shift
+  WHERE t.doc_id IS NULL OR same GROUP BY m.doc_id, m.item_id, item_windows, j)
+SELECT doc_id, item_id, item_windows::BIGINT AS item_windows, count(*) AS matched,
+  count(*) FILTER (WHERE same) AS exact, count(*) / item_windows AS coverage
+FROM held GROUP BY doc_id, item_id, item_windows HAVING count(*) / item_windows >= 0.5
+"""
+
+
+@query("op4_benchmark_decontamination", _LEAK_SQL)
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
