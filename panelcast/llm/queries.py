@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table_path
-from . import decontamination, exact_dedup, mixing, ngram_join, substring_dedup
+from . import decontamination, exact_dedup, language_id, mixing, ngram_join, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -185,3 +185,8 @@ FROM held GROUP BY doc_id, item_id, item_windows HAVING count(*) / item_windows
 @query("op4_benchmark_decontamination", _LEAK_SQL)
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query("op6_language_id")
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.predict_language(read(spark, sf_dir, "documents"))
