@@ -12,7 +12,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table_path
-from . import decontamination, exact_dedup, language_id, mixing, ngram_join, substring_dedup
+from . import (
+    decontamination,
+    exact_dedup,
+    html_extraction,
+    language_id,
+    mixing,
+    ngram_join,
+    quality_fm,
+    substring_dedup,
+    toxicity,
+    warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -190,3 +201,36 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 @query("op6_language_id")
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict_language(read(spark, sf_dir, "documents"))
+
+
+@query("op5_toxicity")
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query("op10_quality_fm")
+def op10_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_fm.score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query("op7_html_blocks")
+def op7_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract_main_text(read(spark, sf_dir, "pages"))
+
+
+@query(
+    "op1_warc_dictionary",
+    """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS payload_bytes FROM pages),
+g AS (SELECT html, max(page_id) AS original FROM p WHERE payload_bytes >= 1000 GROUP BY html)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, sha1(p.html) AS payload_digest,
+  CASE WHEN original <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN original <> page_id THEN original END AS refers_to
+FROM p LEFT JOIN g ON p.html = g.html AND payload_bytes >= 1000
+""",
+)
+def op1_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = warc.archive_path(spark)
+    warc.write_archives(read(spark, sf_dir, "pages"), path)
+    return warc.read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

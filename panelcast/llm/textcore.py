@@ -14,8 +14,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SEGMENT = 4 << 20  # bytes hashed at once
-CHUNK = 8 << 20  # bytes of text handed out at once (or one longer text)
+SEGMENT = 1 << 20  # bytes hashed at once
+CHUNK = 2 << 20  # bytes of text handed out at once (or one longer text)
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -58,9 +58,9 @@ def _table(name: str, base: int, n: int) -> np.ndarray:
     return _POW[name]
 
 
-def _word_bounds(seg: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _word_bounds(seg: np.ndarray, cuts: np.ndarray, space: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and end (exclusive) of every word; ``cuts`` are text starts."""
-    ink = ~_SPACE[seg]
+    ink = ~space[seg]
     start = ink.copy()
     start[1:] &= ~ink[:-1]
     cuts = cuts[cuts < len(seg)]
@@ -110,6 +110,21 @@ class Words:
     first: int
     hashes: np.ndarray
     offsets: np.ndarray
+    starts: np.ndarray  # byte positions in ``raw``
+    ends: np.ndarray
+    raw: np.ndarray
+    lower: bool
+
+    def leading_bytes(self) -> np.ndarray:
+        """First eight bytes of each word as a little-endian number, zeros after its end."""
+        if not len(self.starts):
+            return np.zeros(0, dtype=np.uint64)
+        lo = int(self.starts[0])
+        seg = self.raw[lo : int(self.ends[-1])]
+        padded = np.zeros(len(seg) + 8, dtype=np.uint8)
+        padded[: len(seg)] = _LOWER[seg] if self.lower else seg
+        lanes = np.ndarray(shape=(len(seg) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+        return lanes[self.starts - lo] & _MASK[np.minimum(self.ends - self.starts, 8)]
 
 
 def text_buffers(column) -> tuple[np.ndarray, np.ndarray]:
@@ -123,8 +138,11 @@ def text_buffers(column) -> tuple[np.ndarray, np.ndarray]:
     return raw, offsets
 
 
-def words(column, lower: bool = False, chunk: int = CHUNK) -> Iterator[Words]:
-    """Hashes of all words of all texts, whole texts in bounded runs of rows."""
+def words(column, lower: bool = False, chunk: int = CHUNK, space: np.ndarray = _SPACE) -> Iterator[Words]:
+    """Hashes of all words of all texts, whole texts in bounded runs of rows.
+
+    ``space`` marks the bytes that separate words; ASCII white space must be in it.
+    """
     if not len(column):
         return
     raw, offsets = text_buffers(column)
@@ -134,16 +152,18 @@ def words(column, lower: bool = False, chunk: int = CHUNK) -> Iterator[Words]:
         stop = max(stop, row + 1)
         lo, hi = int(offsets[row]), int(offsets[stop])
         bounds = offsets[row : stop + 1]
-        parts, places = [], []
+        parts, places, stops = [], [], []
         for a, b in _segments(raw, lo, hi):
             seg = _LOWER[raw[a:b]] if lower else raw[a:b]
             cuts = bounds[(bounds >= a) & (bounds < b)] - a
-            s, e = _word_bounds(seg, cuts)
+            s, e = _word_bounds(seg, cuts, space)
             parts.append(_hash_words(seg, s, e))
             places.append(s + a)
+            stops.append(e + a)
         hashes = np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint64)
         at = np.concatenate(places) if places else np.zeros(0, dtype=np.int64)
-        yield Words(row, hashes, np.searchsorted(at, bounds))
+        ends = np.concatenate(stops) if stops else np.zeros(0, dtype=np.int64)
+        yield Words(row, hashes, np.searchsorted(at, bounds), at, ends, raw, lower)
         row = stop
 
 
@@ -159,3 +179,11 @@ def rolling(hashes: np.ndarray, width: int) -> np.ndarray:
     total = np.zeros(len(hashes) + 1, dtype=np.uint64)
     np.cumsum(hashes * _table("pow", _BASE, len(hashes))[: len(hashes)], out=total[1:])
     return mix((total[width:] - total[:n]) * _table("inv", _BASE_INV, n)[:n])
+
+
+def hash_of(word: str) -> int:
+    """Hash of one word, as ``words`` computes it."""
+    part = next(words(pa.array([word], pa.large_string())))
+    if len(part.hashes) != 1:
+        raise ValueError(f"not a single word: {word!r}")
+    return int(part.hashes[0])
