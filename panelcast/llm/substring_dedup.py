@@ -21,15 +21,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import write_stage
 from . import textcore
 
 WIDTH = 20
-FLUSH = 2 << 20  # windows that a task holds before it sends its blocks
+FLUSH = 1 << 19  # windows that a task holds before it sends its blocks
 RANGE_WINDOWS = 4 << 20  # windows meant for one hash range
 _NULL_ID = np.iinfo(np.int64).max  # a null id sorts after all others
 
-_BLOCK = "bucket int, n int, hashes binary, doc_ids binary, per_doc binary, steps binary"
+# a row is a block of windows of one hash range, or (hashes null) a document's repeats found within a task
+_BLOCK = "bucket int, n int, hashes binary, doc_ids binary, per_doc binary, steps binary, doc_id long, starts binary"
 _REPEAT = "doc_id long, starts binary"
 
 
@@ -77,8 +77,9 @@ def _blocks(width: int, bits: int):
             later = np.flatnonzero((doc != doc[origin]) | (starts != starts[origin]))
             if len(later):
                 repeats = _repeat_batch(doc[later], starts[later])
-                empty = [pa.nulls(len(repeats), t) for t in (pa.int32(), pa.int32(), *[pa.binary()] * 4)]
-                yield pa.RecordBatch.from_arrays([*empty, *repeats.columns], schema=schema)
+                empty = [pa.nulls(len(repeats), t) for t in (pa.int32(), *[pa.binary()] * 4)]
+                spread = pa.array((repeats.column(0).to_numpy() & ((1 << bits) - 1)).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([spread, *empty, *repeats.columns], schema=schema)
         keep = np.sort(keep)
         bucket = (hashes[keep] >> np.uint64(64 - bits)).astype(np.uint16 if bits <= 16 else np.uint32)
         keep = keep[np.argsort(bucket, kind="stable")]
@@ -102,7 +103,7 @@ def _blocks(width: int, bits: int):
             [*arrays, pa.nulls(len(arrays[0]), pa.int64()), pa.nulls(len(arrays[0]), pa.binary())], schema=schema
         )
 
-    names = [x.split() for x in f"{_BLOCK}, {_REPEAT}".split(", ")]
+    names = [x.split() for x in _BLOCK.split(", ")]
     kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
     schema = pa.schema([(n, kinds[t]) for n, t in names])
 
@@ -134,24 +135,31 @@ def _blocks(width: int, bits: int):
 
 def _later_windows(pdf: pd.DataFrame) -> pd.DataFrame:
     """Windows of one hash range whose hash also occurs earlier."""
+    known = pdf["hashes"].isna()
+    within = pdf.loc[known, ["doc_id", "starts"]].astype({"doc_id": np.int64})
     hashes, docs, starts = [], [], []
-    for block in pdf.itertuples():
-        wide = np.zeros((block.n, 8), dtype=np.uint8)
+    for block in pdf[~known].itertuples():
+        n = int(block.n)
+        wide = np.zeros((n, 8), dtype=np.uint8)
         wide[:, :7] = np.frombuffer(block.hashes, dtype=np.uint8).reshape(-1, 7)
         hashes.append(wide.reshape(-1).view(np.uint64))
         per_doc = _unplanes(block.per_doc, np.uint32).astype(np.int64)
         docs.append(np.repeat(np.cumsum(_unplanes(block.doc_ids, np.int64)), per_doc))
         steps = np.cumsum(_unplanes(block.steps, np.uint32).astype(np.int64))
         before = np.cumsum(per_doc) - per_doc  # each document's steps begin anew
-        starts.append(steps - np.repeat(np.where(before > 0, steps[before - 1], 0), per_doc))
+        starts.append((steps - np.repeat(np.where(before > 0, steps[before - 1], 0), per_doc)).astype(np.uint32))
+    del pdf
+    if not hashes:
+        return within
     hashes, docs, starts = map(np.concatenate, (hashes, docs, starts))
     order = np.argsort(hashes)
     ordered = hashes[order]
     first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
     size = np.diff(np.append(first, len(order)))
     many = order[np.repeat(size > 1, size)]
+    del order, ordered
     if not len(many):
-        return pd.DataFrame({"doc_id": np.zeros(0, np.int64), "starts": np.zeros(0, object)})
+        return within
     hashes, docs, starts = hashes[many], docs[many], starts[many]
     order = np.lexsort((starts, docs, hashes))
     hashes, docs, starts = hashes[order], docs[order], starts[order]
@@ -160,7 +168,8 @@ def _later_windows(pdf: pd.DataFrame) -> pd.DataFrame:
     later = (docs != docs[origin]) | (starts != starts[origin])
     docs, starts = docs[later], starts[later]
     order = np.lexsort((starts, docs))
-    return _repeat_batch(docs[order], starts[order]).to_pandas()
+    across = _repeat_batch(docs[order], starts[order]).to_pandas()
+    return pd.concat([within, across]) if len(within) else across
 
 
 def repeated_windows(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -168,15 +177,7 @@ def repeated_windows(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id"
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     size = slim.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     bits = min(24, max(6, int(size // 6 // RANGE_WINDOWS).bit_length()))
-    blocks = write_stage(slim.mapInArrow(_blocks(width, bits), f"{_BLOCK}, {_REPEAT}"), "substring-blocks")
-    across = (
-        blocks.filter(F.col("bucket").isNotNull())
-        .select("bucket", "n", "hashes", "doc_ids", "per_doc", "steps")
-        .groupBy("bucket")
-        .applyInPandas(_later_windows, _REPEAT)
-    )
-    within = blocks.filter(F.col("bucket").isNull()).select("doc_id", "starts")
-    return across.unionByName(within)
+    return slim.mapInArrow(_blocks(width, bits), _BLOCK).groupBy("bucket").applyInPandas(_later_windows, _REPEAT)
 
 
 def _cut_text(width: int):
