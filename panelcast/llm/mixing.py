@@ -125,3 +125,14 @@ def mix_sources(
     left = budget - epochs * F.col("source_size") - F.col("before") - F.col("inside")
     taken = epochs * F.col("size") + F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), left))
     return joined.select("doc_id", "size", F.col("d.source").alias("source"), "source_size", "target", taken.alias("taken"))
+
+
+def mix_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", **options) -> DataFrame:
+    """The documents of the mix: all columns of ``docs``, and ``mix_taken``, the words taken of each (above 0).
+
+    Rows that repeat an id within a source share the largest of their counts.
+    """
+    mix = mix_sources(docs, id_col=id_col, source_col=source_col, **options).filter("taken > 0")
+    mix = mix.groupBy(F.col("doc_id").alias("__id"), F.col("source").alias("__source")).agg(F.max("taken").alias("mix_taken"))
+    same = F.col(id_col).eqNullSafe(F.col("__id")) & F.col(source_col).cast("string").eqNullSafe(F.col("__source"))
+    return docs.join(mix, same).drop("__id", "__source")
