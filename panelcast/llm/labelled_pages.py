@@ -68,6 +68,9 @@ without a sound because of the soft fringe on their feathers, and they hear a mo
 <p data-main>We shall see.</p>
 <p data-main>If frost comes after all I shall cover them with old sheets, as my neighbour does with everything she grows.</p>
 <footer><p>Written by hand and typed up on Sundays; letters are always welcome at the address above.</p></footer></body>""",
+    # a content class over short lines only
+    """<body><nav><a href="/">Poems</a></nav><div class="story" data-main><h2>Three answers</h2><p>No.</p><p>Yes.</p>
+<p>Perhaps so.</p><p>Ask again when the snow has gone</p><p>Then wait.</p></div><p>Printed by hand.</p><footer><p>Imprint</p></footer></body>""",
     # content hint by id; advert and comments by id
     """<body><div id="banner"><p>Our spring sale ends on Sunday, so come by while there is still something left.</p></div>
 <div id="content"><div data-main><h2>Timetable</h2><p>The ferry leaves at six.</p><p>It does not sail in storms.</p></div>
