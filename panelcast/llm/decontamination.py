@@ -173,4 +173,4 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     leaked = write_stage(
         find_leaks(docs, benchmark, **options).select(F.col("doc_id").alias("__leaked")).distinct(), "leak-dropped"
     )
-    return docs.join(leaked, F.col(id_col) == F.col("__leaked"), "left_anti")
+    return docs.join(leaked, docs[id_col] == leaked["__leaked"], "left_anti")

@@ -200,4 +200,4 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         .distinct(),
         "exact-dropped",
     )
-    return docs.join(dropped, F.col(id_col).cast("long") == F.col("__dropped"), "left_anti")
+    return docs.join(dropped, docs[id_col].cast("long") == dropped["__dropped"], "left_anti")

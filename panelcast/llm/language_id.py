@@ -150,35 +150,22 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     return LanguageModel(languages, code, weights.astype(np.float32), bias, trust / trust.mean())
 
 
-def _predict(model: LanguageModel | None):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first, x in features(batch.column(2)):
-                part = batch.slice(first, len(x))
-                letters = np.array([t is not None and _LETTER.search(t) is not None for t in part.column(2).to_pylist()], dtype=bool)
-                if model is None:
-                    names, score, unsure = np.full(len(x), UNKNOWN, dtype=object), np.zeros(len(x)), np.ones(len(x), dtype=bool)
-                else:
-                    loss = model.losses(x)
-                    order = np.argsort(loss, axis=1, kind="stable")
-                    odds = np.exp(loss.min(axis=1, keepdims=True) - loss)
-                    score = 1 / odds.sum(axis=1)
-                    names = np.array(model.languages, dtype=object)[order[:, 0]]
-                    if len(model.languages) > 1:
-                        ranked = np.take_along_axis(loss, order[:, :2], axis=1)
-                        unsure = ranked[:, 1] - ranked[:, 0] < AMBIGUOUS * loss.mean(axis=1)
-                    else:
-                        unsure = np.zeros(len(x), dtype=bool)
-                names = np.where(letters, names, UNKNOWN)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0), part.column(1), pa.array(names, pa.string()),
-                        pa.array(np.where(letters, score, 0.0)), pa.array(np.where(letters, unsure, True)),
-                    ],
-                    names=["doc_id", "held_out", "lang_pred", "score", "ambiguous"],
-                )
-
-    return run
+def judge(model: LanguageModel | None, column) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, language, score, ambiguous) of runs of texts."""
+    for first, x in features(column):
+        texts = column.slice(first, len(x)).to_pylist()
+        letters = np.array([t is not None and _LETTER.search(t) is not None for t in texts], dtype=bool)
+        names, score, unsure = np.full(len(x), UNKNOWN, dtype=object), np.zeros(len(x)), np.ones(len(x), dtype=bool)
+        if model is not None:
+            loss = model.losses(x)
+            order = np.argsort(loss, axis=1, kind="stable")
+            score = 1 / np.exp(loss.min(axis=1, keepdims=True) - loss).sum(axis=1)
+            names = np.array(model.languages, dtype=object)[order[:, 0]]
+            unsure = np.zeros(len(x), dtype=bool)
+            if len(model.languages) > 1:
+                ranked = np.take_along_axis(loss, order[:, :2], axis=1)
+                unsure = ranked[:, 1] - ranked[:, 0] < AMBIGUOUS * loss.mean(axis=1)
+        yield first, np.where(letters, names, UNKNOWN), np.where(letters, score, 0.0), np.where(letters, unsure, True)
 
 
 def predict_language(docs: DataFrame, model: LanguageModel | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -193,9 +180,17 @@ def predict_language(docs: DataFrame, model: LanguageModel | None = None, id_col
     model = model or fit(docs, id_col, text_col, lang_col)
     rows = docs.select(F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(
-        _predict(model), f"doc_id {kind}, held_out boolean, lang_pred string, score double, ambiguous boolean"
-    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, names, score, unsure in judge(model, batch.column(2)):
+                part = batch.slice(first, len(names))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array(names, pa.string()), pa.array(score), pa.array(unsure)],
+                    names=["doc_id", "held_out", "lang_pred", "score", "ambiguous"],
+                )
+
+    return rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, lang_pred string, score double, ambiguous boolean")
 
 
 def drop_unknown_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -207,16 +202,9 @@ def drop_unknown_language(docs: DataFrame, id_col: str = "doc_id", text_col: str
     model = fit(docs, id_col, text_col, lang_col)
     at = docs.columns.index(text_col)
 
-    def run(batches):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = [
-                part
-                for first, x in features(batch.column(at))
-                for part in [batch.slice(first, len(x))]
-            ]
-            for part in kept:
-                judged = next(_predict(model)(iter([pa.RecordBatch.from_arrays(
-                    [pa.nulls(len(part), pa.int64()), pa.nulls(len(part), pa.bool_()), part.column(at)], names=["a", "b", "c"])])))
-                yield part.filter(pa.array([x != UNKNOWN for x in judged.column(2).to_pylist()]))
+            for first, names, _, _ in judge(model, batch.column(at)):
+                yield batch.slice(first, len(names)).filter(pa.array(names != UNKNOWN))
 
     return docs.mapInArrow(run, docs.schema)

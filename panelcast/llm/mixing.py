@@ -131,8 +131,11 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "so
     """The documents of the mix: all columns of ``docs``, and ``mix_taken``, the words taken of each (above 0).
 
     Rows that repeat an id within a source share the largest of their counts.
+    A ``mix_taken`` column of the input is replaced.
     """
+    docs = docs.drop("mix_taken")
     mix = mix_sources(docs, id_col=id_col, source_col=source_col, **options).filter("taken > 0")
     mix = mix.groupBy(F.col("doc_id").alias("__id"), F.col("source").alias("__source")).agg(F.max("taken").alias("mix_taken"))
-    same = F.col(id_col).eqNullSafe(F.col("__id")) & F.col(source_col).cast("string").eqNullSafe(F.col("__source"))
-    return docs.join(mix, same).drop("__id", "__source")
+    mix = write_stage(mix, "mix-taken")
+    same = docs[id_col].eqNullSafe(mix["__id"]) & docs[source_col].cast("string").eqNullSafe(mix["__source"])
+    return docs.join(mix, same).select(*[docs[c] for c in docs.columns], mix["mix_taken"])

@@ -299,4 +299,4 @@ def keep_one_of_each(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
         .distinct(),
         "jaccard-dropped",
     )
-    return docs.join(dropped, F.col(id_col).cast("long") == F.col("__dropped"), "left_anti")
+    return docs.join(dropped, docs[id_col].cast("long") == dropped["__dropped"], "left_anti")

@@ -157,9 +157,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_label: i
     if set(counts) != {0, 1}:
         return None
     sample = bounded_sample(known, "__label", per_label, "__id")
-    rows = docs.join(F.broadcast(sample), F.col(id_col) == F.col("__id")).select(  # PER_LABEL rows of each label
-        "__id", "__label", F.col(text_col).cast("string").alias("text"), F.col(chars_col).cast("double").alias("n_chars")
+    rows = docs.select(
+        F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("text"), F.col(chars_col).cast("double").alias("n_chars")
     )
+    rows = rows.join(F.broadcast(sample), "__id").select("__id", "__label", "text", "n_chars")  # PER_LABEL rows of each label
 
     def extract(batches):
         for batch in batches:

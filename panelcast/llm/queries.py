@@ -57,6 +57,7 @@ FROM d JOIN g USING (text_sha256)
 """,
 )
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of equal texts and the row that stays, for every document."""
     return exact_dedup.exact_groups(read(spark, sf_dir, "documents"))
 
 
@@ -83,6 +84,7 @@ FROM n LEFT JOIN kept USING (doc_id)
 """,
 )
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words removed with repeated 20-word windows, and the digest of the words kept."""
     cut = substring_dedup.substring_dedup(read(spark, sf_dir, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return cut.select(
@@ -113,6 +115,7 @@ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN reach ON reach.a = d.doc_id GROUP BY
 """,
 )
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and link component of every document, four-word shingles at 0.85."""
     return ngram_join.jaccard_components(read(spark, sf_dir, "documents"))
 
 
@@ -144,6 +147,7 @@ FROM p
 """,
 )
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
     mix = mixing.mix_sources(read(spark, sf_dir, "documents"))
     return mix.select("doc_id", "size", "source_size", "target", "taken")
 
@@ -195,26 +199,31 @@ FROM held GROUP BY doc_id, item_id, item_windows HAVING count(*) / item_windows
 
 @query("op4_benchmark_decontamination", _LEAK_SQL)
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item it leaks, with matched windows."""
     return decontamination.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
 @query("op6_language_id")
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
     return language_id.predict_language(read(spark, sf_dir, "documents"))
 
 
 @query("op5_toxicity")
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
     return toxicity.score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
 @query("op10_quality_fm")
 def op10_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
     return quality_fm.score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
 @query("op7_html_blocks")
 def op7_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
     return html_extraction.extract_main_text(read(spark, sf_dir, "pages"))
 
 
@@ -231,6 +240,7 @@ FROM p LEFT JOIN g ON p.html = g.html AND payload_bytes >= 1000
 """,
 )
 def op1_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back from them."""
     path = warc.archive_path(spark)
     warc.write_archives(read(spark, sf_dir, "pages"), path)
     return warc.read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

@@ -219,8 +219,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_label: int
     if set(counts) != {0, 1}:
         return None
     sample = bounded_sample(known, "__label", per_label, "__id")
-    rows = docs.join(F.broadcast(sample), F.col(id_col) == F.col("__id"))  # PER_LABEL rows of each label
-    rows = rows.select("__label", F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    rows = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    rows = rows.join(F.broadcast(sample), "__id").select("__label", "text")  # PER_LABEL rows of each label
     lexicon = Lexicon.of(learn_stems(rows))
 
     def extract(batches):
