@@ -106,14 +106,15 @@ def strict_sum_over(c: str, w) -> Column:
 
 
 def origin_import_risk(by_origin_importance: DataFrame) -> DataFrame:
-    """Contribution of each origin to the import risk."""
+    """Contribution of each origin to the import risk, largest first (G1)."""
     d = by_origin_importance.where(
         F.col("variable").contains("from_outbreaks") & F.col("disagg_variable_importance").isNotNull()
     )
     return d.groupBy(
         "month", "disease", "country", "country_iso3c", "country_origin", "country_origin_iso3c",
         "predicted_outbreak_probability",
-    ).agg(F.sum("disagg_variable_importance").alias("contribution_to_import_risk"))
+    ).agg(F.sum("disagg_variable_importance").alias("contribution_to_import_risk")).orderBy(
+        F.desc("contribution_to_import_risk"), "country_iso3c", "country_origin_iso3c", "disease", "month")
 
 
 def top_origins(risk: DataFrame, k: int = 10) -> DataFrame:

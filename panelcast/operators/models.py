@@ -23,7 +23,7 @@ from pyspark.ml.feature import (
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 STRING_FEATURES = ["disease", "taxa", "country_iso3c", "continent", "disease_population"]
@@ -86,7 +86,7 @@ def _one_se(cv_model, grid, larger_is_better: bool, complexity) -> tuple[int, li
     """Simplest parameter set within one standard error of the best."""
     avg = list(cv_model.avgMetrics)
     std = list(getattr(cv_model, "stdMetrics", [0.0] * len(avg)))
-    k = cv_model.getNumFolds() if hasattr(cv_model, "getNumFolds") else 1
+    k = cv_model.getNumFolds()
     best = max(range(len(avg)), key=lambda i: avg[i] if larger_is_better else -avg[i])
     se = std[best] / math.sqrt(max(k, 1))
     ok = [i for i in range(len(avg))
@@ -106,7 +106,7 @@ def _tune(pipeline_for, est, train, label, evaluator, grid_spec, folds, larger,
     design = write_stage(features.transform(train).select("features", label, "fold"), "cv_design")
     cv = CrossValidator(
         estimator=est, estimatorParamMaps=grid, evaluator=evaluator,
-        foldCol="fold", parallelism=parallelism, seed=7,
+        numFolds=folds, foldCol="fold", parallelism=parallelism, seed=7,
     )
     cvm = cv.fit(design)
     chosen, table = _one_se(cvm, grid, larger, complexity)
@@ -222,54 +222,61 @@ def _feature_names(pm: PipelineModel) -> list[str]:
 
 
 def partial_dependence(
-    model: TunedModel, df: DataFrame, variable: str, values: list, key: list[str],
-    n_sample: int = 500, seed: int = 11,
+    model: TunedModel, df: DataFrame, variable: str, values: list, by: list[str] | None = None,
 ) -> DataFrame:
     """V9: average predicted status probability with ``variable`` forced to each
-    grid value, over a deterministic hash-ordered sample of rows."""
-    sample = df.orderBy(F.xxhash64(*[F.col(c) for c in key], F.lit(seed))).limit(n_sample)
-    grid = sample.withColumn("_value", F.explode(F.array(*[F.lit(v) for v in values])))
+    grid value, over all rows, per group of ``by``; ``effect`` is the distance
+    from the group's mean over the grid.
+
+    Every row is expanded to the grid and scored in one pass; the only shuffle
+    is the map-side combined average.
+    """
+    by = by or []
+    grid = df.withColumn("_value", F.explode(F.array(*[F.lit(v) for v in values])))
     grid = grid.withColumn(variable, F.col("_value").cast(df.schema[variable].dataType))
-    pred = model.model.transform(recipe_columns(grid))
-    return pred.groupBy(F.lit(variable).alias("variable"), F.col("_value").alias("value")).agg(
-        F.avg(vector_to_array("probability")[1]).alias("mean_probability"),
-        F.count(F.lit(1)).alias("n"))
+    keep = {f"_by{i}": F.col(c) for i, c in enumerate(by)}
+    pred = model.model.transform(recipe_columns(grid.withColumns(keep)))
+    means = pred.groupBy(*[F.col(k).alias(c) for k, c in zip(keep, by)], F.col("_value").alias("value")).agg(
+        F.avg(vector_to_array("probability")[1]).alias("mean_probability"), F.count(F.lit(1)).alias("n"))
+    centre = F.avg("mean_probability").over(Window.partitionBy(*by)) if by else F.lit(
+        means.agg(F.avg("mean_probability")).scalar())
+    return means.select(
+        F.lit(variable).alias("variable"), *by, "value", "mean_probability",
+        (F.col("mean_probability") - centre).alias("effect"), "n")
+
+
+PERMUTATION_BUCKETS = 64  # fixed: the permutation depends on the rows' keys alone
 
 
 def permutation_importance(
     model: TunedModel, df: DataFrame, variables: list[str], key: list[str], label: str,
-    rows_per_bucket: int = 100_000, seed: int = 5,
+    rows: Column | None = None, buckets: int = PERMUTATION_BUCKETS, seed: int = 5,
 ) -> DataFrame:
-    """Drop in accuracy when one column is permuted.
+    """Accuracy with one column permuted, over the rows that ``rows`` selects (all by default).
 
-    The permutation pairs rows inside hash buckets (row number by one hash
-    order joined to row number by another); the bucket count grows with the
-    data (about ``rows_per_bucket`` rows each), so no window spans the data.
+    The permutation pairs rows inside ``buckets`` fixed hash buckets (the n-th
+    row by one hash order gets the value of the n-th by another), so it does
+    not change with the number of rows or their layout.  The prepared rows are
+    written once; all variables are permuted from them.
     """
-    base = recipe_columns(df.where(F.col(label).isNotNull()))
-    buckets = max(1, -(-base.count() // rows_per_bucket))
+    from ..session import write_stage
+
+    base = df.where(F.col(label).isNotNull())
+    base = recipe_columns(base.where(rows) if rows is not None else base)
     k = F.xxhash64(*[F.col(c) for c in key], F.lit(seed))
     base = base.withColumn("_b", F.pmod(k, F.lit(buckets))).withColumn("_h1", k).withColumn(
         "_h2", F.xxhash64(*[F.col(c) for c in key], F.lit(seed + 1)))
     wb = Window.partitionBy("_b")
-    base = base.withColumn("_r1", F.row_number().over(wb.orderBy("_h1"))).withColumn(
-        "_r2", F.row_number().over(wb.orderBy("_h2")))
-
-    def acc(frame):
-        p = model.model.transform(frame)
-        return p.agg(F.avg((F.col("prediction") == F.col(label).cast("double")).cast("double")))
-
-    a0 = acc(base)
-    parts = [a0.withColumnRenamed(a0.columns[0], "acc").withColumn("variable", F.lit("(none)"))]
-    for v in variables:
-        donor = base.select("_b", F.col("_r2").alias("_r1"), F.col(v).alias("_perm"))
-        perm = base.join(donor, on=["_b", "_r1"]).withColumn(v, F.col("_perm")).drop("_perm")
-        a = acc(perm)
-        parts.append(a.withColumnRenamed(a.columns[0], "acc").withColumn("variable", F.lit(v)))
-    res = parts[0]
-    for p in parts[1:]:
-        res = res.unionByName(p)
-    return res
+    base = base.withColumn("_r1", F.row_number().over(wb.orderBy("_h1", *key))).withColumn(
+        "_r2", F.row_number().over(wb.orderBy("_h2", *key)))
+    base = write_stage(base, "permutation_rows")
+    donor = base.select("_b", F.col("_r2").alias("_r1"), *[F.col(v).alias(f"_perm_{v}") for v in variables])
+    both = base.join(donor, on=["_b", "_r1"])
+    versions = F.explode(F.array(*[F.lit(v) for v in ("(none)", *variables)]))
+    wide = both.withColumn("variable", versions).withColumns(
+        {v: F.when(F.col("variable") == v, F.col(f"_perm_{v}")).otherwise(F.col(v)) for v in variables})
+    hit = (F.col("prediction") == F.col(label).cast("double")).cast("double")
+    return model.model.transform(wide).groupBy("variable").agg(F.avg(hit).alias("acc"))
 
 
 # ---- persistence (A7) --------------------------------------------------------------------

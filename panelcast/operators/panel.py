@@ -10,15 +10,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_REGIONS = 10_000  # size bound for the region dimension of a dense grid (plan literals)
 
+def distinct_values(df: DataFrame, col: str) -> Column:
+    """All distinct values of a dimension column, as one array in a scalar subquery.
 
-def region_values(df: DataFrame, region_col: str, max_regions: int = MAX_REGIONS) -> list:
-    """Distinct region codes (a bounded dimension: countries), size-checked."""
-    rows = df.select(region_col).distinct().limit(max_regions + 1).collect()
-    if len(rows) > max_regions:
-        raise ValueError(f"{region_col} has more than {max_regions} distinct values")
-    return sorted((r[0] for r in rows), key=lambda v: (v is None, v))
+    Nulls count as a value.  The values combine on the map side; the plan
+    neither collects them nor holds them as literals.
+    """
+    found = df.agg(F.collect_set(F.struct(F.col(col).alias("v"))).alias("s"))
+    return found.select(F.transform("s", lambda s: s["v"])).scalar()
 
 
 def dense_grid(
@@ -29,21 +29,17 @@ def dense_grid(
     period_start,
     period_end,
     step: Column | None = None,
-    regions: list | None = None,
 ) -> DataFrame:
     """Every observed entity x every region x every period, left-joined to facts.
 
     ``period_start`` / ``period_end`` are literals (ints, or dates with a
     ``step`` interval).  The grid is generated per entity with two
-    ``explode`` generators (regions from the bounded region dimension,
-    periods from ``sequence``), so no row pairs are formed; the single
-    shuffle is the left join with the facts on the full key.
+    ``explode`` generators (regions from one aggregated array of the distinct
+    ones, periods from ``sequence``), so no row pairs are formed; the single
+    shuffle is the left join with the facts on the full key.  Empty facts give
+    an empty grid.
     The output has a boolean ``_observed`` column telling real cells apart.
     """
-    if regions is None:
-        regions = region_values(facts, region_col)
-    if not regions:
-        regions = [None]  # empty facts: an empty grid (every entity set is empty too)
     seq = (
         F.sequence(F.lit(period_start), F.lit(period_end), step)
         if step is not None
@@ -52,8 +48,7 @@ def dense_grid(
     grid = (
         facts.select(*entity_cols)
         .distinct()
-        .withColumn(region_col, F.explode(F.array(
-            *[F.lit(r).cast(facts.schema[region_col].dataType) for r in regions])))
+        .withColumn(region_col, F.explode(distinct_values(facts, region_col)))
         .withColumn(period_col, F.explode(seq))
     )
     key = entity_cols + [region_col, period_col]

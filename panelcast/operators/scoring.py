@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import direction, safe_div
+from ..session import write_stage
 
 
 def persistence_forecast(df: DataFrame) -> DataFrame:
@@ -201,47 +202,57 @@ def calibration_bins(
     outcome_col: str,
     n_bins: int,
     by: list[str] | None = None,
-    accuracy: int = 1_000_000,
 ) -> DataFrame:
     """Equal-count bins of a predicted probability vs the observed rate.
 
-    Bin edges are the quantiles 1/n, ..., (n-1)/n of the probability per
-    group (``percentile_approx``: a mergeable sketch, so a group of any size
-    is aggregated map-side in bounded memory).  The rank error is at most
-    n / ``accuracy``: exact order statistics for prediction tables up to
-    ~10^6 rows per group (countries x diseases x months), within a few ranks
-    beyond.  Duplicate edges are
-    collapsed; a value falls in the first bin whose upper edge is >= it.
-    Per bin: median prediction, count, observed rate and Wilson interval.
+    Bin edges are the exact order statistics at ranks ceil(i n / n_bins) of
+    the probability per group, whatever the number of rows.  Equal
+    probabilities are first counted together; ranks come from a range-sorted
+    table of the distinct values with per-partition offsets, so no task holds
+    a group.  Duplicate edges are collapsed; a value falls in the first bin
+    whose upper edge is >= it.  Per bin: median prediction (the value at rank
+    ceil(n / 2)), count, observed rate and Wilson interval.
     """
-    by = by or []
+    groups = by or []
+    by = by or ["_all"]
     d = df.where(F.col(prob_col).isNotNull() & F.col(outcome_col).isNotNull())
-    probs = [i / n_bins for i in range(1, n_bins)]
-    edges = d.groupBy(*by).agg(
-        F.array_distinct(F.percentile_approx(F.col(prob_col), probs, accuracy)).alias("_edges")
-    )
-    joined = d.join(edges, on=by, how="inner") if by else d.withColumn(
-        "_edges", edges.select("_edges").scalar()
-    )
+    d = d if groups else d.withColumn("_all", F.lit(0))
+    values = d.groupBy(*by, F.col(prob_col).alias("_p")).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(F.col(outcome_col).cast("int")).alias("_x"))
+    ordered = write_stage(
+        values.orderBy(*by, "_p").withColumn("_part", F.shiftright(F.monotonically_increasing_id(), 33)),
+        "calibration_values")
+    sums = ordered.groupBy(*by, "_part").agg(F.sum("_n").alias("_s"))  # a row per group and partition
+    before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.withColumns({
+        "_before": F.coalesce(F.sum("_s").over(before), F.lit(0)),
+        "_total": F.sum("_s").over(Window.partitionBy(*by)),
+    }).drop("_s")
+    inside = Window.partitionBy("_part", *by).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = ordered.withColumn("_inside", F.coalesce(F.sum("_n").over(inside), F.lit(0))).alias("v").join(
+        offsets.alias("o"), [F.col(f"v.{c}").eqNullSafe(F.col(f"o.{c}")) for c in [*by, "_part"]]
+    ).select(*[F.col(f"v.{c}").alias(c) for c in by], "_p", "_n", "_x",
+             (F.col("_before") + F.col("_inside")).alias("_lo"), "_total")
+    ranked = write_stage(ranked, "calibration_ranks")  # _lo: rows of the group below this value
+    targets = F.array(*[F.greatest(F.lit(1), F.ceil(F.lit(i / n_bins) * F.col("_total"))) for i in range(1, n_bins)])
+    holds = F.exists(targets, lambda t: (t > F.col("_lo")) & (t <= F.col("_lo") + F.col("_n")))
+    edges = ranked.where(holds).groupBy(*by).agg(F.collect_set("_p").alias("_edges"))  # below n_bins per group
+    joined = ranked.alias("r").join(
+        edges.alias("e"), [F.col(f"r.{c}").eqNullSafe(F.col(f"e.{c}")) for c in by], "left").select("r.*", "e._edges")
     # bin index = number of interior edges strictly below the value
-    binned = joined.withColumn(
-        "bin",
-        F.aggregate(
-            "_edges",
-            F.lit(0),
-            lambda acc, e: acc + F.when(F.col(prob_col) > e, 1).otherwise(0),
-        ),
-    )
-    agg = binned.groupBy(*by, "bin").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.col(outcome_col).cast("int")).alias("x"),
-        F.percentile_approx(prob_col, 0.5, accuracy).alias("pred_median"),
-        F.min(prob_col).alias("pred_min"),
-        F.max(prob_col).alias("pred_max"),
-    )
+    binned = joined.withColumn("bin", F.size(F.filter(F.coalesce("_edges", F.array()), lambda e: e < F.col("_p"))))
+    bins = binned.groupBy(*by, "bin").agg(
+        F.sum("_n").alias("n"), F.sum("_x").alias("x"), F.min("_lo").alias("_from"),
+        F.min("_p").alias("pred_min"), F.max("_p").alias("pred_max"))
+    same = [F.col(f"b.{c}").eqNullSafe(F.col(f"a.{c}")) for c in [*by, "bin"]]
+    middle = F.col("a._from") + F.ceil(F.col("a.n") / 2)
+    agg = bins.alias("a").join(binned.alias("b"), same).where(
+        (F.col("b._lo") < middle) & (middle <= F.col("b._lo") + F.col("b._n"))
+    ).select(*[F.col(f"a.{c}").alias(c) for c in [*by, "bin"]], "a.n", "a.x",
+             F.col("b._p").alias("pred_median"), "a.pred_min", "a.pred_max")
     mean, lo, hi = wilson_interval("x", "n")
     return agg.select(
-        *by,
+        *groups,
         "bin",
         F.col("n").cast("long").alias("n"),
         F.col("x").cast("long").alias("n_events"),

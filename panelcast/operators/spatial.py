@@ -93,15 +93,18 @@ def _circle2(a, b):
 
 
 def _circle3(a, b, c):
+    origin = (a + b + c) / 3  # coordinates are millions of metres: work near the origin
+    a, b, c = a - origin, b - origin, c - origin
     d = 2 * (a[0] * (b[1] - c[1]) + b[0] * (c[1] - a[1]) + c[0] * (a[1] - b[1]))
-    if abs(d) < 1e-12:
+    if abs(d) <= 1e-12 * max(a @ a, b @ b, c @ c):
         # collinear: the two farthest points span the circle
         pairs = [(a, b), (a, c), (b, c)]
-        return max((_circle2(p, q) for p, q in pairs), key=lambda t: t[1])
+        centre, radius = max((_circle2(p, q) for p, q in pairs), key=lambda t: t[1])
+        return centre + origin, radius
     ux = ((a @ a) * (b[1] - c[1]) + (b @ b) * (c[1] - a[1]) + (c @ c) * (a[1] - b[1])) / d
     uy = ((a @ a) * (c[0] - b[0]) + (b @ b) * (a[0] - c[0]) + (c @ c) * (b[0] - a[0])) / d
     centre = np.array([ux, uy])
-    return centre, float(np.hypot(*(a - centre)))
+    return centre + origin, float(np.hypot(*(a - centre)))
 
 
 def enclosing_radius(pts: np.ndarray) -> float:
@@ -193,11 +196,12 @@ def bounding_radius(
     in metres in the UTM zone of the group's mean point (0 for one point,
     half the distance for two).
 
-    Groups up to ``points_per_task`` distinct points are solved in one pass.
-    Larger (hot) groups are salted into ceil(n / points_per_task) sub-groups,
-    each reduced to its convex hull (the enclosing circle of a set is that of
-    its hull), and the circle is solved on the union of the hulls.  Every pass
-    streams key-sorted partitions through ``mapInPandas``.
+    One and two points are solved in columns.  Every larger group takes the
+    same way: its points are salted into sub-groups of about
+    ``points_per_task``, each is reduced to its convex hull (the enclosing
+    circle of a set is that of its hull), and the circle is solved on the hull
+    points left.  Both passes stream key-sorted partitions through
+    ``mapInPandas``.
     """
     pts = points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(
         *key, F.col(lat).cast("double").alias("lat"), F.col(lon).cast("double").alias("lon")
@@ -208,8 +212,7 @@ def bounding_radius(
     x, y = utm_xy(F.col("lat"), F.col("lon"), utm_zone(F.col("_mlon")), F.col("_mlat") > 0)
     xy = proj.select(
         *key, x.alias("x"), y.alias("y"), "_n",
-        F.pmod(F.xxhash64("lat", "lon"),
-               F.greatest(F.lit(1), F.ceil(F.col("_n") / points_per_task)).cast("long")).alias("_salt"),
+        F.pmod(F.xxhash64("lat", "lon"), F.ceil(F.col("_n") / points_per_task).cast("long")).alias("_salt"),
     )
     key_fields = [f for f in xy.schema.fields if f.name in key]
     hull_schema = T.StructType(
@@ -226,11 +229,11 @@ def bounding_radius(
         for pdf in _stream_runs(batches, skey, _hull_rows, skey + ["x", "y"]):
             yield pdf[hull_cols]
 
-    small = xy.where(F.col("_n") <= points_per_task).select(*key, "x", "y")
-    large = xy.where(F.col("_n") > points_per_task)
+    few = xy.where(F.col("_n") <= 2).groupBy(*key).agg(
+        (F.hypot(F.max("x") - F.min("x"), F.max("y") - F.min("y")) / 2).alias("outbreak_radius"))
     hulls = (
-        large.select(*skey, "x", "y").repartition(*skey).sortWithinPartitions(*skey)
+        xy.where(F.col("_n") > 2).select(*skey, "x", "y").repartition(*skey).sortWithinPartitions(*skey)
         .mapInPandas(hull_pass, hull_schema)
     )
-    both = small.unionByName(hulls)
-    return both.repartition(*key).sortWithinPartitions(*key).mapInPandas(radius_pass, out_schema)
+    many = hulls.repartition(*key).sortWithinPartitions(*key).mapInPandas(radius_pass, out_schema)
+    return few.select(*out_cols).unionByName(many)

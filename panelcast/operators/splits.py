@@ -7,6 +7,8 @@ partitioned by the series key, whose partitions hold one row per period.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -85,6 +87,15 @@ def split_share(df: DataFrame) -> DataFrame:
     )
 
 
-def bootstrap(df: DataFrame, seed: int = 42) -> DataFrame:
-    """Resample with replacement (Poisson per row, expected size = n)."""
-    return df.sample(withReplacement=True, fraction=1.0, seed=seed)
+def bootstrap(df: DataFrame, key: list[str], seed: int = 42) -> DataFrame:
+    """Resample with replacement: each row as often as a Poisson(1) draw of its seeded key hash.
+
+    The draw depends on the key and the seed alone, not on the row's partition.
+    """
+    u = F.pmod(F.xxhash64(*[F.col(c) for c in key], F.lit(seed)), F.lit(1 << 40)) / float(1 << 40)
+    below, term, times = 0.0, math.exp(-1), F.lit(0)
+    for k in range(1, 13):  # P(more than 12 draws) is below 1e-10
+        below += term
+        times = times + (u >= below).cast("int")
+        term /= k
+    return df.withColumn("_times", F.explode(F.when(times > 0, F.sequence(F.lit(1), times)))).drop("_times")

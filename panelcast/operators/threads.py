@@ -170,10 +170,9 @@ def thread_month_panel(
     ev = clean_events(events)
     bounds = thread_bounds(events, as_of)
     cells = thread_cell_flags(bounds, grid_start, as_of)
-    countries = panel.region_values(ev, "country_iso3c")
     diseases = ev.select("disease").distinct()
     grid = (
-        diseases.withColumn("country_iso3c", F.explode(F.array(*[F.lit(c) for c in countries])))
+        diseases.withColumn("country_iso3c", F.explode(panel.distinct_values(ev, "country_iso3c")))
         .withColumn("month", F.explode(F.sequence(F.lit(grid_start), F.trunc(F.lit(as_of), "month"), _month())))
     )
     reported_pairs = ev.select("country_iso3c", "disease").distinct().withColumn("_rep", F.lit(True))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import all_not_null, safe_log10, title_from_snake
 from ..operators import covariates as cov
-from ..operators import links, panel, scoring, threads
+from ..operators import links, panel, threads
 from ..operators.rollup import normalise_taxa
 from ..session import write_stage
 from ..sources import bindings as B
@@ -215,10 +215,11 @@ def standardise_with(df: DataFrame, scaling_table: DataFrame, variables=SCALED)
 def binding_coefficients(spark: SparkSession, sf_dir: str, diseases: DataFrame) -> DataFrame:
     """coef = ((ascii(disease) + length(variable)) % 7 - 3) / 10 for every
     disease x model variable (numeric predictors and continent levels)."""
-    levels = [c for c in panel.region_values(B.countries(spark, sf_dir), "continent") if c]
-    names = SCALED + [f"continent{c}" for c in levels]
+    levels = B.countries(spark, sf_dir).where("continent IS NOT NULL").select(
+        F.concat(F.lit("continent"), "continent").alias("level"))
+    names = F.concat(F.array(*[F.lit(n) for n in SCALED]), panel.distinct_values(levels, "level"))
     d = diseases.select("disease").distinct()
-    rows = d.withColumn("variable", F.explode(F.array(*[F.lit(n) for n in names])))
+    rows = d.withColumn("variable", F.explode(names))
     coef = ((F.ascii("disease") + F.length("variable")) % 7 - 3) / 10.0
     return rows.select(
         "disease",
@@ -281,8 +282,3 @@ def network_model_tables(spark: SparkSession, sf_dir: str):
     feats = network_features(spark, sf_dir)
     return feats, scaling_stats(fit_rows(feats)), binding_coefficients(spark, sf_dir, feats)
 
-
-def calibration(spark: SparkSession, sf_dir: str, n_bins: int = 30, by=None) -> DataFrame:
-    preds = network_predictions(spark, sf_dir)
-    return scoring.calibration_bins(preds, "predicted_outbreak_probability", "outbreak_start",
-                                    n_bins, by)

@@ -3,11 +3,13 @@
 Written independently of the Spark operators, directly from the operator
 definitions, as chains of CTEs over the driver's tables.  Every integer
 output is BIGINT and every double is rounded to 4 places, like the Spark
-side (see ``registry._final``).
+side (see ``registry.comparable``).
 """
 
 from __future__ import annotations
 
+import re
+
 from ..functions import constants as K
 from ..sources import bindings as B
 
@@ -28,12 +30,15 @@ def case_map(expr: str, mapping: dict, quote_keys: bool = True) -> str:
 
 
 def with_(ctes: list[tuple[str, str]], final: str) -> str:
-    seen, parts = set(), []
+    bodies = {}
     for name, body in ctes:
-        if name in seen:
-            continue
-        seen.add(name)
-        parts.append(f"{name} AS (\n{body}\n)")
+        bodies.setdefault(name, body)
+    whole = "\n".join([*bodies.values(), final])
+    parts = []
+    for name, body in bodies.items():
+        # a table used more than once is computed once
+        used = len(re.findall(rf"(?:FROM|JOIN|,)\s+{name}\b", whole))
+        parts.append(f"{name} AS {'MATERIALIZED ' if used > 1 else ''}(\n{body}\n)")
     return "WITH " + ",\n".join(parts) + "\n" + final
 
 

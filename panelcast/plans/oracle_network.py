@@ -25,7 +25,8 @@ def events_ctes():
         ("b2", """
 SELECT CAST(o.o_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS report_id,
        o.o_orderkey AS outbreak_thread_id, n.n_name AS country_iso3c,
-       o.o_orderpriority || '/' || c.c_mktsegment AS disease,
+       CASE WHEN o.o_orderkey % 53 = 0 THEN 'local_' || lower(n.n_name)
+            ELSE 'brand_number_' || CAST((o.o_custkey * 5 + o.o_orderkey) % 25 + 1 AS VARCHAR) END AS disease,
        (o.o_orderkey % 13 = 0) AS is_aquatic,
        CAST(o.o_orderdate AS DATE) + CAST(10 * l.l_linenumber AS INTEGER) AS report_date,
        CASE WHEN o.o_orderkey % 11 = 0 THEN NULL ELSE CAST(o.o_orderdate AS DATE) END AS start_d,
@@ -156,8 +157,8 @@ SELECT CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) A
        CAST(l.l_quantity AS INTEGER) % 3 AS killed_and_disposed,
        CASE WHEN l.l_linenumber % 2 = 0 THEN NULL ELSE 1 END AS slaughtered_for_commercial_use,
        CAST(l.l_shipdate AS DATE) AS outbreak_start_date,
-       CAST((l.l_suppkey * 37) % 120 - 60 AS DOUBLE) AS latitude,
-       CAST((l.l_suppkey * 53) % 340 - 170 AS DOUBLE) AS longitude,
+       CAST((l.l_orderkey * 37) % 120 - 60 + (l.l_linenumber * 7) % 5 * 0.1 AS DOUBLE) AS latitude,
+       CAST((l.l_orderkey * 53) % 340 - 170 + (l.l_linenumber * 3) % 7 * 0.1 AS DOUBLE) AS longitude,
        l.l_orderkey AS orderkey
 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey""")
 

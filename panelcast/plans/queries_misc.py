@@ -16,6 +16,7 @@ from . import nowcast as N
 from . import oracle as O
 from . import oracle_network as ON
 from .registry import register
+from .stages import stage
 
 SPLIT_END_YEAR = 2030
 SPLIT_END_MONTH = dt.date(2030, 11, 1)
@@ -86,7 +87,7 @@ def split_attach(spark, sf_dir):
 @register("training_rows")
 def training_rows(spark, sf_dir):
     """Nowcast feature rows of the training set."""
-    feats = N.nowcast_features(spark, sf_dir)
+    feats = stage(spark, sf_dir, "nowcast_features", lambda: N.nowcast_features(spark, sf_dir))
     return splits.training_rows(splits.attach_split(feats, _nowcast_split(spark, sf_dir), K.NOWCAST_KEY))
 
 
@@ -102,7 +103,7 @@ def bootstrap_validation(spark, sf_dir):
     """Bootstrap resample of the scored validation rows."""
     scored = N.scored_baseline(spark, sf_dir)
     val = splits.validation_rows(splits.attach_split(scored, _nowcast_split(spark, sf_dir), K.NOWCAST_KEY))
-    return splits.bootstrap(val, seed=42)
+    return splits.bootstrap(val, K.NOWCAST_KEY, seed=42)
 
 
 ROLL_COLS = K.NOWCAST_KEY + ["cases", "disease_status", "control_measures"]

@@ -51,9 +51,9 @@ def boosted_status(spark, sf_dir):
 
 @register("boosted_cases")
 def boosted_cases(spark, sf_dir):
-    """L3: case regression (log10 scale, back-transformed) on validation rows with cases."""
+    """L3: case regression (log10 scale, back-transformed) on all validation rows."""
     st, cs = _hurdle(spark, sf_dir)
-    val = models.cases_training_rows(_validation(spark, sf_dir))
+    val = _validation(spark, sf_dir)  # every row; the training filter is no filter of what is predicted
     pred = cs.model.transform(models.recipe_columns(val))
     return pred.select(*KEY, "cases", F.bround(F.pow(F.lit(10.0), F.col("prediction")), 0).alias(
         "cases_predicted_unhurdled"))
@@ -109,18 +109,18 @@ def correct_starts(spark, sf_dir):
 
 @register("feature_importance")
 def feature_importance(spark, sf_dir):
-    """V8: top-12 gain importances of the status model."""
-    st, _ = _hurdle(spark, sf_dir)
-    rows = models.feature_importance(st, 12)
-    return spark.createDataFrame(rows, "feature string, importance double")
+    """V8: top-12 gain importances of the status and the cases model."""
+    rows = [(name, *r) for name, m in zip(("disease_status", "cases"), _hurdle(spark, sf_dir))
+            for r in models.feature_importance(m, 12)]
+    return spark.createDataFrame(rows, "model string, feature string, importance double")
 
 
 @register("partial_dependence")
 def partial_dependence(spark, sf_dir):
-    """V9: mean status probability as last period's cases varies."""
+    """V9: mean status probability by disease as last period's cases varies, with its effect."""
     st, _ = _hurdle(spark, sf_dir)
     return models.partial_dependence(st, _validation(spark, sf_dir), "cases_lag1",
-                                     [0, 1, 10, 100, 1000], KEY)
+                                     [0, 1, 10, 100, 1000], ["disease"])
 
 
 @register("permutation_importance")

@@ -18,7 +18,8 @@ LINK = ON.LINK_VARS
 IDS = ["country_iso3c", "disease", "month", "outbreak_start", "endemic", "outbreak_ongoing",
        "predicted_outbreak_probability"]
 HIGHLIGHT = ["NATION_1", "NATION_2"]  # countries highlighted in the risk series (feature parameter)
-PRIORITY_PREFIX = "1-URGENT/"  # binding's priority diseases for Y5
+PRIORITY_PREFIX = "brand_number_1"  # binding's priority diseases for Y5
+PRIORITY = ["brand_number_1", "brand_number_10", "brand_number_11", "brand_number_12"]  # default diseases of the attribution read
 
 
 def _tables(spark, sf_dir):
@@ -149,6 +150,22 @@ def origin_import_risk(spark, sf_dir):
     return A.origin_import_risk(_by_origin(spark, sf_dir))
 
 
+@register(
+    "origin_import_risk_current",
+    _with(RISK_SQL, f"""SELECT month, disease, country, country_iso3c, country_origin, country_origin_iso3c,
+       round(predicted_outbreak_probability, 4) AS predicted_outbreak_probability,
+       round(contribution_to_import_risk, 4) AS contribution_to_import_risk FROM risk
+WHERE disease IN {O.in_list(PRIORITY)} AND month = CAST(date_trunc('month', {ON.AS_OF}) AS DATE)"""),
+)
+def origin_import_risk_current(spark, sf_dir):
+    """Y3 + Y4 + G1 with the read's own defaults: priority diseases, current month, largest risk first."""
+    _, scaling, coefs = NW.network_model_tables(spark, sf_dir)
+    by_o = NW.network_predictions(spark, sf_dir, by_origin=True)
+    importance = A.variable_importance_by_origin(
+        by_o, coefs, scaling, B.countries(spark, sf_dir), LINK, diseases=PRIORITY, months=[B.AS_OF.replace(day=1)])
+    return A.origin_import_risk(importance)
+
+
 @register(
     "top_origins",
     _with(RISK_SQL, """SELECT * FROM (

@@ -1,8 +1,9 @@
 """Registered queries: name -> (Spark builder, DuckDB oracle SQL or None).
 
-Each Spark builder takes (spark, sf_dir) and returns a lazy DataFrame over
-the whole input tables.  ``_final`` normalises output types the same way
-the oracle SQL does (integers -> bigint, doubles rounded to 4 places).
+Each Spark builder takes (spark, sf_dir) and returns a DataFrame over the
+whole input tables; calling it may write stages and fit parameters.
+``comparable`` gives a query's result the way its oracle SQL does (integers
+-> bigint, doubles rounded to 4 places); the queries themselves don't round.
 """
 
 from __future__ import annotations
@@ -19,19 +20,27 @@ ORACLES: dict[str, str] = {}
 
 def register(name: str, oracle: str | None = None):
     def deco(fn):
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return _final(fn(spark, sf_dir))
-
-        run.__name__ = fn.__name__
-        run.__doc__ = fn.__doc__
-        QUERIES[name] = run
+        QUERIES[name] = fn
         if oracle is not None:
             ORACLES[name] = oracle
-        return run
+        return fn
 
     return deco
 
 
+def comparable(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    """The query with integers as bigint and doubles rounded to 4 places, as its SQL gives them."""
+    query = QUERIES[name]
+    if name not in ORACLES:
+        return query
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _final(query(spark, sf_dir))
+
+    run.__name__, run.__doc__ = query.__name__, query.__doc__
+    return run
+
+
 def _final(df: DataFrame) -> DataFrame:
     cols = []
     for f in df.schema.fields:

@@ -43,6 +43,9 @@ def get_spark(
     return spark
 
 
+_STAGES: list[str] = []
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
@@ -68,16 +71,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def materialize(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared checkpoint dir.
-
-    Used before iterative jobs (model fits) so that a lost executor replays
-    from the checkpoint, not from the raw scan.
-    """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
-
-
 def write_stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
@@ -90,8 +83,20 @@ def write_stage(df: DataFrame, name: str) -> DataFrame:
     base = checkpoint_dir(df.sparkSession).rstrip("/")
     path = f"{base}/panelcast-stages/{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
+    _STAGES.append(path)
     return df.sparkSession.read.parquet(path)
 
 
+def drop_stages(spark: SparkSession) -> None:
+    """Delete the stages that this process has written; frames over them can't be read any more.
+
+    For long-lived sessions, after a result has been stored.
+    """
+    hadoop, jvm = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm
+    while _STAGES:
+        path = jvm.org.apache.hadoop.fs.Path(_STAGES.pop())
+        path.getFileSystem(hadoop).delete(path, True)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")

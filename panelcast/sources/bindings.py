@@ -36,6 +36,8 @@ B1_TAXA_MERGE = {"economy": "economy/promo", "promo": "economy/promo"}
 B1_TAXA_LIST = ["standard", "economy/promo", "medium", "large"]
 B1_TAXA_DROP: list[str] = []
 
+B2_LOCAL = 53  # orders whose key is a multiple report their country's own disease
+
 PREDICTOR_VARS = [
     "continent",
     "log_gdp_dollars",
@@ -96,9 +98,9 @@ def outbreak_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B2: outbreak event reports, one per lineitem, thread = order."""
     o = read_table(
         spark, sf_dir, "orders",
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority",
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate",
     )
-    c = read_table(spark, sf_dir, "customer", "c_custkey", "c_nationkey", "c_mktsegment")
+    c = read_table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
     n = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name")
     li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber")
     df = (
@@ -116,7 +118,10 @@ def outbreak_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("report_type"),
         F.col("n_name").alias("country"),
         F.col("n_name").alias("country_iso3c"),
-        F.concat_ws("/", "o_orderpriority", "c_mktsegment").alias("disease"),
+        # the nowcast family's recoded names, and one disease of each country alone
+        F.when(k % B2_LOCAL == 0, F.concat(F.lit("local_"), F.lower("n_name")))
+        .otherwise(F.concat(F.lit("brand_number_"), ((F.col("o_custkey") * 5 + k) % 25 + 1).cast("string")))
+        .alias("disease"),
         (k % 13 == 0).alias("is_aquatic"),
         F.date_add(od, F.col("l_linenumber") * 10).alias("report_date"),
         F.when(k % 11 == 0, F.lit(None).cast("date")).otherwise(od).alias("date_of_start_of_the_event"),
@@ -292,8 +297,9 @@ def outbreak_points(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(ln % 2 == 0, F.lit(None).cast("int")).otherwise(F.lit(1)).alias(
             "slaughtered_for_commercial_use"),
         F.to_date("l_shipdate").alias("outbreak_start_date"),
-        ((F.col("l_suppkey") * 37) % 120 - 60).cast("double").alias("latitude"),
-        ((F.col("l_suppkey") * 53) % 340 - 170).cast("double").alias("longitude"),
+        # a thread's outbreaks lie within about 60 km of each other
+        ((F.col("l_orderkey") * 37) % 120 - 60 + (ln * 7) % 5 * 0.1).cast("double").alias("latitude"),
+        ((F.col("l_orderkey") * 53) % 340 - 170 + (ln * 3) % 7 * 0.1).cast("double").alias("longitude"),
     )
 
 

@@ -15,15 +15,12 @@ import time
 
 import duckdb
 
-TABLES = [
-    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
-]
-
-
 def duck(sf_dir: str):
     con = duckdb.connect()
-    for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    for file in sorted(os.listdir(sf_dir)):
+        t = file.removesuffix(".parquet")
+        part = "/*.parquet" if os.path.isdir(f"{sf_dir}/{file}") else ""
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{file}{part}')")
     return con
 
 
