@@ -1,15 +1,18 @@
 """Mixed-effects logistic regression as iterated Spark aggregates.
 
 Model: logit P(y=1) = b0 + sum_k u[g, k] * x_k with a fixed intercept b0 and
-independent random slopes u[g, k] ~ N(0, s2_k) per group g (the disease) -
-the shape of ``y ~ (0 + x1 | g) + (0 + x2 | g) + ...``.
-
-Each iteration is ONE Spark job: the current slopes (one small row per
-group) are broadcast-joined to the (weight-compressed) design, and a single
-``groupBy(group)`` returns per group the weighted cross-products X'WX and
-X'(y - p) (k x k + k numbers).  The driver then takes a penalised Newton
-step per group (a k x k solve), a Newton step for b0 and an EM/Laplace
-update of the variances.  Driver state is bounded by groups x k^2.
+random slopes u[g] ~ N(0, D) per group g (the disease).  D is diagonal but
+for one optional block of correlated slopes (the continent levels) - the
+shape of ``y ~ (0 + x1 | g) + ... + (0 + continent | g)``.
+
+Each iteration is one aggregate over the (weight-compressed) design, joined
+to the current slopes on the group: per group it gives the weighted
+cross-products X'WX and X'(y - p).  The groups' k x k systems are solved on
+the executors and written as the next state; the driver sees only totals
+over all groups, from which it takes the joint Newton step of the intercept
+and updates D (EM with the posterior covariances).  The fit has converged
+when the Laplace log-likelihood stands still.  A constant predictor carries
+no information: it gets slope and variance 0.
 """
 
 from __future__ import annotations
@@ -17,11 +20,11 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-MAX_GROUPS = 100_000
+from ..session import write_stage
 
 
 @dataclass
@@ -29,18 +32,26 @@ class MixedLogitFit:
     group_col: str
     predictors: list[str]
     intercept: float
-    slopes: dict  # group -> np.ndarray(k)
-    variances: np.ndarray
+    slope_frame: DataFrame  # (group, u): slopes in the order of ``predictors``
+    covariance: np.ndarray
+    block: list[str]
     loglik_conditional: float
     loglik_laplace: float
     n_obs: float
     iterations: int
     converged: bool
+    constant: list[str] = field(default_factory=list)
     history: list = field(default_factory=list)
 
+    @property
+    def variances(self) -> np.ndarray:
+        return np.diag(self.covariance)
+
     @property
     def n_params(self) -> int:
-        return 1 + len(self.predictors)
+        """Intercept, one variance per independent slope, the block's covariances."""
+        b = len(self.block)
+        return 1 + len(self.predictors) - b + b * (b + 1) // 2
 
     def aic(self) -> float:
         return -2 * self.loglik_laplace + 2 * self.n_params
@@ -50,15 +61,12 @@ class MixedLogitFit:
 
     def coefficients(self, spark: SparkSession) -> DataFrame:
         """Long table (group, variable, coef) incl. the fixed intercept."""
-        rows = [("(fixed)", "(Intercept)", float(self.intercept))]
-        for g, u in sorted(self.slopes.items(), key=lambda t: str(t[0])):
-            rows += [(str(g), v, float(c)) for v, c in zip(self.predictors, u)]
-        schema = T.StructType([
-            T.StructField(self.group_col, T.StringType()),
-            T.StructField("variable", T.StringType()),
-            T.StructField("coef", T.DoubleType()),
-        ])
-        return spark.createDataFrame(rows, schema)
+        fixed = spark.range(1).select(
+            F.lit("(fixed)").alias(self.group_col), F.lit("(Intercept)").alias("variable"),
+            F.lit(float(self.intercept)).alias("coef"))
+        names = F.array(*[F.lit(v) for v in self.predictors])
+        slopes = self.slope_frame.select(self.group_col, F.explode(F.arrays_zip(names.alias("v"), F.col("u").alias("u"))).alias("s"))
+        return fixed.unionByName(slopes.select(self.group_col, F.col("s.v").alias("variable"), F.col("s.u").alias("coef")))
 
     def variance_table(self, spark: SparkSession) -> DataFrame:
         rows = [(v, float(s)) for v, s in zip(self.predictors, self.variances)]
@@ -75,35 +83,51 @@ class MixedLogitFit:
         )
 
 
-def _slope_frame(spark, group_col, predictors, slopes) -> DataFrame:
-    schema = T.StructType(
-        [T.StructField(group_col, T.StringType())]
-        + [T.StructField(f"_u{i}", T.DoubleType()) for i in range(len(predictors))]
-    )
-    rows = [(str(g), *[float(x) for x in u]) for g, u in slopes.items()]
-    return spark.createDataFrame(rows, schema)
-
+def predict(df: DataFrame, fit: MixedLogitFit, out_col: str = "predicted_outbreak_probability"):
+    """Probability; null where a predictor is null (incomplete row).
 
-def linear_predictor(df: DataFrame, fit: MixedLogitFit, slope_frame: DataFrame | None = None):
-    """Join the per-group slopes (a bounded, broadcast table) and return df + eta."""
-    sf = slope_frame if slope_frame is not None else _slope_frame(
-        df.sparkSession, fit.group_col, fit.predictors, fit.slopes)
-    j = df.withColumn("_g", F.col(fit.group_col).cast("string")).join(
-        F.broadcast(sf.withColumnRenamed(fit.group_col, "_g")), on="_g", how="left")
+    A group without slopes is predicted from the intercept alone.
+    """
+    slopes = fit.slope_frame.select(F.col(fit.group_col).alias("_g"), F.col("u").alias("_u"))
+    j = df.join(slopes, F.col(fit.group_col).cast("string") == F.col("_g"), "left")
     eta = F.lit(float(fit.intercept))
+    complete = F.lit(True)
     for i, v in enumerate(fit.predictors):
-        eta = eta + F.coalesce(F.col(f"_u{i}"), F.lit(0.0)) * F.col(v).cast("double")
-    return j, eta
+        eta = eta + F.coalesce(F.col("_u")[i], F.lit(0.0)) * F.col(v).cast("double")
+        complete = complete & F.col(v).isNotNull()
+    return j.withColumn(out_col, F.when(complete, 1 / (1 + F.exp(-eta)))).drop("_g", "_u")
 
 
-def predict(df: DataFrame, fit: MixedLogitFit, out_col: str = "predicted_outbreak_probability"):
-    """Probability; null where a predictor is null (incomplete row)."""
-    j, eta = linear_predictor(df, fit)
-    complete = F.lit(True)
-    for v in fit.predictors:
-        complete = complete & F.col(v).isNotNull()
-    return j.withColumn(out_col, F.when(complete, 1 / (1 + F.exp(-eta)))).drop(
-        "_g", *[f"_u{i}" for i in range(len(fit.predictors))])
+_STATE = "g string, u array<double>, s array<double>, t array<double>, v array<double>, " \
+         "g0 double, h0 double, ll double, cs double, ct double, pen double, logdet double, n long"
+
+
+def _solver(k: int, pairs: list, precision: np.ndarray, max_step: float):
+    """Newton quantities of each group's penalised system, for a batch of groups at once."""
+
+    def run(batches):
+        for pdf in batches:
+            m = len(pdf)
+            if not m:
+                continue
+            u = np.array(pdf["u"].tolist(), dtype=float).reshape(m, k)
+            h = np.zeros((m, k, k))
+            for a, b in pairs:
+                h[:, a, b] = h[:, b, a] = pdf[f"h{a}_{b}"].fillna(0.0)
+            g, c = (np.stack([pdf[f"{x}{a}"].fillna(0.0) for a in range(k)], axis=1).reshape(m, k) for x in ("grad", "cross"))
+            a_mat = h + precision
+            inverse = np.linalg.inv(a_mat)
+            s = np.einsum("mij,mj->mi", inverse, g - u @ precision)
+            norm = np.abs(s).max(axis=1, initial=0.0)
+            s *= np.minimum(1.0, max_step / np.maximum(norm, 1e-12))[:, None]
+            t = np.einsum("mij,mj->mi", inverse, c)
+            yield pd.DataFrame({
+                "g": pdf["g"], "u": list(u), "s": list(s), "t": list(t), "v": list(inverse.reshape(m, -1)),
+                "g0": pdf["g0"], "h0": pdf["h0"], "ll": pdf["ll"], "cs": (c * s).sum(axis=1), "ct": (c * t).sum(axis=1),
+                "pen": np.einsum("mi,ij,mj->m", u, precision, u), "logdet": np.linalg.slogdet(a_mat)[1], "n": 1,
+            })
+
+    return run
 
 
 def fit_mixed_logit(
@@ -112,126 +136,101 @@ def fit_mixed_logit(
     y_col: str = "outbreak_start",
     group_col: str = "disease",
     weight_col: str | None = "count",
-    max_iter: int = 30,
+    block: list[str] | None = None,
+    max_iter: int = 60,
     tol: float = 1e-6,
     min_variance: float = 1e-6,
     max_step: float = 5.0,
 ) -> MixedLogitFit:
-    """Penalised IRLS (PQL-style) with Laplace variance updates; see module doc.
+    """Penalised IRLS with EM variance updates; see module doc.
 
-    ``design`` should be materialised (a written stage): each iteration
-    re-reads it.
+    ``block`` names the predictors whose slopes are correlated.  ``design``
+    should be materialised (a written stage): each iteration re-reads it.
     """
-    spark = design.sparkSession
-    k = len(predictors)
-    w0 = F.col(weight_col).cast("double") if weight_col else F.lit(1.0)
-    y = F.col(y_col).cast("double")
+    block = list(block or [])
     base = design.select(
-        F.col(group_col).cast("string").alias(group_col),
-        y.alias("_y"), w0.alias("_w0"),
+        F.col(group_col).cast("string").alias("g"), F.col(y_col).cast("double").alias("_y"),
+        (F.col(weight_col).cast("double") if weight_col else F.lit(1.0)).alias("_w0"),
         *[F.col(v).cast("double").alias(f"_x{i}") for i, v in enumerate(predictors)],
     ).dropna()
-    tot = base.agg(F.sum("_w0").alias("n"), F.sum(F.col("_w0") * F.col("_y")).alias("s")).first()
+    spread = [F.max(f"_x{i}") - F.min(f"_x{i}") for i in range(len(predictors))]
+    tot = base.agg(F.sum("_w0").alias("n"), F.sum(F.col("_w0") * F.col("_y")).alias("s"),
+                   *[e.alias(f"d{i}") for i, e in enumerate(spread)]).first()
     n_obs, n_pos = float(tot["n"] or 0.0), float(tot["s"] or 0.0)
     if n_obs == 0:
         raise ValueError("empty design")
-    groups = [r[0] for r in base.select(group_col).distinct().limit(MAX_GROUPS + 1).collect()]
-    if len(groups) > MAX_GROUPS:
-        raise ValueError("too many groups for a per-group Newton step")
+    live = [i for i in range(len(predictors)) if tot[f"d{i}"]]
+    k = len(live)
+    xs = [F.col(f"_x{i}") for i in live]
+    blocked = [j for j, i in enumerate(live) if predictors[i] in block]
+    pairs = [(a, b) for a in range(k) for b in range(a, k)]
+    free = [(a, b) for a, b in pairs if a == b or (a in blocked and b in blocked)]
     p0 = min(max(n_pos / n_obs, 1e-6), 1 - 1e-6)
-    b0 = float(np.log(p0 / (1 - p0)))
-    slopes = {g: np.zeros(k) for g in groups}
-    s2 = np.ones(k)
-    pairs = [(i, j) for i in range(k) for j in range(i, k)]
-    history = []
-    converged = False
-    it = 0
-    ll_cond = float("nan")
-    stats = {}
+    b0, cov = float(np.log(p0 / (1 - p0))), np.eye(k)
+    slopes = base.select("g").distinct().withColumn("u", F.array(*[F.lit(0.0)] * k).cast("array<double>"))
+    history, converged, last = [], False, None
     for it in range(1, max_iter + 1):
-        sf = _slope_frame(spark, group_col, predictors, slopes)
-        j = base.join(F.broadcast(sf), on=group_col, how="left")
         eta = F.lit(b0)
-        for i in range(k):
-            eta = eta + F.coalesce(F.col(f"_u{i}"), F.lit(0.0)) * F.col(f"_x{i}")
-        j = j.withColumn("_eta", eta).withColumn("_p", 1 / (1 + F.exp(-F.col("_eta"))))
-        wv = F.col("_w0") * F.col("_p") * (1 - F.col("_p"))
-        r = F.col("_w0") * (F.col("_y") - F.col("_p"))
-        ll = F.col("_w0") * (
-            F.col("_y") * F.log(F.greatest(F.col("_p"), F.lit(1e-300)))
-            + (1 - F.col("_y")) * F.log(F.greatest(1 - F.col("_p"), F.lit(1e-300)))
-        )
-        aggs = [F.sum(wv * F.col(f"_x{a}") * F.col(f"_x{b}")).alias(f"h{a}_{b}") for a, b in pairs]
-        aggs += [F.sum(r * F.col(f"_x{a}")).alias(f"g{a}") for a in range(k)]
-        aggs += [F.sum(r).alias("g0"), F.sum(wv).alias("h0"), F.sum(ll).alias("ll")]
-        rows = j.groupBy(group_col).agg(*aggs).collect()
-        stats = {}
-        g0 = h0 = 0.0
-        ll_cond = 0.0
-        for row in rows:
-            H = np.zeros((k, k))
-            for a, b in pairs:
-                H[a, b] = H[b, a] = row[f"h{a}_{b}"] or 0.0
-            g = np.array([row[f"g{a}"] or 0.0 for a in range(k)])
-            stats[row[group_col]] = (H, g)
-            g0 += row["g0"] or 0.0
-            h0 += row["h0"] or 0.0
-            ll_cond += row["ll"] or 0.0
-        Dinv = np.diag(1.0 / s2)
-        max_delta = 0.0
-        post_var = np.zeros(k)
-        for gk, (H, g) in stats.items():
-            u = slopes[gk]
-            A = H + Dinv
-            step = np.linalg.solve(A, g - Dinv @ u)
-            norm = np.max(np.abs(step)) if k else 0.0
-            if norm > max_step:
-                step *= max_step / norm
-            slopes[gk] = u + step
-            max_delta = max(max_delta, norm)
-            post_var += np.diag(np.linalg.inv(A))
-        db0 = g0 / h0 if h0 > 0 else 0.0
-        b0 += float(np.clip(db0, -max_step, max_step))
-        m = max(len(stats), 1)
-        s2 = np.maximum(
-            (sum(slopes[g] ** 2 for g in stats) + post_var) / m if stats else s2, min_variance)
-        history.append((it, ll_cond, max_delta, abs(db0)))
-        if max(max_delta, abs(db0)) < tol:
-            converged = True
+        for a in range(k):
+            eta = eta + F.col("u")[a] * xs[a]
+        p = 1 / (1 + F.exp(-F.col("_eta")))
+        j = base.join(slopes, "g").withColumn("_eta", eta).withColumn("_p", p)
+        j = j.withColumn("_w", F.col("_w0") * F.col("_p") * (1 - F.col("_p"))).withColumn("_r", F.col("_w0") * (F.col("_y") - F.col("_p")))
+        ll = F.col("_w0") * (F.col("_y") * F.log(F.greatest("_p", F.lit(1e-300)))
+                             + (1 - F.col("_y")) * F.log(F.greatest(1 - F.col("_p"), F.lit(1e-300))))
+        sums = [F.sum(F.col("_w") * xs[a] * xs[b]).alias(f"h{a}_{b}") for a, b in pairs]
+        sums += [F.sum(F.col("_r") * xs[a]).alias(f"grad{a}") for a in range(k)]
+        sums += [F.sum(F.col("_w") * xs[a]).alias(f"cross{a}") for a in range(k)]
+        sums += [F.sum("_r").alias("g0"), F.sum("_w").alias("h0"), F.sum(ll).alias("ll")]
+        per_group = j.groupBy("g", "u").agg(*sums)
+        state = write_stage(
+            per_group.mapInPandas(_solver(k, pairs, np.linalg.inv(cov), max_step), _STATE), "mixed_state")
+        moments = [F.sum(F.col("u")[a] * F.col("u")[b] + F.col("v")[a * k + b]).alias(f"m{a}_{b}") for a, b in free]
+        total = state.agg(*[F.sum(c).alias(c) for c in ("g0", "h0", "ll", "cs", "ct", "pen", "logdet", "n")], *moments).first()
+        m = total["n"]
+        laplace = total["ll"] - 0.5 * (total["pen"] + m * np.linalg.slogdet(cov)[1] + total["logdet"])
+        history.append((it, float(total["ll"]), float(laplace)))
+        converged = last is not None and abs(laplace - last) <= tol * (abs(laplace) + 1)
+        if converged or it == max_iter:
             break
-    # Laplace approximation of the marginal log-likelihood at the mode
-    Dinv = np.diag(1.0 / s2)
-    ll_lap = ll_cond
-    for gk, (H, _) in stats.items():
-        u = slopes[gk]
-        _, logdet_a = np.linalg.slogdet(H + Dinv)
-        ll_lap += -0.5 * (u @ Dinv @ u) - 0.5 * float(np.sum(np.log(s2))) - 0.5 * logdet_a
-    return MixedLogitFit(group_col, list(predictors), b0, slopes, s2, ll_cond, ll_lap, n_obs, it,
-                         converged, history)
+        last = laplace
+        denominator = total["h0"] - total["ct"]
+        db0 = float(np.clip((total["g0"] - total["cs"]) / denominator if denominator > 0 else 0.0, -max_step, max_step))
+        b0 += db0
+        slopes = state.select("g", F.zip_with("u", F.zip_with("s", "t", lambda s, t: s - t * db0), lambda u, d: u + d).alias("u"))
+        if it > 2:  # the first steps move far from the start; their moments would mislead D
+            cov = np.zeros((k, k))
+            for a, b in free:
+                cov[a, b] = cov[b, a] = total[f"m{a}_{b}"] / m
+            values, vectors = np.linalg.eigh(cov)
+            cov = (vectors * np.maximum(values, min_variance)) @ vectors.T
+    place = {i: j for j, i in enumerate(live)}
+    whole = F.array(*[F.col("u")[place[i]] if i in place else F.lit(0.0) for i in range(len(predictors))]).cast("array<double>")
+    full = np.zeros((len(predictors), len(predictors)))
+    full[np.ix_(live, live)] = cov
+    return MixedLogitFit(
+        group_col, list(predictors), b0, state.select(F.col("g").alias(group_col), whole.alias("u")), full,
+        [predictors[live[j]] for j in blocked], float(total["ll"]), float(laplace), n_obs, it, bool(converged),
+        [predictors[i] for i in range(len(predictors)) if i not in place], history)
 
 
 # ---- persistence (A7) --------------------------------------------------------------------
 def save_fit(fit: MixedLogitFit, spark: SparkSession, path: str) -> None:
-    """Coefficients, variances and fit metadata as Parquet tables (any Hadoop URI)."""
-    fit.coefficients(spark).write.mode("overwrite").parquet(f"{path}/coefficients")
-    fit.variance_table(spark).write.mode("overwrite").parquet(f"{path}/variances")
-    meta = [(fit.group_col, ",".join(fit.predictors), float(fit.loglik_conditional),
-             float(fit.loglik_laplace), float(fit.n_obs), int(fit.iterations), bool(fit.converged))]
-    spark.createDataFrame(meta, "group_col string, predictors string, ll_cond double, ll_lap double, "
-                                "n_obs double, iterations int, converged boolean") \
-        .write.mode("overwrite").parquet(f"{path}/meta")
+    """Slopes, covariance and fit metadata as Parquet tables (any Hadoop URI)."""
+    fit.slope_frame.write.mode("overwrite").parquet(f"{path}/slopes")
+    meta = [(fit.group_col, list(fit.predictors), float(fit.intercept), fit.covariance.reshape(-1).tolist(), list(fit.block),
+             float(fit.loglik_conditional), float(fit.loglik_laplace), float(fit.n_obs), int(fit.iterations),
+             bool(fit.converged), list(fit.constant))]
+    spark.createDataFrame(
+        meta, "group_col string, predictors array<string>, intercept double, covariance array<double>, block array<string>, "
+              "ll_cond double, ll_lap double, n_obs double, iterations int, converged boolean, constant array<string>",
+    ).write.mode("overwrite").parquet(f"{path}/meta")
 
 
 def load_fit(spark: SparkSession, path: str) -> MixedLogitFit:
     m = spark.read.parquet(f"{path}/meta").first()
-    preds = m["predictors"].split(",") if m["predictors"] else []
-    coefs = spark.read.parquet(f"{path}/coefficients").collect()
-    b0 = [r["coef"] for r in coefs if r["variable"] == "(Intercept)"][0]
-    slopes: dict = {}
-    for r in coefs:
-        if r["variable"] == "(Intercept)":
-            continue
-        slopes.setdefault(r[m["group_col"]], np.zeros(len(preds)))[preds.index(r["variable"])] = r["coef"]
-    var = {r["variable"]: r["variance"] for r in spark.read.parquet(f"{path}/variances").collect()}
-    return MixedLogitFit(m["group_col"], preds, float(b0), slopes, np.array([var[p] for p in preds]),
-                         m["ll_cond"], m["ll_lap"], m["n_obs"], m["iterations"], m["converged"])
+    k = len(m["predictors"])
+    return MixedLogitFit(
+        m["group_col"], list(m["predictors"]), m["intercept"], spark.read.parquet(f"{path}/slopes"),
+        np.array(m["covariance"]).reshape(k, k), list(m["block"]), m["ll_cond"], m["ll_lap"], m["n_obs"],
+        m["iterations"], m["converged"], list(m["constant"]))

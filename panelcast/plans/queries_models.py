@@ -10,7 +10,7 @@ from ..operators import mixed, models, scoring, splits
 from ..sources import bindings as B
 from . import network as NW
 from . import nowcast as N
-from .queries_misc import _nowcast_split
+from .queries_misc import _nowcast_split, split_monthly
 from .registry import register
 from .stages import stage
 
@@ -134,12 +134,29 @@ def permutation_importance(spark, sf_dir):
 
 
 # ---- mixed-effects network model -------------------------------------------------------
+def _network_training(spark, sf_dir):
+    """S3 + S4 + L9: fitting rows of the network family's training set."""
+    def build():
+        split = split_monthly(spark, sf_dir)
+        key = ["country_iso3c", "disease", "month"]
+        feats = splits.attach_split(NW.network_features(spark, sf_dir), split, key)
+        return NW.fit_rows(splits.training_rows(feats))
+
+    return stage(spark, sf_dir, "network_training", build)
+
+
+def _network_scaling(spark, sf_dir):
+    """Scaling values of the training rows; fitting and prediction share them."""
+    k = (spark.sparkContext.applicationId, sf_dir, "scaling")
+    if k not in _FITS:
+        _FITS[k] = NW.Scaling.from_table(NW.scaling_stats(_network_training(spark, sf_dir)))
+    return _FITS[k]
+
+
 def _design(spark, sf_dir, predictors):
-    """Standardised fitting rows + continent one-hot, weight-compressed."""
+    """Standardised training rows + continent one-hot, weight-compressed."""
     def build():
-        feats = NW.network_features(spark, sf_dir)
-        rows = NW.fit_rows(feats)
-        z = NW.standardise_with(rows, NW.scaling_stats(rows))
+        z = NW.standardise_with(_network_training(spark, sf_dir), _network_scaling(spark, sf_dir))
         levels = sorted(r[0] for r in z.select("continent").distinct().collect() if r[0] is not None)
         z = z.withColumns({f"continent{c}": (F.col("continent") == c).cast("double") for c in levels})
         cols = ["disease", "outbreak_start", *NW.SCALED, *[f"continent{c}" for c in levels]]
@@ -155,7 +172,8 @@ def _mixed(spark, sf_dir, baseline: bool = False):
     if k not in _FITS:
         preds = ["continent", "disease_present_anywhere"] if baseline else B.PREDICTOR_VARS
         d, cols = _design(spark, sf_dir, preds)
-        _FITS[k] = mixed.fit_mixed_logit(d, cols, "outbreak_start", "disease", "count", max_iter=25)
+        continents = [c for c in cols if c.startswith("continent")]  # one correlated block
+        _FITS[k] = mixed.fit_mixed_logit(d, cols, "outbreak_start", "disease", "count", block=continents)
     return _FITS[k]
 
 
@@ -175,9 +193,7 @@ def mixed_logit_variances(spark, sf_dir):
 def mixed_logit_predict(spark, sf_dir):
     """Outbreak-start probability from the fitted mixed model, every cell."""
     fit = _mixed(spark, sf_dir)
-    feats = NW.network_features(spark, sf_dir)
-    rows = NW.fit_rows(feats)
-    z = NW.standardise_with(feats, NW.scaling_stats(rows))
+    z = NW.standardise_with(NW.network_features(spark, sf_dir), _network_scaling(spark, sf_dir))
     conts = [p for p in fit.predictors if p.startswith("continent")]
     z = z.withColumns({c: (F.col("continent") == c[len("continent"):]).cast("double") for c in conts})
     return mixed.predict(z, fit).select("country_iso3c", "disease", "month", "predicted_outbreak_probability")

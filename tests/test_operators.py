@@ -227,9 +227,83 @@ def test_mixed_logit_recovers_slopes(spark):
         y = rng.random(600) < p
         rows += [(g, bool(yy), float(a), float(b), 1) for yy, (a, b) in zip(y, x)]
     df = spark.createDataFrame(rows, "disease string, y boolean, x1 double, x2 double, count long")
-    fit = fit_mixed_logit(df, ["x1", "x2"], "y", "disease", "count", max_iter=30)
-    est = np.array([fit.slopes[g] for g in groups]).ravel()
+    fit = fit_mixed_logit(df, ["x1", "x2"], "y", "disease", "count")
+    assert fit.converged
+    slopes = {r.disease: r.u for r in fit.slope_frame.collect()}
+    est = np.array([slopes[g] for g in groups]).ravel()
     tru = np.array([true[g] for g in groups]).ravel()
     assert np.corrcoef(est, tru)[0, 1] > 0.95
     assert abs(fit.intercept + 0.5) < 0.3
     assert fit.aic() > 0
+
+
+def test_mixed_logit_block_and_constant_predictor(spark):
+    """A correlated block is recovered; a constant predictor gets slope and variance 0."""
+    from panelcast.operators.mixed import fit_mixed_logit, predict
+
+    rng = np.random.default_rng(11)
+    cov = np.array([[1.0, 0.8], [0.8, 1.0]])
+    rows = []
+    for g in range(40):
+        u = rng.multivariate_normal([0, 0], cov)
+        x = rng.normal(size=(250, 2))
+        p = 1 / (1 + np.exp(-(-0.3 + x @ u)))
+        rows += [(f"g{g}", bool(rng.random() < q), float(a), float(b), 2.0, 1) for q, (a, b) in zip(p, x)]
+    df = spark.createDataFrame(rows, "disease string, y boolean, a double, b double, c double, count long")
+    fit = fit_mixed_logit(df, ["a", "b", "c"], "y", "disease", "count", block=["a", "b"])
+    assert fit.converged and fit.constant == ["c"] and fit.covariance[2, 2] == 0
+    corr = fit.covariance[0, 1] / np.sqrt(fit.covariance[0, 0] * fit.covariance[1, 1])
+    assert 0.5 < corr < 0.97 and fit.n_params == 1 + 1 + 3
+    out = predict(df, fit)
+    assert out.count() == len(rows) and out.where("predicted_outbreak_probability is null").count() == 0
+
+
+def test_bounding_radius_by_group_size(spark):
+    """0 for one point, half the distance for two, the enclosing circle beyond; hot groups by hulls."""
+    from panelcast.operators.spatial import bounding_radius
+
+    rows = [("one", 10.0, 20.0), ("one", 10.0, 20.0), ("two", 50.0, 8.0), ("two", 50.1, 8.0)]
+    rows += [("ring", 45 + 0.1 * np.sin(t), 9 + 0.1 * np.cos(t) / np.cos(np.radians(45))) for t in np.linspace(0, 6.28, 50)]
+    df = spark.createDataFrame([(k, float(a), float(b)) for k, a, b in rows], "k string, latitude double, longitude double")
+    for per_task in (200_000, 7):
+        got = {r.k: r.outbreak_radius for r in bounding_radius(df, ["k"], points_per_task=per_task).collect()}
+        assert got["one"] == 0.0
+        assert abs(got["two"] - 0.05 * 111_229) < 30  # 0.1 degree of latitude at 50 N
+        assert abs(got["ring"] - 11_120) < 60
+
+
+def test_calibration_edges_are_exact(spark):
+    from panelcast.operators.scoring import calibration_bins
+
+    rng = np.random.default_rng(5)
+    p = np.round(rng.random(997), 2)
+    df = spark.createDataFrame([(float(x), bool(rng.random() < x), "g" if i % 3 else None) for i, x in enumerate(p)],
+                               "p double, y boolean, g string").repartition(5)
+    got = sorted((r.bin, r.n, r.pred_min, r.pred_max) for r in calibration_bins(df, "p", "y", 10).collect())
+    s = np.sort(p)
+    edges = sorted({s[int(np.ceil(i / 10 * len(s))) - 1] for i in range(1, 10)})
+    bins = np.searchsorted(edges, p, side="left")
+    assert got == [(b, int((bins == b).sum()), p[bins == b].min(), p[bins == b].max()) for b in sorted(set(bins))]
+    by = calibration_bins(df, "p", "y", 3, ["g"]).groupBy("g").agg(F.sum("n").alias("n")).collect()
+    assert {r.g: r.n for r in by} == {"g": sum(i % 3 > 0 for i in range(997)), None: 333}
+
+
+def test_bootstrap_depends_on_keys_only(spark):
+    from panelcast.operators.splits import bootstrap
+
+    df = spark.range(4000).withColumnRenamed("id", "k")
+    a = sorted(r.k for r in bootstrap(df, ["k"], 3).collect())
+    assert a == sorted(r.k for r in bootstrap(df.repartition(13), ["k"], 3).collect())
+    assert 3700 < len(a) < 4300 and len(set(a)) < 2700
+
+
+def test_cross_validation_with_more_folds(spark):
+    """Five folds are run (the default of the tuner is three)."""
+    from panelcast.operators import models
+
+    rng = np.random.default_rng(1)
+    rows = [(i, "d", "t", f"c{i % 3}", "x", "p", 1 + i % 2, 2000, int(rng.random() < 0.5), float(rng.random())) for i in range(200)]
+    df = spark.createDataFrame(rows, "id int, disease string, taxa string, country_iso3c string, continent string, "
+                                     "disease_population string, report_semester int, report_year int, disease_status int, v double")
+    fit = models.fit_status_model(df, ["id"], folds=5, max_iters=(2,), depths=(2,), parallelism=1)
+    assert len(fit.cv_table) == 1 and 0 <= fit.cv_table[0][1] <= 1
