@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import write_stage
@@ -173,8 +173,19 @@ def _pair_filter(percent: int):
     return (F.col("shared") + rest) * (100 + percent) >= need
 
 
-def _sizes_fit(percent: int):
-    return 100 * F.least("n1", "n2") >= percent * F.greatest("n1", "n2")
+def _place_fits(percent: int):
+    """Bound on the overlap of a pair, seen from one shingle that both prefixes share.
+
+    ``pos`` is its place in a prefix, ``rank`` the number of shingles before it
+    that other prefixes have too.  A common shingle that stands before it is in
+    both prefixes, so there are ``rank`` of them at most in either; all other
+    common ones stand at it or after it.  A pair that fails at any shared
+    shingle can't reach the threshold.
+    """
+    sizes = 100 * F.least("n1", "n2") >= percent * F.greatest("n1", "n2")
+    after = F.least(F.col("n1") - F.col("pos1"), F.col("n2") - F.col("pos2"))
+    overlap = F.least("rank1", "rank2") + after
+    return sizes & (overlap * (100 + percent) >= (F.col("n1") + F.col("n2")) * percent)
 
 
 def jaccard_components(
@@ -210,10 +221,11 @@ def jaccard_components(
         usable.groupBy("grp", "sig", "n").agg(F.min("doc_id").alias("id"), F.count("*").alias("docs")), "jaccard-nodes"
     )
     groups = usable.groupBy("grp", "n").agg(F.min("doc_id").alias("gid"), F.any_value("prefix").alias("prefix"))
-    index = groups.select("gid", "n", "grp", F.explode("prefix").alias("token"))
-    index = write_stage(index.select("token", "gid", "n"), "jaccard-index")
+    index = write_stage(groups.select("gid", "n", F.posexplode("prefix").alias("pos", "token")), "jaccard-index")
     several = index.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1").select("token")
-    shared = write_stage(index.join(several, "token", "left_semi"), "jaccard-shared")
+    within = Window.partitionBy("gid").orderBy("pos")  # a prefix at most
+    shared = index.join(several, "token", "left_semi").withColumn("rank", F.row_number().over(within) - 1)
+    shared = write_stage(shared, "jaccard-shared")
     members = nodes.join(nodes.groupBy("grp").agg(F.min("id").alias("gid"), F.count("*").alias("size")), "grp")
     members = write_stage(members.select("gid", "id", "n", "size"), "jaccard-members")
 
@@ -232,11 +244,12 @@ def jaccard_components(
 
     # first pass: each group with the least group of each shared shingle, each member with its group's first
     least = shared.groupBy("token").agg(F.min("gid").alias("b"))
-    least = least.join(shared.select("token", F.col("gid").alias("b"), F.col("n").alias("n2")), ["token", "b"])
+    second = [F.col(c).alias(f"{c}2") for c in ("n", "pos", "rank")]
+    least = least.join(shared.select("token", F.col("gid").alias("b"), *second), ["token", "b"])
     stars = (
-        shared.select("token", F.col("gid").alias("a"), F.col("n").alias("n1"))
+        shared.select("token", F.col("gid").alias("a"), *[F.col(c).alias(f"{c}1") for c in ("n", "pos", "rank")])
         .join(least, "token")
-        .filter((F.col("a") > F.col("b")) & _sizes_fit(percent))
+        .filter((F.col("a") > F.col("b")) & _place_fits(percent))
         .groupBy("a", "b", "n1", "n2")
         .agg(F.count("*").alias("shared"))
         .filter(_pair_filter(percent))
@@ -250,9 +263,11 @@ def jaccard_components(
     placed = (
         members.join(roots, "id", "left").select("gid", "id", "n", "size", F.coalesce("root", "id").alias("root"))
     )
-    rows = shared.select("token", "gid").join(placed, "gid").select("token", "id", "n", "root")
-    rows = rows.withColumn("whole", F.lit(False)).unionByName(
-        placed.filter("size > 1").select(F.xxhash64("gid").alias("token"), "id", "n", "root", F.lit(True).alias("whole"))
+    rows = shared.select("token", "gid", "pos", "rank").join(placed, "gid")
+    rows = rows.select("token", "id", "n", "root", "pos", "rank", F.lit(False).alias("whole")).unionByName(
+        placed.filter("size > 1").select(  # members of one group meet at their first shingle, their group's key
+            F.xxhash64("gid").alias("token"), "id", "n", "root", F.lit(0).alias("pos"), F.lit(0).alias("rank"), F.lit(True).alias("whole")
+        )
     )
     key = ["whole", "token"]
     mixed = rows.groupBy(*key).agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select(*key)
@@ -260,13 +275,15 @@ def jaccard_components(
     main = rows.groupBy(*key, "root").agg(F.count("*").alias("c"))
     main = main.groupBy(*key).agg(F.max(F.struct("c", "root")).alias("m")).select(*key, F.col("m.root").alias("main"))
     rows = write_stage(rows.join(main, key), "jaccard-sides")
-    left = rows.filter("root <> main").select(*key, F.col("id").alias("a"), F.col("n").alias("n1"), F.col("root").alias("r1"))
+    left = rows.filter("root <> main").select(
+        *key, F.col("id").alias("a"), F.col("root").alias("r1"), *[F.col(c).alias(f"{c}1") for c in ("n", "pos", "rank")]
+    )
     right = rows.select(
-        *key, F.col("id").alias("b"), F.col("n").alias("n2"), F.col("root").alias("r2"), (F.col("root") == F.col("main")).alias("in_main")
+        *key, F.col("id").alias("b"), F.col("root").alias("r2"), (F.col("root") == F.col("main")).alias("in_main"), *second
     )
     rest = (
         left.join(right, key)
-        .filter((F.col("r1") != F.col("r2")) & (F.col("in_main") | (F.col("a") < F.col("b"))) & _sizes_fit(percent))
+        .filter((F.col("r1") != F.col("r2")) & (F.col("in_main") | (F.col("a") < F.col("b"))) & _place_fits(percent))
         .groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.greatest("n1", "n2").alias("n1"), F.least("n1", "n2").alias("n2"))
         .agg(F.count("*").alias("shared"), F.max("whole").alias("whole"))
         .filter(F.col("whole") | _pair_filter(percent))
