@@ -137,8 +137,8 @@ def fit_mixed_logit(
     group_col: str = "disease",
     weight_col: str | None = "count",
     block: list[str] | None = None,
-    max_iter: int = 60,
-    tol: float = 1e-6,
+    max_iter: int = 100,
+    tol: float = 1e-5,
     min_variance: float = 1e-6,
     max_step: float = 5.0,
 ) -> MixedLogitFit:
@@ -166,7 +166,7 @@ def fit_mixed_logit(
     pairs = [(a, b) for a in range(k) for b in range(a, k)]
     free = [(a, b) for a, b in pairs if a == b or (a in blocked and b in blocked)]
     p0 = min(max(n_pos / n_obs, 1e-6), 1 - 1e-6)
-    b0, cov = float(np.log(p0 / (1 - p0))), np.eye(k)
+    b0, cov = float(np.log(p0 / (1 - p0))), 0.1 * np.eye(k)
     slopes = base.select("g").distinct().withColumn("u", F.array(*[F.lit(0.0)] * k).cast("array<double>"))
     history, converged, last = [], False, None
     for it in range(1, max_iter + 1):
@@ -199,10 +199,10 @@ def fit_mixed_logit(
         b0 += db0
         slopes = state.select("g", F.zip_with("u", F.zip_with("s", "t", lambda s, t: s - t * db0), lambda u, d: u + d).alias("u"))
         if it > 2:  # the first steps move far from the start; their moments would mislead D
-            cov = np.zeros((k, k))
+            new = np.zeros((k, k))
             for a, b in free:
-                cov[a, b] = cov[b, a] = total[f"m{a}_{b}"] / m
-            values, vectors = np.linalg.eigh(cov)
+                new[a, b] = new[b, a] = total[f"m{a}_{b}"] / m
+            values, vectors = np.linalg.eigh(new)
             cov = (vectors * np.maximum(values, min_variance)) @ vectors.T
     place = {i: j for j, i in enumerate(live)}
     whole = F.array(*[F.col("u")[place[i]] if i in place else F.lit(0.0) for i in range(len(predictors))]).cast("array<double>")
