@@ -150,7 +150,7 @@ class FactorisationMachine:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_label: int = PER_LABEL, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars") -> FactorisationMachine | None:
-    """Model from labelled rows that are not held out; None when there are none of either label."""
+    """Model from labelled rows that are not held out; None without documents of both labels."""
     known = labels.filter(~held_out("doc_id") & F.col(label).isNotNull())
     known = known.select(F.col("doc_id").alias("__id"), F.col(label).cast("int").alias("__label")).distinct()
     counts = {r["__label"]: r["count"] for r in known.groupBy("__label").count().collect()}
@@ -172,6 +172,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_label: i
                 )
 
     found = rows.mapInArrow(extract, "id long, label int, x binary").toPandas().sort_values(["id", "label", "x"])
+    if set(found["label"]) != {0, 1}:
+        return None
     x = np.stack([np.frombuffer(v, dtype=np.float16) for v in found["x"]]).astype(np.float32)
     y = found["label"].to_numpy()
     taken = {k: max(1, int((y == k).sum())) for k in counts}

@@ -212,7 +212,7 @@ def learn_stems(rows: DataFrame, label: str = "__label") -> list[str]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_label: int = PER_LABEL, id_col: str = "doc_id", text_col: str = "text") -> ToxicityModel | None:
-    """Lexicon and pattern weights from labelled rows that are not held out; None without both labels."""
+    """Lexicon and pattern weights from labelled rows that are not held out; None without documents of both."""
     known = labels.filter(~held_out("doc_id") & F.col(label).isNotNull())
     known = known.select(F.col("doc_id").alias("__id"), F.col(label).cast("int").alias("__label")).distinct()
     counts = {r["__label"]: r["count"] for r in known.groupBy("__label").count().collect()}
@@ -232,6 +232,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_label: int
 
     # equal pattern vectors are one row with a count
     found = rows.mapInArrow(extract, "label int, x array<double>").groupBy("label", "x").count().toPandas()
+    if set(found["label"]) != {0, 1}:
+        return None
     found = found.assign(key=found["x"].map(tuple)).sort_values(["label", "key"])
     x, y = np.array(found["key"].tolist()), found["label"].to_numpy()
     taken = {k: max(1, int(found.loc[found["label"] == k, "count"].sum())) for k in counts}
