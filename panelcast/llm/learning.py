@@ -37,22 +37,22 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -40, 40)))
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, l2: float = 1e-5, rounds: int = 300, floor: float | None = None) -> tuple[np.ndarray, np.ndarray]:
+def fit_logistic(x: np.ndarray, y: np.ndarray, l2: float = 1e-5, rounds: int = 120, floor: float | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Weights and biases of independent logistic models, one per column of ``y`` (0/1).
 
     Accelerated full-batch descent with the step of the data's own curvature
     bound.  ``floor`` bounds all weights from below.
     """
     n, d = x.shape
-    w, b = np.zeros((d, y.shape[1])), np.zeros(y.shape[1])
-    step = 4.0 / max(1.0, float((x.astype(np.float64) ** 2).sum(axis=1).mean()) + 1.0)
+    w, b = np.zeros((d, y.shape[1]), dtype=x.dtype), np.zeros(y.shape[1])
+    step = 4.0 / max(1.0, float(np.einsum("ij,ij->i", x, x).mean()) + 1.0)
     vw, vb, t = w, b, 1.0
     for _ in range(rounds):
-        error = (sigmoid(x @ vw + vb) - y) / n
+        error = ((sigmoid(x @ vw + vb) - y) / n).astype(x.dtype)  # products stay in the type of ``x``
         nw, nb = vw - step * (x.T @ error + l2 * vw), vb - step * error.sum(axis=0)
         if floor is not None:
             nw = np.maximum(nw, floor)
         nt = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        vw, vb = nw + (t - 1) / nt * (nw - w), nb + (t - 1) / nt * (nb - b)
+        vw, vb = nw + float((t - 1) / nt) * (nw - w), nb + (t - 1) / nt * (nb - b)
         w, b, t = nw, nb, nt
     return w, b
