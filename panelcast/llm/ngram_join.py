@@ -4,7 +4,8 @@ A document's set holds its distinct word shingles.  All sets are ordered by one
 global order, rarest shingles first.  Two sets that reach the threshold share a
 shingle in their prefixes, the first ``n - ceil(t n) + 1`` shingles.  Documents
 with the same prefix and size form one group; only groups are indexed and
-paired, with filters on size, position and number of shared prefix shingles.
+paired, with filters on size, position, parity bitmaps of 512 bits and number
+of shared prefix shingles; all are upper bounds of the overlap.
 What passes is expanded to members and verified on the whole sets.
 
 The result asked for is components, so pairs that other links already join are
@@ -37,6 +38,8 @@ SHINGLE = 4
 PERCENT = 85  # link when 100 * intersection >= PERCENT * union
 SKETCH_BITS = (20, 24)  # cells of the sketch: at most 16 MB broadcast
 _BLOCK_BITS = 16  # sketch cells that travel in one row
+_PARITY = 8  # longs of a set's parity bitmap: 512 bits
+_PARITY_COLUMNS = [f"b{i}" for i in range(_PARITY)]
 
 
 def _sets(part: textcore.Words, width: int) -> Iterator[np.ndarray]:
@@ -97,11 +100,17 @@ def frequency_classes(texts: DataFrame, width: int, bits: int) -> np.ndarray:
 
 
 def _prefixes(width: int, percent: int, classes):
-    """Per document: set size, digest of the set, digest of (prefix, size), prefix."""
+    """Per document: set size, digest of the set, digest of (prefix, size), prefix, parity bitmap."""
     schema = pa.schema(
         [("doc_id", pa.int64()), ("n", pa.int64()), ("sig", pa.binary()), ("grp", pa.binary()), ("prefix", pa.list_(pa.int64()))]
+        + [(c, pa.int64()) for c in _PARITY_COLUMNS]
     )
 
+    def parity(values: np.ndarray) -> np.ndarray:
+        """Bit i is the parity of the number of shingles that hash to i."""
+        cells = np.bincount((values >> np.uint64(55)).astype(np.int64), minlength=_PARITY * 64) & 1
+        return np.packbits(cells.astype(np.uint8)).view(np.int64)
+
     def digest(*parts: bytes) -> bytes:
         return hashlib.blake2b(b"".join(parts), digest_size=16).digest()
 
@@ -109,7 +118,7 @@ def _prefixes(width: int, percent: int, classes):
         table = classes.value
         for batch in batches:
             for part in textcore.words(batch.column(1), lower=True):
-                sizes, sigs, groups, prefixes = [], [], [], []
+                sizes, sigs, groups, prefixes, bits = [], [], [], [], []
                 for values in _sets(part, width):
                     n = len(values)
                     order = (table[values & np.uint64(len(table) - 1)].astype(np.uint64) << np.uint64(56)) | (
@@ -121,6 +130,7 @@ def _prefixes(width: int, percent: int, classes):
                     sigs.append(digest(values.tobytes()))
                     groups.append(digest(n.to_bytes(8, "little"), prefix.tobytes()))
                     prefixes.append(prefix)
+                    bits.append(parity(values))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(part.first, len(sizes)),
@@ -131,6 +141,7 @@ def _prefixes(width: int, percent: int, classes):
                             np.cumsum([0, *map(len, prefixes)], dtype=np.int32),
                             pa.array(np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)),
                         ),
+                        *[pa.array(column) for column in np.stack(bits).T.copy()],
                     ],
                     schema=schema,
                 )
@@ -142,26 +153,10 @@ def _contents(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in textcore.words(batch.column(1), lower=True):
-                data = [values.tobytes() for values in _sets(part, width)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(part.first, len(data)), pa.array(data, pa.binary())], names=["id", "shingles"]
-                )
-
-    return run
-
-
-def _linked(percent: int):
-    """Pairs whose whole sets reach the threshold."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ok = np.zeros(len(batch), dtype=bool)
-            for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
-                x = np.frombuffer(x.as_buffer(), dtype=np.uint64)
-                y = np.frombuffer(y.as_buffer(), dtype=np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                ok[i] = 100 * both >= percent * (len(x) + len(y) - both)
-            yield batch.select([0, 1]).filter(pa.array(ok))
+                sets = [values.view(np.int64) for values in _sets(part, width)]
+                ends = np.cumsum([0, *map(len, sets)], dtype=np.int32)
+                lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(sets)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(part.first, len(sets)), lists], names=["id", "shingles"])
 
     return run
 
@@ -173,6 +168,13 @@ def _pair_filter(percent: int):
     return (F.col("shared") + rest) * (100 + percent) >= need
 
 
+def _parity_fits(percent: int):
+    """Bound on the overlap from parity bitmaps: each bit that differs is a shingle of one set alone."""
+    apart = sum((F.bit_count(F.col(f"{c}1").bitwiseXOR(F.col(f"{c}2"))) for c in _PARITY_COLUMNS), F.lit(0))
+    total = F.col("n1") + F.col("n2")
+    return (total - apart) * (100 + percent) >= 2 * percent * total
+
+
 def _place_fits(percent: int):
     """Bound on the overlap of a pair, seen from one shingle that both prefixes share.
 
@@ -207,18 +209,19 @@ def jaccard_components(
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     volume = texts.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    bits = min(SKETCH_BITS[1], max(SKETCH_BITS[0], int(volume // 6 // 32).bit_length()))
+    bits = min(SKETCH_BITS[1], max(SKETCH_BITS[0], int(volume // 6 // 64).bit_length()))
     classes = spark.sparkContext.broadcast(frequency_classes(texts.select("text"), width, bits))
     sets = write_stage(
         texts.mapInArrow(
-            _prefixes(width, percent, classes), "doc_id long, n long, sig binary, grp binary, prefix array<long>"
+            _prefixes(width, percent, classes), f"doc_id long, n long, sig binary, grp binary, prefix array<long>, {' long, '.join(_PARITY_COLUMNS)} long"
         ),
         "jaccard-sets",
     )
     usable = sets.filter("n > 0 and doc_id is not null")
     # one node per distinct set (its smallest id), one group per prefix and size
     nodes = write_stage(
-        usable.groupBy("grp", "sig", "n").agg(F.min("doc_id").alias("id"), F.count("*").alias("docs")), "jaccard-nodes"
+        usable.groupBy("grp", "sig", "n", *_PARITY_COLUMNS).agg(F.min("doc_id").alias("id"), F.count("*").alias("docs")),
+        "jaccard-nodes",
     )
     groups = usable.groupBy("grp", "n").agg(F.min("doc_id").alias("gid"), F.any_value("prefix").alias("prefix"))
     index = write_stage(groups.select("gid", "n", F.posexplode("prefix").alias("pos", "token")), "jaccard-index")
@@ -227,20 +230,22 @@ def jaccard_components(
     shared = index.join(several, "token", "left_semi").withColumn("rank", F.row_number().over(within) - 1)
     shared = write_stage(shared, "jaccard-shared")
     members = nodes.join(nodes.groupBy("grp").agg(F.min("id").alias("gid"), F.count("*").alias("size")), "grp")
-    members = write_stage(members.select("gid", "id", "n", "size"), "jaccard-members")
+    members = write_stage(members.select("gid", "id", "n", "size", *_PARITY_COLUMNS), "jaccard-members")
 
     def verified(pairs: DataFrame) -> DataFrame:
         pairs = write_stage(pairs.select("a", "b"), "jaccard-pairs")
         ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
         ids = write_stage(ids, "jaccard-ids")
         contents = write_stage(
-            texts.join(ids, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_contents(width), "id long, shingles binary"),
+            texts.join(ids, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_contents(width), "id long, shingles array<long>"),
             "jaccard-contents",
         )
         x = contents.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
         y = contents.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
-        both = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
-        return write_stage(both.mapInArrow(_linked(percent), "a long, b long").distinct(), "jaccard-links")
+        common = F.size(F.array_intersect("x", "y"))
+        both = pairs.join(x, "a").join(y, "b").select("a", "b", common.alias("common"), (F.size("x") + F.size("y")).alias("total"))
+        linked = both.filter(F.col("common") * (100 + percent) >= F.col("total") * percent)
+        return write_stage(linked.select("a", "b").distinct(), "jaccard-links")
 
     # first pass: each group with the least group of each shared shingle, each member with its group's first
     least = shared.groupBy("token").agg(F.min("gid").alias("b"))
@@ -261,12 +266,12 @@ def jaccard_components(
 
     # second pass: all candidate pairs that still lie in different components
     placed = (
-        members.join(roots, "id", "left").select("gid", "id", "n", "size", F.coalesce("root", "id").alias("root"))
+        members.join(roots, "id", "left").select("gid", "id", "n", "size", F.coalesce("root", "id").alias("root"), *_PARITY_COLUMNS)
     )
     rows = shared.select("token", "gid", "pos", "rank").join(placed, "gid")
-    rows = rows.select("token", "id", "n", "root", "pos", "rank", F.lit(False).alias("whole")).unionByName(
+    rows = rows.select("token", "id", "n", "root", "pos", "rank", *_PARITY_COLUMNS, F.lit(False).alias("whole")).unionByName(
         placed.filter("size > 1").select(  # members of one group meet at their first shingle, their group's key
-            F.xxhash64("gid").alias("token"), "id", "n", "root", F.lit(0).alias("pos"), F.lit(0).alias("rank"), F.lit(True).alias("whole")
+            F.xxhash64("gid").alias("token"), "id", "n", "root", F.lit(0).alias("pos"), F.lit(0).alias("rank"), *_PARITY_COLUMNS, F.lit(True).alias("whole")
         )
     )
     key = ["whole", "token"]
@@ -276,14 +281,15 @@ def jaccard_components(
     main = main.groupBy(*key).agg(F.max(F.struct("c", "root")).alias("m")).select(*key, F.col("m.root").alias("main"))
     rows = write_stage(rows.join(main, key), "jaccard-sides")
     left = rows.filter("root <> main").select(
-        *key, F.col("id").alias("a"), F.col("root").alias("r1"), *[F.col(c).alias(f"{c}1") for c in ("n", "pos", "rank")]
+        *key, F.col("id").alias("a"), F.col("root").alias("r1"), *[F.col(c).alias(f"{c}1") for c in ("n", "pos", "rank", *_PARITY_COLUMNS)]
     )
+    second = [F.col(c).alias(f"{c}2") for c in ("n", "pos", "rank", *_PARITY_COLUMNS)]
     right = rows.select(
         *key, F.col("id").alias("b"), F.col("root").alias("r2"), (F.col("root") == F.col("main")).alias("in_main"), *second
     )
     rest = (
         left.join(right, key)
-        .filter((F.col("r1") != F.col("r2")) & (F.col("in_main") | (F.col("a") < F.col("b"))) & _place_fits(percent))
+        .filter((F.col("r1") != F.col("r2")) & (F.col("in_main") | (F.col("a") < F.col("b"))) & _place_fits(percent) & _parity_fits(percent))
         .groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.greatest("n1", "n2").alias("n1"), F.least("n1", "n2").alias("n2"))
         .agg(F.count("*").alias("shared"), F.max("whole").alias("whole"))
         .filter(F.col("whole") | _pair_filter(percent))
