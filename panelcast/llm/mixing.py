@@ -136,6 +136,6 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "so
     docs = docs.drop("mix_taken")
     mix = mix_sources(docs, id_col=id_col, source_col=source_col, **options).filter("taken > 0")
     mix = mix.groupBy(F.col("doc_id").alias("__id"), F.col("source").alias("__source")).agg(F.max("taken").alias("mix_taken"))
-    mix = write_stage(mix, "mix-taken")
+    mix = write_stage(mix, "mix-taken").hint("merge")  # a row per document: never one to broadcast
     same = docs[id_col].eqNullSafe(mix["__id"]) & docs[source_col].cast("string").eqNullSafe(mix["__source"])
     return docs.join(mix, same).select(*[docs[c] for c in docs.columns], mix["mix_taken"])
