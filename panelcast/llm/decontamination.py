@@ -27,31 +27,66 @@ UNITS = (
     "cent cents percent pct mph kmh kb mb gb tb"
 ).split()
 
+SHORTEST_INSIDE = 4  # tokens; an item of fewer is matched by whole texts only
+
 _NAME, _NUMBER, _UNIT = "\u0002", "\u0003", "\u0004"
+_CAPITAL, _POINT = "\u0005", "\u0006"  # a capitalised word that is no name by its place; a separator inside a number
+_BARE = f"[{_NAME}{_NUMBER}{_UNIT}]"
 
 
-def _tokens(text: Column) -> Column:
-    """Struct (raw, template): aligned token arrays of one text.
+def _tokenised(rows: DataFrame, text: str, keep: list[str], shortest: int) -> DataFrame:
+    """``keep`` with the aligned token arrays raw, template and named of a text column, and bare.
 
-    A name is a capitalised word after a lower-case letter or a comma and one
-    space, so not at a sentence's start.  Everything but letters and digits separates tokens.
+    In ``template`` a name is a capitalised word after a lower-case letter or a comma
+    and one space, so not at a sentence's start; ``named`` has the same names.
+    Everything else but letters and digits separates tokens.  ``bare`` says whether
+    ``shortest`` placeholders stand in a row.
     """
-    text = F.regexp_replace(F.coalesce(text, F.lit("")), "[\u0002\u0003\u0004]", " ")
-    marked = F.regexp_replace(text, r"([\p{Ll},] )(\p{Lu}\p{Ll})", f"$1{_NAME}$2")
-    plain = F.trim(F.regexp_replace(F.lower(marked), r"[^\p{L}\p{M}\p{N}" + _NAME + "]+", " "))
-    named = F.regexp_replace(plain, f"{_NAME}[^ ]+", _NAME)
-    numbered = F.regexp_replace(named, r"(?<![^ ])\p{N}+(?![^ ])", _NUMBER)
-    template = F.regexp_replace(numbered, f"(?<={_NUMBER} )(?:{'|'.join(UNITS)})(?![^ ])", _UNIT)
-    return F.struct(
-        F.split(F.regexp_replace(plain, _NAME, ""), " ").alias("raw"), F.split(template, " ").alias("template")
+    units = "|".join(UNITS)
+    clean = F.regexp_replace(F.coalesce(F.col(text), F.lit("")), "[\u0002-\u0006]", " ")
+    marked = F.regexp_replace(clean, r"([\p{Ll},] )(\p{Lu}\p{Ll})", f"$1{_NAME}$2")
+    plain = F.trim(F.regexp_replace(F.lower(marked), r"[^\p{L}\p{M}\p{N}" + _NAME + _CAPITAL + _POINT + "]+", " "))
+    number = r"(?=\p{N})(?<![^ ])(\p{N}[\p{N}" + _POINT + "]*+)"
+    typed = F.regexp_replace("__plain", f"{number}(?![^ ])", _NUMBER)
+    typed = F.regexp_replace(typed, f"{_NUMBER} {_CAPITAL}?(?:{units})(?![^ ])", f"{_NUMBER} {_UNIT}")
+    template = F.regexp_replace(F.replace("__typed", F.lit(_CAPITAL), F.lit("")), f"{_NAME}[^ ]+", _NAME)
+    named = F.regexp_replace("__typed", f"[{_NAME}{_CAPITAL}][^ ]+", _NAME)
+    return (
+        rows.select(*keep, plain.alias("__plain"))
+        .select(*keep, "__plain", typed.alias("__typed"))
+        .select(*keep, "__plain", template.alias("template"), named.alias("named"))
+        .select(
+            *keep,
+            F.split(F.translate("__plain", _NAME + _CAPITAL, ""), " ").alias("raw"),
+            F.split("template", " ").alias("template"),
+            F.split("named", " ").alias("named"),
+            F.col("named").rlike(f"{_BARE}(?: {_BARE}){{{shortest - 1}}}").alias("bare"),
+        )
     )
 
 
-def _windows(template: Column, width: int) -> Column:
-    """Array of the hashes of all windows; a shorter text is one window, an empty one none."""
-    n = F.greatest(F.size(template) - width + 1, F.lit(1))
-    hashes = F.transform(F.sequence(F.lit(1), n), lambda i: F.xxhash64(F.slice(template, i, width)))
-    return F.when(F.element_at(template, 1) == "", F.array().cast("array<bigint>")).otherwise(hashes)
+def _worded(template: Column, at: Column, width: Column) -> Column:
+    return F.exists(F.slice(template, at, width), lambda t: ~t.isin(_NAME, _NUMBER, _UNIT))
+
+
+def _windows(template: Column, width: int | Column, everywhere: bool = True) -> Column:
+    """Array of the hashes of all windows, none in a shorter or empty text; of placeholders alone, the raw values'."""
+    width = F.lit(width) if isinstance(width, int) else width
+    size = F.size(template)
+    at = F.sequence(F.lit(1), size - width + 1)
+    hashes = F.transform(at, lambda i: F.xxhash64(F.slice(template, i, width)))
+    checked = F.transform(
+        at,
+        lambda i: F.when(_worded(template, i, width), F.xxhash64(F.slice(template, i, width))).otherwise(
+            F.xxhash64(F.slice("raw", i, width), F.lit(1))
+        ),
+    )
+    fits = (size >= width) if everywhere else (size == width)
+    return (
+        F.when((F.element_at(template, 1) == "") | ~fits, F.array().cast("array<bigint>"))
+        .when(F.col("bare"), checked)
+        .otherwise(hashes)
+    )
 
 
 def find_leaks(
@@ -68,103 +103,154 @@ def find_leaks(
 
     ``matched`` counts the item's distinct windows that the document has at one
     alignment or several with consistent slots, ``exact`` those with the same
-    values too.  Windows of only placeholders match nothing by themselves.  An
-    item of fewer tokens than a window is matched only by a document of the
-    same template; empty and null texts match nothing.  Rows that repeat an id
-    are one document (or item): their windows count together, equal ones once.
+    values too.
+    Windows of only placeholders match nothing by themselves.  An item of fewer
+    tokens than a window is one shorter window, looked for in all texts; below
+    ``SHORTEST_INSIDE`` tokens, in texts of the same length only.  Empty and
+    null texts match nothing.  Rows that repeat an id are one document (or
+    item): their windows count together, equal ones once.
     Items and documents with a null id are left out (no result could name them).  Empty tables give no rows.
     """
-    items = (
-        benchmark.filter(F.col(item_col).isNotNull())
-        .select(F.col(item_col).alias("item_id"), _tokens(F.col(item_text_col)).alias("t"))
-        .select("item_id", "t.raw", "t.template", _windows(F.col("t.template"), width).alias("w"))
-    )
-    items = write_stage(items, "leak-items")
-    worded = F.transform(
-        "w", lambda h, j: F.exists(F.slice("template", j + 1, width), lambda t: ~t.isin(_NAME, _NUMBER, _UNIT))
+    items = _tokenised(
+        benchmark.filter(F.col(item_col).isNotNull()).select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("text")),
+        "text", ["item_id"], 1,
+    )
+    items = items.withColumn("wd", F.least(F.size("template"), F.lit(width)))
+    items = write_stage(
+        items.withColumn("w0", _windows(F.col("template"), F.col("wd"))).withColumn(
+            "w1", F.when(F.col("named") != F.col("template"), _windows(F.col("named"), F.col("wd"))).otherwise(F.array().cast("array<bigint>"))
+        ),
+        "leak-items",
     )
-    known = items.select("item_id", F.size("w").alias("item_windows"), F.posexplode(F.arrays_zip("w", worded.alias("worded"))).alias("j", "k"))
-    known = write_stage(known.filter("k.worded").select(F.col("k.w").alias("h"), "item_id", "item_windows", "j"), "leak-windows")
+    worded = F.transform("w0", lambda h, j: _worded(F.col("template"), j + 1, F.col("wd")))
+    rows = items.select("item_id", "wd", F.size("w0").alias("item_windows"), worded.alias("worded"), F.explode(
+        F.array(*(F.struct(F.lit(k).alias("k"), F.col(f"w{k}").alias("w")) for k in (0, 1)))).alias("g"))
+    rows = rows.withColumn("item_worded", F.size(F.filter("worded", lambda x: x)))
+    known = rows.select("item_id", "wd", "item_windows", "item_worded", "worded", "g.k", F.posexplode("g.w").alias("j", "h"))
+    known = write_stage(known.withColumn("worded", F.col("worded")[F.col("j")]).filter("worded"), "leak-windows")
+    widths = sorted(r["wd"] for r in known.select("wd").distinct().collect())  # at most ``width`` values
+    if not widths:
+        widths = [width]
     hashes = known.select("h").distinct()
     few = known.count() <= BROADCAST_WINDOWS
     texts = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    places = texts.select("doc_id", _tokens(F.col("text"))["template"].alias("template"))
-    places = places.select("doc_id", F.explode(_windows(F.col("template"), width)).alias("h"))
+
+    def cut(template: str, wd: int) -> Column:
+        return _windows(F.col(template), wd, wd >= min(SHORTEST_INSIDE, width))
+
+    places = _tokenised(texts, "text", ["doc_id"], widths[0])
+    plain = [f"p{wd}" for wd in widths]
+    places = places.select("doc_id", "raw", "named", "bare", *(cut("template", wd).alias(f"p{wd}") for wd in widths))
+    more = [F.array_except(cut("named", wd), F.col(f"p{wd}")) for wd in widths]
+    places = places.select("doc_id", F.explode(F.concat(*plain, *more)).alias("h"))
     # which documents share any window at all: one row per document and hash
     touched = places.join(F.broadcast(hashes) if few else hashes, "h", "left_semi").distinct()
     # distinct windows per item and document, whatever their slots: an upper bound of what can match
+    enough = (F.col("n") >= F.col("item_windows") * coverage) | (
+        (F.col("item_worded") > 0) & (F.col("n_worded") >= F.col("item_worded") * coverage)
+    )
     bound = (
         write_stage(touched, "leak-touched")
-        .join(known.select("h", "item_id", "item_windows", "j").distinct(), "h")
-        .groupBy("doc_id", "item_id", "item_windows")
-        .agg(F.count("*").alias("n"))
-        .filter(F.col("n") >= F.col("item_windows") * coverage)
-        .select("doc_id", "item_id", "item_windows")
+        .join(known.select("h", "item_id", "item_windows", "item_worded", "worded", "j").distinct(), "h")
+        .groupBy("doc_id", "item_id", "item_windows", "item_worded", "j")
+        .agg(F.max("worded").alias("worded"))
+        .groupBy("doc_id", "item_id", "item_windows", "item_worded")
+        .agg(F.count("*").alias("n"), F.count(F.when(F.col("worded"), 1)).alias("n_worded"))
+        .filter(enough)
+        .select("doc_id", "item_id", "item_windows", "item_worded")
     )
     bound = write_stage(bound, "leak-candidates")
     # slots: only candidate documents are read again; windows are cut out of their arrays at matched places only
     chosen = write_stage(bound.select("doc_id").distinct(), "leak-documents")
-    read = write_stage(
-        texts.join(chosen, "doc_id", "left_semi")
-        .select("doc_id", _tokens(F.col("text")).alias("t"))
-        .select("doc_id", "t.raw", "t.template", _windows(F.col("t.template"), width).alias("w")),
-        "leak-read",
-    )
+    read = _tokenised(texts.join(chosen, "doc_id", "left_semi"), "text", ["doc_id"], widths[0])
+    groups = [
+        F.struct(F.lit(k).alias("k"), F.lit(wd).alias("wd"), cut(template, wd).alias("w"))
+        for wd in widths
+        for k, template in enumerate(("template", "named"))
+    ]
+    read = write_stage(read.select("doc_id", "raw", "template", "named", F.array(*groups).alias("groups")), "leak-read")
     matches = (
-        read.select("doc_id", F.posexplode("w").alias("i", "h"))
-        .join(known.select("h", "item_id", "j"), "h")
+        read.select("doc_id", F.explode("groups").alias("g"))
+        .select("doc_id", "g.k", "g.wd", F.posexplode("g.w").alias("i", "h"))
+        .join(known.select("h", "k", "wd", "item_id", "j", "worded"), ["h", "k", "wd"])
         .join(bound, ["doc_id", "item_id"])
-        .select("doc_id", "item_id", "item_windows", "i", "j")
+        .select("doc_id", "item_id", "item_windows", "item_worded", "k", "wd", "i", "j", "worded")
     )
     matches = write_stage(matches.distinct(), "leak-matches")
-    found = read.join(matches.groupBy("doc_id").agg(F.collect_set("i").alias("at")), "doc_id").select(
+    at = F.collect_set(F.struct("k", "wd", "i")).alias("at")
+    found = read.join(matches.groupBy("doc_id").agg(at), "doc_id").select(
         "doc_id",
         F.explode(
             F.transform(
                 "at",
-                lambda i: F.struct(
-                    i.alias("i"), F.slice("raw", i + 1, width).alias("dv"), F.slice("template", i + 1, width).alias("tv")
+                lambda m: F.struct(
+                    m["k"].alias("k"),
+                    m["wd"].alias("wd"),
+                    m["i"].alias("i"),
+                    F.slice("raw", m["i"] + 1, m["wd"]).alias("dv"),
+                    F.slice(F.when(m["k"] == 1, F.col("named")).otherwise(F.col("template")), m["i"] + 1, m["wd"]).alias("tv"),
                 ),
             )
         ).alias("m"),
     )
-    last = F.greatest(F.size("template") - width, F.lit(0))
+    last = F.greatest(F.size("template") - F.col("wd"), F.lit(0))
     values = items.select(
         "item_id",
         F.explode(
-            F.transform(F.sequence(F.lit(0), last), lambda j: F.struct(j.alias("j"), F.slice("raw", j + 1, width).alias("bv")))
+            F.transform(F.sequence(F.lit(0), last), lambda j: F.struct(j.alias("j"), F.slice("raw", j + 1, F.col("wd")).alias("bv")))
         ).alias("m"),
     ).select("item_id", "m.j", "m.bv")
+    place = ["doc_id", "item_id", "k", "shift"]
     pairs = (
-        matches.join(found.select("doc_id", "m.i", "m.dv", "m.tv"), ["doc_id", "i"])
+        matches.join(found.select("doc_id", "m.k", "m.wd", "m.i", "m.dv", "m.tv"), ["doc_id", "k", "wd", "i"])
         .join(values, ["item_id", "j"])
         .withColumn("shift", F.col("i") - F.col("j"))
         .withColumn("same", F.col("dv") == F.col("bv"))
     )
-    pairs = write_stage(pairs.select("doc_id", "item_id", "item_windows", "shift", "j", "same", "dv", "bv", "tv"), "leak-pairs")
+    pairs = write_stage(pairs.select(*place, "item_windows", "item_worded", "j", "worded", "same", "dv", "bv", "tv"), "leak-pairs")
     slots = (
-        pairs.select("doc_id", "item_id", "shift", F.explode(F.arrays_zip("dv", "bv", "tv")).alias("s"))
+        pairs.select(*place, "j", F.explode(F.arrays_zip("dv", "bv", "tv")).alias("s"))
         .filter(F.col("s.tv").isin(_NAME, _NUMBER))
-        .select("doc_id", "item_id", "shift", F.col("s.tv").alias("kind"), F.col("s.dv").alias("dv"), F.col("s.bv").alias("bv"))
-        .distinct()
+        .select(*place, "j", F.col("s.tv").alias("kind"), F.col("s.dv").alias("dv"), F.col("s.bv").alias("bv"))
     )
-    place = ["doc_id", "item_id", "shift"]
     # a value that stands for two others, either way, makes its alignment inconsistent
-    torn = (
-        slots.groupBy(*place, "kind", "bv").agg(F.count("*").alias("c")).filter("c > 1").select(*place)
-        .unionByName(slots.groupBy(*place, "kind", "dv").agg(F.count("*").alias("c")).filter("c > 1").select(*place))
+    clashes = (
+        slots.groupBy(*place, "kind", "bv").agg(F.min("dv").alias("a"), F.max("dv").alias("b")).filter("a <> b").select(*place)
+        .unionByName(slots.groupBy(*place, "kind", "dv").agg(F.min("bv").alias("a"), F.max("bv").alias("b")).filter("a <> b").select(*place))
         .distinct()
     )
-    held = pairs.join(torn.withColumn("torn", F.lit(True)), place, "left").filter(F.col("torn").isNull() | F.col("same"))
+    torn = pairs.join(clashes, place, "left_semi").select(*place, "j").distinct()
+    held = pairs.join(torn.withColumn("torn", F.lit(True)), [*place, "j"], "left").filter(F.col("torn").isNull() | F.col("same"))
+    # the figures are the first template's where it alone names the leak, else those of both
+    held = held.groupBy("doc_id", "item_id", "item_windows", "item_worded", "j").agg(
+        F.max("same").alias("same"),
+        F.max("worded").alias("worded"),
+        F.max(F.col("k") == 0).alias("strict"),
+        F.max((F.col("k") == 0) & F.col("same")).alias("strict_same"),
+    )
+
+    def share(matched: str, worded: str) -> Column:
+        return F.col(matched) / F.col("item_windows")
+
+    def count(*flags: str) -> Column:
+        return F.count(F.when(F.forall(F.array(*flags), lambda x: x), 1))
+
+    alone = F.col("strict_share") >= coverage
     return (
-        held.groupBy("doc_id", "item_id", "item_windows", "j")
-        .agg(F.max("same").alias("same"))
-        .groupBy("doc_id", "item_id", "item_windows")
-        .agg(F.count("*").alias("matched"), F.count(F.when(F.col("same"), 1)).alias("exact"))
-        .withColumn("coverage", F.col("matched") / F.col("item_windows"))
+        held.groupBy("doc_id", "item_id", "item_windows", "item_worded")
+        .agg(
+            F.count("*").alias("all"), count("same").alias("all_same"), count("worded").alias("all_worded"),
+            count("strict").alias("strict"), count("strict_same").alias("strict_same"), count("strict", "worded").alias("strict_worded"),
+        )
+        .withColumn("strict_share", share("strict", "strict_worded"))
+        .select(
+            "doc_id", "item_id", F.col("item_windows").cast("long").alias("item_windows"),
+            F.when(alone, F.col("strict")).otherwise(F.col("all")).alias("matched"),
+            F.when(alone, F.col("strict_same")).otherwise(F.col("all_same")).alias("exact"),
+            F.when(alone, F.col("strict_share")).otherwise(share("all", "all_worded")).alias("coverage"),
+        )
         .filter(F.col("coverage") >= coverage)
-        .select("doc_id", "item_id", F.col("item_windows").cast("long").alias("item_windows"), "matched", "exact", "coverage")
-    )
+    )
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

@@ -67,3 +67,10 @@ def test_empty_tables_and_filter(make_docs, bench):
     docs = make_docs([(1, ITEM), (2, "clean"), (None, "clean too")])
     kept = D.drop_leaks(docs, bench([(1, ITEM)]))
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {2, None}
+
+
+def test_short_items_are_found_inside_longer_texts(make_docs, bench):
+    item = "What is the capital of France?"
+    docs = make_docs([(1, item), (2, "Some words before. " + item + " Paris, of course, and more."), (3, "What is the capital of the firm?")])
+    got = leaks(docs, bench([(1, item), (2, ITEM)]))
+    assert set(got) == {(1, 1), (2, 1)} and got[(2, 1)] == (1, 1, 1)
