@@ -104,7 +104,8 @@ def find_leaks(
     ``matched`` counts the item's distinct windows that the document has at one
     alignment or several with consistent slots, ``exact`` those with the same
     values too.
-    Windows of only placeholders match nothing by themselves.  An item of fewer
+    Windows of only placeholders match by equal values.  ``coverage`` is the
+    share of all windows or, if greater, of those with words.  An item of fewer
     tokens than a window is one shorter window, looked for in all texts; below
     ``SHORTEST_INSIDE`` tokens, in texts of the same length only.  Empty and
     null texts match nothing.  Rows that repeat an id are one document (or
@@ -127,7 +128,7 @@ def find_leaks(
         F.array(*(F.struct(F.lit(k).alias("k"), F.col(f"w{k}").alias("w")) for k in (0, 1)))).alias("g"))
     rows = rows.withColumn("item_worded", F.size(F.filter("worded", lambda x: x)))
     known = rows.select("item_id", "wd", "item_windows", "item_worded", "worded", "g.k", F.posexplode("g.w").alias("j", "h"))
-    known = write_stage(known.withColumn("worded", F.col("worded")[F.col("j")]).filter("worded"), "leak-windows")
+    known = write_stage(known.withColumn("worded", F.col("worded")[F.col("j")]), "leak-windows")
     widths = sorted(r["wd"] for r in known.select("wd").distinct().collect())  # at most ``width`` values
     if not widths:
         widths = [width]
@@ -230,7 +231,8 @@ def find_leaks(
     )
 
     def share(matched: str, worded: str) -> Column:
-        return F.col(matched) / F.col("item_windows")
+        of_worded = F.when(F.col("item_worded") > 0, F.col(worded) / F.col("item_worded"))
+        return F.greatest(F.col(matched) / F.col("item_windows"), of_worded)
 
     def count(*flags: str) -> Column:
         return F.count(F.when(F.forall(F.array(*flags), lambda x: x), 1))

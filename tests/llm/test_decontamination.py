@@ -74,3 +74,12 @@ def test_short_items_are_found_inside_longer_texts(make_docs, bench):
     docs = make_docs([(1, item), (2, "Some words before. " + item + " Paris, of course, and more."), (3, "What is the capital of the firm?")])
     got = leaks(docs, bench([(1, item), (2, ITEM)]))
     assert set(got) == {(1, 1), (2, 1)} and got[(2, 1)] == (1, 1, 1)
+
+
+def test_items_of_many_numbers_are_found(make_docs, bench):
+    series = " ".join(str(2 * n) for n in range(1, 17))
+    item = "Continue the series: " + series
+    docs = make_docs([(1, "Well. " + item + " and so on"), (2, "Continue the series: " + series.replace("2", "3")), (3, "5 6 7 8 9 " * 9), (4, series)])
+    got = leaks(docs, bench([(1, item), (2, series)]))
+    assert {(1, 1), (2, 1), (1, 2), (4, 2)} <= set(got) and not {k for k in got if k[0] == 3 or k == (2, 2)}
+    assert got[(1, 1)] == (12, 12, 12)
