@@ -38,15 +38,19 @@ def _tokenised(rows: DataFrame, text: str, keep: list[str], shortest: int) -> Da
     """``keep`` with the aligned token arrays raw, template and named of a text column, and bare.
 
     In ``template`` a name is a capitalised word after a lower-case letter or a comma
-    and one space, so not at a sentence's start; ``named`` has the same names.
+    and one space, so not at a sentence's start; in ``named`` it is any capitalised word.
+    A number keeps its separators in one token, a unit attached to it is the next one.
     Everything else but letters and digits separates tokens.  ``bare`` says whether
     ``shortest`` placeholders stand in a row.
     """
     units = "|".join(UNITS)
     clean = F.regexp_replace(F.coalesce(F.col(text), F.lit("")), "[\u0002-\u0006]", " ")
     marked = F.regexp_replace(clean, r"([\p{Ll},] )(\p{Lu}\p{Ll})", f"$1{_NAME}$2")
+    marked = F.regexp_replace(marked, r"(?=\p{Lu}\p{Ll})(?<![\p{L}\p{M}\p{N}" + _NAME + "])", _CAPITAL)
+    marked = F.regexp_replace(marked, r"[.,'’](?<=\p{N}[.,'’])(?=\p{N})", _POINT)
     plain = F.trim(F.regexp_replace(F.lower(marked), r"[^\p{L}\p{M}\p{N}" + _NAME + _CAPITAL + _POINT + "]+", " "))
     number = r"(?=\p{N})(?<![^ ])(\p{N}[\p{N}" + _POINT + "]*+)"
+    plain = F.regexp_replace(plain, f"{number}({units})(?![^ ])", "$1 $2")
     typed = F.regexp_replace("__plain", f"{number}(?![^ ])", _NUMBER)
     typed = F.regexp_replace(typed, f"{_NUMBER} {_CAPITAL}?(?:{units})(?![^ ])", f"{_NUMBER} {_UNIT}")
     template = F.regexp_replace(F.replace("__typed", F.lit(_CAPITAL), F.lit("")), f"{_NAME}[^ ]+", _NAME)
@@ -103,7 +107,10 @@ def find_leaks(
 
     ``matched`` counts the item's distinct windows that the document has at one
     alignment or several with consistent slots, ``exact`` those with the same
-    values too.
+    values too.  A slot is consistent when one benchmark value stands for one
+    document value; windows that hold another do not count.  Names are typed
+    by their place in the sentence, and once more as any capitalised word;
+    the figures of a leak are those of the first typing where it suffices.
     Windows of only placeholders match by equal values.  ``coverage`` is the
     share of all windows or, if greater, of those with words.  An item of fewer
     tokens than a window is one shorter window, looked for in all texts; below
@@ -214,13 +221,9 @@ def find_leaks(
         .filter(F.col("s.tv").isin(_NAME, _NUMBER))
         .select(*place, "j", F.col("s.tv").alias("kind"), F.col("s.dv").alias("dv"), F.col("s.bv").alias("bv"))
     )
-    # a value that stands for two others, either way, makes its alignment inconsistent
-    clashes = (
-        slots.groupBy(*place, "kind", "bv").agg(F.min("dv").alias("a"), F.max("dv").alias("b")).filter("a <> b").select(*place)
-        .unionByName(slots.groupBy(*place, "kind", "dv").agg(F.min("bv").alias("a"), F.max("bv").alias("b")).filter("a <> b").select(*place))
-        .distinct()
-    )
-    torn = pairs.join(clashes, place, "left_semi").select(*place, "j").distinct()
+    # a benchmark value that stands for two others voids the windows of its alignment that hold it
+    clashes = slots.groupBy(*place, "kind", "bv").agg(F.min("dv").alias("a"), F.max("dv").alias("b")).filter("a <> b")
+    torn = slots.join(clashes.select(*place, "kind", "bv"), [*place, "kind", "bv"], "left_semi").select(*place, "j").distinct()
     held = pairs.join(torn.withColumn("torn", F.lit(True)), [*place, "j"], "left").filter(F.col("torn").isNull() | F.col("same"))
     # the figures are the first template's where it alone names the leak, else those of both
     held = held.groupBy("doc_id", "item_id", "item_windows", "item_worded", "j").agg(

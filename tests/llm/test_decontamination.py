@@ -83,3 +83,24 @@ def test_items_of_many_numbers_are_found(make_docs, bench):
     got = leaks(docs, bench([(1, item), (2, series)]))
     assert {(1, 1), (2, 1), (1, 2), (4, 2)} <= set(got) and not {k for k in got if k[0] == 3 or k == (2, 2)}
     assert got[(1, 1)] == (12, 12, 12)
+
+
+def test_names_at_sentence_starts_are_slots(make_docs, bench):
+    item = "Alice has 5 apples. Alice gives 2 to Bob. How many apples does Alice have left?"
+    changed = item.replace("Alice", "Carol").replace("Bob", "Dave").replace("5", "9").replace("2", "3")
+    assert set(leaks(make_docs([(1, changed), (2, changed.lower()[:30])]), bench([(1, item)]))) == {(1, 1)}
+
+
+def test_numbers_with_separators_and_units_are_one_slot(make_docs, bench):
+    item = "a farmer sells 1,200 eggs at 3.50 each and buys 5kg of corn for them"
+    docs = make_docs([(1, item.replace("1,200", "850").replace("3.50", "4").replace("5kg", "7 kg")), (2, "a farmer sells eggs and buys corn for them")])
+    assert set(leaks(docs, bench([(1, item)]))) == {(1, 1)}
+
+
+def test_a_clash_voids_its_windows_only(make_docs, bench):
+    item = "a box holds 5 red balls and 3 blue ones in it so that we can count them all again later on"
+    both = item.replace("5", "4").replace("3", "4")  # two benchmark values, one document value
+    late = "a box of 5 has the red balls and the blue ones in it so that we can count them all again later on with 5 more"
+    torn = late.replace("of 5", "of 6").replace("with 5", "with 7")
+    got = leaks(make_docs([(1, both), (2, torn)]), bench([(1, item), (2, late)]))
+    assert (1, 1) in got and (2, 2) in got and got[(2, 2)][0] < got[(2, 2)][2]
