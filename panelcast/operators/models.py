@@ -17,6 +17,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvalu
 from pyspark.ml.feature import (
     OneHotEncoder,
     StringIndexer,
+    StringIndexerModel,
     VarianceThresholdSelector,
     VectorAssembler,
 )
@@ -245,6 +246,13 @@ def partial_dependence(
         (F.col("mean_probability") - centre).alias("effect"), "n")
 
 
+def recipe_predictors(model: TunedModel) -> list[str]:
+    """Columns of the fitted recipe's predictors: its numeric features and strings."""
+    strings = [s.getInputCol() for s in model.model.stages if isinstance(s, StringIndexerModel)]
+    assembler = next(s for s in model.model.stages if isinstance(s, VectorAssembler))
+    return [c for c in assembler.getInputCols() if not c.endswith("__ohe")] + strings
+
+
 PERMUTATION_BUCKETS = 64  # fixed: the permutation depends on the rows' keys alone
 
 

@@ -125,12 +125,14 @@ def partial_dependence(spark, sf_dir):
 
 @register("permutation_importance")
 def permutation_importance(spark, sf_dir):
-    """Accuracy with single columns permuted (hash-bucketed permutation)."""
+    """Accuracy with each predictor permuted, over the correctly predicted outbreak starts."""
     st, _ = _hurdle(spark, sf_dir)
-    val = _validation(spark, sf_dir).withColumn("label", F.col("disease_status").cast("double"))
+    val = _validation(spark, sf_dir)
+    starts = correct_starts(spark, sf_dir).select(*KEY).distinct().withColumn("correct_start", F.lit(True))
+    val = val.join(starts, KEY, "left").withColumn("label", F.col("disease_status").cast("double"))
     return models.permutation_importance(
-        st, val, ["disease_status_lag1", "cases_lag1", "ever_in_country_given_taxa"], KEY,
-        "disease_status")
+        st, val, models.recipe_predictors(st), KEY, "disease_status", rows=F.col("correct_start"),
+        buckets=1)  # few rows: in many buckets most would keep their own value
 
 
 # ---- mixed-effects network model -------------------------------------------------------
