@@ -29,6 +29,7 @@ BLOCK_TAGS = frozenset(
     "tbody td tfoot th thead tr ul video audio".split()
 )
 RAW_TAGS = ("script", "style", "noscript", "template", "iframe", "svg", "math", "object", "textarea", "title", "head")
+SWALLOW_TAGS = frozenset("script style textarea title".split())  # without an end tag, they reach to the page's end
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BOILERPLATE_TAGS = frozenset("nav header footer aside form menu dialog button select fieldset".split())
 ARTICLE_TAGS = frozenset(("article", "main"))
@@ -47,6 +48,7 @@ _TOKEN = re.compile(
     re.S,
 )
 _HINT = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+_CLOSED = re.compile(r"""(?:^|[\s"'])/\s*\Z""")  # not the end of an unquoted value
 _WORDS = re.compile(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])")
 _RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in RAW_TAGS}
 _SPACE = re.compile(r"\s+")
@@ -69,7 +71,14 @@ class Block:
 
 
 def _hints(attributes: str) -> tuple[int, int]:
-    words = {w.lower() for m in _HINT.finditer(attributes) for w in _WORDS.split(m[1] or m[2] or m[3] or "") if w}
+    """(bad, good) by class, id and role; what follows has or with in a name ('has-sidebar') is said of another element."""
+    words = set()
+    for m in _HINT.finditer(attributes):
+        for name in (m[1] or m[2] or m[3] or "").split():
+            for w in _WORDS.split(name):
+                if w.lower() in ("has", "with"):
+                    break
+                words.add(w.lower())
     return int(bool(words & BAD_HINTS)), int(bool(words & GOOD_HINTS))
 
 
@@ -119,16 +128,15 @@ def blocks(page: str) -> list[Block]:
                         break
             continue
         if name in RAW_TAGS:
-            end = _RAW_END[name].search(page, at)
-            if name != "head":
-                at = end.end() if end else size
-                parts.append(" ") if parts else None
-            elif end:
-                at = end.end()
+            if name != "head" and parts:
+                parts.append(" ")
+            if not _CLOSED.search(token[3]):
+                end = _RAW_END[name].search(page, at)
+                at = end.end() if end else size if name in SWALLOW_TAGS else at
             continue
         if name in VOID_TAGS or token[3].rstrip().endswith("/"):
             continue
-        bad, good = _hints(token[3])
+        bad, good = (0, 0) if name in ("html", "body") else _hints(token[3])
         gain = (
             int(name in ARTICLE_TAGS), int(name in BOILERPLATE_TAGS or bad), int(good and not bad),
             int(name == "li"), int(len(name) == 2 and name[0] == "h" and name[1].isdigit()), int(name == "a"),

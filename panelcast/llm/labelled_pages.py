@@ -75,4 +75,8 @@ without a sound because of the soft fringe on their feathers, and they hear a mo
     """<body><div id="banner"><p>Our spring sale ends on Sunday, so come by while there is still something left.</p></div>
 <div id="content"><div data-main><h2>Timetable</h2><p>The ferry leaves at six.</p><p>It does not sail in storms.</p></div>
 <div id="comments"><p>Does anybody know if they take bicycles on the first boat in the morning?</p></div></div></body>""",
+    # hints of the layout on the page and on the article's frame, an icon without an end tag in the text
+    """<html class="no-js has-ads"><body class="has-sidebar menu"><nav><a href="/">Mills</a></nav><div class="content with-sidebar" data-main>
+<h1>The mill</h1><p>The mill stands <svg width="8"/>by the weir.</p><p>It still grinds <object data="x">on two days of the week.</p></div>
+<div class="sidebar"><p>Other mills that you can visit on foot from the station in the valley.</p></div></body></html>""",
 ]

@@ -45,3 +45,25 @@ def test_edges(spark):
     got = [(r.page_id, r.text[:12], r.n_chars) for r in H.extract_main_text(pages).collect()]
     assert got[:4] == [(1, "", 0), (2, "", 0), (3, "", 0), (None, "x", 1)] and got[6][2] == 20000 * 10 - 1 and got[7][1] == "again"
     assert H.extract_main_text(pages.limit(0)).collect() == []
+
+
+def test_self_closing_and_unclosed_elements_swallow_nothing():
+    for tag in ("<svg viewBox='0 0 1 1'/>", "<svg/>", "<math />", "<iframe src='x' />", "<object data=x>", "<noscript>", "<template>"):
+        page = f"<body><article><p>One {tag} two.</p><p>Three.</p></article><footer>End</footer></body>"
+        assert H.main_text(page) == "One two. Three."
+    page = "<article><p>One <svg/> two <svg><text>no</text></svg> three.</p></article>"
+    assert H.main_text(page) == "One two three."
+    assert H.main_text("<article><p>One</p><script>no <p>no</p></article>") == "One"
+
+
+def test_hints_of_the_layout_are_not_the_articles():
+    text = "<h1>Title</h1><p>First words.</p><p>Then some more of them.</p>"
+    for frame in (
+        '<body class="has-sidebar"><article>%s</article></body>',
+        '<html class="cookie"><body class="menu sidebar"><article>%s</article></body></html>',
+        '<body><div class="content with-sidebar">%s</div></body>',
+        '<body><div class="content-with-sidebar">%s</div></body>',
+        '<body><div class="content hasSidebar">%s</div></body>',
+    ):
+        assert H.main_text(frame % text) == "Title First words. Then some more of them."
+    assert H.main_text('<body><article><p>Text.</p><div class="sidebar"><p>Other words here.</p></div></article></body>') == "Text."
