@@ -196,6 +196,8 @@ def predict_language(docs: DataFrame, model: LanguageModel | None = None, id_col
 def drop_unknown_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``docs`` without the texts that no language fits (``und``), all columns kept.
 
+    With a model these are the texts without letters.  Without one (no row has
+    a language to learn) texts with letters are kept as well.
     Judged on each row's own text inside the task, so rows need no id and no
     row is shuffled.
     """
@@ -204,6 +206,9 @@ def drop_unknown_language(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if model is None:
+                yield batch.filter(pa.array([t is not None and _LETTER.search(t) is not None for t in batch.column(at).to_pylist()], pa.bool_()))
+                continue
             for first, names, _, _ in judge(model, batch.column(at)):
                 yield batch.slice(first, len(names)).filter(pa.array(names != UNKNOWN))
 

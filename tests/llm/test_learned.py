@@ -124,3 +124,8 @@ def test_bounded_sample_is_stable(spark):
     sizes = {r.y: r["count"] for r in sample.groupBy("y").count().collect()}
     assert 230 < sizes[0] < 370 and 230 < sizes[1] < 370
     assert {r.doc_id for r in sample.collect()} == {r.doc_id for r in learning.bounded_sample(rows.repartition(7), "y", 300, "doc_id").collect()}
+
+
+def test_language_stage_without_labels_keeps_lettered_texts(make_docs):
+    kept = language_id.drop_unknown_language(make_docs([(1, "some text"), (2, "123 !"), (3, None), (4, "é")]))
+    assert {r.doc_id for r in kept.collect()} == {1, 4}
