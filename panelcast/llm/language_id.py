@@ -26,7 +26,7 @@ from .learning import bounded_sample, fit_logistic, held_out
 
 BITS = 12  # hashed n-gram features: 4096
 PER_LANGUAGE = 500  # labelled rows of each language in the fit
-MAX_LANGUAGES = 64  # largest number of languages the code is meant for; more raise
+FULL_LANGUAGES = 64  # beyond, each language gives fewer rows, so that the sample on the driver stays bounded
 AMBIGUOUS = 0.2  # of the mean loss per bit between the two nearest codewords
 UNKNOWN = "und"
 _SLICE = 1 << 20  # bytes of one text that are counted at once
@@ -134,13 +134,13 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                     names=["lang", "x"],
                 )
 
+    known = rows.select("lang").distinct().count()
+    per_language = max(1, min(per_language, per_language * FULL_LANGUAGES // max(1, known)))
     sample = bounded_sample(rows, "lang", per_language, "doc_id").select("lang", "text")
     found = sample.mapInArrow(extract, "lang string, x binary").toPandas().sort_values(["lang", "x"])
     languages = sorted(found["lang"].unique())
     if not languages:
         return None
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"{len(languages)} languages; the code is meant for {MAX_LANGUAGES}")
     x = np.stack([np.frombuffer(v, dtype=np.float16) for v in found["x"]]).astype(np.float32)
     code = codewords(len(languages))
     bits = code[found["lang"].map({k: i for i, k in enumerate(languages)}).to_numpy()] > 0

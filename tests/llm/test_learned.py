@@ -129,3 +129,10 @@ def test_bounded_sample_is_stable(spark):
 def test_language_stage_without_labels_keeps_lettered_texts(make_docs):
     kept = language_id.drop_unknown_language(make_docs([(1, "some text"), (2, "123 !"), (3, None), (4, "é")]))
     assert {r.doc_id for r in kept.collect()} == {1, 4}
+
+
+def test_many_languages_are_learned(make_docs):
+    rows = [(k * 8 + i, (chr(0x4E00 + 7 * k) + chr(0x5E00 + 11 * k) + " ") * 12, f"l{k:02d}") for k in range(70) for i in range(8)]
+    got = language_id.predict_language(make_docs(rows)).collect()
+    want = {r[0]: r[2] for r in rows}
+    assert len(got) == len(rows) and np.mean([r.lang_pred == want[r.doc_id] for r in got]) > 0.9
