@@ -8,18 +8,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table_path
 from . import (
     decontamination,
+    embedding_whitening,
     exact_dedup,
     html_extraction,
     language_id,
     mixing,
     ngram_join,
+    periodic_runs,
     quality_fm,
+    sentencepiece_chunks,
     substring_dedup,
     toxicity,
     warc,
@@ -244,3 +248,60 @@ def op1_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = warc.archive_path(spark)
     warc.write_archives(read(spark, sf_dir, "pages"), path)
     return warc.read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def _repeating_words() -> tuple[Column, Column]:
+    """Words of a document, and the same where one in ten documents gets a repeated tail (contract of op11)."""
+    words = periodic_runs.words_of(F.col("text"))
+    n = F.size("w").cast("long")
+    crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(crc / 10).cast("long")
+    a = g % n
+    p = 1 + F.floor((n - a) / (3 + g % 8)).cast("long")
+    tail = F.transform(F.sequence(a, n - 1), lambda i: F.get("w", (a + (i - a) % p).cast("int")))
+    return words, F.when((crc % 10 == 0) & (n > 0), F.concat(F.slice("w", F.lit(1), a.cast("int")), tail)).otherwise(F.col("w"))
+
+
+@query("op11_periodic_runs")
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, the strongest one, and the words left."""
+    words, repeating = _repeating_words()
+    docs = read(spark, sf_dir, "documents").select("doc_id", words.alias("w"))
+    found = periodic_runs.find_runs(docs, repeating)
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    best = periodic_runs.strongest(F.col("runs"))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+#: Model file of op12; the path is a parameter of the query.
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query("op12_sentencepiece_chunks")
+def op12_sentencepiece_chunks(spark: SparkSession, sf_dir: str, model_path: str = PIECES) -> DataFrame:
+    """Digests of the piece ids and of the decoded text of every document."""
+    with open(model_path, "rb") as f:
+        model = f.read()
+    out = sentencepiece_chunks.encode(read(spark, sf_dir, "documents"), model)
+    return out.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+@query("op13_whitening_feast")
+def op13_whitening_feast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened coordinates of every embedding on the four leading components."""
+    out = embedding_whitening.whiten(read(spark, sf_dir, "embeddings"))
+    return out.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
