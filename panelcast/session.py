@@ -84,7 +84,21 @@ def write_stage(df: DataFrame, name: str) -> DataFrame:
     path = f"{base}/panelcast-stages/{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
     _STAGES.append(path)
-    return df.sparkSession.read.parquet(path)
+    out = df.sparkSession.read.parquet(path)
+    out._stage_path = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    hadoop, jvm = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(hadoop).delete(path, True)
+
+
+def drop_stage(df: DataFrame) -> None:
+    """Delete a stage that ``write_stage`` returned, once what needs it has been written."""
+    _STAGES.remove(df._stage_path)
+    _delete(df.sparkSession, df._stage_path)
 
 
 def drop_stages(spark: SparkSession) -> None:
@@ -92,10 +106,8 @@ def drop_stages(spark: SparkSession) -> None:
 
     For long-lived sessions, after a result has been stored.
     """
-    hadoop, jvm = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm
     while _STAGES:
-        path = jvm.org.apache.hadoop.fs.Path(_STAGES.pop())
-        path.getFileSystem(hadoop).delete(path, True)
+        _delete(spark, _STAGES.pop())
 
 
 def table_path(sf_dir: str, name: str) -> str:
