@@ -120,16 +120,19 @@ _SUMS = "g string, u array<double>, d array<double>, sums array<double>"
 _STATE = "g string, u array<double>, back array<double>, sums array<double>"
 
 
-def _pack(batches):
+def _pack(most: int):
     """Blocks of rows of one group; rows come sorted by group."""
-    for pdf in batches:
-        for g, rows in pdf.groupby("g", sort=False):
-            for a in range(0, len(rows), BLOCK_ROWS):
-                part = rows.iloc[a : a + BLOCK_ROWS]
-                x = np.array(part["x"].tolist(), dtype=float).reshape(len(part), -1)
-                yield pd.DataFrame({
-                    "g": [g], "n": [len(part)], "x": [x.tobytes()], "y": [part["y"].to_numpy(float).tobytes()],
-                    "w": [part["w"].to_numpy(float).tobytes()]})
+    def run(batches):
+        for pdf in batches:
+            for g, rows in pdf.groupby("g", sort=False):
+                for a in range(0, len(rows), most):
+                    part = rows.iloc[a : a + most]
+                    x = np.array(part["x"].tolist(), dtype=float).reshape(len(part), -1)
+                    yield pd.DataFrame({
+                        "g": [g], "n": [len(part)], "x": [x.tobytes()], "y": [part["y"].to_numpy(float).tobytes()],
+                        "w": [part["w"].to_numpy(float).tobytes()]})
+
+    return run
 
 
 # ---- design pass -------------------------------------------------------------------------
@@ -389,7 +392,7 @@ def fit_mixed_logit(
         basis[i, a, b] = basis[i, b, a] = 1.0
     x = F.array(*[F.col(f"_x{i}") for i in live]).cast("array<double>")
     rows = base.select("g", x.alias("x"), F.col("_y").alias("y"), F.col("_w0").alias("w")).sortWithinPartitions("g")
-    blocks = write_stage(rows.mapInPandas(_pack, _BLOCKS), "mixed_blocks")
+    blocks = write_stage(rows.mapInPandas(_pack(BLOCK_ROWS), _BLOCKS), "mixed_blocks")
     p0 = min(max(n_pos / n_obs, 1e-6), 1 - 1e-6)
     b0, factor = float(np.log(p0 / (1 - p0))), np.sqrt(0.5) * np.eye(k)
     cov = factor @ factor.T + FLOOR * np.eye(k)
