@@ -209,10 +209,10 @@ def runs_of(codes: np.ndarray, sizes: np.ndarray, min_length: int = MIN_LENGTH,
     return out[np.lexsort((out[:, 3], out[:, 1], out[:, 0]))]
 
 
-def _groups(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+def _groups(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
     first, words = 0, 0
     for i, n in enumerate(sizes):
-        if words and words + n > GROUP_WORDS:
+        if words and words + n > most:
             yield first, i
             first, words = i, 0
         words += int(n)
@@ -220,11 +220,11 @@ def _groups(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
         yield first, len(sizes)
 
 
-def _finder(min_length: int, min_exponent: int):
+def _finder(min_length: int, min_exponent: int, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             offsets = batch.column(1).offsets.to_numpy().astype(np.int64)
-            for a, b in _groups(np.diff(offsets)):
+            for a, b in _groups(np.diff(offsets), most):
                 sizes, words = np.diff(offsets[a : b + 1]), batch.column(1).values.slice(offsets[a], offsets[b] - offsets[a])
                 codes = words.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
                 found = runs_of(codes, sizes, min_length, min_exponent)
@@ -269,7 +269,7 @@ def find_runs(
     given = docs.select(F.col(id_col).alias("id"), known.alias("words"))
     kind = given.schema["id"].dataType.simpleString()
     out = given.mapInArrow(
-        _finder(min_length, min_exponent),
+        _finder(min_length, min_exponent, GROUP_WORDS),
         f"id {kind}, n_words long, runs array<struct<start: long, length: long, period: long>>, collapsed string")
     return out.withColumnRenamed("id", id_col)
 

@@ -5,19 +5,21 @@ crosses the place where a marker follows a character that is none.  A text is
 therefore a sequence of *chunks*, each a run of markers and the characters up
 to the next marker, and every chunk can be segmented on its own.
 
-1. ``_index``: blocks of whole texts become one row per distinct chunk, with
-   the places where the block has it (varint distances), and one row that holds
-   the block's ids and text lengths.  Written once; texts go nowhere else.
-2. The distinct chunks of all blocks are segmented once each, giving the table
-   (chunk, ids, surface), where ``surface`` is the chunk as it decodes.
-3. Chunks and blocks are joined.  The chunks with most places, at most
-   ``HOT_ROWS`` of at most ``HOT_BYTES`` bytes, are broadcast; what remains has
-   at most about 2 / ``HOT_ROWS`` of all places each (longer chunks are left
-   to the skew join) and is joined by a shuffle.
-4. Each block puts its ids and surfaces back by place.
-
-A block holds ``BLOCK_BYTES`` of text or a single longer one, so no task holds
-more than its largest text.
+1. A task cuts its texts into blocks and every block into its distinct chunks.
+   The chunks are dealt by hash into as many ranges as there are shuffle
+   partitions; a block sends each range one compressed package: the chunks and
+   the places where the block has them, as varint distances.  Texts go nowhere.
+   Chunks with more than ``1 / SPREAD`` of a block's places are dealt by the
+   block as well, so no range gets many places of one frequent chunk.
+2. A range holds all packages with its chunks.  Its table of distinct chunks
+   segments each once and gives the packages ids in place of chunks.  Beyond
+   ``TABLE_BYTES`` the table starts anew, which costs time only.
+3. Each block decodes its distinct chunks once and puts ids and decoded chunks
+   back by place.
+
+Two shuffles of packages, some 1.5 bytes a chunk and the distinct chunks of
+each block; nothing else is written.  A block holds ``BLOCK_BYTES`` of text or a
+single longer one, so no task holds more than its largest text.
 """
 
 from __future__ import annotations
@@ -27,28 +29,31 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.taskcontext import TaskContext
 from sentencepiece import sentencepiece_model_pb2 as proto
 
-from ..session import write_stage
+from . import textcore
 
 MARK = "▁"
-BLOCK_BYTES = 2 << 20
-HOT_ROWS = 1 << 14
-HOT_BYTES = 256
+BLOCK_BYTES = 8 << 20
+SPREAD = 512
+TABLE_BYTES = 64 << 20
 SEGMENT_ROWS = 1 << 14  # chunks segmented at a time
 
-_CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
 _CROSSING = re.compile(f"[^{MARK}]{MARK}")
 
 
 class Segmenter:
     """Pieces of single chunks; one processor without the marker that a text gets in front."""
 
+    _last: tuple = (None, None)
+
     def __init__(self, model: bytes):
         spec = proto.ModelProto()
         spec.ParseFromString(model)
@@ -56,12 +61,19 @@ class Segmenter:
         self._bare = sentencepiece.SentencePieceProcessor(model_proto=spec.SerializeToString())
         self._whole = sentencepiece.SentencePieceProcessor(model_proto=model)
 
+    @classmethod
+    def of(cls, model: bytes) -> Segmenter:
+        """The worker's segmenter of a model, loaded once."""
+        if cls._last[0] != model:
+            cls._last = (model, cls(model))
+        return cls._last[1]
+
     def encode(self, chunks: list[str]) -> list[list[int]]:
         return self._bare.encode(chunks, num_threads=1)
 
-    def surface(self, ids: list[int]) -> str:
-        """The decoded chunk, with the space of its first marker."""
-        return " " + self._whole.decode(ids)
+    def surfaces(self, chunks: list[list[int]]) -> list[str]:
+        """The decoded chunks, each with the space of its first marker."""
+        return [" " + text for text in self._whole.decode(chunks)]
 
 
 def check_model(model: bytes) -> int:
@@ -84,12 +96,28 @@ def check_model(model: bytes) -> int:
     return sentencepiece.SentencePieceProcessor(model_proto=model).eos_id()
 
 
-def chunks_of(text: str) -> list[str]:
-    """Chunks of a text in order; an empty text has none."""
-    return _CHUNK.findall(MARK + text.replace(" ", MARK)) if text else []
+def cut(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Chunks of all texts in order, markers as spaces, and the number of chunks of each text.
 
-
-# ---- places as varint distances ------------------------------------------------------------
+    An empty text has no chunk.  Chunks tile the texts, so they are slices of one buffer.
+    """
+    plain = pc.replace_substring(texts, MARK, " ")
+    space, none = (pa.scalar(c, pa.large_string()) for c in (" ", ""))
+    plain = pc.if_else(pc.equal(plain, none), none, pc.binary_join_element_wise(space, plain, none))
+    raw, offsets = textcore.text_buffers(plain)
+    first, raw = int(offsets[0]), raw[offsets[0] : offsets[-1]]
+    offsets = offsets - first
+    blank = raw == 32
+    head = blank.copy()
+    head[1:] &= ~blank[:-1]
+    head[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
+    starts = np.flatnonzero(head)
+    bounds = np.append(starts, len(raw))
+    chunks = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(raw))])
+    return chunks, np.diff(np.searchsorted(starts, offsets))
+
+
+# ---- packages ------------------------------------------------------------------------------
 def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Varint bytes of non-negative numbers, and where each begins (one more at the end)."""
     size = 1 + sum((values >= 1 << 7 * k).astype(np.int64) for k in range(1, 9))
@@ -112,138 +140,160 @@ def unpack(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return values, last
 
 
+def _strings(offsets: np.ndarray, data: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(
+        pa.large_string(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+class _Zip:
+    """Zstandard frames of bytes, and of numbers as varints."""
+
+    def __init__(self):
+        self._press, self._open = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+    def bytes(self, data) -> bytes:
+        return self._press.compress(np.ascontiguousarray(data).tobytes())
+
+    def numbers(self, values: np.ndarray) -> bytes:
+        return self.bytes(pack(values)[0])
+
+    def raw(self, frame: bytes) -> np.ndarray:
+        return np.frombuffer(self._open.decompress(frame), dtype=np.uint8)
+
+    def values(self, frame: bytes) -> np.ndarray:
+        return unpack(self.raw(frame))[0]
+
+
 # ---- 1: blocks -----------------------------------------------------------------------------
-def _blocks(texts: list[str]) -> Iterator[tuple[int, int]]:
+def _blocks(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
     start, size = 0, 0
-    for i, text in enumerate(texts):
-        if size and size + len(text) > BLOCK_BYTES:
+    for i, n in enumerate(sizes):
+        if size and size + n > most:
             yield start, i
             start, size = i, 0
-        size += len(text)
-    if start < len(texts):
-        yield start, len(texts)
-
-
-def _block_rows(block: int, ids: pa.Array, texts: list[str], schema: pa.Schema) -> pa.RecordBatch:
-    chunks, sizes = [], []
-    for text in texts:
-        found = chunks_of(text)
-        chunks += found
-        sizes.append(len(found))
-    coded = pa.array(chunks, pa.string()).dictionary_encode()
+        size += int(n)
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
+#: A block's own row has its ids, and the number of chunks of each text as ``sizes``; a package has the others.
+_PACKAGE = "range int, block long, lengths binary, chunks binary, hits binary, places binary"
+
+
+def _packages(block: int, ids: pa.Array, texts: pa.Array, ranges: int, spread: int, z: _Zip) -> Iterator[dict]:
+    chunks, counts = cut(texts)
+    yield {"range": block % ranges, "ids": ids.to_pylist(), "sizes": z.numbers(counts)}
+    coded = chunks.dictionary_encode()
     codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    raw, offsets = textcore.text_buffers(coded.dictionary)
+    hits = np.bincount(codes, minlength=len(offsets) - 1)
     place = np.argsort(codes, kind="stable")
-    hits = np.bincount(codes, minlength=len(coded.dictionary))
     begin = np.concatenate([[0], np.cumsum(hits)])
     step = np.diff(place, prepend=0)
     step[begin[:-1]] = place[begin[:-1]]
     data, at = pack(step)
-    kinds = len(hits)
-    offsets = np.concatenate([[0], at[begin]]).astype(np.int32)  # the block's own row holds no places
-    columns = [
-        pa.array(np.full(kinds + 1, block, dtype=np.int64)),
-        pa.concat_arrays([pa.nulls(1, pa.string()), coded.dictionary]),
-        pa.Array.from_buffers(pa.binary(), kinds + 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)]),
-        pa.array(np.concatenate([[0], hits])),
-        pa.ListArray.from_arrays(pa.array([0, len(ids)] + [len(ids)] * kinds, pa.int32()), ids),
-        pa.ListArray.from_arrays(pa.array([0, len(sizes)] + [len(sizes)] * kinds, pa.int32()), pa.array(sizes, pa.int64())),
-    ]
-    return pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
-
-
-def _indexer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    block = TaskContext.get().partitionId() << 32
-    for batch in batches:
-        ids = batch.column(0)
-        texts = [t or "" for t in batch.column(1).to_pylist()]
-        schema = pa.schema([
-            ("block", pa.int64()), ("chunk", pa.string()), ("places", pa.binary()), ("hits", pa.int64()),
-            ("ids", pa.list_(ids.type)), ("sizes", pa.list_(pa.int64()))])
-        for a, b in _blocks(texts):
-            yield _block_rows(block, ids.slice(a, b - a), texts[a:b], schema)
-            block += 1
-
-
-def _index(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    given = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    schema = T.StructType([
-        T.StructField("block", T.LongType()), T.StructField("chunk", T.StringType()), T.StructField("places", T.BinaryType()),
-        T.StructField("hits", T.LongType()), T.StructField("ids", T.ArrayType(given.schema["id"].dataType)),
-        T.StructField("sizes", T.ArrayType(T.LongType()))])
-    return write_stage(given.mapInArrow(_indexer, schema), "sentencepiece-index")
-
-
-# ---- 2: the table of distinct chunks -------------------------------------------------------
-def _segmenter(model: bytes):
+    home = textcore.hash_spans(raw, offsets)
+    home = (home + np.where(hits * spread > len(codes), np.uint64(block), np.uint64(0))) % np.uint64(ranges)
+    order = np.argsort(home, kind="stable")
+    edges = np.searchsorted(home[order], np.arange(ranges + 1))
+    lengths = np.diff(offsets)
+    texts_of = _gather(raw, offsets, order)
+    places_of = _gather(data, at[begin], order)
+    text_at = np.concatenate([[0], np.cumsum(lengths[order])])
+    place_at = np.concatenate([[0], np.cumsum(np.diff(at[begin])[order])])
+    for r in np.flatnonzero(np.diff(edges)):
+        a, b = edges[r], edges[r + 1]
+        yield {
+            "range": int(r), "lengths": z.numbers(lengths[order[a:b]]), "chunks": z.bytes(texts_of[text_at[a] : text_at[b]]),
+            "hits": z.numbers(hits[order[a:b]]), "places": z.bytes(places_of[place_at[a] : place_at[b]])}
+
+
+def _gather(data: np.ndarray, offsets: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """The spans of ``data`` in another order, one after the other."""
+    width = np.diff(offsets)[order]
+    until = np.cumsum(width)
+    return data[np.repeat(offsets[:-1][order] - (until - width), width) + np.arange(until[-1] if len(until) else 0)]
+
+
+def _cutter(ranges: int, most: int, spread: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Segmenter(model)
+        block, z = TaskContext.get().partitionId() << 32, _Zip()
         for batch in batches:
-            for a in range(0, batch.num_rows, SEGMENT_ROWS):
-                part = batch.slice(a, SEGMENT_ROWS)
-                chunks = part.column(0).to_pylist()
-                ids = pieces.encode(chunks)
-                surfaces = [pieces.surface(i) for i in ids]
-                plain = [c.replace(MARK, " ") for c in chunks]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(ids, pa.list_(pa.int32())),
-                     pa.array([None if s == p else s for s, p in zip(surfaces, plain)], pa.string())],
-                    names=["chunk", "hits", "pieces", "surface"])
+            ids, texts = batch.column(0), pc.fill_null(batch.column(1).cast(pa.large_string()), "")
+            schema = pa.schema([
+                ("range", pa.int32()), ("block", pa.int64()), *((c, pa.binary()) for c in ("lengths", "chunks", "hits", "places", "sizes")),
+                ("ids", pa.list_(ids.type))])
+            for a, b in _blocks(pc.binary_length(texts).to_numpy(), most):
+                rows = _packages(block, ids.slice(a, b - a), texts.slice(a, b - a), ranges, spread, z)
+                yield pa.RecordBatch.from_pylist([{"block": block, **row} for row in rows], schema=schema)
+                block += 1
 
     return run
 
 
-def chunk_table(index: DataFrame, model: bytes) -> DataFrame:
-    """(chunk, hits, pieces, surface) for each distinct chunk; ``surface`` is null where it is the chunk itself."""
-    distinct = index.where(F.col("chunk").isNotNull()).groupBy("chunk").agg(F.sum("hits").alias("hits"))
-    return write_stage(
-        distinct.mapInArrow(_segmenter(model), "chunk string, hits long, pieces array<int>, surface string"), "sentencepiece-chunks")
-
+# ---- 2: the table of distinct chunks -------------------------------------------------------
+def _segmenter(model: bytes, most: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces, z, table, held = Segmenter.of(model), _Zip(), {}, 0
+        for batch in batches:
+            counts, ids = [], []
+            for lengths, chunks in zip(batch.column("lengths").to_pylist(), batch.column("chunks").to_pylist()):
+                if lengths is None:
+                    counts.append(None)
+                    ids.append(None)
+                    continue
+                sizes = z.values(lengths)
+                names = _strings(np.concatenate([[0], np.cumsum(sizes)]), z.raw(chunks)).to_pylist()
+                new = [c for c in names if c not in table]
+                for a in range(0, len(new), SEGMENT_ROWS):
+                    part = new[a : a + SEGMENT_ROWS]
+                    table.update(zip(part, (np.array(i, dtype=np.int64) for i in pieces.encode(part))))
+                held += sum(map(len, new)) + 200 * len(new)
+                found = [table[c] for c in names]
+                counts.append(z.numbers(np.fromiter(map(len, found), dtype=np.int64, count=len(found))))
+                ids.append(z.numbers(np.concatenate(found)))
+                if held > most:
+                    table, held = {}, 0
+            columns = {c: batch.column(c) for c in ("block", "hits", "places", "sizes", "ids")}
+            yield pa.RecordBatch.from_pydict({**columns, "widths": pa.array(counts, pa.binary()), "pieces": pa.array(ids, pa.binary())})
 
-def _hot(table: DataFrame) -> DataFrame:
-    """The most frequent chunks: at most ``HOT_ROWS``, each of at most ``HOT_BYTES`` bytes."""
-    short = table.where(F.octet_length("chunk") <= HOT_BYTES)
-    power = F.length(F.bin("hits"))  # chunks of 2^(power - 1) places and more
-    counts = {r["power"]: r["count"] for r in short.groupBy(power.alias("power")).count().collect()}
-    total, least = 0, 65
-    for p in sorted(counts, reverse=True):
-        total += counts[p]
-        if total > HOT_ROWS:
-            break
-        least = p
-    return short.where(power >= least).select("chunk", "pieces", "surface")
+    return run
 
 
-# ---- 4: ids and surfaces by place ----------------------------------------------------------
-def _assembler(end: int):
+# ---- 3: ids and decoded chunks by place ----------------------------------------------------
+def _assembler(model: bytes, end: int):
     def run(table: pa.Table) -> pa.Table:
-        head = table.filter(pa.compute.is_null(table.column("chunk")))
-        ids, sizes = head.column("ids").combine_chunks().flatten(), head.column("sizes").combine_chunks().flatten().to_numpy()
-        rows = table.filter(pa.compute.is_valid(table.column("chunk"))).combine_chunks()
-        owner, at = np.zeros(int(sizes.sum()), dtype=np.int64), np.concatenate([[0], np.cumsum(sizes)])
-        pool, begin, width, surfaces = np.zeros(0, dtype=np.int32), np.zeros(1, dtype=np.int64), np.zeros(0, dtype=np.int64), []
-        if rows.num_rows:
-            places = rows.column("places").combine_chunks().cast(pa.large_binary())
-            _, offsets, data = places.buffers()
-            offsets = np.frombuffer(offsets, dtype=np.int64)[places.offset : places.offset + len(places) + 1]
-            steps, last = unpack(np.frombuffer(data, dtype=np.uint8)[offsets[0] : offsets[-1]])
-            first = np.searchsorted(last, offsets - offsets[0])
-            hits = np.diff(first)
+        z, pieces = _Zip(), Segmenter.of(model)
+        ids, sizes, owner, pool, width = None, None, [], [], []
+        kinds = 0
+        for row in table.select(["sizes", "hits", "places", "widths", "pieces"]).to_pylist():
+            if row["sizes"] is not None:
+                sizes = z.values(row["sizes"])
+                continue
+            hits, steps = z.values(row["hits"]), z.values(row["places"])
+            first = np.concatenate([[0], np.cumsum(hits)])
             total = np.cumsum(steps)
             before = np.repeat(total[first[:-1]] - steps[first[:-1]], hits)
-            owner[total - before] = np.repeat(np.arange(len(hits)), hits)
-            pieces = rows.column("pieces").combine_chunks()
-            pool = pieces.flatten().to_numpy()
-            width = pieces.value_lengths().to_numpy().astype(np.int64)
-            begin = np.concatenate([[0], np.cumsum(width)])
-            chunks = rows.column("chunk").to_pylist()
-            surfaces = [c.replace(MARK, " ") if s is None else s for c, s in zip(chunks, rows.column("surface").to_pylist())]
-        length = width[owner]
+            owner.append((total - before, np.repeat(np.arange(kinds, kinds + len(hits)), hits)))
+            kinds += len(hits)
+            width.append(z.values(row["widths"]))
+            pool.append(z.values(row["pieces"]))
+        own = table.filter(pc.is_valid(table.column("sizes")))
+        ids = own.column("ids").combine_chunks().flatten()
+        at = np.concatenate([[0], np.cumsum(sizes)])
+        code = np.zeros(int(at[-1]), dtype=np.int64)
+        for place, kind in owner:
+            code[place] = kind
+        width, pool = (np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (width, pool))
+        begin = np.concatenate([[0], np.cumsum(width)])
+        length = width[code]
         until = np.concatenate([[0], np.cumsum(length)])
         bounds = until[at] + np.arange(len(at))  # every text gets an end id
         out = np.full(int(bounds[-1]), end, dtype=np.int32)
-        flat = pool[np.repeat(begin[owner] - until[:-1], length) + np.arange(until[-1])]
+        flat = pool[np.repeat(begin[code] - until[:-1], length) + np.arange(until[-1])]
         out[np.arange(until[-1]) + np.repeat(np.arange(len(sizes)), np.diff(until[at]))] = flat
-        spoken = np.array(surfaces, dtype=object)[owner] if len(owner) else owner
+        listed = pool.tolist()
+        spoken = np.array(pieces.surfaces([listed[a:b] for a, b in zip(begin[:-1], begin[1:])]) or [""], dtype=object)[code]
         decoded = ["".join(spoken[a:b].tolist())[1:] for a, b in zip(at[:-1], at[1:])]
         return pa.table({
             "id": ids,
@@ -263,19 +313,13 @@ def encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str
     other columns are left out, whatever their names.
     """
     end = check_model(model)
-    index = _index(docs, id_col, text_col)
-    table = chunk_table(index, model)
-    hot = _hot(table)
-    heads = index.where(F.col("chunk").isNull()).select(
-        "block", "chunk", "places", "ids", "sizes", F.lit(None).cast("array<int>").alias("pieces"), F.lit(None).cast("string").alias("surface"))
-    found = index.where(F.col("chunk").isNotNull()).select("block", "chunk", "places")
-    none = [F.lit(None).cast(index.schema[c].dataType).alias(c) for c in ("ids", "sizes")]
-    columns = ["block", "chunk", "places", *none, "pieces", "surface"]
-    frequent = found.join(F.broadcast(hot), "chunk").select(*columns)
-    rare = found.join(F.broadcast(hot.select("chunk")), "chunk", "left_anti").join(
-        table.select("chunk", "pieces", "surface"), "chunk").select(*columns)
+    ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    given = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    kind = given.schema["id"].dataType
+    packages = given.mapInArrow(_cutter(ranges, BLOCK_BYTES, SPREAD), f"{_PACKAGE}, sizes binary, ids array<{kind.simpleString()}>")
+    segmented = packages.repartitionById(ranges, "range").mapInArrow(
+        _segmenter(model, TABLE_BYTES), f"block long, hits binary, places binary, sizes binary, ids array<{kind.simpleString()}>, widths binary, pieces binary")
     schema = T.StructType([
-        T.StructField("id", index.schema["ids"].dataType.elementType), T.StructField("ids", T.ArrayType(T.IntegerType())),
-        T.StructField("decoded", T.StringType())])
-    out = heads.unionByName(frequent).unionByName(rare).groupBy("block").applyInArrow(_assembler(end), schema)
+        T.StructField("id", kind), T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())])
+    out = segmented.groupBy("block").applyInArrow(_assembler(model, end), schema)
     return out.select(F.col("id").alias(id_col), "ids", "decoded")

@@ -88,6 +88,11 @@ def _hash_words(seg: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return h
 
 
+def hash_spans(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """64-bit hash of each of the spans that ``offsets`` cut from ``raw``; an empty span has one too."""
+    return _hash_words(raw, offsets[:-1], offsets[1:])
+
+
 def _segments(raw: np.ndarray, lo: int, hi: int) -> Iterator[tuple[int, int]]:
     while hi - lo > SEGMENT:
         end = lo + SEGMENT

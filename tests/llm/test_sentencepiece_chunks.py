@@ -2,6 +2,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -35,10 +36,12 @@ def test_matches_the_library(make_docs):
     assert encoded(make_docs(rows).repartition(3)) == brute(rows)
 
 
-def test_cold_chunks_and_small_blocks_give_the_same(make_docs, monkeypatch):
+def test_small_blocks_and_tables_give_the_same(make_docs, spark, monkeypatch):
     rng = np.random.default_rng(1)
     rows = [(i, " ".join(rng.choice(["the", "Ω-word", "longer", "x" * 300, "ça", "1234"], 30))) for i in range(40)]
-    monkeypatch.setattr(S, "HOT_ROWS", 2)
+    monkeypatch.setattr(S, "BLOCK_BYTES", 500)
+    monkeypatch.setattr(S, "TABLE_BYTES", 300)
+    monkeypatch.setattr(S, "SPREAD", 4)
     assert encoded(make_docs(rows).repartition(4)) == brute(rows)
 
 
@@ -50,11 +53,13 @@ def test_empty_table(make_docs):
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet=st.sampled_from("ab e▁\t\n日😀1.<> \x00"), max_size=40))
 def test_chunks_are_segmented_on_their_own(text):
-    pieces = S.Segmenter(MODEL)
-    parts = pieces.encode(S.chunks_of(text))
+    pieces = S.Segmenter.of(MODEL)
+    chunks, counts = S.cut(pa.array(["", text, ""], pa.large_string()))
+    assert counts.tolist() == [0, len(chunks), 0]
+    parts = pieces.encode(chunks.to_pylist())
     ids = [i for p in parts for i in p]
     assert ids == WHOLE.encode(text)
-    assert "".join(map(pieces.surface, parts))[1:] == WHOLE.decode(ids)
+    assert "".join(pieces.surfaces(parts))[1:] == WHOLE.decode(ids)
 
 
 @settings(max_examples=100, deadline=None)
