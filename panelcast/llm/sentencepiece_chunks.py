@@ -8,7 +8,7 @@ to the next marker, and every chunk can be segmented on its own.
 1. A task cuts its texts into blocks and every block into its distinct chunks.
    The chunks are dealt by hash into as many ranges as there are shuffle
    partitions; a block sends each range one compressed package: the chunks and
-   the places where the block has them, as varint distances.  Texts go nowhere.
+   the places where the block has them, as distances.  Texts go nowhere.
    Chunks with more than ``1 / SPREAD`` of a block's places are dealt by the
    block as well, so no range gets many places of one frequent chunk.
 2. A range holds all packages with its chunks.  Its table of distinct chunks
@@ -46,6 +46,7 @@ SPREAD = 512
 TABLE_BYTES = 64 << 20
 SEGMENT_ROWS = 1 << 14  # chunks segmented at a time
 
+_CHUNK = re.compile(" +[^ ]+")  # of a package: none ends in a space
 _CROSSING = re.compile(f"[^{MARK}]{MARK}")
 
 
@@ -76,8 +77,8 @@ class Segmenter:
         return [" " + text for text in self._whole.decode(chunks)]
 
 
-def check_model(model: bytes) -> int:
-    """Id of the end piece; raises where chunks of the model could not be segmented on their own."""
+def check_model(model: bytes) -> tuple[int, int]:
+    """Id of the end piece and number of pieces; raises where chunks of the model could not be segmented on their own."""
     spec = proto.ModelProto()
     spec.ParseFromString(model)
     norm, pieces = spec.normalizer_spec, [p.piece for p in spec.pieces]
@@ -93,7 +94,7 @@ def check_model(model: bytes) -> int:
     )
     if not fits:
         raise ValueError("not a BPE model with plain marked words: its pieces may cross word markers")
-    return sentencepiece.SentencePieceProcessor(model_proto=model).eos_id()
+    return sentencepiece.SentencePieceProcessor(model_proto=model).eos_id(), len(pieces)
 
 
 def cut(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -118,50 +119,73 @@ def cut(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 
 # ---- packages ------------------------------------------------------------------------------
-def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Varint bytes of non-negative numbers, and where each begins (one more at the end)."""
-    size = 1 + sum((values >= 1 << 7 * k).astype(np.int64) for k in range(1, 9))
-    at = np.concatenate([[0], np.cumsum(size)])
-    out = np.zeros(at[-1], dtype=np.uint8)
-    for k in range(int(size.max(initial=0))):
-        has = size > k
-        out[at[:-1][has] + k] = (values[has] >> 7 * k) & 127 | np.where(size[has] > k + 1, 128, 0)
-    return out, at
+def squeeze(values: np.ndarray, press) -> bytes:
+    """Numbers from 0 to 2^52: their bit lengths compressed, and the bits below the first as they are."""
+    lengths = np.frexp(values)[1].astype(np.uint8)
+    frame = press(lengths.tobytes())
+    parts = [np.uint32(len(frame)).tobytes(), frame]
+    for n in range(2, int(lengths.max(initial=0)) + 1):
+        rest = values[lengths == n]
+        if len(rest):
+            parts.append(np.packbits((rest[:, None] >> np.arange(n - 1) & 1).astype(np.uint8)).tobytes())
+    return b"".join(parts)
+
+
+def unsqueeze(data: bytes, expand) -> np.ndarray:
+    at = 4 + int(np.frombuffer(data, np.uint32, 1)[0])
+    lengths = np.frombuffer(expand(data[4:at]), np.uint8)
+    values = (lengths > 0).astype(np.int64)
+    for n in range(2, int(lengths.max(initial=0)) + 1):
+        here = np.flatnonzero(lengths == n)
+        if len(here):
+            size = len(here) * (n - 1)
+            bits = np.unpackbits(np.frombuffer(data, np.uint8, (size + 7) // 8, at), count=size).reshape(-1, n - 1)
+            values[here] = (1 << n - 1) + bits.astype(np.int64) @ (1 << np.arange(n - 1))
+            at += (size + 7) // 8
+    return values
 
 
-def unpack(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of varint bytes, and the place of each one's last byte."""
-    last = np.flatnonzero(data < 128)
-    first = np.concatenate([[0], last[:-1] + 1]) if len(last) else last
-    values = np.zeros(len(last), dtype=np.int64)
-    for k in range(int((last - first).max(initial=-1)) + 1):
-        has = first + k <= last
-        values[has] |= (data[first[has] + k].astype(np.int64) & 127) << 7 * k
-    return values, last
+class _Zip:
+    """Compressed texts, numbers and ids of packages."""
 
+    def __init__(self, id_type: str = "<u2"):
+        self._fast, self._good = zstandard.ZstdCompressor(level=1).compress, zstandard.ZstdCompressor(level=3).compress
+        self._expand, self._id_type = zstandard.ZstdDecompressor().decompress, id_type
 
-def _strings(offsets: np.ndarray, data: np.ndarray) -> pa.Array:
-    return pa.Array.from_buffers(
-        pa.large_string(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
+    def numbers(self, values: np.ndarray) -> bytes:
+        return squeeze(values, self._fast)
 
+    def read_numbers(self, data: bytes) -> np.ndarray:
+        return unsqueeze(data, self._expand)
 
-class _Zip:
-    """Zstandard frames of bytes, and of numbers as varints."""
+    def chunks(self, texts: list[str]) -> bytes:
+        """Chunks one after the other; one of spaces alone is a space and so many markers, so each begins after another character."""
+        return self._good("".join(t if t.strip(" ") else " " + MARK * len(t) for t in texts).encode())
 
-    def __init__(self):
-        self._press, self._open = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+    def read_chunks(self, data: bytes) -> list[str]:
+        found = _CHUNK.findall(self._expand(data).decode())
+        return [" " * (len(t) - 1) if t[1] == MARK else t for t in found]
 
-    def bytes(self, data) -> bytes:
-        return self._press.compress(np.ascontiguousarray(data).tobytes())
+    def ids(self, values: np.ndarray) -> bytes:
+        return self._good(values.astype(self._id_type).tobytes())
 
-    def numbers(self, values: np.ndarray) -> bytes:
-        return self.bytes(pack(values)[0])
+    def read_ids(self, data: bytes) -> np.ndarray:
+        return np.frombuffer(self._expand(data), self._id_type).astype(np.int64)
+
+
+def _steps(place: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Sorted places of each chunk as distances; a chunk's first place follows the first place of the chunk before."""
+    step = np.diff(place, prepend=0)
+    step[begin] = np.diff(place[begin], prepend=0)
+    return step
 
-    def raw(self, frame: bytes) -> np.ndarray:
-        return np.frombuffer(self._open.decompress(frame), dtype=np.uint8)
 
-    def values(self, frame: bytes) -> np.ndarray:
-        return unpack(self.raw(frame))[0]
+def _places(step: np.ndarray, hits: np.ndarray) -> np.ndarray:
+    begin = np.cumsum(hits) - hits
+    rest = step.copy()
+    rest[begin] = 0
+    total = np.cumsum(rest)
+    return total - np.repeat(total[begin], hits) + np.repeat(np.cumsum(step[begin]), hits)
 
 
 # ---- 1: blocks -----------------------------------------------------------------------------
@@ -177,42 +201,28 @@ def _blocks(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
 
 
 #: A block's own row has its ids, and the number of chunks of each text as ``sizes``; a package has the others.
-_PACKAGE = "range int, block long, lengths binary, chunks binary, hits binary, places binary"
+_PACKAGE = "range int, block long, chunks binary, hits binary, places binary"
 
 
 def _packages(block: int, ids: pa.Array, texts: pa.Array, ranges: int, spread: int, z: _Zip) -> Iterator[dict]:
     chunks, counts = cut(texts)
     yield {"range": block % ranges, "ids": ids.to_pylist(), "sizes": z.numbers(counts)}
-    coded = chunks.dictionary_encode()
+    coded = chunks.dictionary_encode()  # in the order of first places
     codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     raw, offsets = textcore.text_buffers(coded.dictionary)
     hits = np.bincount(codes, minlength=len(offsets) - 1)
-    place = np.argsort(codes, kind="stable")
-    begin = np.concatenate([[0], np.cumsum(hits)])
-    step = np.diff(place, prepend=0)
-    step[begin[:-1]] = place[begin[:-1]]
-    data, at = pack(step)
     home = textcore.hash_spans(raw, offsets)
     home = (home + np.where(hits * spread > len(codes), np.uint64(block), np.uint64(0))) % np.uint64(ranges)
+    place = np.argsort(home[codes] * np.uint64(len(hits)) + codes.astype(np.uint64), kind="stable")
     order = np.argsort(home, kind="stable")
     edges = np.searchsorted(home[order], np.arange(ranges + 1))
-    lengths = np.diff(offsets)
-    texts_of = _gather(raw, offsets, order)
-    places_of = _gather(data, at[begin], order)
-    text_at = np.concatenate([[0], np.cumsum(lengths[order])])
-    place_at = np.concatenate([[0], np.cumsum(np.diff(at[begin])[order])])
+    names, hits = coded.dictionary.take(pa.array(order)), hits[order]
+    until = np.concatenate([[0], np.cumsum(hits)])
     for r in np.flatnonzero(np.diff(edges)):
         a, b = edges[r], edges[r + 1]
         yield {
-            "range": int(r), "lengths": z.numbers(lengths[order[a:b]]), "chunks": z.bytes(texts_of[text_at[a] : text_at[b]]),
-            "hits": z.numbers(hits[order[a:b]]), "places": z.bytes(places_of[place_at[a] : place_at[b]])}
-
-
-def _gather(data: np.ndarray, offsets: np.ndarray, order: np.ndarray) -> np.ndarray:
-    """The spans of ``data`` in another order, one after the other."""
-    width = np.diff(offsets)[order]
-    until = np.cumsum(width)
-    return data[np.repeat(offsets[:-1][order] - (until - width), width) + np.arange(until[-1] if len(until) else 0)]
+            "range": int(r), "chunks": z.chunks(names.slice(a, b - a).to_pylist()), "hits": z.numbers(hits[a:b]),
+            "places": z.numbers(_steps(place[until[a] : until[b]], until[a:b] - until[a]))}
 
 
 def _cutter(ranges: int, most: int, spread: int):
@@ -221,7 +231,7 @@ def _cutter(ranges: int, most: int, spread: int):
         for batch in batches:
             ids, texts = batch.column(0), pc.fill_null(batch.column(1).cast(pa.large_string()), "")
             schema = pa.schema([
-                ("range", pa.int32()), ("block", pa.int64()), *((c, pa.binary()) for c in ("lengths", "chunks", "hits", "places", "sizes")),
+                ("range", pa.int32()), ("block", pa.int64()), *((c, pa.binary()) for c in ("chunks", "hits", "places", "sizes")),
                 ("ids", pa.list_(ids.type))])
             for a, b in _blocks(pc.binary_length(texts).to_numpy(), most):
                 rows = _packages(block, ids.slice(a, b - a), texts.slice(a, b - a), ranges, spread, z)
@@ -232,26 +242,25 @@ def _cutter(ranges: int, most: int, spread: int):
 
 
 # ---- 2: the table of distinct chunks -------------------------------------------------------
-def _segmenter(model: bytes, most: int):
+def _segmenter(model: bytes, id_type: str, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, z, table, held = Segmenter.of(model), _Zip(), {}, 0
+        pieces, z, table, held = Segmenter.of(model), _Zip(id_type), {}, 0
         for batch in batches:
             counts, ids = [], []
-            for lengths, chunks in zip(batch.column("lengths").to_pylist(), batch.column("chunks").to_pylist()):
-                if lengths is None:
+            for chunks in batch.column("chunks").to_pylist():
+                if chunks is None:
                     counts.append(None)
                     ids.append(None)
                     continue
-                sizes = z.values(lengths)
-                names = _strings(np.concatenate([[0], np.cumsum(sizes)]), z.raw(chunks)).to_pylist()
+                names = z.read_chunks(chunks)
                 new = [c for c in names if c not in table]
                 for a in range(0, len(new), SEGMENT_ROWS):
                     part = new[a : a + SEGMENT_ROWS]
-                    table.update(zip(part, (np.array(i, dtype=np.int64) for i in pieces.encode(part))))
+                    table.update(zip(part, (np.array(i, dtype=np.int32) for i in pieces.encode(part))))
                 held += sum(map(len, new)) + 200 * len(new)
                 found = [table[c] for c in names]
                 counts.append(z.numbers(np.fromiter(map(len, found), dtype=np.int64, count=len(found))))
-                ids.append(z.numbers(np.concatenate(found)))
+                ids.append(z.ids(np.concatenate(found)))
                 if held > most:
                     table, held = {}, 0
             columns = {c: batch.column(c) for c in ("block", "hits", "places", "sizes", "ids")}
@@ -261,30 +270,21 @@ def _segmenter(model: bytes, most: int):
 
 
 # ---- 3: ids and decoded chunks by place ----------------------------------------------------
-def _assembler(model: bytes, end: int):
+def _assembler(model: bytes, id_type: str, end: int):
     def run(table: pa.Table) -> pa.Table:
-        z, pieces = _Zip(), Segmenter.of(model)
-        ids, sizes, owner, pool, width = None, None, [], [], []
-        kinds = 0
-        for row in table.select(["sizes", "hits", "places", "widths", "pieces"]).to_pylist():
-            if row["sizes"] is not None:
-                sizes = z.values(row["sizes"])
-                continue
-            hits, steps = z.values(row["hits"]), z.values(row["places"])
-            first = np.concatenate([[0], np.cumsum(hits)])
-            total = np.cumsum(steps)
-            before = np.repeat(total[first[:-1]] - steps[first[:-1]], hits)
-            owner.append((total - before, np.repeat(np.arange(kinds, kinds + len(hits)), hits)))
-            kinds += len(hits)
-            width.append(z.values(row["widths"]))
-            pool.append(z.values(row["pieces"]))
+        z, pieces = _Zip(id_type), Segmenter.of(model)
         own = table.filter(pc.is_valid(table.column("sizes")))
-        ids = own.column("ids").combine_chunks().flatten()
+        ids, sizes = own.column("ids").combine_chunks().flatten(), z.read_numbers(own.column("sizes")[0].as_py())
         at = np.concatenate([[0], np.cumsum(sizes)])
-        code = np.zeros(int(at[-1]), dtype=np.int64)
-        for place, kind in owner:
-            code[place] = kind
-        width, pool = (np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (width, pool))
+        code, pool, width, kinds = np.zeros(int(at[-1]), dtype=np.int64), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+        rows = table.filter(pc.is_valid(table.column("pieces"))).select(["hits", "places", "widths", "pieces"])
+        for row in rows.to_pylist():
+            hits = z.read_numbers(row["hits"])
+            code[_places(z.read_numbers(row["places"]), hits)] = np.repeat(np.arange(kinds, kinds + len(hits)), hits)
+            kinds += len(hits)
+            width.append(z.read_numbers(row["widths"]))
+            pool.append(z.read_ids(row["pieces"]))
+        width, pool = np.concatenate(width), np.concatenate(pool)
         begin = np.concatenate([[0], np.cumsum(width)])
         length = width[code]
         until = np.concatenate([[0], np.cumsum(length)])
@@ -312,14 +312,15 @@ def encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str
     Null and repeated ids keep their rows; an empty table gives an empty result;
     other columns are left out, whatever their names.
     """
-    end = check_model(model)
+    end, size = check_model(model)
+    id_type = "<u2" if size <= 1 << 16 else "<u4"
     ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     given = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = given.schema["id"].dataType
     packages = given.mapInArrow(_cutter(ranges, BLOCK_BYTES, SPREAD), f"{_PACKAGE}, sizes binary, ids array<{kind.simpleString()}>")
     segmented = packages.repartitionById(ranges, "range").mapInArrow(
-        _segmenter(model, TABLE_BYTES), f"block long, hits binary, places binary, sizes binary, ids array<{kind.simpleString()}>, widths binary, pieces binary")
+        _segmenter(model, id_type, TABLE_BYTES), f"block long, hits binary, places binary, sizes binary, ids array<{kind.simpleString()}>, widths binary, pieces binary")
     schema = T.StructType([
         T.StructField("id", kind), T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())])
-    out = segmented.groupBy("block").applyInArrow(_assembler(model, end), schema)
+    out = segmented.groupBy("block").applyInArrow(_assembler(model, id_type, end), schema)
     return out.select(F.col("id").alias(id_col), "ids", "decoded")

@@ -64,10 +64,22 @@ def test_chunks_are_segmented_on_their_own(text):
 
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(0, 2**40) | st.integers(0, 300), max_size=50))
-def test_varints_come_back(values):
-    data, at = S.pack(np.array(values, dtype=np.int64))
-    back, last = S.unpack(data)
-    assert back.tolist() == values and (last + 1).tolist() == at[1:].tolist()
+def test_numbers_come_back(values):
+    z = S._Zip()
+    assert z.read_numbers(z.numbers(np.array(values, dtype=np.int64))).tolist() == values
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 9), min_size=1, max_size=6), min_size=1, max_size=8), st.lists(st.integers(1, 4), min_size=1, max_size=5))
+def test_chunks_and_places_come_back(places, spaces):
+    z = S._Zip()
+    chunks = [" " * n + w for n in spaces for w in ("", "a", "é\n", "x\x00")]
+    assert z.read_chunks(z.chunks(chunks)) == chunks
+    firsts = np.cumsum([p[0] for p in places])  # chunks come in the order of their first places
+    full = [np.cumsum([f, *[x + 1 for x in p[1:]]]) for f, p in zip(firsts, places)]
+    hits = np.array([len(p) for p in full])
+    flat = np.concatenate(full)
+    assert S._places(S._steps(flat, np.cumsum(hits) - hits), hits).tolist() == flat.tolist()
 
 
 def test_other_models_are_refused():
