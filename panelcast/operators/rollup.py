@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions.exprs import clean_name, parse_int_text
+from .ranks import exact_quantile
 
 
 def normalise_taxa(
@@ -107,8 +108,7 @@ def clean_name_lookup(
     recode = F.when(F.col("_rn") == 1, F.col("_clean")).otherwise(
         F.concat_ws("_", F.col("_clean"), F.col("_rn").cast("string"))
     )
-    # scalar subquery: one value over the (bounded) set of distinct names
-    thr = counts.agg(F.percentile(F.col("n").cast("double"), rare_quantile)).scalar()
+    thr = exact_quantile(counts, "n", rare_quantile).scalar()
     return (
         named.select(
             "disease",

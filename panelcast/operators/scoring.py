@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import direction, safe_div
-from ..session import write_stage
+from .ranks import value_ranks
 
 
 def persistence_forecast(df: DataFrame) -> DataFrame:
@@ -219,21 +219,7 @@ def calibration_bins(
     d = d if groups else d.withColumn("_all", F.lit(0))
     values = d.groupBy(*by, F.col(prob_col).alias("_p")).agg(
         F.count(F.lit(1)).alias("_n"), F.sum(F.col(outcome_col).cast("int")).alias("_x"))
-    ordered = write_stage(
-        values.orderBy(*by, "_p").withColumn("_part", F.shiftright(F.monotonically_increasing_id(), 33)),
-        "calibration_values")
-    sums = ordered.groupBy(*by, "_part").agg(F.sum("_n").alias("_s"))  # a row per group and partition
-    before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.withColumns({
-        "_before": F.coalesce(F.sum("_s").over(before), F.lit(0)),
-        "_total": F.sum("_s").over(Window.partitionBy(*by)),
-    }).drop("_s")
-    inside = Window.partitionBy("_part", *by).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = ordered.withColumn("_inside", F.coalesce(F.sum("_n").over(inside), F.lit(0))).alias("v").join(
-        offsets.alias("o"), [F.col(f"v.{c}").eqNullSafe(F.col(f"o.{c}")) for c in [*by, "_part"]]
-    ).select(*[F.col(f"v.{c}").alias(c) for c in by], "_p", "_n", "_x",
-             (F.col("_before") + F.col("_inside")).alias("_lo"), "_total")
-    ranked = write_stage(ranked, "calibration_ranks")  # _lo: rows of the group below this value
+    ranked = value_ranks(values, by, "_p", "_n", "calibration_ranks")  # _lo: rows of the group below this value
     targets = F.array(*[F.greatest(F.lit(1), F.ceil(F.lit(i / n_bins) * F.col("_total"))) for i in range(1, n_bins)])
     holds = F.exists(targets, lambda t: (t > F.col("_lo")) & (t <= F.col("_lo") + F.col("_n")))
     edges = ranked.where(holds).groupBy(*by).agg(F.collect_set("_p").alias("_edges"))  # below n_bins per group

@@ -12,6 +12,8 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranks import hash_rank
+
 
 def _hash_rank(df: DataFrame, key: list[str], period_col: str, seed: int) -> DataFrame:
     w = Window.partitionBy(*key)
@@ -87,6 +89,16 @@ def split_share(df: DataFrame) -> DataFrame:
     )
 
 
+def stratified_folds(df: DataFrame, key: list[str], k: int = 10, strata: list[str] | None = None, seed: int = 400) -> DataFrame:
+    """L4: ``fold`` (0 to k - 1) by rank in hash order within each stratum, so a stratum's fold sizes differ by one at most.
+
+    Null strata form one of their own.  ``df`` is read three times: pass a
+    materialised one.
+    """
+    ranked = hash_rank(df, key, strata or [], seed, "_rank")
+    return ranked.withColumn("fold", F.pmod(F.col("_rank") - 1, F.lit(k)).cast("int")).drop("_rank")
+
+
 def bootstrap(df: DataFrame, key: list[str], seed: int = 42) -> DataFrame:
     """Resample with replacement: each row as often as a Poisson(1) draw of its seeded key hash.
 

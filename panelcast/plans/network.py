@@ -260,7 +260,8 @@ def predict(features: DataFrame, scaling_table: DataFrame, coefficients: DataFra
     for v in SCALED:
         eta = eta + F.col(f"_c_{v}") * F.col(v)
     complete = all_not_null(["continent", *SCALED])
-    prob = F.when(complete, 1.0 / (1.0 + F.exp(-eta)))
+    # nine digits: the sum's last bits depend on the engine and the layout, and would split equal values
+    prob = F.when(complete, F.round(1.0 / (1.0 + F.exp(-eta)), 9))
     return j.select("country_iso3c", "disease", "month", prob.alias("predicted_outbreak_probability"))
 
 

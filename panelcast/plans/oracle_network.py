@@ -332,7 +332,7 @@ FROM (SELECT DISTINCT disease FROM feats) d CROSS JOIN (
 SELECT disease, substr(variable, 10) AS continent, coef FROM coefs WHERE starts_with(variable, 'continent')"""),
         ("pred", f"""
 SELECT f.country_iso3c, f.disease, f.month,
-       CASE WHEN {complete} THEN 1.0 / (1.0 + exp(-({eta}))) END AS predicted_outbreak_probability
+       CASE WHEN {complete} THEN round(1.0 / (1.0 + exp(-({eta}))), 9) END AS predicted_outbreak_probability
 FROM feats f LEFT JOIN coef_wide cw ON f.disease = cw.disease
 LEFT JOIN coef_cont cc ON f.disease = cc.disease AND f.continent = cc.continent"""),
         ("npred", """

@@ -6,16 +6,19 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
-from ..operators import mixed, models, scoring, splits
+from ..operators import mixed, models, ranks, scoring, splits
 from ..sources import bindings as B
 from . import network as NW
 from . import nowcast as N
+from . import oracle as O
 from .queries_misc import _nowcast_split, split_monthly
+from .queries_readside import PRIORITY
 from .registry import register
 from .stages import stage
 
 KEY = K.NOWCAST_KEY
 _FITS: dict = {}
+TUNING_SETS = 8  # parameter sets of the space-filling design
 
 
 def _features(spark, sf_dir):
@@ -33,7 +36,7 @@ def _hurdle(spark, sf_dir):
     k = (spark.sparkContext.applicationId, sf_dir, "hurdle")
     if k not in _FITS:
         train = splits.training_rows(_split_features(spark, sf_dir))
-        _FITS[k] = (models.fit_status_model(train, KEY), models.fit_cases_model(train, KEY))
+        _FITS[k] = (models.fit_status(train), models.fit_cases(train))
     return _FITS[k]
 
 
@@ -69,15 +72,42 @@ def hurdle_forecast(spark, sf_dir):
 
 @register("cv_one_se")
 def cv_one_se(spark, sf_dir):
-    """L4 + L5: cross-validated grid with the one-standard-error choice."""
-    st, cs = _hurdle(spark, sf_dir)
+    """L4 + L5: seven parameters raced over stratified folds, with the folds each set survived and the one-SE choice."""
+    train = splits.training_rows(_split_features(spark, sf_dir))
     rows = []
-    for name, m in (("disease_status", st), ("cases", cs)):
-        for params, mean, std, chosen in m.cv_table:
-            rows.append((name, ", ".join(f"{k}={v}" for k, v in sorted(params.items())),
-                         float(mean), float(std), bool(chosen)))
-    return spark.createDataFrame(rows, "model string, params string, metric_mean double, "
-                                       "metric_sd double, chosen boolean")
+    for name, tune in (("disease_status", models.tune_status_model), ("cases", models.tune_cases_model)):
+        tuned = tune(train, KEY, points=models.space_filling(TUNING_SETS))
+        for point, mean, sd, folds, chosen in tuned.cv_table:
+            rows.append((name, ", ".join(f"{k}={v}" for k, v in sorted(point.items())), *map(float, point.values()), mean, sd, folds, chosen))
+    names = ", ".join(f"{v} double" for v in models.TUNED_PARAMETERS)
+    return spark.createDataFrame(
+        rows, f"model string, params string, {names}, metric_mean double, metric_sd double, folds int, chosen boolean")
+
+
+@register("stratified_folds", O.with_(O.baseline_ctes(), f"""
+SELECT {O.KEY}, CAST(disease_status AS BIGINT) AS disease_status,
+  (row_number() OVER (PARTITION BY disease_status ORDER BY md5(concat_ws('|', '400', {', '.join(KEY)})), {', '.join(KEY)}) - 1) % 10 AS fold
+FROM baseline WHERE disease_status IS NOT NULL"""))
+def stratified_folds(spark, sf_dir):
+    """L4: ten folds of the rows with a known status, sizes per class differing by one at most."""
+    def build():
+        return N.forecast_baseline(spark, sf_dir).where("disease_status IS NOT NULL").select(*KEY, "disease_status")
+
+    return splits.stratified_folds(stage(spark, sf_dir, "fold_rows", build), KEY, 10, ["disease_status"])
+
+
+SAMPLE_ROWS = 500
+
+
+@register("fixed_sample", O.with_(O.baseline_ctes(), f"""
+SELECT {O.KEY}, CAST(disease_status AS BIGINT) AS disease_status, CAST(cases AS BIGINT) AS cases FROM baseline
+ORDER BY md5(concat_ws('|', '9', {', '.join(KEY)})) LIMIT {SAMPLE_ROWS}"""))
+def fixed_sample(spark, sf_dir):
+    """500 rows of the nowcast panel, the same ones at any layout."""
+    def build():
+        return N.forecast_baseline(spark, sf_dir).select(*KEY, "disease_status", "cases")
+
+    return ranks.hash_sample(stage(spark, sf_dir, "sample_rows", build), KEY, SAMPLE_ROWS, seed=9)
 
 
 @register("model_comparison")
@@ -109,10 +139,36 @@ def correct_starts(spark, sf_dir):
 
 @register("feature_importance")
 def feature_importance(spark, sf_dir):
-    """V8: top-12 gain importances of the status and the cases model."""
-    rows = [(name, *r) for name, m in zip(("disease_status", "cases"), _hurdle(spark, sf_dir))
+    """V8: top-12 gain importances of the status and the cases model, with labels."""
+    rows = [(name, *r, models.feature_label(r[0])) for name, m in zip(("disease_status", "cases"), _hurdle(spark, sf_dir))
             for r in models.feature_importance(m, 12)]
-    return spark.createDataFrame(rows, "model string, feature string, importance double")
+    return spark.createDataFrame(rows, "model string, feature string, importance double, label string")
+
+
+STATUS_LAGS = ["disease_status_lag1", "disease_status_lag2", "disease_status_lag3"]
+PROFILED = ["log_veterinarians_per_taxa", "log_gdp_per_capita", "cases_lag_sum_border_countries"]
+PROFILE_LEVELS = 11
+
+
+def _priority_rows(spark, sf_dir):
+    return _validation(spark, sf_dir).where(F.col("disease").isin(PRIORITY))
+
+
+@register("status_lag_profiles")
+def status_lag_profiles(spark, sf_dir):
+    """V9: status probability of the priority diseases with each status lag forced to absent and present."""
+    st, _ = _hurdle(spark, sf_dir)
+    profile = models.profiles(st, _priority_rows(spark, sf_dir), {v: [0.0, 1.0] for v in STATUS_LAGS}, ["disease"])
+    return models.presence_effects(profile, ["disease"])
+
+
+@register("cases_profiles")
+def cases_profiles(spark, sf_dir):
+    """V9: relative range of predicted cases of the priority diseases over three variables' own values."""
+    _, cs = _hurdle(spark, sf_dir)
+    rows = models.cases_training_rows(_priority_rows(spark, sf_dir))
+    grids = {v: models.level_grid(rows, v, PROFILE_LEVELS) for v in PROFILED}
+    return models.range_effects(models.profiles(cs, rows, grids, ["disease"]), ["disease"])
 
 
 @register("partial_dependence")
@@ -125,14 +181,13 @@ def partial_dependence(spark, sf_dir):
 
 @register("permutation_importance")
 def permutation_importance(spark, sf_dir):
-    """Accuracy with each predictor permuted, over the correctly predicted outbreak starts."""
+    """Accuracy and loss with each predictor permuted, over the correctly predicted outbreak starts."""
     st, _ = _hurdle(spark, sf_dir)
     val = _validation(spark, sf_dir)
     starts = correct_starts(spark, sf_dir).select(*KEY).distinct().withColumn("correct_start", F.lit(True))
     val = val.join(starts, KEY, "left").withColumn("label", F.col("disease_status").cast("double"))
     return models.permutation_importance(
-        st, val, models.recipe_predictors(st), KEY, "disease_status", rows=F.col("correct_start"),
-        buckets=1)  # few rows: in many buckets most would keep their own value
+        st, val, models.recipe_predictors(st), KEY, "disease_status", rows=F.col("correct_start"))
 
 
 # ---- mixed-effects network model -------------------------------------------------------

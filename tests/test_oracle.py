@@ -13,7 +13,7 @@ FAST = [
     "thread_bounds", "thread_month_panel", "endemic_months", "import_pressure",
     "import_pressure_by_origin", "network_features", "scaling_stats", "network_predict",
     "calibration_bins", "variable_importance", "origin_import_risk", "status_predict",
-    "impact_summary", "data_checks",
+    "impact_summary", "data_checks", "stratified_folds", "fixed_sample", "standardise", "network_covariates",
 ]
 
 
