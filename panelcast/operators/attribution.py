@@ -7,7 +7,7 @@ groups are bounded by the number of origins per destination.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import safe_div, strict_agg, title_from_snake
@@ -62,81 +62,128 @@ def variable_importance(
     return out.join(countries.select("country_iso3c", "country"), on="country_iso3c", how="left")
 
 
-def variable_importance_by_origin(
-    preds_by_origin: DataFrame,
+def with_link_importance(
+    preds: DataFrame,
     coefficients: DataFrame,
     scaling: DataFrame,
-    countries: DataFrame,
     link_variables: list[str],
     country_filter=None,
     diseases=None,
     months=None,
 ) -> DataFrame:
-    """Group importance of each link variable distributed over origins in
-    proportion to each origin's value.  The group sum is null if any origin's
-    value is null (strict sum); a zero sum gives null shares."""
-    p = _filter(preds_by_origin, country_filter, diseases, months)
-    ids = ["country_iso3c", "country_origin", "disease", "month", "outbreak_start", "endemic",
-           "outbreak_ongoing", "predicted_outbreak_probability"]
-    long = p.select(*ids, *[F.col(v).cast("double").alias(v) for v in link_variables]).unpivot(
-        ids, link_variables, "variable", "x")
-    long = long.withColumnRenamed("country_origin", "country_origin_iso3c")
-    co = coefficients.select("disease", "variable", "coef")
-    sc = scaling.select(F.col("key").alias("variable"), "mean", "sd")
-    w = Window.partitionBy("country_iso3c", "disease", "month", "variable")
-    j = long.join(co, on=["disease", "variable"], how="left").join(sc, on="variable", how="left")
-    j = j.withColumn("sum_x", strict_sum_over("x", w))
-    j = j.withColumn("sum_x_standardized", safe_div(F.col("sum_x") - F.col("mean"), F.col("sd")))
-    j = j.withColumn("overall_variable_importance", F.col("sum_x_standardized") * F.col("coef"))
-    j = j.withColumn(
-        "disagg_variable_importance",
-        safe_div(F.col("overall_variable_importance"), F.col("sum_x")) * F.col("x"),
+    """Cells with ``links``: per link variable its sum over the cell's origins and its importance.
+
+    ``preds`` has an array ``origins`` a cell (``links.import_origins``).  The sum
+    is null if any origin's value is null (strict sum) or there is none; a zero
+    sum gives a null ``per_unit``, the importance of one unit of x.  Everything is
+    an array expression on the cell's row; the only join is with the diseases'
+    coefficients.
+    """
+    p = _filter(preds, country_filter, diseases, months)
+    wide = coefficients.where(F.col("variable").isin(link_variables)).groupBy("disease").pivot(
+        "variable", link_variables).agg(F.first("coef"))
+    wide = wide.select("disease", F.struct(*[F.col(v) for v in link_variables]).alias("_coef"))
+    fitted = {r["key"]: (r["mean"], r["sd"]) for r in scaling.where(F.col("key").isin(link_variables)).collect()}  # a row per variable
+    j = p.join(wide, on="disease", how="left")
+    found = []
+    for v in link_variables:
+        values = F.col(f"origins.{v}").cast("array<double>")
+        whole = F.when((F.size(values) > 0) & ~F.exists(values, lambda x: x.isNull()), F.aggregate(values, F.lit(0.0), lambda a, x: a + x))
+        mean, sd = (F.lit(x).cast("double") for x in fitted.get(v, (None, None)))
+        found.append(F.struct(F.lit(v).alias("variable"), whole.alias("sum_x"), mean.alias("mean"), sd.alias("sd"), F.col(f"_coef.{v}").alias("coef")))
+    j = j.withColumn("links", F.array(*found)).drop("_coef")
+    standardised = lambda s: safe_div(s["sum_x"] - s["mean"], s["sd"])
+    j = j.withColumn("links", F.transform("links", lambda s: s.withField("sum_x_standardized", standardised(s))))
+    j = j.withColumn("links", F.transform("links", lambda s: s.withField("overall_variable_importance", s["sum_x_standardized"] * s["coef"])))
+    return j.withColumn("links", F.transform("links", lambda s: s.withField("per_unit", safe_div(s["overall_variable_importance"], s["sum_x"]))))
+
+
+CELL = ["country_iso3c", "disease", "month", "outbreak_start", "endemic", "outbreak_ongoing", "predicted_outbreak_probability"]
+
+
+def _value(origin: Column, variables: list[str], variable: Column) -> Column:
+    """The origin's value of the named link variable."""
+    return F.coalesce(*[F.when(variable == v, origin[v].cast("double")) for v in variables])
+
+
+def variable_importance_by_origin(cells: DataFrame, countries: DataFrame, link_variables: list[str]) -> DataFrame:
+    """The importance of each link variable distributed over origins in
+    proportion to each origin's value (``cells`` from ``with_link_importance``);
+    one row with a null origin per variable where a cell has no origin."""
+    flat = cells.select(*CELL, "links", F.explode_outer("origins").alias("_o")).select(
+        *CELL, "_o", F.col("_o.country_origin").alias("country_origin_iso3c"), F.explode("links").alias("_l"))
+    x = _value(F.col("_o"), link_variables, F.col("_l.variable"))
+    j = flat.select(
+        *CELL, "country_origin_iso3c", "_l.variable", x.alias("x"), "_l.coef", "_l.mean", "_l.sd", "_l.sum_x",
+        "_l.sum_x_standardized", "_l.overall_variable_importance",
+        (F.col("_l.per_unit") * x).alias("disagg_variable_importance"),
     ).withColumn("pos", F.col("disagg_variable_importance") > 0)
+    return _origin_names(j, countries)
+
+
+def _origin_names(df: DataFrame, countries: DataFrame) -> DataFrame:
     names = countries.select("country_iso3c", "country")
     onames = countries.select(
         F.col("country_iso3c").alias("country_origin_iso3c"), F.col("country").alias("country_origin"))
-    return j.join(names, on="country_iso3c", how="left").join(
-        onames, on="country_origin_iso3c", how="left")
+    return df.join(names, on="country_iso3c", how="left").join(onames, on="country_origin_iso3c", how="left")
 
 
-def strict_sum_over(c: str, w) -> Column:
-    return F.when(
-        F.count(F.col(c)).over(w) == F.count(F.lit(1)).over(w), F.sum(c).over(w)
-    )
+def with_contributions(cells: DataFrame, link_variables: list[str]) -> DataFrame:
+    """Cells with ``contributions``: (country_origin_iso3c, contribution) of the
+    origins that any link variable gives a share of the import risk."""
+    def one(o: Column) -> Column:
+        shares = F.transform("links", lambda s: s["per_unit"] * _value(o, link_variables, s["variable"]))
+        known = F.filter(shares, lambda x: x.isNotNull())
+        total = F.when(F.size(known) > 0, F.aggregate(known, F.lit(0.0), lambda a, x: a + x))
+        return F.struct(o["country_origin"].alias("country_origin_iso3c"), total.alias("contribution"))
 
+    every = F.filter(F.transform(F.coalesce("origins", F.array()), one), lambda c: c["contribution"].isNotNull())
+    return cells.withColumn("contributions", every)
 
-def origin_import_risk(by_origin_importance: DataFrame) -> DataFrame:
-    """Contribution of each origin to the import risk, largest first (G1)."""
-    d = by_origin_importance.where(
-        F.col("variable").contains("from_outbreaks") & F.col("disagg_variable_importance").isNotNull()
-    )
-    return d.groupBy(
-        "month", "disease", "country", "country_iso3c", "country_origin", "country_origin_iso3c",
-        "predicted_outbreak_probability",
-    ).agg(F.sum("disagg_variable_importance").alias("contribution_to_import_risk")).orderBy(
-        F.desc("contribution_to_import_risk"), "country_iso3c", "country_origin_iso3c", "disease", "month")
 
+RISK = ["month", "disease", "country", "country_iso3c", "country_origin", "country_origin_iso3c",
+        "predicted_outbreak_probability", "contribution_to_import_risk"]
 
-def top_origins(risk: DataFrame, k: int = 10) -> DataFrame:
-    """The k largest origin contributions per destination-disease-month."""
-    w = Window.partitionBy("country_iso3c", "disease", "month").orderBy(
-        F.desc("contribution_to_import_risk"), F.asc("country_origin_iso3c"))
-    return risk.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+def origin_import_risk(contributions: DataFrame, countries: DataFrame) -> DataFrame:
+    """Contribution of each origin to the import risk."""
+    flat = contributions.select("month", "disease", "country_iso3c", "predicted_outbreak_probability", F.explode("contributions").alias("_c")).select(
+        "month", "disease", "country_iso3c", "predicted_outbreak_probability", "_c.country_origin_iso3c",
+        F.col("_c.contribution").alias("contribution_to_import_risk"))
+    return _origin_names(flat, countries).select(*RISK)
 
 
-def origin_share_lumped(risk: DataFrame, min_share: float = 0.05, other: str = "other") -> DataFrame:
+def largest_first(risk: DataFrame) -> DataFrame:
+    """G1: by country, month and disease, largest contribution first."""
+    return risk.orderBy("country", "month", "disease", F.desc("contribution_to_import_risk"), "country_origin_iso3c")
+
+
+def top_origins(contributions: DataFrame, countries: DataFrame, k: int = 10) -> DataFrame:
+    """The k largest origin contributions per destination-disease-month."""
+    ordered = F.array_sort(
+        "contributions",
+        lambda a, b: F.when(a["contribution"] > b["contribution"], -1).when(a["contribution"] < b["contribution"], 1)
+        .when(a["country_origin_iso3c"] < b["country_origin_iso3c"], -1).otherwise(1))
+    top = contributions.withColumn("contributions", F.slice(ordered, 1, k))
+    flat = top.select("month", "disease", "country_iso3c", "predicted_outbreak_probability", F.posexplode("contributions").alias("_i", "_c")).select(
+        "month", "disease", "country_iso3c", "predicted_outbreak_probability", "_c.country_origin_iso3c",
+        F.col("_c.contribution").alias("contribution_to_import_risk"), (F.col("_i") + 1).alias("rank"))
+    return _origin_names(flat, countries).select(*RISK, "rank")
+
+
+def origin_share_lumped(contributions: DataFrame, min_share: float = 0.05, other: str = "other") -> DataFrame:
     """Origin shares of the positive import risk; small shares lumped."""
-    pos = risk.where(F.col("contribution_to_import_risk") > 0)
-    w = Window.partitionBy("country_iso3c", "disease", "month")
-    s = pos.withColumn(
-        "share", safe_div(F.col("contribution_to_import_risk"),
-                          F.sum("contribution_to_import_risk").over(w)))
-    s = s.withColumn(
-        "origin_group",
-        F.when(F.col("share") < min_share, F.lit(other)).otherwise(F.col("country_origin_iso3c")),
-    )
-    return s.groupBy("country_iso3c", "disease", "month", "origin_group").agg(
-        F.sum("share").alias("share"), F.count(F.lit(1)).alias("n_origins"))
+    positive = F.filter("contributions", lambda c: c["contribution"] > 0)
+    total = F.aggregate(positive, F.lit(0.0), lambda a, c: a + c["contribution"])
+    cells = contributions.select("country_iso3c", "disease", "month", positive.alias("_p"), total.alias("_t"))
+    shares = F.transform("_p", lambda c: F.struct(c["country_origin_iso3c"].alias("origin"), (c["contribution"] / F.col("_t")).alias("share")))
+    cells = cells.withColumn("_s", shares)
+    group = lambda origin, share, n: F.struct(origin.alias("origin_group"), share.alias("share"), n.cast("long").alias("n_origins"))
+    small = F.filter("_s", lambda s: s["share"] < min_share)
+    large = F.transform(F.filter("_s", lambda s: s["share"] >= min_share), lambda s: group(s["origin"], s["share"], F.lit(1)))
+    rest = F.when(F.size(small) > 0, F.array(group(F.lit(other), F.aggregate(small, F.lit(0.0), lambda a, s: a + s["share"]), F.size(small))))
+    groups = F.concat(large, F.coalesce(rest, F.filter(large, lambda s: F.lit(False))))
+    return cells.select("country_iso3c", "disease", "month", F.explode(groups).alias("_g")).select("country_iso3c", "disease", "month", "_g.*")
 
 
 def status_predict(

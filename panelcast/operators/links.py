@@ -79,12 +79,27 @@ def import_pressure(presence: DataFrame, static: DataFrame, yearly: DataFrame) -
     )
 
 
-def import_pairs(presence: DataFrame, static: DataFrame, yearly: DataFrame) -> DataFrame:
-    """K1b edges: one row per (destination, disease, month, origin) with the
-    origin's link values (null where that link type is absent)."""
-    s, y = _linked(presence, static, yearly)
-    k = ["country_destination", "disease", "month", "country_origin"]
-    return s.select(*k, *STATIC_VALUES).join(y.select(*k, *YEARLY_VALUES), on=k, how="full")
+def merged_edges(static: DataFrame, yearly: DataFrame, first_year: int, last_year: int) -> DataFrame:
+    """(origin, destination, year) -> all four link values, self pairs left out.
+
+    Static links hold in every year of the range.  The table's size depends on
+    the countries and years only.
+    """
+    every = static.withColumn("year", F.explode(F.sequence(F.lit(first_year), F.lit(last_year))))
+    both = every.join(yearly, on=["country_origin", "country_destination", "year"], how="full")
+    return both.where(F.col("country_origin") != F.col("country_destination"))
+
+
+def import_origins(presence: DataFrame, edges: DataFrame) -> DataFrame:
+    """K1b, nested: (country_iso3c = destination, disease, month) -> ``origins``, an array of
+    (country_origin, link values) over the linked origins where the disease is
+    present, ordered by origin (a value is null where that link is absent).
+
+    One join and one aggregation; a cell's array is bounded by its origins.
+    """
+    linked = presence.withColumn("year", F.year("month")).join(edges, on=["country_origin", "year"])
+    return linked.groupBy(F.col("country_destination").alias("country_iso3c"), "disease", "month").agg(
+        F.sort_array(F.collect_list(F.struct("country_origin", *ALL_VALUES))).alias("origins"))
 
 
 def with_import_pressure(targets: DataFrame, pressure: DataFrame) -> DataFrame:
@@ -93,7 +108,13 @@ def with_import_pressure(targets: DataFrame, pressure: DataFrame) -> DataFrame:
     return out.withColumns({c: F.coalesce(F.col(c), F.lit(0.0)) for c in ALL_VALUES})
 
 
-def with_import_pairs(targets: DataFrame, pairs: DataFrame) -> DataFrame:
+def with_origins(targets: DataFrame, origins: DataFrame) -> DataFrame:
+    """Target rows with their array of origins; null where there is none."""
+    return targets.join(origins, on=["country_iso3c", "disease", "month"], how="left")
+
+
+def flat_origins(nested: DataFrame) -> DataFrame:
     """One row per linked origin; a single null-origin row where none."""
-    p = pairs.withColumnRenamed("country_destination", "country_iso3c")
-    return targets.join(p, on=["country_iso3c", "disease", "month"], how="left")
+    rest = [c for c in nested.columns if c != "origins"]
+    flat = nested.select(*rest, F.explode_outer("origins").alias("_o"))
+    return flat.select(*rest, "_o.country_origin", *[f"_o.{v}" for v in ALL_VALUES])

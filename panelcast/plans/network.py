@@ -135,7 +135,7 @@ BASE_COLS = [
 
 
 def network_features(spark: SparkSession, sf_dir: str, by_origin: bool = False) -> DataFrame:
-    """K10-K13 (+K1 or K1b): the augmented network design table (a stage)."""
+    """K10-K13 (+K1, or K1b as an array of origins): the augmented network design table (a stage)."""
     name = "network_features_by_origin" if by_origin else "network_features"
     return stage(spark, sf_dir, name, lambda: _network_features(spark, sf_dir, by_origin))
 
@@ -147,7 +147,8 @@ def _network_features(spark: SparkSession, sf_dir: str, by_origin: bool) -> Data
     presence = links.presence_set(monthly)
     static, yearly = link_edges(spark, sf_dir)
     if by_origin:
-        out = links.with_import_pairs(covs, links.import_pairs(presence, static, yearly))
+        edges = links.merged_edges(static, yearly, B.GRID_START.year, B.AS_OF.year)
+        out = links.with_origins(covs, links.import_origins(presence, edges))
     else:
         out = links.with_import_pressure(covs, links.import_pressure(presence, static, yearly))
     out = out.join(links.present_anywhere(presence), on=["disease", "month"], how="left")

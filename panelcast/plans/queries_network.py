@@ -121,7 +121,7 @@ def network_features(spark, sf_dir):
 )
 def import_pressure_by_origin(spark, sf_dir):
     """One row per linked present origin; a null-origin row where none."""
-    return NW.network_features(spark, sf_dir, by_origin=True).select(
+    return links.flat_origins(NW.network_features(spark, sf_dir, by_origin=True)).select(
         *FEAT_COLS, "country_origin", *LOGS, *LINK)
 
 

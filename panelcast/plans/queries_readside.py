@@ -114,10 +114,15 @@ ROUND_VO = ", ".join(
 )
 
 
-def _by_origin(spark, sf_dir):
+def _cells(spark, sf_dir, **only):
+    """Prediction cells with the importance of their link variables."""
     _, scaling, coefs = NW.network_model_tables(spark, sf_dir)
-    by_o = NW.network_predictions(spark, sf_dir, by_origin=True)
-    return A.variable_importance_by_origin(by_o, coefs, scaling, B.countries(spark, sf_dir), LINK)
+    nested = NW.network_predictions(spark, sf_dir, by_origin=True)
+    return A.with_link_importance(nested, coefs, scaling, LINK, **only)
+
+
+def _contributions(spark, sf_dir, **only):
+    return A.with_contributions(_cells(spark, sf_dir, **only), LINK)
 
 
 @register(
@@ -127,7 +132,7 @@ def _by_origin(spark, sf_dir):
 )
 def variable_importance_by_origin(spark, sf_dir):
     """Link-variable importance distributed over origins."""
-    return _by_origin(spark, sf_dir)
+    return A.variable_importance_by_origin(_cells(spark, sf_dir), B.countries(spark, sf_dir), LINK)
 
 
 RISK_SQL = VO_SQL + """
@@ -147,7 +152,7 @@ RISK_SQL = VO_SQL + """
 )
 def origin_import_risk(spark, sf_dir):
     """Contribution of each origin country to the import risk."""
-    return A.origin_import_risk(_by_origin(spark, sf_dir))
+    return A.origin_import_risk(_contributions(spark, sf_dir), B.countries(spark, sf_dir))
 
 
 @register(
@@ -159,11 +164,8 @@ WHERE disease IN {O.in_list(PRIORITY)} AND month = CAST(date_trunc('month', {ON.
 )
 def origin_import_risk_current(spark, sf_dir):
     """Y3 + Y4 + G1 with the read's own defaults: priority diseases, current month, largest risk first."""
-    _, scaling, coefs = NW.network_model_tables(spark, sf_dir)
-    by_o = NW.network_predictions(spark, sf_dir, by_origin=True)
-    importance = A.variable_importance_by_origin(
-        by_o, coefs, scaling, B.countries(spark, sf_dir), LINK, diseases=PRIORITY, months=[B.AS_OF.replace(day=1)])
-    return A.origin_import_risk(importance)
+    current = _contributions(spark, sf_dir, diseases=PRIORITY, months=[B.AS_OF.replace(day=1)])
+    return A.largest_first(A.origin_import_risk(current, B.countries(spark, sf_dir)))
 
 
 @register(
@@ -178,7 +180,7 @@ def origin_import_risk_current(spark, sf_dir):
 )
 def top_origins(spark, sf_dir):
     """Y8 + G2: ten largest origin contributions per destination-disease-month."""
-    return A.top_origins(A.origin_import_risk(_by_origin(spark, sf_dir)), 10)
+    return A.top_origins(_contributions(spark, sf_dir), B.countries(spark, sf_dir), 10)
 
 
 @register(
@@ -194,7 +196,7 @@ GROUP BY country_iso3c, disease, month, origin_group"""),
 )
 def origin_share_lumped(spark, sf_dir):
     """Y9 + F7: shares of positive import risk, origins under 5 % lumped."""
-    return A.origin_share_lumped(A.origin_import_risk(_by_origin(spark, sf_dir)), 0.05)
+    return A.origin_share_lumped(_contributions(spark, sf_dir), 0.05)
 
 
 @register(

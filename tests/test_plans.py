@@ -27,7 +27,7 @@ def _pipelines(spark):
         "lagged_panel": N.lagged_panel(N.init_reports(spark, sf), 3),
         "thread_panel": threads.thread_month_panel(ev, B.GRID_START, B.AS_OF),
         "import_pressure": links.import_pressure(presence, static, yearly),
-        "import_pairs": links.import_pairs(presence, static, yearly),
+        "import_pairs": links.import_origins(presence, links.merged_edges(static, yearly, B.GRID_START.year, B.AS_OF.year)),
         "scored": N.scored_baseline(spark, sf),
     }
 
