@@ -37,6 +37,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.exprs import title_from_snake
 from ..session import drop_stage, write_stage
 
 
@@ -73,13 +74,16 @@ class MixedLogitFit:
         return -2 * self.loglik_laplace + self.n_params * float(np.log(self.n_obs))
 
     def coefficients(self, spark: SparkSession) -> DataFrame:
-        """Long table (group, variable, coef) incl. the fixed intercept."""
+        """Long table (group, variable, coef) incl. the fixed intercept, with names as text."""
         fixed = spark.range(1).select(
             F.lit("(fixed)").alias(self.group_col), F.lit("(Intercept)").alias("variable"),
             F.lit(float(self.intercept)).alias("coef"))
         names = F.array(*[F.lit(v) for v in self.predictors])
         slopes = self.slope_frame.select(self.group_col, F.explode(F.arrays_zip(names.alias("v"), F.col("u").alias("u"))).alias("s"))
-        return fixed.unionByName(slopes.select(self.group_col, F.col("s.v").alias("variable"), F.col("s.u").alias("coef")))
+        every = fixed.unionByName(slopes.select(self.group_col, F.col("s.v").alias("variable"), F.col("s.u").alias("coef")))
+        return every.withColumns({
+            "variable_clean": F.regexp_replace(F.regexp_replace("variable", "_from_outbreaks$", ""), "_", " "),
+            f"{self.group_col}_clean": title_from_snake(F.regexp_replace(self.group_col, "/", "_"))})
 
     def variance_table(self, spark: SparkSession) -> DataFrame:
         rows = [(v, float(s)) for v, s in zip(self.predictors, self.variances)]

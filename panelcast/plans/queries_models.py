@@ -11,6 +11,7 @@ from ..sources import bindings as B
 from . import network as NW
 from . import nowcast as N
 from . import oracle as O
+from . import reads
 from .queries_misc import _nowcast_split, split_monthly
 from .queries_readside import PRIORITY
 from .registry import register
@@ -256,6 +257,37 @@ def mixed_logit_predict(spark, sf_dir):
     return mixed.predict(z, fit).select("country_iso3c", "disease", "month", "predicted_outbreak_probability")
 
 
+def _fitted_reads(spark, sf_dir):
+    """Reads of the published fitted model."""
+    return reads.reads(spark, sf_dir, "fitted", lambda: reads.fitted_tables(
+        spark, sf_dir, _mixed(spark, sf_dir), _network_scaling(spark, sf_dir)))
+
+
+@register("fitted_forecast")
+def fitted_forecast(spark, sf_dir):
+    """The fitted model's published predictions, every cell."""
+    return _fitted_reads(spark, sf_dir).table("augment_predict").select(
+        "country_iso3c", "disease", "month", "predicted_outbreak_probability")
+
+
+@register("fitted_variable_importance")
+def fitted_variable_importance(spark, sf_dir):
+    """Y2 from the fitted model: priority diseases, current month."""
+    return _fitted_reads(spark, sf_dir).variable_importance()
+
+
+@register("fitted_origin_import_risk")
+def fitted_origin_import_risk(spark, sf_dir):
+    """Y3 + Y4 from the fitted model: priority diseases, current month."""
+    return _fitted_reads(spark, sf_dir).origin_import_risk()
+
+
+@register("fitted_priority_coefficients")
+def fitted_priority_coefficients(spark, sf_dir):
+    """Y5 from the fitted model: slopes of the priority diseases."""
+    return _fitted_reads(spark, sf_dir).table("coefficients", disease=PRIORITY)
+
+
 @register("model_aic")
 def model_aic(spark, sf_dir):
     """L16 + L18: logLik / AIC / BIC of the full and the baseline network model."""

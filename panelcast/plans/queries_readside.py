@@ -11,6 +11,7 @@ from ..sources import bindings as B
 from . import network as NW
 from . import oracle as O
 from . import oracle_network as ON
+from . import reads
 from .registry import register
 
 SCALED = ON.SCALED
@@ -18,8 +19,7 @@ LINK = ON.LINK_VARS
 IDS = ["country_iso3c", "disease", "month", "outbreak_start", "endemic", "outbreak_ongoing",
        "predicted_outbreak_probability"]
 HIGHLIGHT = ["NATION_1", "NATION_2"]  # countries highlighted in the risk series (feature parameter)
-PRIORITY_PREFIX = "brand_number_1"  # binding's priority diseases for Y5
-PRIORITY = ["brand_number_1", "brand_number_10", "brand_number_11", "brand_number_12"]  # default diseases of the attribution read
+PRIORITY = reads.PRIORITY
 
 
 def _tables(spark, sf_dir):
@@ -164,8 +164,60 @@ WHERE disease IN {O.in_list(PRIORITY)} AND month = CAST(date_trunc('month', {ON.
 )
 def origin_import_risk_current(spark, sf_dir):
     """Y3 + Y4 + G1 with the read's own defaults: priority diseases, current month, largest risk first."""
-    current = _contributions(spark, sf_dir, diseases=PRIORITY, months=[B.AS_OF.replace(day=1)])
-    return A.largest_first(A.origin_import_risk(current, B.countries(spark, sf_dir)))
+    return _reads(spark, sf_dir).origin_import_risk()
+
+
+def _reads(spark, sf_dir):
+    """Reads of the published formula model."""
+    return reads.reads(spark, sf_dir, "formula", lambda: reads.formula_tables(spark, sf_dir))
+
+
+CURRENT = f"disease IN {O.in_list(PRIORITY)} AND month = CAST(date_trunc('month', {ON.AS_OF}) AS DATE)"
+ASKED = f"country_iso3c IN {O.in_list(HIGHLIGHT)}"
+
+
+@register(
+    "prediction_store",
+    _with("", "SELECT country_iso3c, disease, month, round(predicted_outbreak_probability, 4) AS predicted_outbreak_probability FROM npred"),
+)
+def prediction_store(spark, sf_dir):
+    """K3: the published predictions, read back by name."""
+    return _reads(spark, sf_dir).table("augment_predict").select("country_iso3c", "disease", "month", "predicted_outbreak_probability")
+
+
+@register(
+    "variable_importance_current",
+    _with(VI_SQL, f"""SELECT country_iso3c, disease, month, outbreak_start, endemic, outbreak_ongoing,
+       variable, variable_clean, disease_clean, pos, country, {ROUND_VI} FROM vi WHERE {CURRENT} AND {ASKED}"""),
+)
+def variable_importance_current(spark, sf_dir):
+    """Y2 with arguments: two countries, priority diseases, current month, from the store."""
+    return _reads(spark, sf_dir).variable_importance(HIGHLIGHT)
+
+
+@register(
+    "variable_importance_by_origin_current",
+    _with(VO_SQL, f"""SELECT country_iso3c, country_origin_iso3c, disease, month, outbreak_start, endemic,
+       outbreak_ongoing, variable, pos, country, country_origin, {ROUND_VO} FROM vo WHERE {CURRENT} AND {ASKED}"""),
+)
+def variable_importance_by_origin_current(spark, sf_dir):
+    """Y3 with arguments: two countries, priority diseases, current month, from the store."""
+    return _reads(spark, sf_dir).variable_importance_by_origin(HIGHLIGHT)
+
+
+@register(
+    "top_origins_current",
+    _with(RISK_SQL, f"""SELECT * FROM (
+  SELECT month, disease, country, country_iso3c, country_origin, country_origin_iso3c,
+         round(predicted_outbreak_probability, 4) AS predicted_outbreak_probability,
+         round(contribution_to_import_risk, 4) AS contribution_to_import_risk,
+         row_number() OVER (PARTITION BY country_iso3c, disease, month
+                            ORDER BY contribution_to_import_risk DESC, country_origin_iso3c) AS rank
+  FROM risk WHERE {CURRENT}) t WHERE rank <= 10"""),
+)
+def top_origins_current(spark, sf_dir):
+    """Y8 with the read's own defaults, from the store."""
+    return _reads(spark, sf_dir).top_origins()
 
 
 @register(
@@ -258,12 +310,12 @@ def risk_change(spark, sf_dir):
 @register(
     "priority_coefficients",
     _with("", f"""SELECT disease, variable, round(coef, 4) AS coef, variable_clean, disease_clean
-FROM coefs WHERE starts_with(disease, {O.q(PRIORITY_PREFIX)})"""),
+FROM coefs WHERE disease IN {O.in_list(PRIORITY)}"""),
 )
 def priority_coefficients(spark, sf_dir):
     """Coefficients of the priority diseases."""
     _, _, coefs, _ = _tables(spark, sf_dir)
-    return coefs.where(F.col("disease").startswith(PRIORITY_PREFIX))
+    return coefs.where(F.col("disease").isin(PRIORITY))
 
 
 STATUS_SQL = f"""
@@ -284,9 +336,7 @@ status AS (
 """
 
 
-@register(
-    "status_predict",
-    _with(STATUS_SQL, f"""SELECT s.country_iso3c, s.disease, round(s.yr, 4) AS yr,
+STATUS_SELECT = f"""SELECT s.country_iso3c, s.disease, round(s.yr, 4) AS yr,
        CAST(s.report_year AS BIGINT) AS report_year, CAST(s.report_semester AS BIGINT) AS report_semester,
        CASE WHEN unrep THEN 'unreported' WHEN actual THEN 'present' ELSE 'absent' END AS actual_disease_status,
        CASE WHEN pred THEN 'present' ELSE 'absent' END AS predicted_disease_status,
@@ -295,9 +345,20 @@ status AS (
        {ON.initcap_sql("replace(s.disease, '_', ' ')")} AS disease_clean
 FROM status s
 LEFT JOIN outbreak_sem o ON s.country_iso3c = o.country_iso3c AND s.disease = o.disease AND s.yr = o.yr
-LEFT JOIN countries c ON s.country_iso3c = c.country_iso3c"""),
-)
+LEFT JOIN countries c ON s.country_iso3c = c.country_iso3c"""
+
+
+@register("status_predict", _with(STATUS_SQL, STATUS_SELECT))
 def status_predict(spark, sf_dir):
     """Reported / predicted status per semester with the max monthly probability."""
     preds, *_ = _tables(spark, sf_dir)
     return A.status_predict(preds, NW.nowcast_predictions(spark, sf_dir), B.countries(spark, sf_dir))
+
+
+@register(
+    "status_predict_current",
+    _with(STATUS_SQL, f"{STATUS_SELECT} WHERE s.disease IN {O.in_list(PRIORITY)} AND s.{ASKED}"),
+)
+def status_predict_current(spark, sf_dir):
+    """Y1 with arguments: two countries and the priority diseases, from the store."""
+    return _reads(spark, sf_dir).status_predict(NW.nowcast_predictions(spark, sf_dir), HIGHLIGHT)

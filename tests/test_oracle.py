@@ -14,6 +14,8 @@ FAST = [
     "import_pressure_by_origin", "network_features", "scaling_stats", "network_predict",
     "calibration_bins", "variable_importance", "origin_import_risk", "status_predict",
     "impact_summary", "data_checks", "stratified_folds", "fixed_sample", "standardise", "network_covariates",
+    "prediction_store", "variable_importance_current", "variable_importance_by_origin_current", "top_origins_current",
+    "origin_import_risk_current", "variable_importance_by_origin", "top_origins", "origin_share_lumped", "priority_coefficients",
 ]
 
 
