@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import (
@@ -80,7 +80,8 @@ def feature_stages(numeric: list[str], strings=STRING_FEATURES) -> list:
 class TunedModel:
     model: PipelineModel
     params: dict
-    cv_table: list  # rows: (params, mean, std, chosen)
+    cv_table: list  # rows: (params, mean, std, chosen), with the folds before the choice where raced
+    preparation: PipelineModel | None = None
 
 
 def _one_se(cv_model, grid, larger_is_better: bool, complexity) -> tuple[int, list]:
@@ -499,23 +500,27 @@ def range_effects(profile: DataFrame, by: list[str]) -> DataFrame:
 
 
 # ---- persistence (A7) --------------------------------------------------------------------
-def save_tuned(model: TunedModel, path: str) -> None:
-    """Save the fitted pipeline (any Hadoop URI) plus its chosen parameters."""
+def save_tuned(model: TunedModel, path: str, preparation: Model | None = None) -> None:
+    """Save the fitted pipeline (any Hadoop URI) with its parameters, and the preparation of its rows."""
     import json
 
     from pyspark.sql import SparkSession
 
     model.model.write().overwrite().save(f"{path}/pipeline")
+    if preparation is not None:
+        PipelineModel(stages=[preparation]).write().overwrite().save(f"{path}/preparation")
     spark = SparkSession.getActiveSession()
-    spark.createDataFrame([(json.dumps({k: str(v) for k, v in model.params.items()}),)], "params string") \
-        .write.mode("overwrite").json(f"{path}/params")
+    meta = json.dumps({"params": model.params, "prepared": preparation is not None})
+    spark.createDataFrame([(meta,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/params")
 
 
 def load_tuned(path: str) -> TunedModel:
+    """A saved model; its ``preparation`` is the one it was saved with, or null."""
     import json
 
     from pyspark.sql import SparkSession
 
     spark = SparkSession.getActiveSession()
-    params = json.loads(spark.read.json(f"{path}/params").first()["params"])
-    return TunedModel(PipelineModel.load(f"{path}/pipeline"), params, [])
+    meta = json.loads(spark.read.text(f"{path}/params").first()["value"])
+    preparation = PipelineModel.load(f"{path}/preparation") if meta["prepared"] else None
+    return TunedModel(PipelineModel.load(f"{path}/pipeline"), meta["params"], [], preparation)

@@ -19,6 +19,8 @@ from . import nowcast as N
 from .stages import stage
 
 SCALED = [v for v in B.PREDICTOR_VARS if v != "continent"]
+#: What a prediction needs: a row without one of them gets none.
+INPUTS = ["continent", *SCALED]
 INTERCEPT = -3.0  # B8: fixed intercept of the binding's logistic model
 FLAG_COLS = [
     "outbreak_start", "outbreak_subsequent_month", "outbreak_ongoing",
@@ -260,7 +262,7 @@ def predict(features: DataFrame, scaling_table: DataFrame, coefficients: DataFra
     eta = F.lit(intercept) + F.col("_c_continent")
     for v in SCALED:
         eta = eta + F.col(f"_c_{v}") * F.col(v)
-    complete = all_not_null(["continent", *SCALED])
+    complete = all_not_null(INPUTS)
     # nine digits: the sum's last bits depend on the engine and the layout, and would split equal values
     prob = F.when(complete, F.round(1.0 / (1.0 + F.exp(-eta)), 9))
     return j.select("country_iso3c", "disease", "month", prob.alias("predicted_outbreak_probability"))

@@ -13,11 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
-from ..functions.exprs import control_flag_columns, safe_div, safe_log10, status_to_int, unreported_marker
+from ..functions.exprs import control_flag_columns, status_to_int, unreported_marker
 from ..functions.periods import period_idx, semester_of_period, year_of_period
 from ..operators import covariates as cov
 from ..operators import panel, rollup, scoring
-from ..session import write_stage
+from ..operators.checks import TableSchema, checked_stage
+from ..operators.preparation import Prepvar
 from ..sources import bindings as B
 from .stages import stage
 
@@ -48,7 +49,7 @@ def init_reports(spark: SparkSession, sf_dir: str, clean_names: bool = True) ->
     def build():
         # the roll-up feeds the lookup (and its percentile) and the recode:
         # written once so it is computed once
-        rolled = write_stage(rolled_reports(spark, sf_dir), "nowcast_rolled")
+        rolled = checked_stage(rolled_reports(spark, sf_dir), REPORT_SCHEMA, "nowcast_rolled")
         return rollup.recode_names(rolled, disease_lookup(rolled))
 
     return stage(spark, sf_dir, "nowcast_reports", build)
@@ -206,6 +207,16 @@ def join_ever(df: DataFrame, ever: dict[str, DataFrame]) -> DataFrame:
 
 def nowcast_features(spark: SparkSession, sf_dir: str, lags: int = 3) -> DataFrame:
     """K0-K9: the full nowcast feature table."""
+    base = nowcast_base(spark, sf_dir, lags)
+    return finish(preparation().fit(base).transform(base))
+
+
+def nowcast_base(spark: SparkSession, sf_dir: str, lags: int = 3) -> DataFrame:
+    """K0-K8: features before the fitted preparation (a checked stage)."""
+    return stage(spark, sf_dir, f"nowcast_base{lags}", lambda: _nowcast_base(spark, sf_dir, lags), lambda df, name: checked_stage(df, BASE_SCHEMA, name))
+
+
+def _nowcast_base(spark: SparkSession, sf_dir: str, lags: int) -> DataFrame:
     reports = init_reports(spark, sf_dir)
     lagged = panel_lagged(spark, sf_dir, lags)
     countries = B.countries(spark, sf_dir)
@@ -225,15 +236,16 @@ def nowcast_features(spark: SparkSession, sf_dir: str, lags: int = 3) -> DataFra
         f"disease_status_lag{i}" for i in range(1, lags + 1)
     ] + ["cases_lag_sum_border_countries"]
     aug = cov.missing_flags_zero_fill(aug, lag_vars)
-    aug = panel.first_period_flag(
+    return panel.first_period_flag(
         aug, reports.withColumn("period", period_idx()), "country_iso3c", "period",
         "first_reporting_semester",
     )
-    aug = final_transforms(write_stage(aug, "nowcast_features_base"))
-    bools = [f.name for f in aug.schema.fields if f.dataType.typeName() == "boolean"]
-    return aug.withColumns({b: F.col(b).cast("double") for b in bools}).drop(
-        "control_measures", "period"
-    )
+
+
+def finish(df: DataFrame) -> DataFrame:
+    """Flags as numbers, without the panel's working columns."""
+    bools = [f.name for f in df.schema.fields if f.dataType.typeName() == "boolean" and f.name != "validation_set"]
+    return df.withColumns({b: F.col(b).cast("double") for b in bools}).drop("control_measures", "period")
 
 
 def covariate_join(spark: SparkSession, sf_dir: str, df: DataFrame) -> DataFrame:
@@ -251,19 +263,26 @@ def covariate_join(spark: SparkSession, sf_dir: str, df: DataFrame) -> DataFrame
     return df
 
 
-def final_transforms(df: DataFrame) -> DataFrame:
-    """K9: log features through prepvar (statistics from this frame)."""
-    gdp_pc = safe_div(F.col("gdp_dollars"), F.col("human_population"))
-    vets_pt = (F.col("veterinarian_count") + 1) / (F.col("taxa_population") + 1)
-    cols = cov.prepvar_columns(
-        df,
-        {
-            "log_gdp_per_capita": (gdp_pc, safe_log10, "zero"),
-            "log_veterinarians_per_taxa": (vets_pt, safe_log10, "zero"),
-            "log_taxa_population": (F.col("taxa_population") + 1, safe_log10, "zero"),
-            "log_human_population": (F.col("human_population"), safe_log10, "zero"),
+def preparation() -> Prepvar:
+    """K9: log features with their fills; fit it on the rows that the model is fitted on."""
+    log = lambda x: {"x": x, "transform": "log10"}
+    return Prepvar(
+        variables={
+            "log_gdp_per_capita": log("try_divide(gdp_dollars, human_population)"),
+            "log_veterinarians_per_taxa": log("(veterinarian_count + 1) / (taxa_population + 1)"),
+            "log_taxa_population": log("taxa_population + 1"),
+            "log_human_population": log("human_population"),
         },
-    )
-    return df.withColumns(cols).drop(
-        "gdp_dollars", "veterinarian_count", "taxa_population", "human_population"
-    )
+        drop=["gdp_dollars", "veterinarian_count", "taxa_population", "human_population"])
+
+
+#: Rolled-up reports: one row a key, known statuses.
+REPORT_SCHEMA = TableSchema(
+    required=[*KEY, "cases", "disease_status", "control_measures"], key=KEY, not_null=["country_iso3c", "report_year", "report_semester"],
+    categories={"disease_status": [K.STATUS_PRESENT, K.STATUS_ABSENT, K.STATUS_UNREPORTED], "report_semester": [1, 2]},
+    ranges={"cases": (0, None)})
+#: Features before preparation: one row a key, nothing that the models need is missing.
+BASE_SCHEMA = TableSchema(
+    required=["gdp_dollars", "human_population", "taxa_population", "veterinarian_count"], key=KEY,
+    not_null=["gdp_dollars", "cases_lag1", "disease_status_lag1", "cases_lag_sum_border_countries"],
+    categories={"disease_status": [0, 1], "disease_status_lag1": [0, 1]})

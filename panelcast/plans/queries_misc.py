@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import constants as K
 from ..functions.periods import period_idx, semester_of_period, year_of_period
 from ..operators import covariates as cov
-from ..operators import impact, panel, spatial, splits
+from ..operators import checks, impact, panel, spatial, splits
 from ..sources import bindings as B
 from . import network as NW
 from . import nowcast as N
@@ -120,3 +120,20 @@ ROLL_COLS = K.NOWCAST_KEY + ["cases", "disease_status", "control_measures"]
 def data_checks(spark, sf_dir):
     """Per column null / NaN / Inf counts of the rolled-up reports."""
     return cov.column_checks(N.rolled_reports(spark, sf_dir), ROLL_COLS)
+
+
+@register(
+    "incomplete_predictions",
+    O.with_(ON.features_ctes(), "\nUNION ALL\n".join(
+        f"SELECT disease, '{c}' AS column_name, count(*) AS n_rows FROM feats WHERE {c} IS NULL GROUP BY disease" for c in NW.INPUTS)),
+)
+def incomplete_predictions(spark, sf_dir):
+    """Rows that get no prediction, by disease and the column that lacks a value."""
+    return checks.null_report(NW.network_features(spark, sf_dir), NW.INPUTS, ["disease"])
+
+
+@register("unassigned_rows")
+def unassigned_rows(spark, sf_dir):
+    """B9 + S3: report rows that the split does not cover, by country."""
+    rows = splits.attach_split(N.init_reports(spark, sf_dir), _nowcast_split(spark, sf_dir), K.NOWCAST_KEY)
+    return splits.unassigned_rows(rows).groupBy("country_iso3c").agg(F.count(F.lit(1)).alias("n_rows"))

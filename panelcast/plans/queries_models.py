@@ -23,12 +23,29 @@ TUNING_SETS = 8  # parameter sets of the space-filling design
 
 
 def _features(spark, sf_dir):
-    return stage(spark, sf_dir, "nowcast_features", lambda: N.nowcast_features(spark, sf_dir))
+    """Every feature row, prepared with the numbers of the training rows."""
+    base = N.nowcast_base(spark, sf_dir)
+    return stage(spark, sf_dir, "nowcast_features_prepared", lambda: N.finish(_preparation(spark, sf_dir).transform(base)))
+
+
+def _split_base(spark, sf_dir):
+    def build():
+        return splits.attach_split(N.nowcast_base(spark, sf_dir), _nowcast_split(spark, sf_dir), KEY)
+
+    return stage(spark, sf_dir, "nowcast_base_split", build)
+
+
+def _preparation(spark, sf_dir):
+    """K9 fitted once, on the training rows."""
+    k = (spark.sparkContext.applicationId, sf_dir, "preparation")
+    if k not in _FITS:
+        _FITS[k] = N.preparation().fit(splits.training_rows(_split_base(spark, sf_dir)))
+    return _FITS[k]
 
 
 def _split_features(spark, sf_dir):
     def build():
-        return splits.attach_split(_features(spark, sf_dir), _nowcast_split(spark, sf_dir), KEY)
+        return N.finish(_preparation(spark, sf_dir).transform(_split_base(spark, sf_dir)))
 
     return stage(spark, sf_dir, "nowcast_features_split", build)
 

@@ -19,11 +19,14 @@ _MEMO: dict[tuple, DataFrame] = {}
 ENABLED = True
 
 
-def stage(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+def stage(
+    spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame],
+    write: Callable[[DataFrame, str], DataFrame] = write_stage,
+) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if ENABLED and key in _MEMO:
         return _MEMO[key]
-    df = write_stage(build(), name)
+    df = write(build(), name)
     if ENABLED:
         _MEMO[key] = df
     return df
