@@ -9,10 +9,14 @@ of shared prefix shingles; all are upper bounds of the overlap.
 What passes is expanded to members and verified on the whole sets.
 
 The result asked for is components, so pairs that other links already join are
-not built: a first pass pairs each group with one group of every shared
-shingle; a second pass pairs, exactly, whatever still lies in different
-components.  Copies meet as one set, and a large cluster of near copies costs
-pairs in proportion to its size.
+not built.  A first pass pairs each group with one group of every shared
+shingle, and each member with its group's first.  Hub passes follow while they
+find links: every set of a shingle (or group) whose sets lie in several
+components is paired with a few of them, others in each pass.  The last pass
+is exact: groups that share a shingle and still hold different components are
+paired and filtered, and only the pairs left are expanded to members.  Copies
+meet as one set, and a large cluster of near copies costs pairs in proportion
+to its size.
 
 Frequencies come from a sketch of fixed size over the whole corpus (one count
 per hash cell, kept as half-octave classes of one byte).  It only decides the
@@ -38,6 +42,9 @@ SHINGLE = 4
 PERCENT = 85  # link when 100 * intersection >= PERCENT * union
 SKETCH_BITS = (20, 24)  # cells of the sketch: at most 16 MB broadcast
 _BLOCK_BITS = 16  # sketch cells that travel in one row
+HUBS = 4  # sets of a shingle that the others are paired with in a hub pass
+HUB_PASSES = 6  # at most; what they leave over is left to the exact pass
+HUB_ROWS = 256  # pairs of one set that are verified in one place
 _PARITY = 8  # longs of a set's parity bitmap: 512 bits
 _PARITY_COLUMNS = [f"b{i}" for i in range(_PARITY)]
 
@@ -240,10 +247,14 @@ def jaccard_components(
             texts.join(ids, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_contents(width), "id long, shingles array<long>"),
             "jaccard-contents",
         )
+        # a set of many pairs is dealt over several places, its partners by hash
+        degree = pairs.groupBy("b").agg(F.floor(F.count("*") / HUB_ROWS).alias("more"))
         x = contents.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
-        y = contents.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
+        y = contents.select(F.col("id").alias("b"), F.col("shingles").alias("y")).join(degree, "b")
+        y = y.select("b", "y", F.explode(F.sequence(F.lit(0).cast("long"), "more")).alias("salt"))
+        dealt = pairs.join(degree, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("more") + 1).alias("salt"))
         common = F.size(F.array_intersect("x", "y"))
-        both = pairs.join(x, "a").join(y, "b").select("a", "b", common.alias("common"), (F.size("x") + F.size("y")).alias("total"))
+        both = dealt.join(x, "a").join(y, ["b", "salt"]).select("a", "b", common.alias("common"), (F.size("x") + F.size("y")).alias("total"))
         linked = both.filter(F.col("common") * (100 + percent) >= F.col("total") * percent)
         return write_stage(linked.select("a", "b").distinct(), "jaccard-links")
 
@@ -264,38 +275,71 @@ def jaccard_components(
     links = verified(stars.unionByName(inside).distinct())
     roots = write_stage(connected_components(links), "jaccard-roots")
 
-    # second pass: all candidate pairs that still lie in different components
-    placed = (
-        members.join(roots, "id", "left").select("gid", "id", "n", "size", F.coalesce("root", "id").alias("root"), *_PARITY_COLUMNS)
-    )
-    rows = shared.select("token", "gid", "pos", "rank").join(placed, "gid")
-    rows = rows.select("token", "id", "n", "root", "pos", "rank", *_PARITY_COLUMNS, F.lit(False).alias("whole")).unionByName(
-        placed.filter("size > 1").select(  # members of one group meet at their first shingle, their group's key
-            F.xxhash64("gid").alias("token"), "id", "n", "root", F.lit(0).alias("pos"), F.lit(0).alias("rank"), *_PARITY_COLUMNS, F.lit(True).alias("whole")
+    def placed(roots: DataFrame) -> DataFrame:
+        return members.join(roots, "id", "left").select("gid", "id", "n", "size", F.coalesce("root", "id").alias("root"), *_PARITY_COLUMNS)
+
+    def mixed_groups(sets_: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Prefix rows of the shingles whose groups hold several components, and the groups that do themselves."""
+        span = sets_.groupBy("gid").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+        rows = shared.join(span, "gid")
+        mixed = rows.groupBy("token").agg(F.min("lo").alias("a"), F.max("hi").alias("b")).filter("a < b").select("token")
+        return rows.join(mixed, "token", "left_semi"), span.filter("lo < hi").select("gid")
+
+    facts = ("id", "n", "root", "pos", "rank", *_PARITY_COLUMNS)
+    right = [F.col(c).alias(f"{c}2") for c in facts]
+    left = [F.col(c).alias(f"{c}1") for c in facts]
+    for turn in range(HUB_PASSES):
+        here = write_stage(placed(roots), "jaccard-placed")
+        prefixes, torn = mixed_groups(here)
+        # members of one torn group meet at their group; their prefixes are equal, so sizes and parities decide
+        whole = here.join(torn, "gid", "left_semi").select(
+            F.col("gid").alias("token"), F.lit(True).alias("whole"), "id", "n", "root", F.lit(0).alias("pos"), F.lit(0).alias("rank"), *_PARITY_COLUMNS)
+        rows = prefixes.select("token", "gid", "pos", "rank").join(here, "gid").select("token", F.lit(False).alias("whole"), *facts)
+        rows = write_stage(rows.unionByName(whole), "jaccard-mixed")
+        picks = [F.min(F.struct(F.xxhash64("id", F.lit(turn * HUBS + i)).alias("h"), *facts)).alias(f"hub{i}") for i in range(HUBS)]
+        hubs = rows.groupBy("whole", "token").agg(*picks).select("whole", "token", F.explode(F.array(*[f"hub{i}" for i in range(HUBS)])).alias("hub"))
+        hubs = hubs.select("whole", "token", "hub.*").select("whole", "token", *right).distinct()
+        pairs = (
+            rows.select("whole", "token", *left)
+            .join(hubs, ["whole", "token"])
+            .filter((F.col("root1") != F.col("root2")) & _place_fits(percent) & _parity_fits(percent))
+            .select(F.greatest("id1", "id2").alias("a"), F.least("id1", "id2").alias("b"))
+            .distinct()
         )
+        more = verified(pairs)
+        if more.isEmpty():
+            break
+        links = links.unionByName(more)
+        roots = write_stage(connected_components(links), "jaccard-roots")
+
+    # last pass: pairs of groups, then of their members, that still lie in different components
+    here = write_stage(placed(roots), "jaccard-placed")
+    prefixes, torn = mixed_groups(here)
+    prefixes = write_stage(prefixes, "jaccard-mixed")
+    main = prefixes.filter("lo = hi").groupBy("token", "lo").agg(F.count("*").alias("c"))
+    main = main.groupBy("token").agg(F.max(F.struct("c", "lo")).alias("m")).select("token", F.col("m.lo").alias("main"))
+    sides = prefixes.join(main, "token", "left").withColumn("in_main", F.coalesce((F.col("lo") == F.col("main")) & (F.col("hi") == F.col("main")), F.lit(False)))
+    some = ("gid", "n", "pos", "rank", "lo", "hi", "in_main")
+    apart = ~((F.col("lo1") == F.col("hi1")) & (F.col("lo2") == F.col("hi2")) & (F.col("lo1") == F.col("lo2")))
+    group_pairs = (
+        sides.filter(~F.col("in_main")).select("token", *[F.col(c).alias(f"{c}1") for c in some])
+        .join(sides.select("token", *[F.col(c).alias(f"{c}2") for c in some]), "token")
+        .filter((F.col("gid1") != F.col("gid2")) & (F.col("in_main2") | (F.col("gid1") < F.col("gid2"))) & apart & _place_fits(percent))
+        .groupBy("gid1", "gid2", "n1", "n2")
+        .agg(F.count("*").alias("shared"))
+        .filter(_pair_filter(percent))
+        .select("gid1", "gid2")
     )
-    key = ["whole", "token"]
-    mixed = rows.groupBy(*key).agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select(*key)
-    rows = write_stage(rows.join(mixed, key, "left_semi"), "jaccard-mixed")
-    main = rows.groupBy(*key, "root").agg(F.count("*").alias("c"))
-    main = main.groupBy(*key).agg(F.max(F.struct("c", "root")).alias("m")).select(*key, F.col("m.root").alias("main"))
-    rows = write_stage(rows.join(main, key), "jaccard-sides")
-    left = rows.filter("root <> main").select(
-        *key, F.col("id").alias("a"), F.col("root").alias("r1"), *[F.col(c).alias(f"{c}1") for c in ("n", "pos", "rank", *_PARITY_COLUMNS)]
-    )
-    second = [F.col(c).alias(f"{c}2") for c in ("n", "pos", "rank", *_PARITY_COLUMNS)]
-    right = rows.select(
-        *key, F.col("id").alias("b"), F.col("root").alias("r2"), (F.col("root") == F.col("main")).alias("in_main"), *second
-    )
+    group_pairs = write_stage(group_pairs.unionByName(torn.select(F.col("gid").alias("gid1"), F.col("gid").alias("gid2"))), "jaccard-groups")
+    facts = ("id", "n", "root", *_PARITY_COLUMNS)
     rest = (
-        left.join(right, key)
-        .filter((F.col("r1") != F.col("r2")) & (F.col("in_main") | (F.col("a") < F.col("b"))) & _place_fits(percent) & _parity_fits(percent))
-        .groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.greatest("n1", "n2").alias("n1"), F.least("n1", "n2").alias("n2"))
-        .agg(F.count("*").alias("shared"), F.max("whole").alias("whole"))
-        .filter(F.col("whole") | _pair_filter(percent))
+        group_pairs.join(here.select(F.col("gid").alias("gid1"), *[F.col(c).alias(f"{c}1") for c in facts]), "gid1")
+        .join(here.select(F.col("gid").alias("gid2"), *[F.col(c).alias(f"{c}2") for c in facts]), "gid2")
+        .filter((F.col("root1") != F.col("root2")) & ((F.col("gid1") != F.col("gid2")) | (F.col("id1") < F.col("id2"))) & _parity_fits(percent))
+        .select(F.greatest("id1", "id2").alias("a"), F.least("id1", "id2").alias("b"))
+        .distinct()
     )
-    more = verified(rest)
-    linked = links.unionByName(more)
+    linked = links.unionByName(verified(rest))
     roots = write_stage(connected_components(linked), "jaccard-roots")
 
     found = nodes.join(roots, "id").select("sig", F.col("root"))
