@@ -3,16 +3,15 @@ circle) radius per group (P9).
 
 Projection is a column expression (transverse Mercator series on WGS84,
 Snyder 1987) so it runs in codegen.  The radius needs a geometric routine,
-run in grouped pandas functions in two rounds so that no task ever holds a
-whole hot group: (1) points are salted into sub-groups and each sub-group is
-reduced to its convex hull (the enclosing circle of a set equals that of its
-hull), (2) the hull points of a group are unioned and the exact enclosing
-circle is computed on them.
+for groups that fit a task run in a streaming pandas function, for larger ones
+taken from rounds of farthest points, so that no task ever holds a hot group.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -20,6 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import write_stage
+
 # WGS84 / UTM constants (fixed values of the projection)
 A_AXIS = 6378137.0
 FLATTENING = 1 / 298.257223563
@@ -176,11 +177,6 @@ def _apply_runs(pdf, starts, end, key, fn, out_cols):
     return pd.concat([keys, vals_df], axis=1)[out_cols]
 
 
-def _hull_rows(x, y):
-    h = convex_hull(np.column_stack([x, y]))
-    return [(float(a), float(b)) for a, b in h]
-
-
 def _radius_rows(x, y):
     return [(enclosing_radius(convex_hull(np.column_stack([x, y]))),)]
 
@@ -196,12 +192,11 @@ def bounding_radius(
     in metres in the UTM zone of the group's mean point (0 for one point,
     half the distance for two).
 
-    One and two points are solved in columns.  Every larger group takes the
-    same way: its points are salted into sub-groups of about
-    ``points_per_task``, each is reduced to its convex hull (the enclosing
-    circle of a set is that of its hull), and the circle is solved on the hull
-    points left.  Both passes stream key-sorted partitions through
-    ``mapInPandas``.
+    One and two points are solved in columns.  Groups of up to
+    ``points_per_task`` points are reduced to their convex hull in a streaming
+    pass over key-sorted partitions (the enclosing circle of a set is that of its
+    hull).  Larger groups are never brought together: ``_large_radius`` finds
+    their circles from farthest points, which combine on the map side.
     """
     pts = points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(
         *key, F.col(lat).cast("double").alias("lat"), F.col(lon).cast("double").alias("lon")
@@ -210,30 +205,88 @@ def bounding_radius(
         F.avg("lat").alias("_mlat"), F.avg("lon").alias("_mlon"), F.count(F.lit(1)).alias("_n"))
     proj = pts.join(stats, on=key, how="inner")
     x, y = utm_xy(F.col("lat"), F.col("lon"), utm_zone(F.col("_mlon")), F.col("_mlat") > 0)
-    xy = proj.select(
-        *key, x.alias("x"), y.alias("y"), "_n",
-        F.pmod(F.xxhash64("lat", "lon"), F.ceil(F.col("_n") / points_per_task).cast("long")).alias("_salt"),
-    )
-    key_fields = [f for f in xy.schema.fields if f.name in key]
-    hull_schema = T.StructType(
-        key_fields + [T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
-    out_schema = T.StructType(key_fields + [T.StructField("outbreak_radius", T.DoubleType())])
-    hull_cols = [f.name for f in hull_schema.fields]
+    xy = proj.select(*key, x.alias("x"), y.alias("y"), "_n")
+    out_schema = T.StructType([f for f in xy.schema.fields if f.name in key] + [T.StructField("outbreak_radius", T.DoubleType())])
     out_cols = [f.name for f in out_schema.fields]
-    skey = key + ["_salt"]
 
     def radius_pass(batches):
         yield from _stream_runs(batches, key, _radius_rows, out_cols)
 
-    def hull_pass(batches):
-        for pdf in _stream_runs(batches, skey, _hull_rows, skey + ["x", "y"]):
-            yield pdf[hull_cols]
-
     few = xy.where(F.col("_n") <= 2).groupBy(*key).agg(
         (F.hypot(F.max("x") - F.min("x"), F.max("y") - F.min("y")) / 2).alias("outbreak_radius"))
-    hulls = (
-        xy.where(F.col("_n") > 2).select(*skey, "x", "y").repartition(*skey).sortWithinPartitions(*skey)
-        .mapInPandas(hull_pass, hull_schema)
-    )
-    many = hulls.repartition(*key).sortWithinPartitions(*key).mapInPandas(radius_pass, out_schema)
-    return few.select(*out_cols).unionByName(many)
+    some = xy.where((F.col("_n") > 2) & (F.col("_n") <= points_per_task)).select(*key, "x", "y")
+    many = some.repartition(*key).sortWithinPartitions(*key).mapInPandas(radius_pass, out_schema)
+    out = few.select(*out_cols).unionByName(many)
+    if not stats.where(F.col("_n") > points_per_task).isEmpty():
+        out = out.unionByName(_large_radius(xy.where(F.col("_n") > points_per_task).select(*key, "x", "y"), key).select(*out_cols))
+    return out
+
+
+ROUND_TOLERANCE = 1e-9  # of the radius: a point so near the circle is on it
+
+
+def _support(points: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """The circle around a few points and the points (three at most) that determine it."""
+    best = None
+    for n in (1, 2, 3):
+        for which in combinations(range(len(points)), n):
+            chosen = points[list(which)]
+            if n == 3:
+                circle = _circle3(*chosen)
+                if circle is None:
+                    continue
+                centre, radius = circle
+            else:
+                centre, radius = (chosen[0], 0.0) if n == 1 else _circle2(*chosen)
+            centre = np.asarray(centre, dtype=float)
+            far = np.hypot(*(points - centre).T).max()
+            if far <= radius * (1 + 1e-12) + 1e-9 and (best is None or radius < best[2]):
+                best = (chosen, centre, float(radius))
+    return best
+
+
+def _circles(key: list[str]):
+    def run(batches):
+        for pdf in batches:
+            rows = []
+            for pts in pdf["pts"]:
+                found = np.unique(np.array([(p["x"], p["y"]) for p in pts], dtype=float), axis=0)
+                support, centre, radius = _support(found)
+                rows.append(([{"x": float(a), "y": float(b)} for a, b in support], float(centre[0]), float(centre[1]), radius))
+            yield pd.concat([pdf[key].reset_index(drop=True), pd.DataFrame(rows, columns=["pts", "cx", "cy", "r"])], axis=1)
+
+    return run
+
+
+def _large_radius(xy: DataFrame, key: list[str]) -> DataFrame:
+    """Enclosing radius of large groups in rounds of one aggregate each.
+
+    A group's state is the (at most three) points that determine its circle so
+    far.  A round finds each group's point farthest from its centre, partially
+    aggregated in every task; where it lies outside, the circle of state and
+    point replaces the old one, whose radius is smaller.  Radii grow strictly, so
+    the rounds end, in practice after about ten.
+    """
+    xy = write_stage(xy, "radius_points")
+    corner = [F.struct(F.col("x"), F.col("y"))] * 4
+    ends = [F.min_by(corner[0], "x"), F.max_by(corner[1], "x"), F.min_by(corner[2], "y"), F.max_by(corner[3], "y")]
+    schema = T.StructType([
+        *[f for f in xy.schema.fields if f.name in key], T.StructField("pts", T.ArrayType(T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())]))),
+        T.StructField("cx", T.DoubleType()), T.StructField("cy", T.DoubleType()), T.StructField("r", T.DoubleType())])
+    first = xy.groupBy(*key).agg(F.array(*ends).alias("pts"))
+    state = write_stage(first.mapInPandas(_circles(key), schema), "radius_state")
+    done = []
+    while True:
+        same = [F.col(f"p.{k}").eqNullSafe(F.col(f"s.{k}")) for k in key]
+        away = F.hypot(F.col("p.x") - F.col("s.cx"), F.col("p.y") - F.col("s.cy"))
+        seen = xy.alias("p").join(state.alias("s"), same).select(*[F.col(f"s.{k}") for k in key], F.col("p.x"), F.col("p.y"), away.alias("away"))
+        farthest = seen.groupBy(*key).agg(F.max_by(F.struct("x", "y"), "away").alias("point"), F.max("away").alias("away"))
+        both = state.alias("s").join(farthest.alias("p"), same).select("s.*", "point", "away")
+        both = write_stage(both, "radius_round")
+        outside = F.col("away") > F.col("r") * (1 + ROUND_TOLERANCE) + 1e-7
+        done.append(both.where(~outside).select(*key, F.col("r").alias("outbreak_radius")))
+        left = both.where(outside)
+        if left.isEmpty():
+            return reduce(DataFrame.unionByName, done)
+        grown = left.select(*key, F.concat("pts", F.array("point")).alias("pts"))
+        state = write_stage(grown.mapInPandas(_circles(key), schema), "radius_state")
