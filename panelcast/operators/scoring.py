@@ -175,13 +175,13 @@ def accuracy_by_slice(
 def regression_metrics(
     df: DataFrame, truth: str, estimate: str, by: list[str]
 ) -> DataFrame:
-    """RMSE, R-squared (squared Pearson correlation) and MAE per group."""
+    """RMSE, R-squared (squared Pearson correlation, null without spread) and MAE per group."""
     d = df.where(F.col(truth).isNotNull() & F.col(estimate).isNotNull())
     t, e = F.col(truth).cast("double"), F.col(estimate).cast("double")
     return d.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
         F.sqrt(F.avg((t - e) * (t - e))).alias("rmse"),
-        F.pow(F.corr(t, e), 2).alias("rsq"),
+        safe_div(F.pow(F.covar_pop(t, e), 2), F.var_pop(t) * F.var_pop(e)).alias("rsq"),
         F.avg(F.abs(t - e)).alias("mae"),
     )
 

@@ -128,22 +128,45 @@ def fixed_sample(spark, sf_dir):
     return ranks.hash_sample(stage(spark, sf_dir, "sample_rows", build), KEY, SAMPLE_ROWS, seed=9)
 
 
+def _both_models(spark, sf_dir):
+    """Scored validation rows of the baseline and the boosted model."""
+    def build():
+        st, cs = _hurdle(spark, sf_dir)
+        val = _validation(spark, sf_dir)
+        boosted = models.hurdle_predict(st, cs, val, KEY)
+        base = scoring.persistence_forecast(val)
+        cols = [*KEY, "continent", "disease_status", "cases", "cases_lag1", "disease_status_lag1",
+                "disease_status_predicted", "cases_predicted"]
+        both = boosted.select(*cols).withColumn("model", F.lit("boosted")).unionByName(
+            base.select(*cols).withColumn("model", F.lit("baseline")))
+        return scoring.score_rows(both, KEY + ["model", "continent"])
+
+    return stage(spark, sf_dir, "scored_models", build)
+
+
 @register("model_comparison")
 def model_comparison(spark, sf_dir):
     """V2-V4 on validation rows: baseline persistence vs boosted hurdle."""
-    st, cs = _hurdle(spark, sf_dir)
-    val = _validation(spark, sf_dir)
-    boosted = models.hurdle_predict(st, cs, val, KEY)
-    base = scoring.persistence_forecast(val)
-    cols = [*KEY, "disease_status", "cases", "cases_lag1", "disease_status_lag1",
-            "disease_status_predicted", "cases_predicted"]
-    both = boosted.select(*cols).withColumn("model", F.lit("boosted")).unionByName(
-        base.select(*cols).withColumn("model", F.lit("baseline")))
-    scored = scoring.score_rows(both, KEY + ["model"])
+    scored = _both_models(spark, sf_dir)
     cm = scoring.confusion_matrix(scored, "disease_status_actual", "disease_status_predicted", ["model"])
     return scoring.class_metrics(cm, ["model"])
 
 
+@register("model_accuracy_by_slice")
+def model_accuracy_by_slice(spark, sf_dir):
+    """V5 on validation rows: accuracy of both models by disease / taxa / continent, overall and on outbreak starts."""
+    return scoring.accuracy_by_slice(_both_models(spark, sf_dir), ["disease", "taxa", "continent"])
+
+
+@register("model_case_metrics")
+def model_case_metrics(spark, sf_dir):
+    """V6 on validation rows: RMSE, R-squared and MAE of both models, over all rows and over outbreak starts."""
+    scored = _both_models(spark, sf_dir)
+    start = F.col("disease_status_dirchange_actual") == "outbreak starts"
+    rows = scored.withColumn("rows", F.explode(F.when(start, F.array(F.lit("all"), F.lit("new"))).otherwise(F.array(F.lit("all")))))
+    return scoring.regression_metrics(rows, "cases_actual", "cases_predicted", ["rows", "model"])
+
+
 @register("correct_starts")
 def correct_starts(spark, sf_dir):
     """Validation rows where a true outbreak start was predicted."""

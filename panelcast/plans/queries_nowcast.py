@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
+from ..functions.exprs import signif
 from ..operators import covariates as cov
 from ..operators import rollup, scoring
 from ..sources import bindings as B
@@ -318,6 +319,30 @@ def class_metrics(spark, sf_dir):
         "model", "target", "metric", "estimate")
 
 
+#: What the metrics say (fixed text of the evaluation report).
+METRIC_TEXT = [
+    ("accuracy", "share of rows predicted correctly"),
+    ("kap", "accuracy beyond what chance would give"),
+    ("sens", "share of actual positives predicted so"),
+    ("spec", "share of actual negatives predicted so"),
+    ("mcc", "correlation of prediction and truth"),
+]
+REPORT_SQL = f"""
+SELECT d.metric, d.description, c.model, c.target,
+  CASE WHEN c.estimate = 0 THEN 0.0 ELSE round_even(c.estimate / p, 0) * p END AS estimate
+FROM (SELECT *, pow(10.0, floor(log10(abs(nullif(estimate, 0)))) - 1) AS p FROM (SELECT model, target, metric, estimate FROM ({CLASS_METRICS_SQL}) m) n) c
+RIGHT JOIN (VALUES {', '.join(f"('{m}', '{t}')" for m, t in METRIC_TEXT)}) d(metric, description) ON c.metric = d.metric"""
+
+
+@register("metric_report", O.with_(O.scored_ctes() + [("cm", CM_SQL)], REPORT_SQL))
+def metric_report(spark, sf_dir):
+    """A8 + C8 + D6: class metrics to two significant digits beside every described metric, computed or not."""
+    text = spark.createDataFrame(METRIC_TEXT, "metric string, description string")
+    found = scoring.class_metrics(_confusions(spark, sf_dir), ["model", "target"])
+    return found.join(F.broadcast(text), "metric", "right").select(
+        "metric", "description", "model", "target", signif("estimate", 2).alias("estimate"))
+
+
 ACC_SQL = """
 SELECT slice, slice_value, model,
        dense_rank() OVER (PARTITION BY slice, model ORDER BY accuracy DESC) AS accuracy_rank,
