@@ -31,66 +31,105 @@ SHORTEST_INSIDE = 4  # tokens; an item of fewer is matched by whole texts only
 
 _NAME, _NUMBER, _UNIT = "\u0002", "\u0003", "\u0004"
 _CAPITAL, _POINT = "\u0005", "\u0006"  # a capitalised word that is no name by its place; a separator inside a number
-_BARE = f"[{_NAME}{_NUMBER}{_UNIT}]"
 
 
-def _tokenised(rows: DataFrame, text: str, keep: list[str], shortest: int) -> DataFrame:
-    """``keep`` with the aligned token arrays raw, template and named of a text column, and bare.
+def _typed(rows: DataFrame, text: str, keep: list[str]) -> DataFrame:
+    """``keep`` with ``__plain`` and ``__typed``: aligned tokens, one space between, the second with numbers and units as placeholders.
 
-    In ``template`` a name is a capitalised word after a lower-case letter or a comma
-    and one space, so not at a sentence's start; in ``named`` it is any capitalised word.
+    Capitalised words carry a mark in front: a name's after a lower-case letter
+    or a comma and one space, so not at a sentence's start, another elsewhere.
     A number keeps its separators in one token, a unit attached to it is the next one.
-    Everything else but letters and digits separates tokens.  ``bare`` says whether
-    ``shortest`` placeholders stand in a row.
+    Everything else but letters and digits separates tokens.
     """
     units = "|".join(UNITS)
     clean = F.regexp_replace(F.coalesce(F.col(text), F.lit("")), "[\u0002-\u0006]", " ")
     marked = F.regexp_replace(clean, r"([\p{Ll},] )(\p{Lu}\p{Ll})", f"$1{_NAME}$2")
     marked = F.regexp_replace(marked, r"(?=\p{Lu}\p{Ll})(?<![\p{L}\p{M}\p{N}" + _NAME + "])", _CAPITAL)
-    marked = F.regexp_replace(marked, r"[.,'’](?<=\p{N}[.,'’])(?=\p{N})", _POINT)
+    digits = F.col("__digits")
+    marked = F.when(digits, F.regexp_replace(marked, r"[.,'’](?<=\p{N}[.,'’])(?=\p{N})", _POINT)).otherwise(marked)
     plain = F.trim(F.regexp_replace(F.lower(marked), r"[^\p{L}\p{M}\p{N}" + _NAME + _CAPITAL + _POINT + "]+", " "))
     number = r"(?=\p{N})(?<![^ ])(\p{N}[\p{N}" + _POINT + "]*+)"
-    plain = F.regexp_replace(plain, f"{number}({units})(?![^ ])", "$1 $2")
+    apart = F.when(digits, F.regexp_replace("__plain", f"{number}({units})(?![^ ])", "$1 $2")).otherwise(F.col("__plain"))
     typed = F.regexp_replace("__plain", f"{number}(?![^ ])", _NUMBER)
     typed = F.regexp_replace(typed, f"{_NUMBER} {_CAPITAL}?(?:{units})(?![^ ])", f"{_NUMBER} {_UNIT}")
+    rows = rows.select(*keep, F.col(text).alias("__text"), F.coalesce(F.col(text).rlike(r"\p{N}"), F.lit(False)).alias("__digits"))
+    plain = rows.withColumnRenamed("__text", text).select(*keep, "__digits", plain.alias("__plain"))
+    return plain.select(*keep, "__digits", apart.alias("__plain")).select(
+        *keep, "__plain", F.when(digits, typed).otherwise(F.col("__plain")).alias("__typed"))
+
+
+def _bare(shortest: int) -> Column:
+    """Whether ``shortest`` placeholders of the named template stand in a row."""
+    one = f"(?:[{_NAME}{_CAPITAL}][^ ]+|[{_NUMBER}{_UNIT}])"
+    return F.col("__typed").rlike(f"(?<![^ ]){one}(?: {one}){{{shortest - 1}}}(?![^ ])")
+
+
+def _tokenised(rows: DataFrame, text: str, keep: list[str], shortest: int) -> DataFrame:
+    """``keep`` with the aligned token arrays raw, template and named of a text column, and bare.
+
+    In ``template`` a name is a word with the name's mark, in ``named`` any
+    capitalised word.
+    """
     template = F.regexp_replace(F.replace("__typed", F.lit(_CAPITAL), F.lit("")), f"{_NAME}[^ ]+", _NAME)
     named = F.regexp_replace("__typed", f"[{_NAME}{_CAPITAL}][^ ]+", _NAME)
-    return (
-        rows.select(*keep, plain.alias("__plain"))
-        .select(*keep, "__plain", typed.alias("__typed"))
-        .select(*keep, "__plain", template.alias("template"), named.alias("named"))
-        .select(
-            *keep,
-            F.split(F.translate("__plain", _NAME + _CAPITAL, ""), " ").alias("raw"),
-            F.split("template", " ").alias("template"),
-            F.split("named", " ").alias("named"),
-            F.col("named").rlike(f"{_BARE}(?: {_BARE}){{{shortest - 1}}}").alias("bare"),
-        )
+    return _typed(rows, text, keep).select(
+        *keep,
+        F.split(F.translate("__plain", _NAME + _CAPITAL, ""), " ").alias("raw"),
+        F.split(template, " ").alias("template"),
+        F.split(named, " ").alias("named"),
+        _bare(shortest).alias("bare"),
     )
 
 
-def _worded(template: Column, at: Column, width: Column) -> Column:
-    return F.exists(F.slice(template, at, width), lambda t: ~t.isin(_NAME, _NUMBER, _UNIT))
+def _coded(rows: DataFrame, keep: list[str]) -> DataFrame:
+    """``keep`` with the token arrays as hashes: c0 of the template, c1 of the named one, cr of the raw tokens.
 
+    ``plain`` has 1 for a placeholder of the template, ``plain1`` of the named one.
+    Windows read these arrays by position; slices of arrays of texts would copy
+    the whole array for each window.
+    """
+    def hashes(column: str) -> Column:
+        return F.transform(column, lambda t: F.xxhash64(t))
 
-def _windows(template: Column, width: int | Column, everywhere: bool = True) -> Column:
-    """Array of the hashes of all windows, none in a shorter or empty text; of placeholders alone, the raw values'."""
-    width = F.lit(width) if isinstance(width, int) else width
-    size = F.size(template)
-    at = F.sequence(F.lit(1), size - width + 1)
-    hashes = F.transform(at, lambda i: F.xxhash64(F.slice(template, i, width)))
-    checked = F.transform(
-        at,
-        lambda i: F.when(_worded(template, i, width), F.xxhash64(F.slice(template, i, width))).otherwise(
-            F.xxhash64(F.slice("raw", i, width), F.lit(1))
-        ),
-    )
+    def places(column: str) -> Column:
+        return F.transform(column, lambda t: F.when(t.isin(_NAME, _NUMBER, _UNIT), 1).otherwise(0))
+
+    empty = F.element_at("template", 1) == ""
+    return rows.select(
+        *keep, "bare", F.when(empty, 0).otherwise(F.size("template")).alias("size"), (F.col("named") != F.col("template")).alias("differs"),
+        hashes("template").alias("c0"), F.when(F.col("named") != F.col("template"), hashes("named")).alias("c1"),
+        F.when(F.col("bare"), hashes("raw")).alias("cr"), F.when(F.col("bare"), places("template")).alias("plain0"),
+        F.when(F.col("bare"), places("named")).alias("plain1"))
+
+
+def _at(column: str, i: Column, width: int) -> list[Column]:
+    return [F.get(column, i + k) for k in range(width)]
+
+
+def _windows(k: int, width: int, everywhere: bool = True) -> Column:
+    """Array of the hashes of all windows of template ``k`` in a row of ``_coded``, none in a shorter or empty text.
+
+    Windows of placeholders alone have the hash of the raw values.
+    """
+    size = F.col("size")
     fits = (size >= width) if everywhere else (size == width)
-    return (
-        F.when((F.element_at(template, 1) == "") | ~fits, F.array().cast("array<bigint>"))
-        .when(F.col("bare"), checked)
-        .otherwise(hashes)
-    )
+    at = F.sequence(F.lit(0), size - width)
+    hashes = F.transform(at, lambda i: F.xxhash64(*_at(f"c{k}", i, width)))
+
+    def one(i: Column) -> Column:
+        bare = sum(_at(f"plain{k}", i, width), F.lit(0)) == width
+        return F.when(bare, F.xxhash64(*_at("cr", i, width), F.lit(1))).otherwise(F.xxhash64(*_at(f"c{k}", i, width)))
+
+    found = F.when(F.col("bare"), F.transform(at, one)).otherwise(hashes)
+    return F.when((size > 0) & fits, found).otherwise(F.array().cast("array<bigint>"))
+
+
+def _by_width(k: int, widths: range) -> Column:
+    """Windows of the row's own width ``wd``."""
+    out = F.array().cast("array<bigint>")
+    for width in widths:
+        out = F.when(F.col("wd") == width, _windows(k, width)).otherwise(out)
+    return out
 
 
 def find_leaks(
@@ -124,13 +163,12 @@ def find_leaks(
         "text", ["item_id"], 1,
     )
     items = items.withColumn("wd", F.least(F.size("template"), F.lit(width)))
-    items = write_stage(
-        items.withColumn("w0", _windows(F.col("template"), F.col("wd"))).withColumn(
-            "w1", F.when(F.col("named") != F.col("template"), _windows(F.col("named"), F.col("wd"))).otherwise(F.array().cast("array<bigint>"))
-        ),
-        "leak-items",
-    )
-    worded = F.transform("w0", lambda h, j: _worded(F.col("template"), j + 1, F.col("wd")))
+    none = F.array().cast("array<bigint>")
+    every = range(1, width + 1)
+    coded = _coded(items, ["item_id", "wd", "raw", "template", "named"])
+    coded = coded.withColumn("w0", _by_width(0, every)).withColumn("w1", F.when(F.col("differs"), _by_width(1, every)).otherwise(none))
+    items = write_stage(coded.select("item_id", "wd", "raw", "template", "named", "w0", "w1"), "leak-items")
+    worded = F.transform("w0", lambda h, j: F.exists(F.slice("template", j + 1, F.col("wd")), lambda t: ~t.isin(_NAME, _NUMBER, _UNIT)))
     rows = items.select("item_id", "wd", F.size("w0").alias("item_windows"), worded.alias("worded"), F.explode(
         F.array(*(F.struct(F.lit(k).alias("k"), F.col(f"w{k}").alias("w")) for k in (0, 1)))).alias("g"))
     rows = rows.withColumn("item_worded", F.size(F.filter("worded", lambda x: x)))
@@ -143,14 +181,15 @@ def find_leaks(
     few = known.count() <= BROADCAST_WINDOWS
     texts = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
-    def cut(template: str, wd: int) -> Column:
-        return _windows(F.col(template), wd, wd >= min(SHORTEST_INSIDE, width))
+    def cut(k: int, wd: int) -> Column:
+        return _windows(k, wd, wd >= min(SHORTEST_INSIDE, width))
 
-    places = _tokenised(texts, "text", ["doc_id"], widths[0])
+    places = _coded(_tokenised(texts, "text", ["doc_id"], widths[0]), ["doc_id"])
     plain = [f"p{wd}" for wd in widths]
-    places = places.select("doc_id", "raw", "named", "bare", *(cut("template", wd).alias(f"p{wd}") for wd in widths))
-    more = [F.array_except(cut("named", wd), F.col(f"p{wd}")) for wd in widths]
-    places = places.select("doc_id", F.explode(F.concat(*plain, *more)).alias("h"))
+    places = places.select("*", *(cut(0, wd).alias(f"p{wd}") for wd in widths))
+    # of the second template, only the windows that it changes
+    changed = [F.when(F.col("differs"), F.zip_with(f"p{wd}", cut(1, wd), lambda a, b: F.when(a != b, b))).otherwise(none) for wd in widths]
+    places = places.select("doc_id", F.explode(F.concat(*plain, *changed)).alias("h"))
     # which documents share any window at all: one row per document and hash
     touched = places.join(F.broadcast(hashes) if few else hashes, "h", "left_semi").distinct()
     # distinct windows per item and document, whatever their slots: an upper bound of what can match
@@ -171,11 +210,8 @@ def find_leaks(
     # slots: only candidate documents are read again; windows are cut out of their arrays at matched places only
     chosen = write_stage(bound.select("doc_id").distinct(), "leak-documents")
     read = _tokenised(texts.join(chosen, "doc_id", "left_semi"), "text", ["doc_id"], widths[0])
-    groups = [
-        F.struct(F.lit(k).alias("k"), F.lit(wd).alias("wd"), cut(template, wd).alias("w"))
-        for wd in widths
-        for k, template in enumerate(("template", "named"))
-    ]
+    read = _coded(read, ["doc_id", "raw", "template", "named"]).withColumn("c1", F.coalesce("c1", "c0"))
+    groups = [F.struct(F.lit(k).alias("k"), F.lit(wd).alias("wd"), cut(k, wd).alias("w")) for wd in widths for k in (0, 1)]
     read = write_stage(read.select("doc_id", "raw", "template", "named", F.array(*groups).alias("groups")), "leak-read")
     matches = (
         read.select("doc_id", F.explode("groups").alias("g"))
