@@ -10,10 +10,9 @@ What passes is expanded to members and verified on the whole sets.
 
 The result asked for is components, so pairs that other links already join are
 not built.  A first pass pairs each group with one group of every shared
-shingle, and each member with its group's first.  Hub passes follow while they
-find links: every set of a shingle (or group) whose sets lie in several
-components is paired with a few of them, others in each pass.  The last pass
-is exact: groups that share a shingle and still hold different components are
+shingle, and each member with its group's first.  In a hub pass every set of a
+shingle (or group) whose sets lie in several components is paired with a few
+of them, chosen by hash.  The last pass is exact: groups that share a shingle and still hold different components are
 paired and filtered, and only the pairs left are expanded to members.  Copies
 meet as one set, and a large cluster of near copies costs pairs in proportion
 to its size.
@@ -42,8 +41,7 @@ SHINGLE = 4
 PERCENT = 85  # link when 100 * intersection >= PERCENT * union
 SKETCH_BITS = (20, 24)  # cells of the sketch: at most 16 MB broadcast
 _BLOCK_BITS = 16  # sketch cells that travel in one row
-HUBS = 4  # sets of a shingle that the others are paired with in a hub pass
-HUB_PASSES = 6  # at most; what they leave over is left to the exact pass
+HUBS = 8  # sets of a shingle that the others are paired with in the hub pass
 HUB_ROWS = 256  # pairs of one set that are verified in one place
 _PARITY = 8  # longs of a set's parity bitmap: 512 bits
 _PARITY_COLUMNS = [f"b{i}" for i in range(_PARITY)]
@@ -276,44 +274,47 @@ def jaccard_components(
     roots = write_stage(connected_components(links), "jaccard-roots")
 
     def placed(roots: DataFrame) -> DataFrame:
-        return members.join(roots, "id", "left").select("gid", "id", "n", "size", F.coalesce("root", "id").alias("root"), *_PARITY_COLUMNS)
+        here = members.select("gid", "id", "n").join(roots, "id", "left")
+        return write_stage(here.select("gid", "id", "n", F.coalesce("root", "id").alias("root")), "jaccard-placed")
 
-    def mixed_groups(sets_: DataFrame) -> tuple[DataFrame, DataFrame]:
+    def mixed_groups(here: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Prefix rows of the shingles whose groups hold several components, and the groups that do themselves."""
-        span = sets_.groupBy("gid").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+        span = here.groupBy("gid").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
         rows = shared.join(span, "gid")
         mixed = rows.groupBy("token").agg(F.min("lo").alias("a"), F.max("hi").alias("b")).filter("a < b").select("token")
         return rows.join(mixed, "token", "left_semi"), span.filter("lo < hi").select("gid")
 
-    facts = ("id", "n", "root", "pos", "rank", *_PARITY_COLUMNS)
-    right = [F.col(c).alias(f"{c}2") for c in facts]
-    left = [F.col(c).alias(f"{c}1") for c in facts]
-    for turn in range(HUB_PASSES):
-        here = write_stage(placed(roots), "jaccard-placed")
-        prefixes, torn = mixed_groups(here)
-        # members of one torn group meet at their group; their prefixes are equal, so sizes and parities decide
-        whole = here.join(torn, "gid", "left_semi").select(
-            F.col("gid").alias("token"), F.lit(True).alias("whole"), "id", "n", "root", F.lit(0).alias("pos"), F.lit(0).alias("rank"), *_PARITY_COLUMNS)
-        rows = prefixes.select("token", "gid", "pos", "rank").join(here, "gid").select("token", F.lit(False).alias("whole"), *facts)
-        rows = write_stage(rows.unionByName(whole), "jaccard-mixed")
-        picks = [F.min(F.struct(F.xxhash64("id", F.lit(turn * HUBS + i)).alias("h"), *facts)).alias(f"hub{i}") for i in range(HUBS)]
-        hubs = rows.groupBy("whole", "token").agg(*picks).select("whole", "token", F.explode(F.array(*[f"hub{i}" for i in range(HUBS)])).alias("hub"))
-        hubs = hubs.select("whole", "token", "hub.*").select("whole", "token", *right).distinct()
-        pairs = (
-            rows.select("whole", "token", *left)
-            .join(hubs, ["whole", "token"])
-            .filter((F.col("root1") != F.col("root2")) & _place_fits(percent) & _parity_fits(percent))
-            .select(F.greatest("id1", "id2").alias("a"), F.least("id1", "id2").alias("b"))
-            .distinct()
-        )
-        more = verified(pairs)
-        if more.isEmpty():
-            break
-        links = links.unionByName(more)
-        roots = write_stage(connected_components(links), "jaccard-roots")
+    def fitting(pairs: DataFrame) -> DataFrame:
+        """Pairs (a, b) whose parity bitmaps allow a link."""
+        for side, k in (("a", 1), ("b", 2)):
+            facts = members.select(F.col("id").alias(side), *[F.col(c).alias(f"{c}{k}") for c in ("n", *_PARITY_COLUMNS)])
+            pairs = pairs.join(facts, side)
+        return pairs.filter(_parity_fits(percent)).select("a", "b")
+
+    # hub pass
+    here = placed(roots)
+    prefixes, torn = mixed_groups(here)
+    facts = ("id", "n", "root", "pos", "rank")
+    # members of one torn group meet at their group; their prefixes are equal, so sizes and parities decide
+    whole = here.join(torn, "gid", "left_semi").select(
+        F.lit(True).alias("whole"), F.col("gid").alias("token"), "id", "n", "root", F.lit(0).alias("pos"), F.lit(0).alias("rank"))
+    rows = prefixes.select("token", "gid", "pos", "rank").join(here, "gid").select(F.lit(False).alias("whole"), "token", *facts)
+    rows = write_stage(rows.unionByName(whole), "jaccard-mixed")
+    picks = [F.min(F.struct(F.xxhash64("id", F.lit(i)).alias("h"), *facts)).alias(f"hub{i}") for i in range(HUBS)]
+    hubs = rows.groupBy("whole", "token").agg(*picks).select("whole", "token", F.explode(F.array(*[f"hub{i}" for i in range(HUBS)])).alias("hub"))
+    hubs = hubs.select("whole", "token", *[F.col(f"hub.{c}").alias(f"{c}2") for c in facts]).distinct()
+    near = (
+        rows.select("whole", "token", *[F.col(c).alias(f"{c}1") for c in facts])
+        .join(hubs, ["whole", "token"])
+        .filter((F.col("root1") != F.col("root2")) & _place_fits(percent))
+        .select(F.greatest("id1", "id2").alias("a"), F.least("id1", "id2").alias("b"))
+        .distinct()
+    )
+    links = links.unionByName(verified(fitting(near)))
+    roots = write_stage(connected_components(links), "jaccard-roots")
 
     # last pass: pairs of groups, then of their members, that still lie in different components
-    here = write_stage(placed(roots), "jaccard-placed")
+    here = placed(roots)
     prefixes, torn = mixed_groups(here)
     prefixes = write_stage(prefixes, "jaccard-mixed")
     main = prefixes.filter("lo = hi").groupBy("token", "lo").agg(F.count("*").alias("c"))
@@ -331,14 +332,14 @@ def jaccard_components(
         .select("gid1", "gid2")
     )
     group_pairs = write_stage(group_pairs.unionByName(torn.select(F.col("gid").alias("gid1"), F.col("gid").alias("gid2"))), "jaccard-groups")
-    facts = ("id", "n", "root", *_PARITY_COLUMNS)
     rest = (
-        group_pairs.join(here.select(F.col("gid").alias("gid1"), *[F.col(c).alias(f"{c}1") for c in facts]), "gid1")
-        .join(here.select(F.col("gid").alias("gid2"), *[F.col(c).alias(f"{c}2") for c in facts]), "gid2")
-        .filter((F.col("root1") != F.col("root2")) & ((F.col("gid1") != F.col("gid2")) | (F.col("id1") < F.col("id2"))) & _parity_fits(percent))
+        group_pairs.join(here.select(F.col("gid").alias("gid1"), F.col("id").alias("id1"), F.col("root").alias("root1")), "gid1")
+        .join(here.select(F.col("gid").alias("gid2"), F.col("id").alias("id2"), F.col("root").alias("root2")), "gid2")
+        .filter((F.col("root1") != F.col("root2")) & ((F.col("gid1") != F.col("gid2")) | (F.col("id1") < F.col("id2"))))
         .select(F.greatest("id1", "id2").alias("a"), F.least("id1", "id2").alias("b"))
         .distinct()
     )
+    rest = fitting(rest)
     linked = links.unionByName(verified(rest))
     roots = write_stage(connected_components(linked), "jaccard-roots")
 
