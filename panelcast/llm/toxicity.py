@@ -1,8 +1,8 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
 Three layers of transducers are composed.  The lexical one reads words and
-writes classes: insult, threat, target, negation, reported speech, and stems
-of words that labels show to be insulting in any language.  The scope
+writes classes: insult, threat, target, negation, reported speech, and learned
+insults, by stems of words that labels show to be insulting in any language.  The scope
 one reads a clause's classes from left to right and marks what stands under a
 negation or in reported speech.  The pattern one reads the marked classes and
 writes weighted clause patterns: an insult, an insult next to a target, a
@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +29,7 @@ from . import textcore
 from .learning import bounded_sample, fit_logistic, held_out, sigmoid
 
 PER_LABEL = 2500  # labelled rows of each label in the fit
-LEARNED_STEMS = 400  # word beginnings learned from labels at most
+LEARNED_STEMS = 400  # most frequent word beginnings that the fit keeps: a bound of the model, not of the rows it scores
 STEM_BYTES = (5, 8)  # length of a learned stem in UTF-8
 MIN_ROWS = 5  # toxic rows that must have a learned stem,
 MIN_SHARE = 0.012  # the share of toxic rows that must have it,
@@ -53,7 +54,7 @@ NEGATION_SCOPE, REPORT_SCOPE, TARGET_REACH, THREAT_REACH = 3, 8, 4, 3  # words
 #: outputs of the pattern transducer, and what they come to in a document
 PATTERNS = (
     "insult", "insult_target", "insult_negated", "insult_reported", "threat_target", "threat_negated", "threat_reported",
-    "distinct", "stem", "stem_negated", "stem_pair", "stem_density",
+    "learned", "learned_target", "learned_negated", "learned_reported", "distinct", "learned_pair", "learned_density",
 )
 
 # letters, digits, apostrophes and bytes beyond ASCII make words
@@ -61,7 +62,25 @@ SPACE = np.ones(256, dtype=bool)
 SPACE[48:58] = SPACE[65:91] = SPACE[97:123] = SPACE[128:] = False
 SPACE[39] = False
 _BREAK = np.zeros(256, dtype=bool)  # bytes that end a clause
-_BREAK[list(b".!?;:\n\r")] = True
+_BREAK[list(b".!?;\n\r")] = True  # a report reaches across a colon
+
+#: punctuation beyond ASCII by the ASCII character that stands for it (fixed values)
+PUNCTUATION = {"'": "\u2018\u2019\u02bc\uff07", ".": "\u2026\u3002\uff0e\uff61", "!": "\u00a1\uff01", "?": "\u00bf\uff1f", ";": "\uff1b", ":": "\uff1a",
+               " ": "\u00ab\u00bb\u201a-\u201f\u2039\u203a\u2010-\u2015\u2022\u2024-\u2027\u3001\u3008-\u3011\uff08\uff09\uff0c\u00a0\u2000-\u200a\u202f\u3000"}
+
+
+def plain_punctuation(texts: pa.Array) -> pa.Array:
+    """Texts with punctuation and spaces beyond ASCII as ASCII."""
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    if not pc.any(pc.match_substring_regex(texts, "[" + "".join(PUNCTUATION.values()) + "]")).as_py():
+        return texts
+    for plain, others in PUNCTUATION.items():
+        texts = pc.replace_substring_regex(texts, f"[{others}]", plain)
+    return texts
+
+
+#: heads of patterns: their name, and how far a target may be
+HEADS = {INSULT: ("insult", TARGET_REACH), STEM: ("learned", TARGET_REACH), THREAT: ("threat", THREAT_REACH)}
 
 
 def clause_patterns(classes: list[int]) -> Counter:
@@ -69,7 +88,9 @@ def clause_patterns(classes: list[int]) -> Counter:
 
     The scope transducer's state is the number of words for which a negation
     and a report still hold; the pattern transducer's, the distance to the
-    last target and the heads that wait for a target to follow.
+    last target and the heads that wait for a target to follow.  Learned
+    insults go through the same states as the given ones, with outputs of
+    their own.
     """
     out: Counter = Counter()
     negated = reported = 0
@@ -84,24 +105,22 @@ def clause_patterns(classes: list[int]) -> Counter:
             last_target = at
             still = []
             for head, k in waiting:
-                if at - head <= (TARGET_REACH if k == INSULT else THREAT_REACH):
-                    out["insult_target" if k == INSULT else "threat_target"] += 1
+                if at - head <= HEADS[k][1]:
+                    out[HEADS[k][0] + "_target"] += 1
                 else:
                     still.append((head, k))
             waiting = still
-        elif kind == STEM:
-            out["stem_negated" if negated else "stem"] += 1
-        elif kind in (INSULT, THREAT):
-            name, reach = ("insult", TARGET_REACH) if kind == INSULT else ("threat", THREAT_REACH)
+        elif kind in HEADS:
+            name, reach = HEADS[kind]
             if negated:
                 out[name + "_negated"] += 1
             elif reported:
                 out[name + "_reported"] += 1
             else:
-                if kind == INSULT:
-                    out["insult"] += 1
-                if kind == INSULT and last_target is not None and at - last_target <= reach:
-                    out["insult_target"] += 1
+                if kind != THREAT:
+                    out[name] += 1
+                if kind != THREAT and last_target is not None and at - last_target <= reach:
+                    out[name + "_target"] += 1
                 else:  # a threat's target follows it
                     waiting.append((at, kind))
         negated, reported = max(0, negated - 1), max(0, reported - 1)
@@ -157,7 +176,7 @@ class Lexicon:
 
 def features(lexicon: Lexicon, texts) -> Iterator[tuple[int, np.ndarray]]:
     """(first row, log pattern counts) of runs of texts."""
-    for part in textcore.words(texts, lower=True, space=SPACE):
+    for part in textcore.words(plain_punctuation(texts), lower=True, space=SPACE):
         classes = lexicon.classify(part)
         x = np.zeros((len(part.offsets) - 1, len(PATTERNS)))
         heads = np.flatnonzero((classes == INSULT) | (classes == THREAT) | (classes == STEM))
@@ -168,15 +187,18 @@ def features(lexicon: Lexicon, texts) -> Iterator[tuple[int, np.ndarray]]:
             clause = breaks[part.starts[a:b] - part.starts[a]]
             own = heads[rows == row]
             total: Counter = Counter()
+            kinds: dict[str, set] = {"insult": set(), "learned": set()}
             for c in np.unique(clause[own - a]):
                 lo, hi = np.searchsorted(clause, [c, c + 1])
-                total.update(clause_patterns(classes[a + lo : a + hi].tolist()))
-            total["distinct"] = len(np.unique(part.hashes[own[classes[own] == INSULT]]))
-            stems = own[classes[own] == STEM]
-            kinds = len(np.unique(part.hashes[stems]))
-            total["stem_pair"] = kinds >= 2
+                found = clause_patterns(classes[a + lo : a + hi].tolist())
+                total.update(found)
+                inside = own[(own >= a + lo) & (own < a + hi)]
+                for name, kind in (("insult", INSULT), ("learned", STEM)):
+                    if found[name]:  # said directly: not all are negated or reported
+                        kinds[name].update(part.hashes[inside[classes[inside] == kind]].tolist())
+            total["distinct"], total["learned_pair"] = len(kinds["insult"]), len(kinds["learned"]) >= 2
             x[row] = [np.log1p(total[p]) for p in PATTERNS]
-            x[row, -1] = min(2.0, 50.0 * kinds / (b - a))
+            x[row, -1] = min(2.0, 50.0 * len(kinds["learned"]) / (b - a))
         yield part.first, x
 
 

@@ -136,3 +136,31 @@ def test_many_languages_are_learned(make_docs):
     got = language_id.predict_language(make_docs(rows)).collect()
     want = {r[0]: r[2] for r in rows}
     assert len(got) == len(rows) and np.mean([r.lang_pred == want[r.doc_id] for r in got]) > 0.9
+
+
+def patterns_of(text, stems=("schwac",)):
+    import pyarrow as pa
+
+    ((_, x),) = toxicity.features(toxicity.Lexicon.of(list(stems)), pa.array([text]))
+    return {name: round(float(v), 3) for name, v in zip(toxicity.PATTERNS, x[0]) if v}
+
+
+def test_learned_insults_pass_scope_target_and_report():
+    direct = patterns_of("du bist ein schwachkopf")
+    assert {"learned", "learned_target", "learned_density"} <= set(direct)
+    assert set(patterns_of("he said you are a schwachkopf")) == {"learned_reported"}
+    assert set(patterns_of("du bist nicht schwachkopf")) == {"learned_negated"}
+    assert "learned_target" not in patterns_of("der schwachkopf")
+
+
+def test_reports_reach_across_colons_and_quotation_marks():
+    for text in ("he said: you are an idiot", "he said: \"you are an idiot\"", "he said: “you are an idiot”", "he said « you idiot »"):
+        assert set(patterns_of(text)) == {"insult_reported"}, text
+    assert "insult_target" in patterns_of("he said. you are an idiot")
+
+
+def test_punctuation_beyond_ascii_parts_words():
+    for text in ("you «idiot»", "you idiot—he left", "you “idiot”…", "you　idiot。", "¡you idiot!"):
+        assert "insult_target" in patterns_of(text), text
+    assert set(patterns_of("I don’t call you idiot")) == {"insult_negated"}
+    assert patterns_of("naïve façade") == {}
