@@ -24,6 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.ranks import hash_sample
 from ..session import checkpoint_dir, write_stage
 
 MIN_REVISIT = 1000  # bytes of payload from which an equal one is a revisit
@@ -201,9 +202,10 @@ def write_archives(
     marked = slim.join(copies, ["key", "size"], "left").withColumn(
         "refers_to", F.when(~F.col("page_id").eqNullSafe(F.col("original")), F.col("original"))
     )
-    # a bounded sample of the records by hash order; of long records, their first part
+    # a bounded sample of the records by hash order; of long records, their first part.  The
+    # records are chosen by their ids, so no other payload leaves its task
     sample = (
-        slim.orderBy(F.xxhash64("page_id", "url"), "sha1").limit(SAMPLE_RECORDS)
+        hash_sample(slim, ["page_id", "url"], SAMPLE_RECORDS, seed=1).limit(SAMPLE_RECORDS)
         .select("page_id", "url", F.substring("payload", 1, SAMPLE_BYTES).alias("payload"), "size", "sha1")
     )
     # build records for training from the sample rows
