@@ -101,6 +101,30 @@ def drop_stage(df: DataFrame) -> None:
     _delete(df.sparkSession, df._stage_path)
 
 
+class stage_scope:
+    """Deletes the stages written inside it, but for those it is told to keep, when it ends without an error.
+
+    For steps whose result has been written: the operators' own stages are of no use after it.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self._spark, self._kept = spark, set()
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self._kept.add(df._stage_path)
+        return df
+
+    def __enter__(self) -> stage_scope:
+        self._before = set(_STAGES)
+        return self
+
+    def __exit__(self, kind, *rest) -> None:
+        if kind is None:
+            for path in [p for p in _STAGES if p not in self._before and p not in self._kept]:
+                _STAGES.remove(path)
+                _delete(self._spark, path)
+
+
 def drop_stages(spark: SparkSession) -> None:
     """Delete the stages that this process has written; frames over them can't be read any more.
 
