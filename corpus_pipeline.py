@@ -3,6 +3,12 @@
 Each stage gets the documents that its predecessor kept, written as Parquet in
 the session's shared folder and read again, and returns those that it keeps.
 The last one returns the mix: the documents with the words taken of each.
+
+Null and empty texts hold no letter and go in the first stage.  Documents with a
+null id are kept where an id would be needed to drop them (near copies, leaks);
+of equal texts, one with an id stays before one without.  Rows that repeat an id
+are one document to the stages that name documents by id.  Extra columns, of any
+name, are carried along; an empty table gives an empty mix.
 """
 
 from __future__ import annotations
@@ -10,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from panelcast.llm import decontamination, exact_dedup, language_id, mixing, ngram_join
-from panelcast.session import table_path, write_stage
+from panelcast.session import drop_stage, stage_scope, table_path, write_stage
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,5 +60,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; the result of the last one."""
     docs = spark.read.parquet(table_path(sf_dir, "documents"))
     for name, stage in STAGES[:-1]:
-        docs = write_stage(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with stage_scope(spark) as scope:  # the operators' own stages go once the stage is written
+            kept = scope.keep(write_stage(stage(spark, docs, sf_dir), f"pipeline-{name}"))
+        if name != STAGES[0][0]:
+            drop_stage(docs)
+        docs = kept
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -7,6 +7,7 @@ import pytest
 import regex
 
 import corpus_pipeline
+from panelcast import session
 from panelcast.llm import queries
 
 from .test_exact_dedup import lower
@@ -50,6 +51,38 @@ def test_stages_are_five_and_keep_columns(spark):
         assert stage(spark, docs, SF).columns == docs.columns
 
 
+ITEM = "Which river flows through the old town before it meets the wide northern sea at last"
+
+
+def run_on(spark, tmp_path, docs, items=((1, ITEM),)):
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(list(items), "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    return corpus_pipeline.run(spark, str(tmp_path))
+
+
+def test_pipeline_of_awkward_rows(spark, tmp_path, make_docs):
+    long = " ".join(f"w{i}" for i in range(60_000))
+    near = " ".join(f"n{i}" for i in range(200))
+    rows = [
+        (1, None), (2, ""), (3, " \t\n"), (4, "123 456"), (5, "A plain text", "en", "a"), (6, "a PLAIN text", "en", "b"),
+        (7, long, "en", "a"), (8, long + " more", "en", None), (9, near, None, "a"), (10, near + " tail", None, "b"),
+        (11, "Ask me: " + ITEM + " and tell me", "en", "a"), (12, "wordwithoutspaces" * 3000, "en", "a"),
+        (None, "Nobody numbered this one", "en", "a"), (13, "said twice", "en", "b"), (13, "said twice", "en", "b"),
+    ]
+    docs = make_docs(rows)
+    before = set(session._STAGES)
+    out = run_on(spark, tmp_path, docs)
+    assert out.columns == [*[c for c in docs.columns if c != "mix_taken"], "mix_taken"] or set(out.columns) == set(docs.columns)
+    got = {r.doc_id: r for r in out.collect()}
+    assert set(got) <= {None, 5, 6, 7, 9, 12, 13} and {7, 9} <= set(got) and 5 not in got
+    assert all(r.mix_taken >= 1 for r in got.values()) and got[7].text == long
+    assert not [p for p in session._STAGES if p not in before and "jaccard" in p]  # of no use any more
+
+
+def test_pipeline_of_empty_tables(spark, tmp_path, make_docs):
+    assert run_on(spark, tmp_path, make_docs([]), ()).collect() == []
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_queries_match_their_sql(spark, name):
     con = duckdb.connect()
