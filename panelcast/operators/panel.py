@@ -69,6 +69,15 @@ def panel_lag(
     return df.withColumns(lagged)
 
 
+def fill_down(df: DataFrame, series_cols: list[str], order_col: str, cols: list[str]) -> DataFrame:
+    """a null takes the last known value of its series; leading nulls stay.
+
+    The window's partitions hold one row per period of a series.
+    """
+    w = Window.partitionBy(*series_cols).orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
+    return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
+
+
 def ever_before(
     df: DataFrame,
     group_cols: list[str],

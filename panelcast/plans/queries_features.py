@@ -294,6 +294,31 @@ NOWCAST_FEATURE_COLUMNS = (
 _nowcast_features_sql()
 
 
+LAG_FLAGS = [c for c in NOWCAST_FEATURE_COLUMNS if c.endswith("_missing") and ("lag" in c)]
+
+
+@register(
+    "missing_lag_flags",
+    O.with_(feature_ctes(), "SELECT disease, count(*) AS n_rows, "
+            + ", ".join(f"count(*) FILTER (WHERE CAST({c} AS DOUBLE) > 0) AS {c}" for c in LAG_FLAGS) + " FROM nfeat GROUP BY disease"),
+)
+def missing_lag_flags(spark, sf_dir):
+    """K7: rows per disease whose lagged value was missing and became 0."""
+    base = N.nowcast_base(spark, sf_dir)
+    return base.groupBy("disease").agg(F.count(F.lit(1)).alias("n_rows"), *[F.count_if(F.col(c)).alias(c) for c in LAG_FLAGS])
+
+
+@register(
+    "cases_filled_down",
+    O.with_(O.grid_ctes(), f"""SELECT {KEY_BIG}, CAST(last(cases IGNORE NULLS) OVER (
+  PARTITION BY {O.SERIES} ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cases FROM dense"""),
+)
+def cases_filled_down(spark, sf_dir):
+    """each series' last known number of cases."""
+    dense = N.panel_lagged(spark, sf_dir, 3).select(*K.NOWCAST_KEY, "period", "cases")
+    return panel.fill_down(dense, K.NOWCAST_SERIES, "period", ["cases"]).drop("period")
+
+
 # ---- K14 / C15 ---------------------------------------------------------------------------
 RARE_CONDITION_MIN = 1000  # fixed value: conditions seen fewer times are lumped
 

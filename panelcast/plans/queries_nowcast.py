@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions.exprs import signif
 from ..operators import covariates as cov
 from ..operators import rollup, scoring
+from ..session import checkpoint_dir
 from ..sources import bindings as B
+from ..sources.tables import LOOKUP_SCHEMAS, read_lookup_csv, write_csv, write_parquet
 from . import nowcast as N
 from . import oracle as O
 from .registry import register
@@ -128,6 +132,23 @@ def name_recode_join(spark, sf_dir):
     return N.init_reports(spark, sf_dir)
 
 
+@register(
+    "lookup_csv_recode",
+    O.with_(
+        O.lookup_ctes(),
+        f"SELECT {KEY_BIG}, disease_name_uncleaned, cases, disease_status, control_measures FROM recoded",
+    ),
+)
+def lookup_csv_recode(spark, sf_dir):
+    """A3 + A4 + A5 + P2: the name lookup as a gzipped CSV that a pipeline reads back with its types, reports as Parquet."""
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/panelcast-lookups/{uuid.uuid4().hex[:12]}"
+    write_parquet(N.rolled_reports(spark, sf_dir), f"{folder}/rolled")
+    rolled = spark.read.parquet(f"{folder}/rolled")
+    lookup = N.disease_lookup(rolled).select("disease", "disease_recode")
+    write_csv(lookup.coalesce(1), f"{folder}/disease_recode", gzip=True)  # a row per disease
+    return rollup.recode_names(rolled, read_lookup_csv(spark, f"{folder}/disease_recode", LOOKUP_SCHEMAS["disease_recode"]))
+
+
 # ---- R1 / F1 ---------------------------------------------------------------------------
 @register(
     "dense_grid",
