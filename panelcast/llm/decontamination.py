@@ -34,7 +34,7 @@ _CAPITAL, _POINT = "\u0005", "\u0006"  # a capitalised word that is no name by i
 
 
 def _typed(rows: DataFrame, text: str, keep: list[str]) -> DataFrame:
-    """``keep`` with ``__plain`` and ``__typed``: aligned tokens, one space between, the second with numbers and units as placeholders.
+    """``keep`` with ``__plain`` and ``__typed``: tokens with one space between, the second with numbers and units as placeholders.
 
     Capitalised words carry a mark in front: a name's after a lower-case letter
     or a comma and one space, so not at a sentence's start, another elsewhere.
@@ -48,14 +48,19 @@ def _typed(rows: DataFrame, text: str, keep: list[str]) -> DataFrame:
     digits = F.col("__digits")
     marked = F.when(digits, F.regexp_replace(marked, r"[.,'’](?<=\p{N}[.,'’])(?=\p{N})", _POINT)).otherwise(marked)
     plain = F.trim(F.regexp_replace(F.lower(marked), r"[^\p{L}\p{M}\p{N}" + _NAME + _CAPITAL + _POINT + "]+", " "))
-    number = r"(?=\p{N})(?<![^ ])(\p{N}[\p{N}" + _POINT + "]*+)"
-    apart = F.when(digits, F.regexp_replace("__plain", f"{number}({units})(?![^ ])", "$1 $2")).otherwise(F.col("__plain"))
-    typed = F.regexp_replace("__plain", f"{number}(?![^ ])", _NUMBER)
-    typed = F.regexp_replace(typed, f"{_NUMBER} {_CAPITAL}?(?:{units})(?![^ ])", f"{_NUMBER} {_UNIT}")
+    mark = f"(?=\\p{{N}})(?<![^ ])\\p{{N}}[\\p{{N}}{_POINT}]*+"
+    typed = F.regexp_replace("__plain", f"{mark}(?: {_CAPITAL}?)?(?:{units})(?![^ ])", f"{_NUMBER} {_UNIT}")
+    typed = F.regexp_replace(typed, f"{mark}(?![^ ])", _NUMBER)
     rows = rows.select(*keep, F.col(text).alias("__text"), F.coalesce(F.col(text).rlike(r"\p{N}"), F.lit(False)).alias("__digits"))
     plain = rows.withColumnRenamed("__text", text).select(*keep, "__digits", plain.alias("__plain"))
-    return plain.select(*keep, "__digits", apart.alias("__plain")).select(
-        *keep, "__plain", F.when(digits, typed).otherwise(F.col("__plain")).alias("__typed"))
+    return plain.select(*keep, "__digits", "__plain", F.when(digits, typed).otherwise(F.col("__plain")).alias("__typed"))
+
+
+def _raw() -> Column:
+    """Raw tokens of a row of ``_typed``, attached units apart."""
+    number = r"(?=\p{N})(?<![^ ])(\p{N}[\p{N}" + _POINT + "]*+)"
+    apart = F.regexp_replace("__plain", f"{number}({'|'.join(UNITS)})(?![^ ])", "$1 $2")
+    return F.split(F.translate(F.when(F.col("__digits"), apart).otherwise(F.col("__plain")), _NAME + _CAPITAL, ""), " ")
 
 
 def _bare(shortest: int) -> Column:
@@ -74,7 +79,7 @@ def _tokenised(rows: DataFrame, text: str, keep: list[str], shortest: int) -> Da
     named = F.regexp_replace("__typed", f"[{_NAME}{_CAPITAL}][^ ]+", _NAME)
     return _typed(rows, text, keep).select(
         *keep,
-        F.split(F.translate("__plain", _NAME + _CAPITAL, ""), " ").alias("raw"),
+        _raw().alias("raw"),
         F.split(template, " ").alias("template"),
         F.split(named, " ").alias("named"),
         _bare(shortest).alias("bare"),
@@ -84,9 +89,9 @@ def _tokenised(rows: DataFrame, text: str, keep: list[str], shortest: int) -> Da
 def _coded(rows: DataFrame, keep: list[str]) -> DataFrame:
     """``keep`` with the token arrays as hashes: c0 of the template, c1 of the named one, cr of the raw tokens.
 
-    ``plain`` has 1 for a placeholder of the template, ``plain1`` of the named one.
-    Windows read these arrays by position; slices of arrays of texts would copy
-    the whole array for each window.
+    d0, d1 and dr have a hash for each two tokens in a row, plain0 and plain1 a 1 for
+    each placeholder.  Windows read these arrays by position; slices of arrays of
+    texts would copy the whole array for each window.
     """
     def hashes(column: str) -> Column:
         return F.transform(column, lambda t: F.xxhash64(t))
@@ -94,16 +99,21 @@ def _coded(rows: DataFrame, keep: list[str]) -> DataFrame:
     def places(column: str) -> Column:
         return F.transform(column, lambda t: F.when(t.isin(_NAME, _NUMBER, _UNIT), 1).otherwise(0))
 
-    empty = F.element_at("template", 1) == ""
-    return rows.select(
-        *keep, "bare", F.when(empty, 0).otherwise(F.size("template")).alias("size"), (F.col("named") != F.col("template")).alias("differs"),
-        hashes("template").alias("c0"), F.when(F.col("named") != F.col("template"), hashes("named")).alias("c1"),
-        F.when(F.col("bare"), hashes("raw")).alias("cr"), F.when(F.col("bare"), places("template")).alias("plain0"),
-        F.when(F.col("bare"), places("named")).alias("plain1"))
+    def pairs(column: str) -> Column:
+        two = F.transform(F.sequence(F.lit(0), F.size(column) - 2), lambda i: F.xxhash64(F.get(column, i), F.get(column, i + 1)))
+        return F.when(F.size(column) >= 2, two)
+
+    empty, differs = F.element_at("template", 1) == "", F.col("named") != F.col("template")
+    coded = rows.select(
+        *keep, "bare", F.when(empty, 0).otherwise(F.size("template")).alias("size"), differs.alias("differs"),
+        hashes("template").alias("c0"), F.when(differs, hashes("named")).alias("c1"), F.when(F.col("bare"), hashes("raw")).alias("cr"),
+        F.when(F.col("bare"), places("template")).alias("plain0"), F.when(F.col("bare"), places("named")).alias("plain1"))
+    return coded.select("*", *[pairs(f"c{k}").alias(f"d{k}") for k in ("0", "1", "r")])
 
 
-def _at(column: str, i: Column, width: int) -> list[Column]:
-    return [F.get(column, i + k) for k in range(width)]
+def _at(k: str, i: Column, width: int) -> list[Column]:
+    """Hashes that make up the window at ``i``: of two tokens each, and of a last single one."""
+    return [*(F.get(f"d{k}", i + 2 * j) for j in range(width // 2)), *([F.get(f"c{k}", i + width - 1)] if width % 2 else [])]
 
 
 def _windows(k: int, width: int, everywhere: bool = True) -> Column:
@@ -114,11 +124,11 @@ def _windows(k: int, width: int, everywhere: bool = True) -> Column:
     size = F.col("size")
     fits = (size >= width) if everywhere else (size == width)
     at = F.sequence(F.lit(0), size - width)
-    hashes = F.transform(at, lambda i: F.xxhash64(*_at(f"c{k}", i, width)))
+    hashes = F.transform(at, lambda i: F.xxhash64(*_at(str(k), i, width)))
 
     def one(i: Column) -> Column:
-        bare = sum(_at(f"plain{k}", i, width), F.lit(0)) == width
-        return F.when(bare, F.xxhash64(*_at("cr", i, width), F.lit(1))).otherwise(F.xxhash64(*_at(f"c{k}", i, width)))
+        bare = sum((F.get(f"plain{k}", i + j) for j in range(width)), F.lit(0)) == width
+        return F.when(bare, F.xxhash64(*_at("r", i, width), F.lit(1))).otherwise(F.xxhash64(*_at(str(k), i, width)))
 
     found = F.when(F.col("bare"), F.transform(at, one)).otherwise(hashes)
     return F.when((size > 0) & fits, found).otherwise(F.array().cast("array<bigint>"))
@@ -210,7 +220,7 @@ def find_leaks(
     # slots: only candidate documents are read again; windows are cut out of their arrays at matched places only
     chosen = write_stage(bound.select("doc_id").distinct(), "leak-documents")
     read = _tokenised(texts.join(chosen, "doc_id", "left_semi"), "text", ["doc_id"], widths[0])
-    read = _coded(read, ["doc_id", "raw", "template", "named"]).withColumn("c1", F.coalesce("c1", "c0"))
+    read = _coded(read, ["doc_id", "raw", "template", "named"]).withColumns({f"{c}1": F.coalesce(f"{c}1", f"{c}0") for c in "cd"})
     groups = [F.struct(F.lit(k).alias("k"), F.lit(wd).alias("wd"), cut(k, wd).alias("w")) for wd in widths for k in (0, 1)]
     read = write_stage(read.select("doc_id", "raw", "template", "named", F.array(*groups).alias("groups")), "leak-read")
     matches = (
