@@ -41,6 +41,7 @@ SHINGLE = 4
 PERCENT = 85  # link when 100 * intersection >= PERCENT * union
 SKETCH_BITS = (20, 24)  # cells of the sketch: at most 16 MB broadcast
 _BLOCK_BITS = 16  # sketch cells that travel in one row
+CHUNK = 1 << 20  # bytes of text hashed at a time (or one longer text)
 HUBS = 8  # sets of a shingle that the others are paired with in the hub pass
 HUB_ROWS = 256  # pairs of one set that are verified in one place
 _PARITY = 8  # longs of a set's parity bitmap: 512 bits
@@ -65,7 +66,7 @@ def _sketch_blocks(width: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(1 << bits, dtype=np.uint32)
         for batch in batches:
-            for part in textcore.words(batch.column(0), lower=True):
+            for part in textcore.words(batch.column(0), lower=True, chunk=CHUNK):
                 seen = [s for s in _sets(part, width) if len(s)]
                 if seen:
                     at, n = np.unique(np.concatenate(seen) & np.uint64(len(cells) - 1), return_counts=True)
@@ -122,7 +123,7 @@ def _prefixes(width: int, percent: int, classes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = classes.value
         for batch in batches:
-            for part in textcore.words(batch.column(1), lower=True):
+            for part in textcore.words(batch.column(1), lower=True, chunk=CHUNK):
                 sizes, sigs, groups, prefixes, bits = [], [], [], [], []
                 for values in _sets(part, width):
                     n = len(values)
@@ -157,7 +158,7 @@ def _prefixes(width: int, percent: int, classes):
 def _contents(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in textcore.words(batch.column(1), lower=True):
+            for part in textcore.words(batch.column(1), lower=True, chunk=CHUNK):
                 sets = [values.view(np.int64) for values in _sets(part, width)]
                 ends = np.cumsum([0, *map(len, sets)], dtype=np.int32)
                 lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(sets)))
