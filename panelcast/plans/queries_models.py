@@ -3,6 +3,9 @@ checked rows-only (no SQL equivalent of an iterative fit)."""
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
@@ -265,11 +268,14 @@ def _design(spark, sf_dir, predictors):
     return d, [p for p in predictors if p != "continent"] + (cont if "continent" in predictors else [])
 
 
-def _mixed(spark, sf_dir, baseline: bool = False):
-    k = (spark.sparkContext.applicationId, sf_dir, "mixed", baseline)
+#: Predictors of the compared formulas (L13, L16, L18); the last one has no scaled predictor at all.
+FORMULAS = {"full": B.PREDICTOR_VARS, "baseline": ["continent", "disease_present_anywhere"], "continent": ["continent"]}
+
+
+def _mixed(spark, sf_dir, formula: str = "full"):
+    k = (spark.sparkContext.applicationId, sf_dir, "mixed", formula)
     if k not in _FITS:
-        preds = ["continent", "disease_present_anywhere"] if baseline else B.PREDICTOR_VARS
-        d, cols = _design(spark, sf_dir, preds)
+        d, cols = _design(spark, sf_dir, FORMULAS[formula])
         continents = [c for c in cols if c.startswith("continent")]  # one correlated block
         _FITS[k] = mixed.fit_mixed_logit(d, cols, "outbreak_start", "disease", "count", block=continents)
     return _FITS[k]
@@ -330,7 +336,6 @@ def fitted_priority_coefficients(spark, sf_dir):
 
 @register("model_aic")
 def model_aic(spark, sf_dir):
-    """L16 + L18: logLik / AIC / BIC of the full and the baseline network model."""
-    full = _mixed(spark, sf_dir).summary(spark).withColumn("model", F.lit("full"))
-    base = _mixed(spark, sf_dir, baseline=True).summary(spark).withColumn("model", F.lit("baseline"))
-    return full.unionByName(base)
+    """L16 + L18: logLik / AIC / BIC of the full, the baseline and the continent-only network model."""
+    tables = [_mixed(spark, sf_dir, f).summary(spark).withColumn("model", F.lit(f)) for f in FORMULAS]
+    return reduce(DataFrame.unionByName, tables)
