@@ -22,7 +22,7 @@ from .stages import stage
 
 KEY = K.NOWCAST_KEY
 _FITS: dict = {}
-TUNING_SETS = 8  # parameter sets of the space-filling design
+TUNING_SETS, TUNING_BURN_IN = 6, 2  # parameter sets of the space-filling design, folds before the first are dropped
 
 
 def _features(spark, sf_dir):
@@ -97,7 +97,7 @@ def cv_one_se(spark, sf_dir):
     train = splits.training_rows(_split_features(spark, sf_dir))
     rows = []
     for name, tune in (("disease_status", models.tune_status_model), ("cases", models.tune_cases_model)):
-        tuned = tune(train, KEY, points=models.space_filling(TUNING_SETS))
+        tuned = tune(train, KEY, points=models.space_filling(TUNING_SETS), burn_in=TUNING_BURN_IN)
         for point, mean, sd, folds, chosen in tuned.cv_table:
             rows.append((name, ", ".join(f"{k}={v}" for k, v in sorted(point.items())), *map(float, point.values()), mean, sd, folds, chosen))
     names = ", ".join(f"{v} double" for v in models.TUNED_PARAMETERS)
@@ -304,14 +304,14 @@ def mixed_logit_predict(spark, sf_dir):
 
 
 def _fitted_reads(spark, sf_dir):
-    """Reads of the published fitted model."""
+    """Reads of the fitted model, published for the current month."""
     return reads.reads(spark, sf_dir, "fitted", lambda: reads.fitted_tables(
-        spark, sf_dir, _mixed(spark, sf_dir), _network_scaling(spark, sf_dir)))
+        spark, sf_dir, _mixed(spark, sf_dir), _network_scaling(spark, sf_dir)), [reads.month_of(B.AS_OF)])
 
 
 @register("fitted_forecast")
 def fitted_forecast(spark, sf_dir):
-    """The fitted model's published predictions, every cell."""
+    """The fitted model's published forecast of the current month, every country and disease."""
     return _fitted_reads(spark, sf_dir).table("augment_predict").select(
         "country_iso3c", "disease", "month", "predicted_outbreak_probability")
 
@@ -336,6 +336,12 @@ def fitted_priority_coefficients(spark, sf_dir):
 
 @register("model_aic")
 def model_aic(spark, sf_dir):
-    """L16 + L18: logLik / AIC / BIC of the full, the baseline and the continent-only network model."""
-    tables = [_mixed(spark, sf_dir, f).summary(spark).withColumn("model", F.lit(f)) for f in FORMULAS]
+    """L16 + L18: logLik / AIC / BIC of the full and the baseline network model."""
+    tables = [_mixed(spark, sf_dir, f).summary(spark).withColumn("model", F.lit(f)) for f in ("full", "baseline")]
     return reduce(DataFrame.unionByName, tables)
+
+
+@register("continent_model")
+def continent_model(spark, sf_dir):
+    """L16 + L18: the continent-only network model, which has no scaled predictor."""
+    return _mixed(spark, sf_dir, "continent").summary(spark)

@@ -76,25 +76,30 @@ class NetworkReads:
         return A.status_predict(rows, nowcast, self.countries, countries, diseases)
 
 
-def reads(spark: SparkSession, sf_dir: str, model: str, tables) -> NetworkReads:
-    """Reads of a model; ``tables()`` gives (features, coefficients, scaling, predictions) when it has to be published.
+def reads(spark: SparkSession, sf_dir: str, model: str, tables, months=None) -> NetworkReads:
+    """Reads of a model; ``tables()`` gives what ``publish`` takes when it has to be published.
 
-    Published once a session and data folder; other sessions use ``NetworkReads`` on the same store.
+    Published once a session and data folder, for ``months`` only if given; other
+    sessions use ``NetworkReads`` on the same store.
     """
     name = f"{model}_{abs(hash(sf_dir)) % 10**9}"
     key = (spark.sparkContext.applicationId, name)
     store = PredictionStore(spark)
     if key not in _PUBLISHED:
-        publish(store, name, *tables())
+        publish(store, name, *tables(), months=months)
         _PUBLISHED[key] = True
     return NetworkReads(store, name, B.countries(spark, sf_dir), B.AS_OF)
 
 
 def publish(store: PredictionStore, model: str, features: DataFrame, by_origin: DataFrame, coefficients: DataFrame,
-            scaling: DataFrame, predictions: DataFrame) -> None:
-    """K3: the model's tables, features and origins partitioned by disease and month."""
+            scaling: DataFrame, predictions: DataFrame, months=None) -> None:
+    """K3: the model's tables, features and origins partitioned by disease and month.
+
+    Only the partitions of ``months`` are written, others stay as they are; all by default.
+    """
     pred = predictions.select(*CELL, "predicted_outbreak_probability")
     for name, rows in (("augment_predict", features), ("augment_predict_by_origin", by_origin)):
+        rows = rows if months is None else rows.where(F.col("month").isin(list(months)))
         store.write(f"network_{model}_{name}", rows.join(pred, CELL, "left"), PARTITIONS)
     store.write(f"network_{model}_coefficients", coefficients)
     store.write(f"network_{model}_scaling_values", scaling)
