@@ -15,7 +15,7 @@ FAST = [
     "calibration_bins", "variable_importance", "origin_import_risk", "status_predict",
     "impact_summary", "data_checks", "stratified_folds", "fixed_sample", "standardise", "network_covariates",
     "prediction_store", "variable_importance_current", "variable_importance_by_origin_current", "top_origins_current",
-    "origin_import_risk_current", "variable_importance_by_origin", "top_origins", "origin_share_lumped", "priority_coefficients", "metric_report",
+    "origin_import_risk_current", "variable_importance_by_origin", "top_origins", "origin_share_lumped", "priority_coefficients", "metric_report", "missing_lag_flags", "cases_filled_down", "lookup_csv_recode", "incomplete_predictions",
 ]
 
 

@@ -101,3 +101,18 @@ def test_nested_origins_match_the_pairs(spark):
                    ("X", 2002, "P"): (1.0, 2.0, None, None), ("P", 2001, None): (None,) * 4}
     pressure = links.import_pressure(presence, static, yearly).where("country_iso3c = 'X'").agg(F.sum("ots_trade_dollars_from_outbreaks")).first()[0]
     assert pressure == 12.0
+
+
+def test_publishing_some_months_leaves_the_others(spark, tmp_path):
+    store = PredictionStore(spark, str(tmp_path))
+    features = spark.createDataFrame([("A", "d", JAN, 1.0), ("A", "d", FEB, 2.0)], "country_iso3c string, disease string, month date, x double")
+    coefs, scaling = spark.createDataFrame([("d", "x", 1.0)], "disease string, variable string, coef double"), spark.createDataFrame([("x", 0.0, 1.0)], "key string, mean double, sd double")
+
+    def predictions(p):
+        return features.select("country_iso3c", "disease", "month").withColumn("predicted_outbreak_probability", F.lit(p))
+
+    reads.publish(store, "m", features, features, coefs, scaling, predictions(0.25))
+    reads.publish(store, "m", features, features, coefs, scaling, predictions(0.75), months=[FEB])
+    got = {r["month"]: r["predicted_outbreak_probability"] for r in store.read("network_m_augment_predict").collect()}
+    assert got == {JAN: 0.25, FEB: 0.75}
+    assert store.names() == sorted(f"network_m_{t}" for t in reads.TABLES)
