@@ -221,7 +221,7 @@ def race(design: DataFrame, est, evaluator, points: list[dict], folds: int, larg
 
 
 # ---- the two models ------------------------------------------------------------------------
-#: Parameters of the registered fits, as ``cv_one_se`` finds them at sf0.1; tuning is a step of its own.
+#: Parameters of the registered fits unless others are given; tuning (``tune_status_model``, ``tune_cases_model``) is a step of its own.
 STATUS_PARAMS = {"mtry": 1.0, "maxIter": 10, "minInstancesPerNode": 2, "maxDepth": 5, "stepSize": 0.1, "minInfoGain": 1e-10, "subsamplingRate": 1.0}
 CASES_PARAMS = dict(STATUS_PARAMS)
 
