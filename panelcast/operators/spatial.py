@@ -201,6 +201,7 @@ def bounding_radius(
     pts = points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(
         *key, F.col(lat).cast("double").alias("lat"), F.col(lon).cast("double").alias("lon")
     ).distinct()
+    pts = write_stage(pts, "radius_distinct")  # read for the means, the sizes and the points of each kind of group
     stats = pts.groupBy(*key).agg(
         F.avg("lat").alias("_mlat"), F.avg("lon").alias("_mlon"), F.count(F.lit(1)).alias("_n"))
     proj = pts.join(stats, on=key, how="inner")
