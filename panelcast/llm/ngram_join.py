@@ -13,9 +13,10 @@ not built.  A first pass pairs each group with one group of every shared
 shingle, and each member with its group's first.  In a hub pass every set of a
 shingle (or group) whose sets lie in several components is paired with a few
 of them, chosen by hash.  The last pass is exact: groups that share a shingle and still hold different components are
-paired and filtered, and only the pairs left are expanded to members.  Copies
-meet as one set, and a large cluster of near copies costs pairs in proportion
-to its size.
+compared in the join by place, size and the parity bits that all sets of a
+group agree on; only pairs that may link leave it, and only those are expanded
+to members.  Copies meet as one set.  Near copies that don't link are compared
+with the others of their shingles, but make no rows.
 
 Frequencies come from a sketch of fixed size over the whole corpus (one count
 per hash cell, kept as half-octave classes of one byte).  It only decides the
@@ -181,6 +182,16 @@ def _parity_fits(percent: int):
     return (total - apart) * (100 + percent) >= 2 * percent * total
 
 
+def _parity_agreed(percent: int):
+    """``_parity_fits`` of two groups, on the bits that don't vary within either (``v*``): it holds for every pair of their sets."""
+    apart = F.lit(0)
+    for c in _PARITY_COLUMNS:
+        varying = F.col(f"v{c}1").bitwiseOR(F.col(f"v{c}2"))
+        apart = apart + F.bit_count(F.col(f"{c}1").bitwiseXOR(F.col(f"{c}2")).bitwiseAND(F.bitwise_not(varying)))
+    total = F.col("n1") + F.col("n2")
+    return (total - apart) * (100 + percent) >= 2 * percent * total
+
+
 def _place_fits(percent: int):
     """Bound on the overlap of a pair, seen from one shingle that both prefixes share.
 
@@ -196,6 +207,24 @@ def _place_fits(percent: int):
     return sizes & (overlap * (100 + percent) >= (F.col("n1") + F.col("n2")) * percent)
 
 
+def _pairs_apart(sides: DataFrame, percent: int) -> DataFrame:
+    """(gid1, gid2, n1, n2) once for each shingle that two groups of different components share, if they may hold a link.
+
+    ``sides`` has a row per group and shingle, with the group's size, components
+    (``lo`` to ``hi``) and parity bits.  The groups of a shingle's largest
+    component (``in_main``) are paired with the other groups alone.
+    """
+    some = ("gid", "n", "pos", "rank", "lo", "hi", "in_main", *_PARITY_COLUMNS, *[f"v{c}" for c in _PARITY_COLUMNS])
+    apart = ~((F.col("lo1") == F.col("hi1")) & (F.col("lo2") == F.col("hi2")) & (F.col("lo1") == F.col("lo2")))
+    once = (F.col("gid1") != F.col("gid2")) & (F.col("in_main2") | (F.col("gid1") < F.col("gid2")))
+    return (
+        sides.filter(~F.col("in_main")).select("token", *[F.col(c).alias(f"{c}1") for c in some])
+        .join(sides.select("token", *[F.col(c).alias(f"{c}2") for c in some]), "token")
+        .filter(once & apart & _place_fits(percent) & _parity_agreed(percent))
+        .select("gid1", "gid2", "n1", "n2")
+    )
+
+
 def jaccard_components(
     docs: DataFrame,
     width: int = SHINGLE,
@@ -321,12 +350,10 @@ def jaccard_components(
     main = prefixes.filter("lo = hi").groupBy("token", "lo").agg(F.count("*").alias("c"))
     main = main.groupBy("token").agg(F.max(F.struct("c", "lo")).alias("m")).select("token", F.col("m.lo").alias("main"))
     sides = prefixes.join(main, "token", "left").withColumn("in_main", F.coalesce((F.col("lo") == F.col("main")) & (F.col("hi") == F.col("main")), F.lit(False)))
-    some = ("gid", "n", "pos", "rank", "lo", "hi", "in_main")
-    apart = ~((F.col("lo1") == F.col("hi1")) & (F.col("lo2") == F.col("hi2")) & (F.col("lo1") == F.col("lo2")))
+    agreed = [F.bit_and(c).alias(c) for c in _PARITY_COLUMNS] + [F.bit_or(c).bitwiseXOR(F.bit_and(c)).alias(f"v{c}") for c in _PARITY_COLUMNS]
+    sides = sides.join(members.groupBy("gid").agg(*agreed), "gid")
     group_pairs = (
-        sides.filter(~F.col("in_main")).select("token", *[F.col(c).alias(f"{c}1") for c in some])
-        .join(sides.select("token", *[F.col(c).alias(f"{c}2") for c in some]), "token")
-        .filter((F.col("gid1") != F.col("gid2")) & (F.col("in_main2") | (F.col("gid1") < F.col("gid2"))) & apart & _place_fits(percent))
+        _pairs_apart(sides, percent)
         .groupBy("gid1", "gid2", "n1", "n2")
         .agg(F.count("*").alias("shared"))
         .filter(_pair_filter(percent))

@@ -73,6 +73,48 @@ def test_large_cluster_of_distinct_near_copies(make_docs):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(rows, 4, 85)
 
 
+def test_near_copies_that_do_not_link_make_few_pairs(make_docs, monkeypatch):
+    """150 texts that share most shingles, none linked with all: the exact pass must not make a row for each pair."""
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(130)]
+    rows = []
+    for i in range(150):
+        words = list(base)
+        for k in rng.sample(range(4, 126), 2):
+            words[k] = f"edit{i}x{k}"
+        rows.append((i, " ".join(words)))
+    made, before = [], ngram_join._pairs_apart
+
+    def counted(sides, percent):
+        pairs = before(sides, percent)
+        made.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(ngram_join, "_pairs_apart", counted)
+    got = ngram_join.jaccard_components(make_docs(rows)).collect()
+    want = brute(rows, 4, 85)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+    assert len({c for _, c in want.values()}) > 50  # many are alone
+    assert len(made) == 1 and made[0] < 20 * len(rows), made  # 150 * 149 / 2 pairs share about ten shingles each
+
+
+def test_groups_of_several_sets_keep_their_links(make_docs):
+    """Sets of one prefix and size that differ elsewhere: parity bits that vary within a group decide nothing."""
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(70)]
+    rows = []
+    for i in range(60):
+        words = list(base)
+        a = rng.randrange(4, 60)
+        words[a : a + 6] = words[a : a + 6][::-1] if rng.random() < 0.5 else [f"v{rng.randrange(3)}"] * 6
+        if rng.random() < 0.5:
+            words[rng.randrange(70)] = f"x{rng.randrange(4)}"
+        rows.append((i, " ".join(words)))
+    for width, percent in ((4, 85), (1, 90)):
+        got = ngram_join.jaccard_components(make_docs(rows), width, percent).collect()
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(rows, width, percent)
+
+
 def test_nulls_repeats_and_empty(make_docs):
     text = " ".join(f"w{i}" for i in range(40))
     rows = [(4, text), (4, text), (None, text), (7, text), (9, "other words are here now")]
