@@ -199,17 +199,19 @@ def race(design: DataFrame, est, evaluator, points: list[dict], folds: int, larg
     scores: dict[int, list[float]] = {i: [] for i in range(len(points))}
     alive = set(scores)
 
-    def one(i: int, fold: int) -> float:
+    def one(at: tuple[int, int]) -> float:
+        i, fold = at
         params = {est.getParam(k): v for k, v in estimator_params(points[i], n_features).items()}
         model = est.copy(params).fit(design.where(F.col("fold") != fold))
         return float(evaluator.evaluate(model.transform(design.where(F.col("fold") == fold))))
 
+    first = max(1, min(burn_in, folds))  # nothing is dropped before, so these folds are fitted side by side
     with ThreadPoolExecutor(parallelism) as pool:
-        for fold in range(folds):
-            order = sorted(alive)
-            for i, score in zip(order, pool.map(inheritable_thread_target(design.sparkSession)(lambda i: one(i, fold)), order)):
+        for run in [range(first), *[[fold] for fold in range(first, folds)]]:
+            order = [(i, fold) for fold in run for i in sorted(alive)]
+            for (i, _), score in zip(order, pool.map(inheritable_thread_target(design.sparkSession)(one), order)):
                 scores[i].append(score)
-            if burn_in <= fold + 1 < folds:
+            if run[-1] + 1 < folds:
                 alive -= beaten({i: scores[i] for i in alive}, larger)
     sign = 1 if larger else -1
     mean = {i: float(np.mean(s)) for i, s in scores.items()}

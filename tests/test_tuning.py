@@ -1,5 +1,7 @@
 """Tuning by racing, profiles and permutation on a small panel."""
 
+import threading
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -57,6 +59,43 @@ def test_race_drops_the_losers_and_prefers_the_simpler(panel):
     assert set(tuned.params) == {*models.TUNED_PARAMETERS} - {"mtry"} | {"featureSubsetStrategy"}
 
 
+def test_race_fits_the_burn_in_folds_side_by_side(spark):
+    """Two sets on two burn-in folds are four fits at a time: each waits for the other three."""
+    together, fitted = threading.Barrier(4), []
+
+    class Fit:
+        def getParam(self, name):
+            return name
+
+        def copy(self, params):
+            self_ = Fit()
+            self_.maxDepth = params["maxDepth"]
+            return self_
+
+        def fit(self, rows):
+            left_out = ({0, 1, 2} - {r["fold"] for r in rows.select("fold").distinct().collect()}).pop()
+            fitted.append((left_out, self.maxDepth))
+            if left_out < 2:
+                together.wait(timeout=60)
+            return self
+
+        def transform(self, rows):
+            return self.maxDepth, rows.first()["fold"]
+
+    class Score:
+        def evaluate(self, scored):
+            depth, fold = scored
+            return depth / 10 + fold / 100
+
+    design = spark.createDataFrame([([1.0, 2.0], i % 3) for i in range(9)], "features array<double>, fold int")
+    chosen, table = models.race(design, Fit(), Score(), [{"maxDepth": 3}, {"maxDepth": 5}], 3, True, burn_in=2, parallelism=4)
+    assert chosen == {"maxDepth": 5}
+    # the scores differ by the same in both folds, so the smaller is beaten after the burn-in
+    assert [(row[3], row[4]) for row in table] == [(2, False), (3, True)]
+    assert sorted(fitted) == [(0, 3), (0, 5), (1, 3), (1, 5), (2, 5)]
+    assert abs(table[0][1] - 0.305) < 1e-12 and abs(table[1][1] - 0.51) < 1e-12
+
+
 def test_permutation_pairs_all_rows_once(panel, status):
     predictors = models.recipe_predictors(status)
     a, b = (
