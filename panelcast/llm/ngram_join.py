@@ -12,11 +12,13 @@ The result asked for is components, so pairs that other links already join are
 not built.  A first pass pairs each group with one group of every shared
 shingle, and each member with its group's first.  In a hub pass every set of a
 shingle (or group) whose sets lie in several components is paired with a few
-of them, chosen by hash.  The last pass is exact: groups that share a shingle and still hold different components are
-compared in the join by place, size and the parity bits that all sets of a
-group agree on; only pairs that may link leave it, and only those are expanded
-to members.  Copies meet as one set.  Near copies that don't link are compared
-with the others of their shingles, but make no rows.
+of them, chosen by hash.  The last pass is exact: groups that share a
+shingle and still hold different components are compared by place, size and the
+parity bits that all sets of a group agree on; pairs that may link are expanded
+to members.  Two groups that share many shingles need to meet at one of them
+only, the first in an order of all shingles.  The join's key therefore says
+which of a few earlier shingles a group has, and groups that share one of those
+don't meet again.  Copies meet as one set.
 
 Frequencies come from a sketch of fixed size over the whole corpus (one count
 per hash cell, kept as half-octave classes of one byte).  It only decides the
@@ -45,6 +47,8 @@ _BLOCK_BITS = 16  # sketch cells that travel in one row
 CHUNK = 1 << 20  # bytes of text hashed at a time (or one longer text)
 HUBS = 8  # sets of a shingle that the others are paired with in the hub pass
 HUB_ROWS = 256  # pairs of one set that are verified in one place
+EARLIER = 3  # earlier shingles of a shingle, whose pairs aren't compared again at it
+EARLIEST = 8  # shingles of a group that are searched for them
 _PARITY = 8  # longs of a set's parity bitmap: 512 bits
 _PARITY_COLUMNS = [f"b{i}" for i in range(_PARITY)]
 
@@ -207,21 +211,44 @@ def _place_fits(percent: int):
     return sizes & (overlap * (100 + percent) >= (F.col("n1") + F.col("n2")) * percent)
 
 
+def _with_earlier(rows: DataFrame, repeated: DataFrame) -> DataFrame:
+    """``rows`` (a row per group and shingle) with ``seen`` and ``known``, for ``_pairs_apart``.
+
+    All shingles have one order, those of most groups first.  ``known`` has
+    a bit for each earlier shingle (``EARLIER`` at most) that a shingle knows of,
+    ``seen`` the bits of those that the group is known to have too.  Groups in
+    ``repeated`` share their id with another: they have none.
+    """
+    rows = rows.join(rows.groupBy("token").agg((-F.count("*")).alias("few")), "token")
+    first = F.slice(F.sort_array(F.collect_list(F.struct("few", "token"))), 1, EARLIEST)  # of a prefix at most
+    first = rows.groupBy("gid").agg(first.alias("first")).join(repeated, "gid", "left_anti")
+    rows = rows.join(first, "gid", "left")
+    known = rows.groupBy("token", "few").agg(F.min_by("first", F.xxhash64("gid")).alias("known"))
+    before = F.filter("known", lambda x: x < F.struct("few", "token"))
+    rows = rows.join(known.select("token", F.slice(before, 1, EARLIER).alias("known")), "token")
+    each = [(F.get("known", F.lit(i)), 1 << i) for i in range(EARLIER)]
+    seen = [F.when(F.array_contains("first", shingle), bit).otherwise(0) for shingle, bit in each]
+    known = [F.when(shingle.isNotNull(), bit).otherwise(0) for shingle, bit in each]
+    return rows.withColumns({"seen": sum(seen, F.lit(0)), "known": sum(known, F.lit(0))}).drop("few", "first")
+
+
 def _pairs_apart(sides: DataFrame, percent: int) -> DataFrame:
-    """(gid1, gid2, n1, n2) once for each shingle that two groups of different components share, if they may hold a link.
+    """(gid1, gid2) of groups of different components that share a shingle, if they may hold a link; few pairs come twice.
 
     ``sides`` has a row per group and shingle, with the group's size, components
-    (``lo`` to ``hi``) and parity bits.  The groups of a shingle's largest
-    component (``in_main``) are paired with the other groups alone.
+    (``lo`` to ``hi``), parity bits and earlier shingles (``_with_earlier``).
+    The groups of a shingle's largest component (``in_main``) are paired with
+    the other groups alone, and groups with an earlier shingle in common there.
     """
     some = ("gid", "n", "pos", "rank", "lo", "hi", "in_main", *_PARITY_COLUMNS, *[f"v{c}" for c in _PARITY_COLUMNS])
     apart = ~((F.col("lo1") == F.col("hi1")) & (F.col("lo2") == F.col("hi2")) & (F.col("lo1") == F.col("lo2")))
     once = (F.col("gid1") != F.col("gid2")) & (F.col("in_main2") | (F.col("gid1") < F.col("gid2")))
+    others = F.filter(F.sequence(F.lit(0), "known"), lambda seen: seen.bitwiseAND(F.col("seen")) == 0)
     return (
-        sides.filter(~F.col("in_main")).select("token", *[F.col(c).alias(f"{c}1") for c in some])
-        .join(sides.select("token", *[F.col(c).alias(f"{c}2") for c in some]), "token")
+        sides.filter(~F.col("in_main")).select("token", F.explode(others).alias("seen"), *[F.col(c).alias(f"{c}1") for c in some])
+        .join(sides.select("token", "seen", *[F.col(c).alias(f"{c}2") for c in some]), ["token", "seen"])
         .filter(once & apart & _place_fits(percent) & _parity_agreed(percent))
-        .select("gid1", "gid2", "n1", "n2")
+        .select("gid1", "gid2")
     )
 
 
@@ -346,19 +373,14 @@ def jaccard_components(
     # last pass: pairs of groups, then of their members, that still lie in different components
     here = placed(roots)
     prefixes, torn = mixed_groups(here)
-    prefixes = write_stage(prefixes, "jaccard-mixed")
+    repeated = nodes.groupBy("grp").agg(F.min("id").alias("gid")).groupBy("gid").agg(F.count("*").alias("c")).filter("c > 1").select("gid")
+    prefixes = write_stage(_with_earlier(prefixes, repeated), "jaccard-mixed")
     main = prefixes.filter("lo = hi").groupBy("token", "lo").agg(F.count("*").alias("c"))
     main = main.groupBy("token").agg(F.max(F.struct("c", "lo")).alias("m")).select("token", F.col("m.lo").alias("main"))
     sides = prefixes.join(main, "token", "left").withColumn("in_main", F.coalesce((F.col("lo") == F.col("main")) & (F.col("hi") == F.col("main")), F.lit(False)))
     agreed = [F.bit_and(c).alias(c) for c in _PARITY_COLUMNS] + [F.bit_or(c).bitwiseXOR(F.bit_and(c)).alias(f"v{c}") for c in _PARITY_COLUMNS]
     sides = sides.join(members.groupBy("gid").agg(*agreed), "gid")
-    group_pairs = (
-        _pairs_apart(sides, percent)
-        .groupBy("gid1", "gid2", "n1", "n2")
-        .agg(F.count("*").alias("shared"))
-        .filter(_pair_filter(percent))
-        .select("gid1", "gid2")
-    )
+    group_pairs = _pairs_apart(sides, percent).distinct()
     group_pairs = write_stage(group_pairs.unionByName(torn.select(F.col("gid").alias("gid1"), F.col("gid").alias("gid2"))), "jaccard-groups")
     rest = (
         group_pairs.join(here.select(F.col("gid").alias("gid1"), F.col("id").alias("id1"), F.col("root").alias("root1")), "gid1")

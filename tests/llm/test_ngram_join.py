@@ -2,6 +2,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from panelcast.llm import components, ngram_join
 
@@ -98,6 +99,78 @@ def test_near_copies_that_do_not_link_make_few_pairs(make_docs, monkeypatch):
     assert len(made) == 1 and made[0] < 20 * len(rows), made  # 150 * 149 / 2 pairs share about ten shingles each
 
 
+def test_texts_that_share_many_shingles_meet_few_times(make_docs, monkeypatch):
+    """Long texts too far apart to link, too long for their parity bits to tell: one row a pair, not one for each shared shingle."""
+    rng = random.Random(12)
+    base = [f"w{i}" for i in range(4000)]
+    rows = []
+    for i in range(24):
+        words = list(base)
+        a = 150 * i
+        words[a : a + 280] = [f"x{i}y{k}" for k in range(280)]
+        rows.append((i, " ".join(words)))
+    rows += [(100 + i, " ".join(rng.sample(base, 40))) for i in range(10)]
+    made, before = [], ngram_join._pairs_apart
+
+    def counted(sides, percent):
+        pairs = before(sides, percent)
+        made.append((pairs.count(), pairs.select("gid1", "gid2").distinct().count()))
+        return pairs
+
+    monkeypatch.setattr(ngram_join, "_pairs_apart", counted)
+    got = ngram_join.jaccard_components(make_docs(rows)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(rows, 4, 85)
+    (lines, pairs), = made
+    assert pairs > 20 and lines < 4 * pairs, made
+
+
+def test_pairs_that_meet_once_are_all_found(spark):
+    """Every two groups of different components that share a shingle are found, whatever earlier shingles they have."""
+    rng = random.Random(3)
+    sets, root = {}, {}
+    for gid in range(1, 121):
+        common = [t for t in range(12) if rng.random() < 0.6] if gid % 3 else []
+        sets[gid] = set(common) | {rng.randrange(100, 160) for _ in range(rng.randrange(6))} | {1000 + gid % 7}
+        root[gid] = gid % 5 and gid
+    repeated = {9, 10, 11}  # several groups of one id: each has a part of these shingles
+    rows = [(g, t, 500, 0, 0, root[g], root[g] if g % 11 else 500) for g in sets for t in sets[g]]
+    frame = spark.createDataFrame(rows, "gid long, token long, n long, pos int, rank int, lo long, hi long")
+    several = spark.createDataFrame([(g,) for g in repeated], "gid long")
+    sides = ngram_join._with_earlier(frame, several).withColumn("in_main", F.expr("lo = 0 and hi = 0"))
+    assert sides.filter("known > 0").count() > 300 and sides.filter("seen > 0").count() > 300
+    assert sides.filter("seen > 0").join(several, "gid").count() == 0
+    bits = [f"{v}{c}" for v in ("", "v") for c in ngram_join._PARITY_COLUMNS]
+    found = ngram_join._pairs_apart(sides.withColumns({c: F.lit(0).cast("long") for c in bits}), 85).collect()
+    place = {g: (root[g], root[g] if g % 11 else 500) for g in sets}
+    want = [
+        (a, b) for a in sets for b in sets
+        if a < b and sets[a] & sets[b] and not (place[a] == place[b] and place[a][0] == place[a][1])
+    ]
+    assert {tuple(sorted((r.gid1, r.gid2))) for r in found} == set(want)
+    assert len(found) < sum(len(sets[a] & sets[b]) for a, b in want) / 2
+
+
+def test_links_of_a_repeated_id_with_several_texts(make_docs):
+    rng = random.Random(21)
+    base = [f"w{i}" for i in range(90)]
+    rows = []
+    for i in range(80):
+        words = list(base) if i % 2 else [f"v{k}" if k % 40 else f"w{k}" for k in range(90)]
+        for k in rng.sample(range(90), 3):
+            words[k] = f"edit{i}x{k}"
+        rows.append((i // 2 if i < 40 else i, " ".join(words)))
+    parts = brute([(k, t) for k, (_, t) in enumerate(rows)], 4, 85)
+    least = {i: i for i, _ in rows}
+    for _ in rows:  # ids and texts name each other's components until nothing changes
+        best = {}
+        for k, (i, _) in enumerate(rows):
+            c = parts[k][1]
+            best[c] = min(best.get(c, least[i]), least[i])
+        least = {i: min(best[parts[k][1]] for k, (j, _) in enumerate(rows) if j == i) for i in least}
+    got = ngram_join.jaccard_components(make_docs(rows)).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == set(least.items())
+
+
 def test_groups_of_several_sets_keep_their_links(make_docs):
     """Sets of one prefix and size that differ elsewhere: parity bits that vary within a group decide nothing."""
     rng = random.Random(6)
